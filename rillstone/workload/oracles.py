@@ -199,6 +199,9 @@ def oracle_sql() -> dict[str, str]:
             case when event_type in ('app_log', 'heartbeat') then level end as level from events_cleaned""",
         "temperature_rule": """select event_id, sensor_id, temperature, is_anomaly, temperature > 55.0 as is_hot
             from events_cleaned where event_type = 'sensor'""",
+        "newest_reading": """select sensor_id, event_id, temperature, "offset" from events_cleaned
+            where event_type = 'sensor'
+            qualify row_number() over (partition by sensor_id order by "offset" desc) = 1""",
         "kind_to_table": """select event_type, count(*) as row_count, case event_type
             when 'clickstream' then 'clickstream_metrics' when 'sensor' then 'sensor_metrics'
             when 'app_log' then 'log_metrics' end as metric_table from events_cleaned group by event_type""",
@@ -246,18 +249,17 @@ def oracle_sql() -> dict[str, str]:
         "fanout_clickstream_metrics": _window_sql("clickstream_metrics", "minute"),
         "fanout_sensor_metrics": _window_sql("sensor_metrics", "minute"),
         "fanout_log_metrics": _window_sql("log_metrics", "minute"),
-        "fanout_newest_batch": _window_sql("log_metrics", "minute"),
         "topic_cleaned": """select kafka_key as "key", event_id, event_type, case when event_type = 'clickstream'
             or event_type = 'heartbeat' then user_id end as user_id,
             case when event_type = 'sensor' or event_type = 'heartbeat' then sensor_id end as sensor_id
             from events_cleaned""",
         "topic_curated": f"""
             select concat_ws('|', 'clickstream_metrics', page, device, country) as "key",
-              'clickstream_metrics' as metric_table, window_start, event_count, null::bigint as reading_count,
-              null::bigint as log_count from ({_window_sql("clickstream_metrics", "minute")})
-            union all select concat_ws('|', 'sensor_metrics', location), 'sensor_metrics', window_start, null,
-              reading_count, null from ({_window_sql("sensor_metrics", "minute")})
-            union all select concat_ws('|', 'log_metrics', service, level), 'log_metrics', window_start, null, null,
+              'clickstream_metrics' as metric_table, window_start, event_count as row_count
+              from ({_window_sql("clickstream_metrics", "minute")})
+            union all select concat_ws('|', 'sensor_metrics', location), 'sensor_metrics', window_start,
+              reading_count from ({_window_sql("sensor_metrics", "minute")})
+            union all select concat_ws('|', 'log_metrics', service, level), 'log_metrics', window_start,
               log_count from ({_window_sql("log_metrics", "minute")})""",
         "topic_dead": f"""select kafka_key as "key", {reason} as reject_reason, "partition", "offset" from mixed
             where not_json or event_type is null""",

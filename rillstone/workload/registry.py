@@ -43,7 +43,7 @@ POSITION = ("kafka_timestamp", "partition", "offset")
 AS_OF, WHOLE, DAY = "2024-01-31 00:00:00", "30 days", "24 hours"
 # Replays whose dedup clock is the processing time may take files in any order, so their micro-batches are
 # bounded. Closed windows depend on event order and files have none: they are replayed as one batch.
-PER_TRIGGER = "256g"
+PER_TRIGGER = 256 * 2**30
 
 _QUERIES: dict[str, Query] = {}
 
@@ -108,7 +108,7 @@ def _metrics(spark: SparkSession, sf_dir: str, table: met.MetricTable) -> DataFr
     return spark.read.parquet(folder_of(spark, sf_dir, table.name, build))
 
 
-def _stream_records(spark: SparkSession, sf_dir: str, bytes_per_trigger: str | None = None) -> DataFrame:
+def _stream_records(spark: SparkSession, sf_dir: str, bytes_per_trigger: int | None = None) -> DataFrame:
     return envelope(event_feed(events_stream(spark, sf_dir, bytes_per_trigger)))
 
 
@@ -209,6 +209,14 @@ def temperature_rule(spark, sf_dir):
     return rows.select("event_id", "sensor_id", "temperature", "is_anomaly", hot_temperature().alias("is_hot"))
 
 
+@query
+def newest_reading(spark, sf_dir):
+    """Keyed-upsert view: the newest record of every sensor."""
+    fields = ("event_id", "event_type", "timestamp", "sensor_id", "temperature")
+    rows = of_kind(_unique(spark, sf_dir, fields), "sensor")
+    return latest_batch(rows, ["sensor_id"], "offset").select("sensor_id", "event_id", "temperature", "offset")
+
+
 @query
 def kind_to_table(spark, sf_dir):
     return kind_routing(_unique(spark, sf_dir, ("event_id", "event_type")))
@@ -445,13 +453,6 @@ def fanout_log_metrics(spark, sf_dir):
     return rounded(_tables(spark, sf_dir).metrics(spark, met.LOG))
 
 
-@query
-def fanout_newest_batch(spark, sf_dir):
-    """Keyed-upsert view over the per-batch rows; with one batch per window it equals the final rows."""
-    rows = _tables(spark, sf_dir).batch_metrics(spark, met.LOG)
-    return rounded(latest_batch(rows, ["window_start", "service", "level"]).drop("batch_id"))
-
-
 @query
 def topic_cleaned(spark, sf_dir):
     rows = spark.read.parquet(f"{_fanout(spark, sf_dir)}/topics/{TOPIC_CLEANED}")
@@ -462,7 +463,9 @@ def topic_cleaned(spark, sf_dir):
 def topic_curated(spark, sf_dir):
     rows = spark.read.parquet(f"{_fanout(spark, sf_dir)}/topics/{TOPIC_CURATED}")
     fields = "metric_table string, window_start timestamp, event_count bigint, reading_count bigint, log_count bigint"
-    return rows.select("key", F.inline(F.array(F.from_json("value", fields))))
+    counts = rows.select("key", F.inline(F.array(F.from_json("value", fields))))
+    total = F.sum(F.coalesce("event_count", "reading_count", "log_count"))
+    return counts.groupBy("key", "metric_table", "window_start").agg(total.alias("row_count"))
 
 
 @query
