@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rillstone.functions import clamp, event_time, slow_request
 from rillstone.functions.scalars import HIGHEST_TEMPERATURE, LOWEST_TEMPERATURE, SLOW_ABOVE_MS
-from rillstone.schemas import METRIC_TABLE_OF_KIND, SERVED_COLUMNS
+from rillstone.schemas import KINDS, METRIC_TABLE_OF_KIND, SERVED_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -67,7 +67,11 @@ def served(rows: DataFrame) -> DataFrame:
 
 
 def of_kind(rows: DataFrame, kind: str) -> DataFrame:
-    return rows.where(F.col("event_type") == kind)
+    """Rows of one kind; on a store this reads the kind's directories only."""
+    wanted = F.col("event_type") == kind
+    if "event_kind" in rows.columns and kind in KINDS:
+        wanted &= F.col("event_kind") == kind
+    return rows.where(wanted)
 
 
 def metric_table(kind: Column | str = "event_type") -> Column:

@@ -74,10 +74,11 @@ def closed_window_metrics(
 ) -> DataFrame:
     """Each window once, when the event-time watermark has passed its end (append mode).
 
-    Only the fields of this table are decoded. Repeats are dropped while their window can still change.
-    Distinct counts are approximate here; the fan-out job keeps exact ones.
+    Only the fields of this table are decoded. Repeats are dropped while their window can still change;
+    as in the store, an id counts once whatever its kind. Distinct counts are approximate here; the
+    fan-out job keeps exact ones.
     """
     rows = clean(decode(records, table.record_fields, keep=()), stamp=False)
-    timed = rows.where(F.col("event_ts").isNotNull() & (F.col("event_type") == table.kind))
+    timed = rows.where(F.col("event_ts").isNotNull())
     unique = drop_repeats(timed, clock="event_ts", horizon=lateness, spread=spread)
     return window_metrics(unique, table, every, exact=False)

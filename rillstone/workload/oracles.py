@@ -48,10 +48,9 @@ typed as (
     case when kind = 'app_log' then [200, 200, 200, 200, 201, 400, 404, 500][k % 8 + 1] end as status_code
   from base),
 mixed as (
-  select typed.*, copy, cast(n % 3 as int) as "partition", n * 2 + copy as "offset",
+  select *, cast(n % 3 as int) as "partition", n * 2 + copy as "offset",
     coalesce(user_id, sensor_id, event_id) as kafka_key
-  from typed cross join (values (0), (1)) as copies(copy)
-  where copy = 0 or n % 50 = 0),
+  from (select *, unnest(case when n % 50 = 0 then [0, 1] else [0] end) as copy from typed)),
 kept as (
   select * replace (
       coalesce(revenue, 0.0::double) as revenue,
@@ -140,12 +139,9 @@ def _panels(span: str) -> dict[str, str]:
     }
 
 
-def _closed(table: str, kind: str) -> str:
-    """Windows whose end the watermark (newest event of the kind, less ten minutes) has reached.
-
-    A watermark has millisecond precision.
-    """
-    newest = f"(select date_trunc('milliseconds', max(event_ts)) from events_cleaned where event_type = '{kind}')"
+def _closed(table: str) -> str:
+    """Windows whose end the watermark (newest event less ten minutes, in milliseconds) has reached."""
+    newest = "(select date_trunc('milliseconds', max(event_ts)) from events_cleaned)"
     return f"select * from ({_window_sql(table, 'minute')}) where window_end <= {newest} - interval 10 minute"
 
 
@@ -240,9 +236,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_store_scan": f"""select location, count(*) as readings, {_round("avg(humidity)", 6)} as avg_humidity
             from events_cleaned where event_type = 'sensor' group by 1""",
         "stream_clickstream_windows": f"""select * exclude (unique_users)
-            from ({_closed("clickstream_metrics", "clickstream")})""",
-        "stream_sensor_windows": _closed("sensor_metrics", "sensor"),
-        "stream_log_windows": _closed("log_metrics", "app_log"),
+            from ({_closed("clickstream_metrics")})""",
+        "stream_sensor_windows": _closed("sensor_metrics"),
+        "stream_log_windows": _closed("log_metrics"),
         "fanout_events": f"select {SERVED} from events_cleaned",
         "fanout_rejects": f"""select kafka_key, "partition", "offset", {reason} as reject_reason from mixed
             where not_json or event_type is null""",
