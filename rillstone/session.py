@@ -25,7 +25,7 @@ SETTINGS = {
 
 
 def build_session(app_name: str = "rillstone", **extra: str) -> SparkSession:
-    """A session with the library's settings; `extra` keys use `_` for `.` only if no `.` is present."""
+    """A session with the library's settings and any others given as extra."""
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
@@ -51,9 +51,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="rillstone-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rillstone-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
