@@ -184,6 +184,14 @@ def merge_state(states: DataFrame, table: MetricTable, every: str | None = None)
     return _unnest(_windowed(states, "window_start", every, *by).agg(*exprs), *by, *aggs)
 
 
+def sketch_members(states: DataFrame, table: MetricTable) -> DataFrame:
+    """Member rows to state rows with a sketch, without going back to the events."""
+    aggs = {name: F.sum(name) for name in _additive(table)}
+    aggs.update({out: F.max(out) for out in table.maxima})
+    aggs[_sketch_name(table)] = F.hll_sketch_agg(table.distinct[1])
+    return states.groupBy(*WINDOW, *table.dims).agg(*[expr.alias(name) for name, expr in aggs.items()])
+
+
 def _published(table: MetricTable, distinct: Column | None) -> list[Column]:
     exprs = {c: F.col(c) for c in (*table.dims, *WINDOW, table.count, *table.maxima, *table.flags)}
     exprs.update({out: F.try_divide(f"{m}_sum", f"{m}_rows") for out, m in table.means.items()})

@@ -21,19 +21,22 @@ from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, St
 from rillstone.operators.clean import served
 from rillstone.operators.metrics import (
     CLICKSTREAM,
+    LOG,
     MINUTE,
+    SENSOR,
     TABLES,
     MetricTable,
     finish,
     finish_members,
     merge_state,
     metric_state,
+    sketch_members,
 )
 from rillstone.operators.wire import keyed_records, keyed_rows
 from rillstone.schemas import CLEANED_COLUMNS, TOPIC_CLEANED, TOPIC_CURATED, TOPIC_DEAD
 from rillstone.sinks.topics import FolderTopics, KafkaTopics
 from rillstone.sources.jdbc import JdbcDatabase
-from rillstone.sources.store import cleaned_schema, partition_fields, with_partitions
+from rillstone.sources.store import cleaned_schema, partition_fields, placed, with_partitions
 
 log = logging.getLogger("rillstone.fanout")
 
@@ -113,9 +116,11 @@ class Fanout:
         if not counts:
             return
         events = self.tables.accepted(spark, batch_id)
-        for table in TABLES.values():
+        for table in (SENSOR, LOG):
             self._replace(metric_state(events, table, self.every), table.name, batch_id)
         self._replace(metric_state(events, CLICKSTREAM, self.every, members=True), MEMBERS, batch_id)
+        members = spark.read.parquet(self.tables.path(MEMBERS, batch_id))
+        self._replace(sketch_members(members, CLICKSTREAM), CLICKSTREAM.name, batch_id)
         if self.topics:
             self._publish(spark, events, batch_id)
         if self.database:
@@ -123,15 +128,10 @@ class Fanout:
 
     def _land(self, batch: DataFrame, batch_id: int) -> None:
         outcome = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
-        placed = with_partitions(batch.withColumn("outcome", outcome))
         columns = [*CLEANED_COLUMNS, *[f.name for f in EXTRA_FIELDS], *LAYOUT]
-        (
-            placed.select(*columns)
-            .hint("rebalance", *LAYOUT)
-            .write.mode("overwrite")
-            .partitionBy(*LAYOUT)
-            .parquet(self.tables.path(RECORDS, batch_id))
-        )
+        rows = with_partitions(batch.withColumn("outcome", outcome)).select(*columns)
+        writer = placed(rows, *LAYOUT).write.mode("overwrite").partitionBy(*LAYOUT)
+        writer.parquet(self.tables.path(RECORDS, batch_id))
 
     def _landed(self, spark: SparkSession, batch_id: int) -> dict[str, int]:
         """Rows by outcome. Only a directory column is asked for, so file footers answer it."""

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rillstone.operators import metrics as met
 from rillstone.operators.clean import clean
@@ -65,6 +66,16 @@ def test_pruned_and_unpruned_answers_agree(spark, store):
     assert pruned == plain and pruned
 
 
+def test_files_are_sorted_by_time(spark, store):
+    """The layout's sort is the only one before the write, and it reaches the files."""
+    rows = store.scan(spark, ["clickstream"]).where("event_ts is not null").select(
+        F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"), "event_ts"
+    )
+    order = Window.partitionBy("f").orderBy("i")
+    steps = rows.withColumn("before", F.lag("event_ts").over(order))
+    assert steps.where("before > event_ts").isEmpty() and not steps.where("before < event_ts").isEmpty()
+
+
 def test_top_k_is_not_a_full_sort(spark, store):
     for rows in (serving.top_pages(store.scan(spark)), serving.sensor_anomalies(store.scan(spark))):
         assert "TakeOrderedAndProject" in plan_of(rows)

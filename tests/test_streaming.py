@@ -16,7 +16,7 @@ from rillstone.sinks.topics import FolderTopics
 from rillstone.sources.files import line_stream, line_table, wire_stream, wire_table
 from rillstone.streaming import flow
 from rillstone.streaming.fanout import MEMBERS, RECORDS, Fanout, Tables
-from rillstone.streaming.launch import start_fanout, start_store, start_windows
+from rillstone.streaming.launch import await_any, start_fanout, start_store, start_windows
 from rillstone.streaming.progress import consumer_lag, progress_report
 from rillstone.workload.feed import event_feed, events_table
 
@@ -34,6 +34,11 @@ def unique(feed):
     return distinct_events(rows).cache()
 
 
+@pytest.fixture(autouse=True)
+def forget_ended_queries(spark):
+    spark.streams.resetTerminated()
+
+
 def staged(feed, folder, files, seed=1) -> str:
     """The feed as `files` Parquet files in a random row order, written one after the other."""
     slot = F.pmod(F.xxhash64("offset", F.lit(seed)), F.lit(files))
@@ -180,6 +185,29 @@ def test_store_sink(spark, feed, unique, tmp_path, spread):
     assert "PartitionFilters: [isnotnull(event_type" in scan._jdf.queryExecution().toString()
 
 
+def test_independent_queries(spark, feed, unique, tmp_path):
+    """Store and serving tables as two queries over one feed, each with its own offsets and dedup state."""
+    records = envelope(wire_stream(spark, staged(feed, f"{tmp_path}/in", 2), 1))
+    store = start_store(flow.cleaned_stream(records), f"{tmp_path}/store", f"{tmp_path}/c1", every=None)
+    serve = start_fanout(flow.checked_stream(records), Fanout(f"{tmp_path}/t"), f"{tmp_path}/c2", every=None)
+    await_any(spark)
+    store.awaitTermination()
+    serve.awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/store").count() == unique.count()
+    assert Tables(f"{tmp_path}/t").accepted(spark).count() == unique.count()
+
+
+def test_supervision_raises_the_error_of_a_failed_query(spark, feed, tmp_path):
+    class Broken(Fanout):
+        def __call__(self, batch, batch_id):
+            raise RuntimeError("broken sink")
+
+    records = envelope(wire_stream(spark, staged(feed, f"{tmp_path}/in", 1)))
+    start_fanout(flow.checked_stream(records), Broken(f"{tmp_path}/t"), f"{tmp_path}/c", every="1 second")
+    with pytest.raises(Exception, match="broken sink"):
+        await_any(spark)
+
+
 def line(event_id, second, zone="zone_1"):
     stamp = f"2024-01-01T{second // 3600:02}:{second // 60 % 60:02}:{second % 60:02}+00:00"
     return json.dumps({"event_id": event_id, "event_type": "sensor", "timestamp": stamp, "location": zone,
