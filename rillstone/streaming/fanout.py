@@ -11,6 +11,7 @@ each metric reads the directories and columns of its own kind only.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from dataclasses import dataclass
 
@@ -36,7 +37,7 @@ from rillstone.operators.wire import keyed_records, keyed_rows
 from rillstone.schemas import CLEANED_COLUMNS, TOPIC_CLEANED, TOPIC_CURATED, TOPIC_DEAD
 from rillstone.sinks.topics import FolderTopics, KafkaTopics
 from rillstone.sources.jdbc import JdbcDatabase
-from rillstone.sources.store import cleaned_schema, partition_fields, placed, with_partitions
+from rillstone.sources.store import EventStore, cleaned_schema, partition_fields, placed, with_partitions
 
 log = logging.getLogger("rillstone.fanout")
 
@@ -95,6 +96,17 @@ class Tables:
         return finish(merge_state(self.state(spark, table.name), table, every), table)
 
 
+def archive_days(spark: SparkSession, tables: Tables, store: EventStore, first: dt.date, last: dt.date) -> None:
+    """Write the accepted rows of whole days into the event store, in well-sized files.
+
+    Micro-batches leave many small files; this reads all batches' files of the given days and replaces
+    those days in the store. Run it when a day is over, and again if late rows have come in: the outcome
+    depends only on what has been accepted.
+    """
+    rows = tables.accepted(spark).where(F.col("event_date").between(F.lit(first), F.lit(last)))
+    store.replace_days(rows)
+
+
 @dataclass(frozen=True)
 class Fanout:
     """The foreachBatch callback. Publishing to topics and a database is optional."""

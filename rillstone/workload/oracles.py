@@ -211,6 +211,10 @@ def oracle_sql() -> dict[str, str]:
         "partials_merge_clickstream": _window_sql("clickstream_metrics", "day"),
         "partials_merge_sensor": _window_sql("sensor_metrics", "day"),
         "partials_merge_log": _window_sql("log_metrics", "day"),
+        # Sketches are exact for groups as small as these.
+        "active_users_sketch": """select date_trunc('day', event_ts) as window_start, page, device, country,
+            count(distinct user_id) as unique_users from events_cleaned
+            where event_type = 'clickstream' and event_ts is not null group by 1, 2, 3, 4""",
         "store_scan": f"""select {RECORD.replace('"timestamp", ', '')}, event_ts, is_slow_request,
             case when event_type = 'heartbeat' then 'other' else event_type end as event_kind,
             cast(event_ts as date) as event_date from events_cleaned""",
@@ -245,6 +249,9 @@ def oracle_sql() -> dict[str, str]:
         "fanout_clickstream_metrics": _window_sql("clickstream_metrics", "minute"),
         "fanout_sensor_metrics": _window_sql("sensor_metrics", "minute"),
         "fanout_log_metrics": _window_sql("log_metrics", "minute"),
+        "archived_days": """select case when event_type = 'heartbeat' then 'other' else event_type end as event_kind,
+            cast(event_ts as date) as event_date, count(*) as row_count from events_cleaned
+            where event_ts is not null group by 1, 2""",
         "topic_cleaned": """select kafka_key as "key", event_id, event_type, case when event_type = 'clickstream'
             or event_type = 'heartbeat' then user_id end as user_id,
             case when event_type = 'sensor' or event_type = 'heartbeat' then sensor_id end as sensor_id

@@ -8,6 +8,7 @@ doubles rounded to six decimal places where a sum's last bits depend on the orde
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ from rillstone.session import fresh_folder, tune
 from rillstone.sinks.topics import FolderTopics
 from rillstone.sources.store import EventStore
 from rillstone.streaming import flow
-from rillstone.streaming.fanout import Fanout, Tables
+from rillstone.streaming.fanout import Fanout, Tables, archive_days
 from rillstone.streaming.launch import start_fanout, start_store, start_windows
 from rillstone.streaming.progress import progress_report
 from rillstone.workload.feed import event_feed, events_stream, events_table, order_feed
@@ -267,7 +268,7 @@ def partials_merge_log(spark, sf_dir):
 
 @query
 def active_users_sketch(spark, sf_dir):
-    """Distinct users per day and page from merged sketches: approximate, so without SQL counterpart."""
+    """Distinct users per day and group from merged sketches: approximate for large groups."""
     states = _state_by_partition(spark, sf_dir, met.CLICKSTREAM)
     rows = met.finish(met.merge_state(states, met.CLICKSTREAM, "1 day"), met.CLICKSTREAM)
     return rows.select("window_start", "page", "device", "country", "unique_users")
@@ -453,6 +454,18 @@ def fanout_log_metrics(spark, sf_dir):
     return rounded(_tables(spark, sf_dir).metrics(spark, met.LOG))
 
 
+@query
+def archived_days(spark, sf_dir):
+    """The fan-out's micro-batch files rolled into the event store, day by day."""
+
+    def build(folder: str) -> None:
+        days = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
+        archive_days(spark, _tables(spark, sf_dir), EventStore(folder), *days)
+
+    rows = EventStore(folder_of(spark, sf_dir, "archive", build)).scan(spark)
+    return rows.groupBy("event_kind", "event_date").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query
 def topic_cleaned(spark, sf_dir):
     rows = spark.read.parquet(f"{_fanout(spark, sf_dir)}/topics/{TOPIC_CLEANED}")
