@@ -11,11 +11,13 @@ AsOf = Column | dt.datetime | str | None
 
 
 def as_instant(as_of: AsOf = None) -> Column:
-    """The reference instant: now, unless a time is pinned."""
+    """The reference instant: now, unless a time is pinned. Times without zone are UTC."""
     if as_of is None:
         return F.current_timestamp()
     if isinstance(as_of, Column):
         return as_of
+    if isinstance(as_of, dt.datetime) and as_of.tzinfo is None:
+        as_of = as_of.replace(tzinfo=dt.timezone.utc)
     return F.lit(as_of).cast("timestamp")
 
 

@@ -78,8 +78,10 @@ class EventStore:
         as_of: AsOf = None,
     ) -> DataFrame:
         """Stored rows, optionally of some kinds and a time range; both prune directories."""
-        schema = StructType([*cleaned_schema().fields, *partition_fields()])
-        rows = spark.read.format(self.fmt).schema(schema).load(self.path)
+        reader = spark.read.format(self.fmt)
+        if self.fmt != "delta":  # Delta tables carry their schema and accept no other
+            reader = reader.schema(StructType([*cleaned_schema().fields, *partition_fields()]))
+        rows = reader.load(self.path)
         if kinds is not None:
             kinds = list(kinds)
             places = [k if k in KINDS else OTHER for k in kinds]

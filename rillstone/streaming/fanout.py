@@ -85,6 +85,19 @@ class Tables:
     def state(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.path(name))
 
+    def row_counts(self, spark: SparkSession) -> DataFrame:
+        """`batch_id`, `table_name`, `row_count`: what each micro-batch wrote, from file footers."""
+        counts = None
+        for name in (RECORDS, MEMBERS, *TABLES):
+            rows = self.records(spark) if name == RECORDS else self.state(spark, name)
+            part = (
+                rows.groupBy(F.col("batch_id").cast("bigint").alias("batch_id"))
+                .agg(F.count(F.lit(1)).alias("row_count"))
+                .select("batch_id", F.lit(name).alias("table_name"), "row_count")
+            )
+            counts = part if counts is None else counts.unionByName(part)
+        return counts
+
     def batch_metrics(self, spark: SparkSession, table: MetricTable) -> DataFrame:
         """The rows each batch contributed: a window that spans batches has several, told by batch_id."""
         return finish(self.state(spark, table.name), table, "batch_id")

@@ -45,9 +45,8 @@ def _rows(columns, rows) -> tuple[list[str], Counter]:
     return [columns[i] for i in order], Counter(tuple(_value(row[i]) for i in order) for row in rows)
 
 
-def difference(spark, name, run, sql, sf_dir, con) -> str | None:
+def difference(name, got, sql, con) -> str | None:
     """None if both sides return the same columns and rows, else what differs."""
-    got = run(spark, sf_dir)
     got_columns, got_rows = _rows(got.columns, got.collect())
     if sql is None:
         return None if got_rows else f"{name}: no rows"
@@ -81,7 +80,7 @@ def main(sf_dir: str, names: list[str]) -> int:
             continue
         start = time.time()
         try:
-            problem = difference(spark, name, run, sqls.get(name), sf_dir, con)
+            problem = difference(name, run(spark, sf_dir), sqls.get(name), con)
         except Exception as error:  # report and go on with the next query
             problem = f"{name}: {type(error).__name__} {str(error)[:600]}"
         failed += problem is not None

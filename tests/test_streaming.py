@@ -78,9 +78,9 @@ def test_stream_equals_batch(spark, feed, unique, tmp_path, files):
     rejects = ["kafka_key", "partition", "offset", "reject_reason", "raw_json"]
     assert bag(tables.rejected(spark).select(rejects)) == bag(dead_letters(envelope(feed)).select(rejects))
     for table in met.TABLES.values():
-        for every in (None, "1 day"):
-            want = met.window_metrics(unique, table, every or "1 minute")
-            assert bag(tables.metrics(spark, table, every)) == bag(want)
+        assert bag(tables.metrics(spark, table)) == bag(met.window_metrics(unique, table))
+    by_day = met.clickstream_metrics(unique, "1 day")
+    assert bag(tables.metrics(spark, met.CLICKSTREAM, "1 day")) == bag(by_day)
 
     published = spark.read.parquet(f"{tmp_path}/topics/events.cleaned")
     assert published.count() == unique.count()
@@ -103,6 +103,10 @@ def test_batch_rows_add_up(spark, feed, unique, tmp_path):
     assert rows.select("batch_id").distinct().count() == 3
     total = unique.where("event_type = 'sensor' and event_ts is not null").count()
     assert rows.agg(F.sum("reading_count")).first()[0] == total
+    written = tables.row_counts(spark).groupBy("table_name").agg(F.sum("row_count").alias("n")).collect()
+    counts = {r["table_name"]: r["n"] for r in written}
+    assert counts["sensor_metrics"] == rows.count()
+    assert counts[RECORDS] == unique.count() + tables.rejected(spark).count()
     close = tables.metrics(spark, met.CLICKSTREAM, "1 day", exact=False)
     assert close.count() == met.clickstream_metrics(unique, "1 day").count()
 
