@@ -44,6 +44,7 @@ def settings(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--publish", action="store_true", help="also publish cleaned, curated and dead-letter topics")
     parser.add_argument("--store-query", action="store_true", help="also run the independent store query")
     parser.add_argument("--store-format", default="parquet", choices=["parquet", "delta"])
+    parser.add_argument("--store-writers", type=int, help="files per directory and trigger of the store query")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-user", default=os.environ.get("JDBC_USER", ""))
     parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
@@ -74,7 +75,11 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         events = flow.cleaned_stream(feed, horizon=args.dedup_horizon, spread=args.spread)
         every = None if args.once else STORE_EVERY
         place, checkpoint = f"{root}/store", f"{root}/checkpoints/store"
-        started.append(start_store(events, place, checkpoint, fmt=args.store_format, every=every, name="store"))
+        started.append(
+            start_store(
+                events, place, checkpoint, fmt=args.store_format, every=every, name="store", writers=args.store_writers
+            )
+        )
     return started
 
 

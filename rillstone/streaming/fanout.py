@@ -13,8 +13,13 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
@@ -120,6 +125,35 @@ def archive_days(spark: SparkSession, tables: Tables, store: EventStore, first:
     store.replace_days(rows)
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for the tables of a batch.
+
+    Spark runs a stateful query's session without it, as the width of the state must not change. At this
+    point the stateful plan is fixed, and what follows is ordinary batch work: without adaptive execution
+    its rebalancing would be ignored and every state partition would write to every directory.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def together(spark: SparkSession, steps: Sequence[Callable[[], None]]) -> None:
+    """Run independent writes of one batch at the same time, so that small ones do not queue for the cluster.
+
+    The threads inherit the query's job group, so stopping the query stops them. All have ended when this
+    returns; the first error is raised.
+    """
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
 @dataclass(frozen=True)
 class Fanout:
     """The foreachBatch callback. Publishing to topics and a database is optional."""
@@ -134,6 +168,10 @@ class Fanout:
         return Tables(self.root)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            self._write(batch, batch_id)
+
+    def _write(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         self._land(batch, batch_id)
         counts = self._landed(spark, batch_id)
@@ -141,15 +179,27 @@ class Fanout:
         if not counts:
             return
         events = self.tables.accepted(spark, batch_id)
-        for table in (SENSOR, LOG):
-            self._replace(metric_state(events, table, self.every), table.name, batch_id)
-        self._replace(metric_state(events, CLICKSTREAM, self.every, members=True), MEMBERS, batch_id)
-        members = spark.read.parquet(self.tables.path(MEMBERS, batch_id))
-        self._replace(sketch_members(members, CLICKSTREAM), CLICKSTREAM.name, batch_id)
+        steps = [partial(self._state, events, table, batch_id) for table in (SENSOR, LOG)]
+        steps.append(partial(self._clickstream_state, events, batch_id))
+        if self.topics:
+            steps.append(partial(self.topics.write, keyed_records(events), TOPIC_CLEANED, batch_id))
+            steps.append(partial(self._publish_dead, spark, batch_id))
+        if self.database:
+            tagged = served(events).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            steps.append(partial(self.database.append, tagged, "events_cleaned"))
+        together(spark, steps)
         if self.topics:
-            self._publish(spark, events, batch_id)
+            self._publish_curated(spark, batch_id)
         if self.database:
-            self._serve(spark, events, batch_id)
+            self._serve_metrics(spark, batch_id)
+
+    def _state(self, events: DataFrame, table: MetricTable, batch_id: int) -> None:
+        self._replace(metric_state(events, table, self.every), table.name, batch_id)
+
+    def _clickstream_state(self, events: DataFrame, batch_id: int) -> None:
+        self._replace(metric_state(events, CLICKSTREAM, self.every, members=True), MEMBERS, batch_id)
+        members = events.sparkSession.read.parquet(self.tables.path(MEMBERS, batch_id))
+        self._replace(sketch_members(members, CLICKSTREAM), CLICKSTREAM.name, batch_id)
 
     def _land(self, batch: DataFrame, batch_id: int) -> None:
         outcome = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
@@ -169,21 +219,20 @@ class Fanout:
     def _batch_state(self, spark: SparkSession, table: MetricTable, batch_id: int) -> DataFrame:
         return finish(spark.read.parquet(self.tables.path(table.name, batch_id)), table)
 
-    def _publish(self, spark: SparkSession, events: DataFrame, batch_id: int) -> None:
-        self.topics.write(keyed_records(events), TOPIC_CLEANED, batch_id)
+    def _publish_dead(self, spark: SparkSession, batch_id: int) -> None:
+        dead = self.tables.rejected(spark, batch_id)
+        letters = keyed_rows(dead, F.col("kafka_key"), "reject_reason", "partition", "offset", "raw_json")
+        self.topics.write(letters, TOPIC_DEAD, batch_id)
+
+    def _publish_curated(self, spark: SparkSession, batch_id: int) -> None:
         curated = None
         for table in TABLES.values():
             rows = self._batch_state(spark, table, batch_id).withColumn("metric_table", F.lit(table.name))
             records = keyed_rows(rows, F.concat_ws("|", F.lit(table.name), *table.dims))
             curated = records if curated is None else curated.unionByName(records)
         self.topics.write(curated, TOPIC_CURATED, batch_id)
-        dead = self.tables.rejected(spark, batch_id)
-        letters = keyed_rows(dead, F.col("kafka_key"), "reject_reason", "partition", "offset", "raw_json")
-        self.topics.write(letters, TOPIC_DEAD, batch_id)
 
-    def _serve(self, spark: SparkSession, events: DataFrame, batch_id: int) -> None:
-        tag = F.lit(batch_id).cast("bigint")
-        self.database.append(served(events).withColumn("batch_id", tag), "events_cleaned")
+    def _serve_metrics(self, spark: SparkSession, batch_id: int) -> None:
         for table in TABLES.values():
-            rows = self._batch_state(spark, table, batch_id).withColumn("batch_id", tag)
-            self.database.append(rows, table.name)
+            rows = self._batch_state(spark, table, batch_id)
+            self.database.append(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), table.name)

@@ -26,8 +26,14 @@ def start_store(
     fmt: str = "parquet",
     every: str | None = STORE_EVERY,
     name: str | None = None,
+    writers: int | None = None,
 ) -> StreamingQuery:
-    """Append cleaned events to a partitioned table, exactly once through the file sink's own log."""
+    """Append cleaned events to a partitioned table, exactly once through the file sink's own log.
+
+    Each trigger leaves a file per writing task and directory. Without `writers` every state partition
+    writes; with it, that many tasks do, after a shuffle.
+    """
+    events = events.repartition(writers) if writers else events
     writer = events.writeStream.format(fmt).outputMode("append").partitionBy(*partition_by)
     if name:
         writer = writer.queryName(name)
@@ -49,9 +55,14 @@ def start_fanout(
 
 
 def start_windows(
-    metrics: DataFrame, path: str, checkpoint: str, every: str | None = SERVE_EVERY
+    metrics: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = SERVE_EVERY,
+    writers: int | None = None,
 ) -> StreamingQuery:
-    """Append closed windows to a table."""
+    """Append closed windows to a table; see `start_store` about `writers`."""
+    metrics = metrics.repartition(writers) if writers else metrics
     writer = metrics.writeStream.format("parquet").outputMode("append")
     return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start(path)
 

@@ -29,6 +29,7 @@ from rillstone.plans.views import register_views
 from rillstone.schemas import RECORD_FIELDS, TOPIC_CLEANED, TOPIC_CURATED, TOPIC_DEAD
 from rillstone.session import fresh_folder, tune
 from rillstone.sinks.topics import FolderTopics
+from rillstone.sources.files import evened
 from rillstone.sources.store import EventStore
 from rillstone.streaming import flow
 from rillstone.streaming.fanout import Fanout, Tables, archive_days
@@ -77,7 +78,7 @@ def rounded(rows: DataFrame, places: int = 6) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelope(event_feed(events_table(spark, sf_dir)))
+    return envelope(event_feed(evened(events_table(spark, sf_dir))))
 
 
 def _read_back(published: DataFrame, *fields: str) -> DataFrame:

@@ -111,6 +111,12 @@ def test_batch_rows_add_up(spark, feed, unique, tmp_path):
     assert close.count() == met.clickstream_metrics(unique, "1 day").count()
 
 
+def test_files_do_not_multiply_with_the_width_of_the_state(spark, feed, tmp_path):
+    replay(spark, staged(feed, f"{tmp_path}/in", 1), tmp_path)
+    folders = Counter(path.parent for path in (tmp_path / "tables").rglob("*.parquet"))
+    assert len(folders) > 50 and set(folders.values()) == {1}
+
+
 class FailsOnce(Fanout):
     """Breaks in the middle of one batch, after part of its tables have been written."""
 
@@ -182,7 +188,7 @@ def test_store_sink(spark, feed, unique, tmp_path, spread):
     source = staged(feed, f"{tmp_path}/in", 3)
     events = flow.cleaned_stream(envelope(wire_stream(spark, source, 1)), spread=spread)
     for _ in range(2):  # the second start finds nothing new
-        start_store(events, f"{tmp_path}/store", f"{tmp_path}/checkpoint", every=None).awaitTermination()
+        start_store(events, f"{tmp_path}/store", f"{tmp_path}/checkpoint", every=None, writers=2).awaitTermination()
     stored = spark.read.parquet(f"{tmp_path}/store")
     assert bag(without_stamp(stored)) == bag(without_stamp(unique))
     scan = stored.where("event_type = 'sensor'")
