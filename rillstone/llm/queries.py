@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillstone.llm import bpe, lines, packing
+from rillstone.llm import bpe, jaccard, lines, packing
 from rillstone.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(table(spark, sf_dir, "documents"), least=10)
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_classes(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -28,7 +32,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op2_byte_bpe, op3_line_dedup, op10_best_fit_packing]
+    named = [op2_byte_bpe, op3_line_dedup, op5_ngram_jaccard, op10_best_fit_packing]
     return {f.__name__: f for f in named}
 
 
