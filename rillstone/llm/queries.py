@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillstone.llm import bpe, jaccard, lines, packing
+from rillstone.llm import bpe, jaccard, lines, lm, packing, toxicity
 from rillstone.llm.common import table
 
 
@@ -25,6 +25,14 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_classes(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op7_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,7 +40,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op2_byte_bpe, op3_line_dedup, op5_ngram_jaccard, op10_best_fit_packing]
+    named = [op2_byte_bpe, op3_line_dedup, op5_ngram_jaccard, op7_backoff_lm, op8_toxicity, op10_best_fit_packing]
     return {f.__name__: f for f in named}
 
 

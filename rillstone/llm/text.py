@@ -68,17 +68,18 @@ def pieces(offsets: np.ndarray, most: int = PIECE) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def words(column: pa.Array) -> Iterator[Words]:
-    """Words `[^\\x20\\x09-\\x0D]+` of every row, A-Z lower-cased, in pieces of whole rows."""
+def words(column: pa.Array, of: np.ndarray = _WORD) -> Iterator[Words]:
+    """Words `[^\\x20\\x09-\\x0D]+` of every row, A-Z lower-cased, in pieces of whole rows. `of` tells other bytes
+    that words are made of."""
     data, offsets = raw(column)
     for a, b in pieces(offsets):
-        yield _words_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], a)
+        yield _words_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], a, of)
 
 
-def _words_of(data: np.ndarray, offsets: np.ndarray, first: int) -> Words:
+def _words_of(data: np.ndarray, offsets: np.ndarray, first: int, of: np.ndarray) -> Words:
     data = _LOWER[data]
     docs = len(offsets) - 1
-    inside = _WORD[data]
+    inside = of[data]
     heads = offsets[:-1][offsets[:-1] < offsets[1:]]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
