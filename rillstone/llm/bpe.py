@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 
@@ -34,14 +35,32 @@ def parts(text: str, most: int = LONG) -> Iterator[str]:
     yield text[a:]
 
 
+def ranks_of(path: str) -> dict[bytes, int]:
+    """Tokens and ranks of a rank file, or of a tokenizers file of a byte-level BPE whose ids follow its merges."""
+    if not path.endswith(".json"):
+        with open(path, "rb") as lines:
+            return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    with open(path, encoding="utf-8") as text:
+        model = json.load(text)["model"]
+    # Such files write a byte as the character of that number if it is printable and no blank, else as the next
+    # character from 256 on.
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in shown}
+    byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ids = [model["vocab"][t] for t in merged]
+    if any(a >= b for a, b in zip(ids, ids[1:])) or min(ids, default=256) < 256:
+        raise ValueError(f"the ids of {path} do not follow its merges")
+    return {bytes(byte_of[c] for c in t): model["vocab"][t] for t in [*byte_of, *merged]}
+
+
 class Codec:
-    """A tiktoken encoding made from a rank file; one per process, file and pattern."""
+    """A tiktoken encoding made from a local file; one per process, file and pattern."""
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
 
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        ranks = ranks_of(path)
         self.encoding = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     @classmethod

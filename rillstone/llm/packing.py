@@ -16,7 +16,6 @@ got when it was written; repeated rows are packed each; NULL ids are kept; other
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import defaultdict
 
@@ -25,59 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.llm.bpe import Codec
 from rillstone.llm.common import settle, width
 
 ROOM = 2048
 END = 0
-_UNIT = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"\s | \s|^ | $")
-_ENCODERS: dict[str, UnitEncoder] = {}
-
-
-class UnitEncoder:
-    """Ids of whole texts from a tokenizers file, each distinct unit encoded once while it is remembered.
-
-    A unit runs from one single blank between two other characters to the next. The pre-splitting of byte-level BPE
-    always starts a match at such a blank and never looks back, so units can be encoded apart.
-    """
-
-    REMEMBERED, UNIT = 300_000, 40  # units kept by a process, and the characters of the longest
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    @classmethod
-    def of(cls, path: str) -> UnitEncoder:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
-
-    def _fresh(self, units: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        return {u: np.array(e.ids, dtype="<u4").tobytes() for u, e in zip(units, found)}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = []
-        for t in texts:
-            units = _UNIT.split(t) if _ODD.search(t) else t.split(" ")
-            split.append([units[0], *[" " + u for u in units[1:]]] if t else [])
-        known = self.known
-        new = list({u for units in split for u in units if u not in known})
-        fresh = self._fresh(new) if new else {}
-        short = {u: v for u, v in fresh.items() if len(u) <= self.UNIT}
-        if len(known) + len(short) > self.REMEMBERED:
-            fresh = known | fresh  # for these texts; what was known is then forgotten
-            self.known = short
-            return [b"".join([fresh[u] for u in units]) for units in split]
-        known.update(short)
-        if len(short) == len(fresh):
-            return [b"".join([known[u] for u in units]) for units in split]
-        return [b"".join([known[u] if u in known else fresh[u] for u in units]) for units in split]
 
 
 def cut(tokens: int, room: int = ROOM) -> list[tuple[int, int]]:
@@ -88,20 +39,22 @@ def cut(tokens: int, room: int = ROOM) -> list[tuple[int, int]]:
     return ([(0, first)] if first else []) + [(a, room) for a in range(first, tokens, room)]
 
 
-def token_pieces(df: DataFrame, path: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def token_pieces(
+    df: DataFrame, path: str, pattern: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) for each piece of each document's ids and the end id."""
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        encoder = UnitEncoder.of(path)
+        codec = Codec.of(path, pattern)
         end = np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 which, rows = [], []
-                for i, ids in enumerate(encoder.encode([t.as_py() or "" for t in part.column(1)])):
-                    ids += end
+                for i, t in enumerate(part.column(1)):
+                    ids = codec.encode(t.as_py() or "").tobytes() + end
                     for k, (start, length) in enumerate(cut(len(ids) // 4, room)):
                         which.append(i)
                         rows.append((k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
@@ -210,6 +163,11 @@ def pack(pieces: DataFrame, room: int = ROOM) -> DataFrame:
     return ranked.mapInArrow(place, f"{kinds}, sequence_id long, offset long")
 
 
-def pack_documents(df: DataFrame, path: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every piece of every document with its sequence and its place there."""
-    return pack(token_pieces(df, path, room, doc_id, text), room)
+def pack_documents(
+    df: DataFrame, path: str, pattern: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Every piece of every document with its sequence and its place there.
+
+    `path` may be a tokenizers file; the ids are those that library gives, here made by the faster one.
+    """
+    return pack(token_pieces(df, path, pattern, room, doc_id, text), room)
