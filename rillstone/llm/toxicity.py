@@ -1,7 +1,9 @@
 """Toxicity scores from subword-bag embeddings averaged into a linear softmax.
 
 A word's vector is the mean of the embeddings of its character n-grams (bytes, with marks at both ends) and of itself,
-hashed into a fixed number of buckets; a document's vector is the mean over its words; two softmax weights follow.
+hashed into a fixed number of buckets; a document's vector is the mean over its words, where a word found n times has
+the weight 1 + ln(n) and short texts are filled up with zero vectors to a weight of FILL (else a few odd words, or one
+that is repeated, would decide); two softmax weights follow.
 Embeddings and weights are trained jointly with Adam in numpy on a bounded sample of labelled documents, so misspelt
 words that training never saw still share most of their n-grams with words it did see. As everything below the softmax
 is linear, a trained bucket has one number for scoring, and the model that tasks get has a fixed size.
@@ -27,7 +29,8 @@ from rillstone.llm.text import U, Words, mix, words
 
 ROWS, BYTES = 3000, 48 << 20
 BUCKETS, DIMS, SIZES = 1 << 16, 8, (3, 4, 5)
-EPOCHS, BATCH, RATE = 8, 128, 0.05
+EPOCHS, BATCH, RATE = 8, 128, 0.8
+FILL = 200
 THRESHOLD = 0.7
 _INSIDE = np.zeros(256, dtype=bool)
 _INSIDE[list(b"abcdefghijklmnopqrstuvwxyz0123456789@$*") + list(range(128, 256))] = True
@@ -71,7 +74,10 @@ class Model:
             if len(first):
                 owner, bucket = subwords(w, first)
                 of_word = np.bincount(owner, self.values[bucket], len(first)) / np.bincount(owner, minlength=len(first))
-                odds = np.bincount(w.doc, of_word[back], w.docs) / np.maximum(np.bincount(w.doc, minlength=w.docs), 1)
+                pairs, n = np.unique(w.doc * len(first) + back, return_counts=True)
+                doc, part = pairs // len(first), 1 + np.log(n)
+                total = np.bincount(doc, part, w.docs)
+                odds = np.bincount(doc, part * of_word[pairs % len(first)], w.docs) / np.maximum(total, FILL)
             out[w.first : w.first + w.docs] = 1 / (1 + np.exp(-np.clip(odds + self.bias, -30, 30)))
         return out
 
@@ -94,7 +100,8 @@ class _Bags:
                 known[h] = len(known)
             for i in range(w.docs):
                 own, n = np.unique(w.hashes[w.bounds[i] : w.bounds[i + 1]], return_counts=True)
-                bags.append((np.array([known[h] for h in own.tolist()], dtype=np.int64), n / max(n.sum(), 1)))
+                part = 1 + np.log(n)
+                bags.append((np.array([known[h] for h in own.tolist()], dtype=np.int64), part / max(part.sum(), FILL)))
         self.docs = bags
 
     def batch(self, which: np.ndarray):
