@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillstone.llm import bpe, jaccard, lines, lm, packing, toxicity
+from rillstone.llm import bpe, jaccard, lines, lm, merkle, packing, toxicity
 from rillstone.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_classes(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.with_next(table(spark, sf_dir, "documents"))
+
+
 def op7_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op2_byte_bpe, op3_line_dedup, op5_ngram_jaccard, op7_backoff_lm, op8_toxicity, op10_best_fit_packing]
+    named = [op2_byte_bpe, op3_line_dedup, op5_ngram_jaccard, op6_document_fingerprints, op7_backoff_lm, op8_toxicity, op10_best_fit_packing]
     return {f.__name__: f for f in named}
 
 
