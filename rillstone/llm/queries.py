@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillstone.llm import bpe, jaccard, lines, lm, merkle, packing, toxicity
+from rillstone.llm import bpe, jaccard, lines, lm, merkle, packing, pii, toxicity
 from rillstone.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -45,7 +49,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op2_byte_bpe, op3_line_dedup, op5_ngram_jaccard, op6_document_fingerprints, op7_backoff_lm, op8_toxicity, op10_best_fit_packing]
+    named = [
+        op2_byte_bpe, op3_line_dedup, op5_ngram_jaccard, op6_document_fingerprints, op7_backoff_lm, op8_toxicity,
+        op9_personal_data, op10_best_fit_packing,
+    ]
     return {f.__name__: f for f in named}
 
 
