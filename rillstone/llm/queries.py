@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillstone.llm import bpe, jaccard, lines, lm, merkle, packing, pii, toxicity
+from rillstone.llm import bpe, embeddings, jaccard, lines, lm, merkle, packing, pii, toxicity
 from rillstone.llm.common import table
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,8 +54,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
-        op2_byte_bpe, op3_line_dedup, op5_ngram_jaccard, op6_document_fingerprints, op7_backoff_lm, op8_toxicity,
-        op9_personal_data, op10_best_fit_packing,
+        op1_embedding_near_dedup, op2_byte_bpe, op3_line_dedup, op5_ngram_jaccard, op6_document_fingerprints,
+        op7_backoff_lm, op8_toxicity, op9_personal_data, op10_best_fit_packing,
     ]
     return {f.__name__: f for f in named}
 
