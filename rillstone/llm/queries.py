@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillstone.llm import bpe, embeddings, jaccard, lines, lm, merkle, packing, pii, toxicity
+from rillstone.llm import bpe, embeddings, html, jaccard, lines, lm, merkle, packing, pii, toxicity
 from rillstone.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(table(spark, sf_dir, "documents"), least=10)
 
 
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_classes(table(spark, sf_dir, "documents"), size=3, percent=90)
 
@@ -54,8 +58,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
-        op1_embedding_near_dedup, op2_byte_bpe, op3_line_dedup, op5_ngram_jaccard, op6_document_fingerprints,
-        op7_backoff_lm, op8_toxicity, op9_personal_data, op10_best_fit_packing,
+        op1_embedding_near_dedup, op2_byte_bpe, op3_line_dedup, op4_html_main_text, op5_ngram_jaccard,
+        op6_document_fingerprints, op7_backoff_lm, op8_toxicity, op9_personal_data, op10_best_fit_packing,
     ]
     return {f.__name__: f for f in named}
 
