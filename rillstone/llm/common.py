@@ -31,6 +31,17 @@ def row_key(doc_id: str, text: str):
     return F.xxhash64(F.col(doc_id), F.col(text))
 
 
+def row_of(df: DataFrame, but: str = ""):
+    """All columns, or all but one, as one struct: whatever they are called, no other column clashes with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c != but]).alias("row")
+
+
+def with_text(changed: DataFrame, df: DataFrame, text: str) -> DataFrame:
+    """The columns of `df` from (row, text) rows; n_chars, where there is one, follows the text."""
+    new = {text: F.col("text")} | ({"n_chars": F.char_length("text").cast("long")} if "n_chars" in df.columns else {})
+    return changed.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in df.columns])
+
+
 def bitmap(hashes: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
     """A bitmap of fixed size of a column of 64-bit hashes, as bytes. However many hashes there are, the driver
     gets `bits` / 64 words at most. A set bit means perhaps, a clear one means no."""

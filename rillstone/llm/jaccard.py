@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import bitmap, components, maybe_in, settle, width
+from rillstone.llm.common import bitmap, components, maybe_in, row_key, row_of, settle, width
 from rillstone.llm.text import U, mix, shingles, words
 
 BLOCK_ROWS, BLOCK_BYTES = 2048, 8 << 20
@@ -103,11 +103,12 @@ def _profiles(size: int, percent: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(w.first, w.docs),
+                        batch.column(2).slice(w.first, w.docs),
                         pa.array(np.diff(bounds)),
                         pa.array(signatures(sets, bounds)),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys)),
                     ],
-                    names=["doc_id", "n_shingles", "sig", "parts"],
+                    names=["doc_id", "key", "n_shingles", "sig", "parts"],
                 )
 
     return run
@@ -148,10 +149,10 @@ def _chains(batches):
         yield told([head], [head], [part], True)
 
 
-def _clusters(classes: DataFrame, spark) -> DataFrame:
+def _clusters(classes: DataFrame) -> DataFrame:
     """(sig, cluster) of the classes that share parts with others."""
     exploded = classes.where("size(parts) > 0").select(F.explode("parts").alias("part"), "sig")
-    ranged = exploded.repartitionByRange(width(spark), "part", "sig").sortWithinPartitions("part", "sig")
+    ranged = exploded.repartitionByRange(width(classes.sparkSession), "part", "sig").sortWithinPartitions("part", "sig")
     chains = settle(ranged.mapInArrow(_chains, "a long, b long, part long, edge boolean"), "chains")
     ends = chains.where("edge").select("part", F.col("a").alias("b"))  # two for each range
     joined = ends.join(ends.groupBy("part").agg(F.min("b").alias("a")), "part").select("a", "b")
@@ -310,26 +311,60 @@ def _tiles(members: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(compare, "a long, b long")
 
 
-def join_classes(
-    df: DataFrame, size: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: documents link when 100 * intersection >= percent * union."""
-    spark = df.sparkSession
-    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+def _joined(df: DataFrame, size: int, percent: int, doc_id: str, text: str) -> DataFrame:
+    """(key, doc_id, n_shingles, root, component_id) of every row; root is NULL for empty sets."""
+    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), row_key(doc_id, text).alias("key"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    profiled = docs.mapInArrow(
-        _profiles(size, percent), f"doc_id {kind}, n_shingles long, sig long, parts array<bigint>"
-    )
-    profiles = settle(profiled, "profiles")
+    schema = f"doc_id {kind}, key long, n_shingles long, sig long, parts array<bigint>"
+    profiles = settle(docs.mapInArrow(_profiles(size, percent), schema), "profiles")
     by_set = profiles.where("n_shingles > 0").groupBy("sig")
     classes = settle(by_set.agg(F.min("doc_id").alias("doc_id"), F.first("parts").alias("parts")), "classes")
-    clusters = _clusters(classes, spark)
+    clusters = _clusters(classes)
     members = _members(df, classes.select("sig", "doc_id").join(clusters, "sig"), size, doc_id, text)
     roots = components(_tiles(members, percent), "links")
     grouped = classes.select("sig", "doc_id").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
     grouped = grouped.select("sig", F.coalesce("root", "sig").alias("root"), F.col("doc_id").alias("least"))
     tops = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = settle(grouped.join(tops, "root").select("sig", "component_id"), "named")
-    return profiles.join(named, "sig", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    named = settle(grouped.join(tops, "root").select("sig", "root", "component_id"), "named")
+    joined = profiles.select("key", "doc_id", "n_shingles", "sig").join(named, "sig", "left")
+    full = F.col("n_shingles") > 0
+    component = F.when(full, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    return joined.select("key", "doc_id", "n_shingles", F.when(full, F.col("root")).alias("root"), component)
+
+
+def join_classes(
+    df: DataFrame, size: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row: documents link when 100 * intersection >= percent * union."""
+    return _joined(df, size, percent, doc_id, text).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(
+    df: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The row with the smallest id of each component, with all its columns; rows with empty sets stay.
+
+    Rows that a bitmap of fixed size does not know to be in a group pass by; only the others meet the decisions.
+    """
+    rows = settle(_joined(df, size, percent, doc_id, text).where("root is not null"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")
+    groups = rows.groupBy("root").agg(first, F.count("*").alias("n")).where("n > 1")
+    groups = groups.select("root", F.col("first.key").alias("kept"))
+    marked = rows.join(groups, "root").select("key", (F.col("key") == F.col("kept")).alias("once"))
+    marks = settle(marked.groupBy("key").agg(F.max("once").alias("once")), "marks")
+    held = df.sparkSession.sparkContext.broadcast(bitmap(marks, "key"))
+    source = df.select(row_of(df), row_key(doc_id, text).alias("key"))
+
+    def known(wanted: bool):
+        def run(batches):
+            for batch in batches:
+                hit = maybe_in(held.value, batch.column(1).to_numpy())
+                yield batch.filter(pa.array(hit if wanted else ~hit))
+
+        return run
+
+    schema = f"row {source.schema['row'].dataType.simpleString()}, key long"
+    met = source.mapInArrow(known(True), schema).join(marks, "key", "left")
+    kept = source.mapInArrow(known(False), schema).select("row")
+    kept = kept.union(met.where("once is null").select("row"))
+    return kept.union(met.where("once").dropDuplicates(["key"]).select("row")).select("row.*")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import row_key, settle
+from rillstone.llm.common import row_key, row_of, settle, with_text
 from rillstone.llm.text import BLANKS, U, mix
 
 SHARD_KEYS = 1 << 18
@@ -164,9 +164,7 @@ def common_lines(lines: DataFrame, index: DataFrame, least: int) -> DataFrame:
 def drop_common_lines(df: DataFrame, least: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows with (row struct, kept text, n_lines, n_dropped): lines found in `least` documents are dropped
     wherever they stand, and what stays is joined by line ends."""
-    docs = df.select(
-        F.struct(*[c for c in df.columns if c != text]).alias("row"), F.col(text).alias("text"), row_key(doc_id, text).alias("key")
-    )
+    docs = df.select(row_of(df, text), F.col(text).alias("text"), row_key(doc_id, text).alias("key"))
     lines = settle(docs.select("key", "text").mapInArrow(_hashes, "key long, line long"), "lines")
     common = common_lines(lines, build_index(lines), least)
     dropped = common.groupBy("key").agg(F.collect_set("line").alias("common"))
@@ -193,6 +191,11 @@ def drop_common_lines(df: DataFrame, least: int = 10, doc_id: str = "doc_id", te
     return joined.mapInArrow(rebuild, f"row {kind}, text string, n_lines long, n_dropped long")
 
 
+def without_common_lines(df: DataFrame, least: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """All rows with their columns, the text without its common lines."""
+    return with_text(drop_common_lines(df, least, doc_id, text), df, text)
+
+
 def digests(df: DataFrame, least: int = 10) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_sha256) of every document."""
     kept = drop_common_lines(df, least)

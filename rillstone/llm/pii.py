@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import bitmap, maybe_in, row_key, settle
+from rillstone.llm.common import bitmap, maybe_in, row_key, row_of, settle, with_text
 from rillstone.llm.text import Words, words
 
 KINDS = ("email", "ip", "card", "phone")
@@ -250,8 +250,7 @@ def redact(text: str, terms: list[tuple[int, int, float]]) -> str:
 def sanitise(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows with their columns, the text with its personal data replaced. NULL stays NULL."""
     terms = disclosing_terms(df, find(df, doc_id, text), text)
-    rest = [c for c in df.columns if c != text]
-    rows = df.select(F.struct(*rest).alias("row"), F.col(text).alias("text"), row_key(doc_id, text).alias("key"))
+    rows = df.select(row_of(df, text), F.col(text).alias("text"), row_key(doc_id, text).alias("key"))
     none = F.lit(None).cast("array<struct<start:long,end:long,p:double>>").alias("terms")
     rows = rows.select("*", none) if terms.isEmpty() else rows.join(term_spans(df, terms, doc_id, text), "key", "left")
     rows = rows.select("row", "text", "terms")
@@ -267,4 +266,4 @@ def sanitise(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.string())], names=["row", "text"])
 
     changed = rows.mapInArrow(replace, f"row {rows.schema['row'].dataType.simpleString()}, text string")
-    return changed.select(*[F.col("text").alias(text) if c == text else F.col(f"row.`{c}`") for c in df.columns])
+    return with_text(changed, df, text)

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillstone.llm.common import row_of
 from rillstone.llm.text import U, Words, mix, words
 
 ROWS, BYTES = 3000, 48 << 20
@@ -199,7 +200,7 @@ def held_out_scores(df: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that score below the threshold, with all their columns."""
-    rows = df.select(F.struct(*df.columns).alias("row"), F.col(text).alias("text"))
+    rows = df.select(row_of(df), F.col(text).alias("text"))
 
     def run(batches):
         for batch in batches:
