@@ -66,22 +66,24 @@ def pair(history: np.ndarray, token: np.ndarray) -> np.ndarray:
         return mix(mix(history, 41) * U(3) + token, 42)
 
 
-def _block_counts(texts: pa.Array, train: np.ndarray):
-    """The distinct (history, token) pairs of a block by hash: their training counts, histories and tokens."""
-    parts = []
-    for first, stream, bounds in _stream(texts):
-        before = histories(stream, bounds)
-        used = np.repeat(train[first : first + len(bounds) - 1], np.diff(bounds)).astype(np.int64)
-        parts.append(_distinct(pair(before, stream), used, before, stream))
-    return _distinct(*(np.concatenate(x) for x in zip(*parts)))
-
-
-def _distinct(key: np.ndarray, n: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys in order, the sums of n, and the others where the key comes first."""
-    order = np.argsort(key, kind="stable")
+def _distinct(key: np.ndarray, n: np.ndarray, *others: np.ndarray):
+    """Distinct keys in order, the sums of n, the others where the key stands, and each row's place among the keys.
+    Equal keys must have equal others."""
+    order = np.argsort(key)
     key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return key[first], np.add.reduceat(n[order], first), *(x[order[first]] for x in others)
+    fresh = np.ones(len(key), dtype=bool)
+    fresh[1:] = key[1:] != key[:-1]
+    first = np.flatnonzero(fresh)
+    place = np.empty(len(key), dtype=np.int32)
+    place[order] = np.cumsum(fresh, dtype=np.int32) - 1
+    return key[first], np.add.reduceat(n[order], first), [x[order[first]] for x in others], place
+
+
+def among(values: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Whether each value is one of a few sorted ones."""
+    at = np.searchsorted(few, values)
+    at[at == len(few)] = 0
+    return few[at] == values
 
 
 def _frequent(batches):
@@ -111,50 +113,70 @@ class Request:
     """A block's pairs, dealt to shards and ordered by shard, history and hash: how it asks, and reads the answers."""
 
     def __init__(self, texts: pa.Array, train: np.ndarray, hot: np.ndarray, shards: int):
-        key, n, before, token = _block_counts(texts, train)
-        spread = np.isin(before, hot)
-        shard = (np.where(spread, mix(token, 51), mix(before, 52)) % U(shards)).astype(np.int64)
-        order = np.lexsort((key, before, shard))
-        self.key, self.n, self.before, shard = key[order], n[order], before[order], shard[order]
+        parts, self.pieces = [], []
+        for first, stream, bounds in _stream(texts):
+            before = histories(stream, bounds)
+            used = np.repeat(train[first : first + len(bounds) - 1], np.diff(bounds)).astype(np.int64)
+            key, n, (before, token), place = _distinct(pair(before, stream), used, before, stream)
+            parts.append((key, n, before, token))
+            self.pieces.append((bounds, key, place))
+        key, n, (before, token), _ = _distinct(*(np.concatenate(x) for x in zip(*parts)))
+        shard = np.where(among(before, hot), mix(token, 51), mix(before, 52)) % U(shards)
+        # Sorted by shard and history together; a stable sort keeps the order of keys within a history.
+        bits = U(64 - int(shards).bit_length())
+        order = np.argsort((shard << bits) | (mix(before, 53) >> (U(64) - bits)), kind="stable")
+        self.sorted, self.order = key, order
+        self.key, self.n, self.before, self.token = key[order], n[order], before[order], token[order]
+        shard = shard[order].astype(np.int64)
         cuts = np.flatnonzero(np.diff(shard, prepend=-1))
-        self.parts = [(int(shard[a]), slice(a, b)) for a, b in zip(cuts, [*cuts[1:], len(shard)])]
+        self.parts = []
+        for a, b in zip(cuts, [*cuts[1:], len(shard)]):
+            heads = np.flatnonzero(np.concatenate([[True], self.before[a + 1 : b] != self.before[a : b - 1]]))
+            self.parts.append((int(shard[a]), slice(a, b), self.before[a:b][heads], np.diff(np.append(heads, b - a))))
 
     def rows(self) -> list[tuple]:
         """One row for each shard: histories, how many pairs each has, 48 bits of the pairs' hashes, counts."""
         out = []
-        for shard, part in self.parts:
-            own, first = np.unique(self.before[part], return_index=True)
-            runs = np.diff(np.append(first, part.stop - part.start)).astype("<u4")
+        for shard, part, own, runs in self.parts:
             high = (self.key[part] >> U(48)).astype("<u2"), (self.key[part] >> U(16)).astype("<u4")
-            out.append((shard, own.tobytes(), runs.tobytes(), high[0].tobytes() + high[1].tobytes(), packed(self.n[part])))
+            hashes = high[0].tobytes() + high[1].tobytes()
+            out.append((shard, own.tobytes(), runs.astype("<u4").tobytes(), hashes, packed(self.n[part])))
         return out
 
     def model(self, answers: pd.DataFrame, hot: np.ndarray) -> Automaton:
         """The automaton of what the shards answered. The row of shard -1 has the sums over all shards."""
         by_shard = {row.shard: row for row in answers.itertuples()}
         sums = {h: (c, t) for h, c, t in zip(*(by_shard[-1][i] for i in _SUMMED))}
-        total = np.empty(len(self.key), dtype=np.int64)
-        heads = [hot]
-        seen, kinds = ([[sums.get(h, (0, 0))[i] for h in _signed(hot)]] for i in (0, 1))
-        for shard, part in self.parts:
-            row, own = by_shard[shard], np.unique(self.before[part])
+        hot_c, hot_t = (np.array([sums.get(h, (0, 0))[i] for h in _signed(hot)], dtype=np.int64) for i in (0, 1))
+        total, c, t = (np.empty(len(self.key), dtype=np.int64) for _ in range(3))
+        heads, seen = [hot], [hot_c]
+        for shard, part, own, runs in self.parts:
+            row = by_shard[shard]
             total[part] = unpacked(row.totals, part.stop - part.start)
-            cold = ~np.isin(own, hot)
-            heads.append(own[cold])
-            seen.append(unpacked(row.seen, len(own))[cold])
-            kinds.append(unpacked(row.kinds, len(own))[cold])
-        heads, seen, kinds = np.concatenate(heads), np.concatenate(seen), np.concatenate(kinds)
-        order, by_key = np.argsort(heads), np.argsort(self.key)
+            own_c, own_t, spread = unpacked(row.seen, len(own)), unpacked(row.kinds, len(own)), among(own, hot)
+            at = np.searchsorted(hot, own[spread])
+            own_c[spread], own_t[spread] = hot_c[at], hot_t[at]
+            c[part], t[part] = np.repeat(own_c, runs), np.repeat(own_t, runs)
+            heads.append(own[~spread])
+            seen.append(own_c[~spread])
+        heads, seen = np.concatenate(heads), np.concatenate(seen)
         # A word occurs as often as some token follows it; the end occurs as often as a text starts.
-        ends = seen[heads == START].sum()
-        common = sum(sums.get(h, (0, 0))[0] > 0 for h in _signed(hot[hot != START]))
-        n_tokens, n_types = sums[_N][0], sums[_N][1] + common + int(ends > 0)
+        ends = int(hot_c[hot == START].sum())
+        n_types = sums[_N][1] + int((hot_c[hot != START] > 0).sum()) + int(ends > 0)
         words_, counts = np.append(heads[heads != START], END), np.append(seen[heads != START], ends)
         by_word = np.argsort(words_)
-        return Automaton(
-            (heads[order], seen[order], kinds[order]), (self.key[by_key], total[by_key]),
-            (words_[by_word], counts[by_word]), n_tokens, n_types,
-        )
+        n = counts[by_word][np.searchsorted(words_[by_word], self.token)]
+        return Automaton(c, t, total, n, sums[_N][0], n_types)
+
+    def scores(self, model: Automaton) -> np.ndarray:
+        """Tokens, known tokens, base score and score of each document."""
+        steps = np.empty((len(self.sorted), 3))
+        steps[self.order] = np.stack(model.steps(), axis=1)
+        out = []
+        for bounds, key, place in self.pieces:
+            taken = steps[np.searchsorted(self.sorted, key)][place]
+            out.append(np.column_stack([np.diff(bounds), np.add.reduceat(taken, bounds[:-1], axis=0)]))
+        return np.concatenate(out)
 
 
 def _signed(x: np.ndarray) -> list[int]:
@@ -167,30 +189,32 @@ _N = 0  # the "history" under which shards report all their tokens and how many
 def _answer(hot: np.ndarray):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         """For each block, in the order it asked: its pairs' totals, its histories' c and T. Sums go to block -1."""
-        history, key, n, asked = [], [], [], []
-        for row in frame.itertuples():
-            own, runs = np.frombuffer(row.histories, dtype=U), np.frombuffer(row.runs, dtype="<u4")
+        asked = [
+            (row.block, np.frombuffer(row.histories, dtype=U), np.frombuffer(row.runs, dtype="<u4").astype(np.int64))
+            for row in frame.itertuples()
+        ]
+        heads = np.unique(np.concatenate([own for _, own, _ in asked]))
+        places = [np.searchsorted(heads, own) for _, own, _ in asked]
+        history, key, n = [], [], []
+        for row, (_, _, runs), at in zip(frame.itertuples(), asked, places):
             size = int(runs.sum())
-            top = np.frombuffer(row.pairs, dtype="<u2", count=size).astype(U) << U(32)
-            key.append(top | np.frombuffer(row.pairs, dtype="<u4", offset=2 * size))
-            history.append(np.repeat(own, runs.astype(np.int64)))
+            top = np.frombuffer(row.pairs, dtype="<u2", count=size).astype(U) << U(48)
+            key.append(top | np.frombuffer(row.pairs, dtype="<u4", offset=2 * size).astype(U) << U(16))
+            history.append(np.repeat(at, runs).astype(U))
             n.append(unpacked(row.counts, size))
-            asked.append((row.block, own, size))
         history, key, n = np.concatenate(history), np.concatenate(key), np.concatenate(n)
-        order = np.lexsort((key, history))
-        hs, ks = history[order], key[order]
-        fresh = np.concatenate([[True], (hs[1:] != hs[:-1]) | (ks[1:] != ks[:-1])])
-        totals = np.add.reduceat(n[order], np.flatnonzero(fresh))
-        total = np.empty(len(order), dtype=np.int64)
-        total[order] = totals[np.cumsum(fresh) - 1]
-        heads, first = np.unique(hs[fresh], return_index=True)
-        seen, kinds = np.add.reduceat(totals, first), np.add.reduceat((totals > 0).astype(np.int64), first)
-        rows, at, shard = [], 0, frame["shard"].iat[0]
-        for block, own, size in asked:
-            here = np.searchsorted(heads, own)
-            rows.append((block, shard, packed(total[at : at + size]), packed(seen[here]), packed(kinds[here]), None, None, None))
-            at += size
-        spread = np.isin(heads, hot)
+        # History and pair in one number; up to 65,536 histories leave all 48 bits of the pair.
+        bits = U(len(heads).bit_length())
+        _, totals, (of,), place = _distinct((history << (U(64) - bits)) | (key >> bits), n, history)
+        of = of.astype(np.int64)
+        seen = np.bincount(of, totals, len(heads)).astype(np.int64)
+        kinds = np.bincount(of[totals > 0], minlength=len(heads))
+        total, rows, begin, shard = totals[place], [], 0, frame["shard"].iat[0]
+        for (block, _, runs), at in zip(asked, places):
+            end = begin + int(runs.sum())
+            rows.append((block, shard, packed(total[begin:end]), packed(seen[at]), packed(kinds[at]), None, None, None))
+            begin = end
+        spread = among(heads, hot)
         sums = [_signed(heads[spread]) + [_N], seen[spread].tolist() + [int(totals.sum())]]
         sums.append(kinds[spread].tolist() + [int((seen[~spread] > 0).sum())])
         rows.append((-1, shard, None, None, None, *sums))
@@ -208,32 +232,20 @@ _ANSWER_SCHEMA = (
 
 
 class Automaton:
-    """The part of the backoff automaton that a block's texts can reach."""
-
-    def __init__(self, states, arcs, root, n_tokens: int, n_types: int):
-        """states: histories in order, c, T; arcs: pairs in order, counts; root: words in order, counts."""
-        self.states, self.arcs, self.words, self.n_tokens, self.n_types = states, arcs, root, n_tokens, n_types
-
-    def root(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The root's arcs: each token's probability without history, and whether it is known."""
-        n = self.words[1][np.searchsorted(self.words[0], token)]
-        return (n + 1) / (self.n_tokens + self.n_types + 1), n > 0
-
-    def traverse(self, stream: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each token: log10 of the arcs from the state the text before has led to; of the root's arc; known.
-
-        Reading a word leads to that word's state, whichever arcs were taken, so every place of a text knows its state
-        from the place before, and all places take their step at once.
-        """
-        state_of, arc_of = self.states[0], self.arcs[0]
-        before = histories(stream, bounds)
-        plain, known = self.root(stream)
-        state = np.searchsorted(state_of, before)
-        c, t = self.states[1][state], self.states[2][state]
-        n = self.arcs[1][np.searchsorted(arc_of, pair(before, stream))]
-        fail = DISCOUNT * t / np.maximum(c, 1)
-        path = np.where(c > 0, np.maximum(n - DISCOUNT, 0) / np.maximum(c, 1) + fail * plain, plain)
-        return np.log10(path), np.log10(plain), known
+    """The part of the backoff automaton that a block's texts can reach, one row for each (state, token) they step
+    over: c and T of the state, the arc's count, and the token's count at the root."""
+
+    def __init__(self, c, t, arc, n, n_tokens: int, n_types: int):
+        self.c, self.t, self.arc, self.n, self.n_tokens, self.n_types = c, t, arc, n, n_tokens, n_types
+
+    def steps(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each step: whether the token is known, log10 of the root's arc, and log10 of the path taken: the state's
+        own arc, where it has one, beside the failure arc and the root's. Reading a token leads to its own state
+        whichever arcs were taken, so a text's score is the sum over its steps from left to right."""
+        plain = (self.n + 1) / (self.n_tokens + self.n_types + 1)
+        c = np.maximum(self.c, 1)
+        path = np.maximum(self.arc - DISCOUNT, 0) / c + DISCOUNT * self.t / c * plain
+        return self.n > 0, np.log10(plain), np.log10(np.where(self.c > 0, path, plain))
 
 
 _SCORED = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -244,13 +256,9 @@ def _score(hot: np.ndarray, shards: int):
         if not len(docs):
             return pd.DataFrame(columns=_SCORED)
         texts = pa.array(docs["text"])
-        model = Request(texts, docs["train"].to_numpy(), hot, shards).model(answers, hot)
-        figures = []
-        for _, stream, bounds in _stream(texts):
-            path, plain, known = model.traverse(stream, bounds)
-            sums = [np.add.reduceat(x, bounds[:-1]) for x in (known.astype(np.int64), plain, path)]
-            figures.append(np.stack([np.diff(bounds), *sums], axis=1))
-        n, known, base, path = np.concatenate(figures).T
+        request = Request(texts, docs["train"].to_numpy(), hot, shards)
+        model = request.model(answers, hot)
+        n, known, base, path = request.scores(model).T
         out = docs[["doc_id"]].copy()
         out["held_out"], out["n_tokens"], out["n_known"] = ~docs["train"], n.astype(np.int64), known.astype(np.int64)
         out["train_tokens"], out["base_score"], out["score"] = model.n_tokens, base, path
