@@ -45,10 +45,16 @@ def decode_kind(records: DataFrame, kind: str, keep: Iterable[str] = ARRIVAL) ->
     return _parse(records, kind_schema(kind), keep, "raw_json").where(F.col("event_type") == kind)
 
 
-def reject_reason(event_id: Column, event_type: Column, corrupt: Column, text: Column) -> Column:
-    unreadable = corrupt.isNotNull() | text.isNull() | (F.trim(text) == "")
+def is_object(text: Column) -> Column:
+    """The text is a JSON object, whatever its fields hold."""
+    return F.coalesce(F.ltrim(text).startswith("{") & F.get_json_object(text, "$").isNotNull(), F.lit(False))
+
+
+def reject_reason(event_id: Column, event_type: Column, text: Column) -> Column:
+    """Why a record is set aside; NULL if it is not. The rule does not know which other fields were decoded, so
+    every report of the same record agrees. Only records without both ids are looked at a second time."""
     return (
-        F.when(event_id.isNull() & event_type.isNull() & unreadable, MALFORMED)
+        F.when(event_id.isNull() & event_type.isNull() & ~is_object(text), MALFORMED)
         .when(event_id.isNull(), NO_ID)
         .when(event_type.isNull(), NO_TYPE)
     )
@@ -61,13 +67,13 @@ def decode_checked(
 ) -> DataFrame:
     """Decoded rows plus `reject_reason` (NULL when accepted), `field_fault` and, for rejects, `raw_json`.
 
-    `field_fault` marks an accepted row in which some field had a value of the wrong type.
+    `field_fault` marks an accepted row in which one of the decoded fields had a value of the wrong type.
     """
     schema = record_schema(fields)
     keep = list(keep)
     checked = StructType([*schema.fields, StructField(_CORRUPT, StringType(), True)])
     rows = _parse(records, checked, [*keep, "raw_json"], "raw_json", {"columnNameOfCorruptRecord": _CORRUPT})
-    reason = reject_reason(F.col("event_id"), F.col("event_type"), F.col(_CORRUPT), F.col("raw_json"))
+    reason = reject_reason(F.col("event_id"), F.col("event_type"), F.col("raw_json"))
     with_reason = rows.withColumn("reject_reason", reason)
     return with_reason.select(
         *keep,

@@ -39,9 +39,12 @@ def distinct_events(
     return first_per_key(rows, [key], order_by)
 
 
-def latest_batch(rows: DataFrame, keys: Sequence[str], batch: str = "batch_id") -> DataFrame:
-    """Newest row per key of an append-only table: the keyed-upsert view over it."""
-    return first_per_key(rows, keys, [F.col(batch).desc()])
+def newest_per_key(
+    rows: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ("kafka_timestamp", "partition", "offset")
+) -> DataFrame:
+    """Newest row per key of an append-only table: the keyed-upsert view over it. Offsets alone do not order
+    records of different partitions, so the arrival time comes first."""
+    return first_per_key(rows, keys, [F.col(name).desc_nulls_last() for name in order_by])
 
 
 def repeated_ids(rows: DataFrame, key: str = "event_id") -> DataFrame:

@@ -150,6 +150,12 @@ def _sketch_name(table: MetricTable) -> str | None:
     return f"{table.distinct[1]}_sketch" if table.distinct else None
 
 
+def _sketch(table: MetricTable) -> Column:
+    """Of hashes, as the sketch leaves out empty text, which counts as a value everywhere else."""
+    member = F.col(table.distinct[1])
+    return F.hll_sketch_agg(F.when(member.isNotNull(), F.xxhash64(member)))
+
+
 def metric_state(
     events: DataFrame,
     table: MetricTable,
@@ -165,7 +171,7 @@ def metric_state(
     by = [*table.dims, *split_by, *([table.distinct[1]] if members else [])]
     aggs = {**_additive(table), **{out: F.max(m) for out, m in table.maxima.items()}}
     if table.distinct and not members:
-        aggs[_sketch_name(table)] = F.hll_sketch_agg(table.distinct[1])
+        aggs[_sketch_name(table)] = _sketch(table)
     grouped = _windowed(of_kind(events, table.kind), "event_ts", every, *by)
     return _unnest(grouped.agg(*[expr.alias(name) for name, expr in aggs.items()]), *by, *aggs)
 
@@ -188,7 +194,7 @@ def sketch_members(states: DataFrame, table: MetricTable) -> DataFrame:
     """Member rows to state rows with a sketch, without going back to the events."""
     aggs = {name: F.sum(name) for name in _additive(table)}
     aggs.update({out: F.max(out) for out in table.maxima})
-    aggs[_sketch_name(table)] = F.hll_sketch_agg(table.distinct[1])
+    aggs[_sketch_name(table)] = _sketch(table)
     return states.groupBy(*WINDOW, *table.dims).agg(*[expr.alias(name) for name, expr in aggs.items()])
 
 

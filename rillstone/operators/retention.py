@@ -12,11 +12,17 @@ from rillstone.functions.timing import AsOf
 from rillstone.schemas import RETENTION
 
 
-def retained(rows: DataFrame, topic: str, as_of: AsOf = None, ts: str = "event_ts") -> DataFrame:
-    """Rows a topic still keeps at `as_of`; prunes day partitions when the table has them."""
+def retained(
+    rows: DataFrame, topic: str, as_of: AsOf = None, ts: str = "kafka_timestamp", day: str | None = None
+) -> DataFrame:
+    """Rows a topic still keeps at `as_of`. A broker expires records by arrival, whatever time they carry.
+
+    `day` names a date directory that belongs to `ts`; it is used to skip days. An event-date directory says
+    nothing about arrival.
+    """
     keep = RETENTION[topic]
     recent = rows.where(within(ts, keep, as_of))
-    return recent.where(at_or_after_day("event_date", keep, as_of)) if "event_date" in rows.columns else recent
+    return recent.where(at_or_after_day(day, keep, as_of)) if day else recent
 
 
 def drop_days_before(spark: SparkSession, root: str, day: dt.date, column: str = "event_date") -> list[str]:

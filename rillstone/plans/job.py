@@ -40,7 +40,8 @@ def settings(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-per-trigger", type=int, help="records (Kafka) or files per micro-batch")
     parser.add_argument("--min-partitions", type=int, help="read tasks per Kafka micro-batch, at least")
     parser.add_argument("--dedup-horizon", default=flow.DAY)
-    parser.add_argument("--spread", type=int, default=8, help="tasks that may share one hot event id; 1 for none")
+    parser.add_argument("--combine", action="store_true", help="thin out hot event ids before the dedup")
+    parser.add_argument("--jdbc-connections", type=int, default=16, help="writing connections")
     parser.add_argument("--publish", action="store_true", help="also publish cleaned, curated and dead-letter topics")
     parser.add_argument("--store-query", action="store_true", help="also run the independent store query")
     parser.add_argument("--store-format", default="parquet", choices=["parquet", "delta"])
@@ -66,13 +67,19 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         topics = KafkaTopics(args.servers) if args.servers else FolderTopics(f"{root}/topics")
     if args.jdbc_url:
         # The password never appears among the arguments.
-        database = JdbcDatabase(args.jdbc_url, args.jdbc_user, os.environ["JDBC_PASSWORD"], args.jdbc_driver)
+        database = JdbcDatabase(
+            args.jdbc_url,
+            args.jdbc_user,
+            os.environ["JDBC_PASSWORD"],
+            args.jdbc_driver,
+            connections=args.jdbc_connections,
+        )
     fanout = Fanout(f"{root}/tables", topics=topics, database=database)
-    checked = flow.checked_stream(feed, horizon=args.dedup_horizon, spread=args.spread)
+    checked = flow.checked_stream(feed, horizon=args.dedup_horizon, combine=args.combine)
     every = None if args.once else SERVE_EVERY
     started = [start_fanout(checked, fanout, f"{root}/checkpoints/serving", every, "serving")]
     if args.store_query:
-        events = flow.cleaned_stream(feed, horizon=args.dedup_horizon, spread=args.spread)
+        events = flow.cleaned_stream(feed, horizon=args.dedup_horizon, combine=args.combine)
         every = None if args.once else STORE_EVERY
         place, checkpoint = f"{root}/store", f"{root}/checkpoints/store"
         started.append(

@@ -15,8 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Reports add up what every micro-batch observed, so a long replay must keep them all.
-    "spark.sql.streaming.numRecentProgressUpdates": "5000",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -61,5 +59,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses. It is not created here."""
-    return f"{shared_folder(spark)}/rillstone/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses. It is not created here, and deleted when the
+    session's JVM ends in good order."""
+    folder = f"{shared_folder(spark)}/rillstone/{label}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

@@ -12,15 +12,11 @@ class KafkaTopics:
     """Delivery is at least once: a retried micro-batch publishes again, consumers drop by event id."""
 
     servers: str
+    producer: tuple[tuple[str, str], ...] = ()  # further producer settings, such as ("compression.type", "zstd")
 
     def options(self, topic: str) -> dict[str, str]:
-        return {
-            "kafka.bootstrap.servers": self.servers,
-            "topic": topic,
-            "kafka.linger.ms": "10",
-            "kafka.batch.size": "16384",
-            "kafka.compression.type": "lz4",
-        }
+        settings = {f"kafka.{name}": value for name, value in self.producer}
+        return {"kafka.bootstrap.servers": self.servers, "topic": topic, **settings}
 
     def write(self, records: DataFrame, topic: str, batch_id: int) -> None:
         records.select("key", "value").write.format("kafka").options(**self.options(topic)).save()

@@ -8,18 +8,6 @@ from pyspark.sql import functions as F
 from rillstone.schemas import wire_schema
 
 
-def evened(rows: DataFrame, pieces: int = 8) -> DataFrame:
-    """Spread a table with fewer splits than the cluster has cores over more tasks, before costly row work.
-
-    A Parquet row group or a compressed file cannot be split, and decoding JSON keeps one core busy for a
-    long time with it. Larger inputs are left alone, so this never shuffles more than `pieces` times too
-    few splits.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    splits = rows.rdd.getNumPartitions()
-    return rows if splits >= cores else rows.repartition(min(cores, splits * pieces))
-
-
 def wire_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(wire_schema()).parquet(path)
 

@@ -49,5 +49,10 @@ class JdbcDatabase:
         return spark.read.format("jdbc").options(**self.read_options(table, split)).load()
 
     def append(self, rows: DataFrame, table: str) -> None:
-        """Append; a failure is raised so that the micro-batch is retried instead of lost."""
+        """Append; a failure is raised so that the micro-batch is retried instead of lost.
+
+        The writer would merge tasks down to the number of connections, and with them the stage before;
+        a shuffle in between leaves that stage its width.
+        """
+        rows = rows.repartition(self.connections)
         rows.write.format("jdbc").options(**self.write_options(table)).mode("append").save()

@@ -20,17 +20,21 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, IntegerType, LongType, StringType, StructField, StructType
 
+from rillstone.functions import at_or_after_day, within
+from rillstone.functions.timing import AsOf
 from rillstone.operators.clean import served
+from rillstone.operators.dedup import distinct_events
 from rillstone.operators.metrics import (
     CLICKSTREAM,
     LOG,
     MINUTE,
     SENSOR,
     TABLES,
+    WINDOW,
     MetricTable,
     finish,
     finish_members,
@@ -40,7 +44,9 @@ from rillstone.operators.metrics import (
 )
 from rillstone.operators.wire import keyed_records, keyed_rows
 from rillstone.schemas import CLEANED_COLUMNS, TOPIC_CLEANED, TOPIC_CURATED, TOPIC_DEAD
+from rillstone.session import fresh_folder
 from rillstone.sinks.topics import FolderTopics, KafkaTopics
+from rillstone.sources.folders import batch_folders, delete_folder, folder_exists, move_folder
 from rillstone.sources.jdbc import JdbcDatabase
 from rillstone.sources.store import EventStore, cleaned_schema, partition_fields, placed, with_partitions
 
@@ -48,6 +54,9 @@ log = logging.getLogger("rillstone.fanout")
 
 RECORDS = "records"
 MEMBERS = "clickstream_members"
+WINDOW_DATE = "window_date"
+ROLLING = "_rolling"
+_STATE_SCHEMAS: dict[str, StructType] = {}
 ACCEPTED, REJECTED = "accepted", "rejected"
 LAYOUT = ("outcome", "event_kind", "event_date")
 EXTRA_FIELDS = [
@@ -64,6 +73,16 @@ def records_schema() -> StructType:
     return StructType([*cleaned_schema().fields, *EXTRA_FIELDS, *places, *partition_fields()])
 
 
+def state_schema(spark: SparkSession, name: str) -> StructType:
+    """The columns of a state table, with its directories."""
+    if name not in _STATE_SCHEMAS:
+        none = spark.createDataFrame([], StructType([*cleaned_schema().fields, *partition_fields()]))
+        state = metric_state(none, TABLES.get(name, CLICKSTREAM), members=name == MEMBERS)
+        places = [StructField("batch_id", LongType(), True), StructField(WINDOW_DATE, DateType(), True)]
+        _STATE_SCHEMAS[name] = StructType([*state.schema.fields, *places])
+    return _STATE_SCHEMAS[name]
+
+
 @dataclass(frozen=True)
 class Tables:
     """Reads what a fan-out job has written below `root`."""
@@ -87,8 +106,17 @@ class Tables:
             "kafka_key", "kafka_timestamp", "partition", "offset", "event_id", "reject_reason", "raw_json", "batch_id"
         )
 
-    def state(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.path(name))
+    def state(self, spark: SparkSession, name: str, span: str | None = None, as_of: AsOf = None) -> DataFrame:
+        """State rows of all batches, optionally of the windows of a time range; that reads its days only."""
+        rows = self.batch_state(spark, name)
+        if span is None:
+            return rows
+        return rows.where(within("window_start", span, as_of) & at_or_after_day(WINDOW_DATE, span, as_of))
+
+    def batch_state(self, spark: SparkSession, name: str, batch_id: int | None = None) -> DataFrame:
+        """State rows of one batch, or of all. A batch without rows of a kind has a folder without files."""
+        reader = spark.read.schema(state_schema(spark, name)).option("basePath", self.path(name))
+        return reader.parquet(self.path(name, batch_id))
 
     def row_counts(self, spark: SparkSession) -> DataFrame:
         """`batch_id`, `table_name`, `row_count`: what each micro-batch wrote, from file footers."""
@@ -107,22 +135,89 @@ class Tables:
         """The rows each batch contributed: a window that spans batches has several, told by batch_id."""
         return finish(self.state(spark, table.name), table, "batch_id")
 
-    def metrics(self, spark: SparkSession, table: MetricTable, every: str | None = None, exact: bool = True) -> DataFrame:
+    def metrics(
+        self,
+        spark: SparkSession,
+        table: MetricTable,
+        every: str | None = None,
+        exact: bool = True,
+        span: str | None = None,
+        as_of: AsOf = None,
+    ) -> DataFrame:
         """One final row per window: all batches added up, distinct counts exact unless declined."""
         if table.distinct and exact:
-            return finish_members(self.state(spark, MEMBERS), table, every)
-        return finish(merge_state(self.state(spark, table.name), table, every), table)
+            return finish_members(self.state(spark, MEMBERS, span, as_of), table, every)
+        return finish(merge_state(self.state(spark, table.name, span, as_of), table, every), table)
+
+    def touched_metrics(self, spark: SparkSession, table: MetricTable, batch_id: int) -> DataFrame:
+        """The final rows, over all batches so far, of the windows that one batch has changed."""
+        name = MEMBERS if table.distinct else table.name
+        keys = [WINDOW_DATE, *WINDOW, *table.dims]
+        changed = self.batch_state(spark, name, batch_id).select(*keys).distinct()
+        days = [r[0] for r in changed.select(WINDOW_DATE).distinct().collect()]  # directories of one batch
+        states = self.state(spark, name).where(F.col(WINDOW_DATE).isin(days)).alias("s")
+        same = [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+        rows = states.join(changed.alias("c"), same, "left_semi")
+        return finish_members(rows, table) if table.distinct else finish(merge_state(rows, table), table)
+
+
+def archive_days(
+    spark: SparkSession, tables: Tables, store: EventStore, first: dt.date, last: dt.date, undated: bool = True
+) -> None:
+    """Write the accepted rows of whole days into the event store, in well-sized files, each id once.
+
+    Micro-batches leave many small files; this adds all batches' rows of the given days, and those without a readable
+    time, to what the store has of them. Run it when a day is over, and again if late rows have come in: repeating it
+    changes nothing. An id that was accepted twice, such as beyond the dedup's horizon, keeps its earliest arrival.
+    """
+    wanted = F.col("event_date").between(F.lit(first), F.lit(last))
+    wanted = wanted | F.col("event_date").isNull() if undated else wanted
+    rows = tables.accepted(spark).where(wanted).select(*CLEANED_COLUMNS, "partition", "offset")
+    if folder_exists(spark, store.path):
+        # What is stored has its place in the topic no more; among equal arrivals it comes first.
+        held = store.scan(spark).where(wanted).select(*CLEANED_COLUMNS)
+        place = {"partition": F.lit(-1), "offset": F.lit(-1).cast("bigint")}
+        rows = rows.unionByName(held.withColumns(place))
+    staged = fresh_folder(spark, "archive")
+    distinct_events(rows).select(*CLEANED_COLUMNS).write.parquet(staged)
+    store.replace_days(spark.read.schema(cleaned_schema()).parquet(staged))
+
+
+def drop_batches(spark: SparkSession, tables: Tables, upto: int) -> None:
+    """Delete the records of batches up to `upto`. Their days must have been archived, undated rows as well."""
+    for number, folder in batch_folders(spark, tables.path(RECORDS)):
+        if number <= upto:
+            delete_folder(spark, folder)
+
+
+def roll_up(spark: SparkSession, tables: Tables, upto: int) -> None:
+    """Merge the state of all batches up to `upto` into one folder per table, so that folders do not pile up.
+
+    The merged rows are staged first. If a run ends between deleting the old folders and moving the new one, the next
+    run finds the staged folder complete and goes on from there. `upto` must lie before the batch in progress.
+    """
+    for name in (MEMBERS, *TABLES):
+        table = TABLES.get(name, CLICKSTREAM)
+        staged = f"{tables.root}/{ROLLING}/{name}/batch_id={upto}"
+        if not folder_exists(spark, f"{staged}/_SUCCESS"):
+            states = tables.state(spark, name).where(F.col("batch_id") <= upto)
+            write_state(merge_state(states, table), staged)
+        for number, folder in batch_folders(spark, tables.path(name)):
+            if number <= upto:
+                delete_folder(spark, folder)
+        move_folder(spark, staged, tables.path(name, upto))
 
 
-def archive_days(spark: SparkSession, tables: Tables, store: EventStore, first: dt.date, last: dt.date) -> None:
-    """Write the accepted rows of whole days into the event store, in well-sized files.
+def write_state(rows: DataFrame, folder: str) -> None:
+    """State rows by day of their window, sorted by time, replacing the folder."""
+    dated = rows.withColumn(WINDOW_DATE, F.to_date("window_start")).hint("rebalance", WINDOW_DATE)
+    dated.sortWithinPartitions(WINDOW_DATE, "window_start").write.mode("overwrite").partitionBy(WINDOW_DATE).parquet(folder)
 
-    Micro-batches leave many small files; this reads all batches' files of the given days and replaces
-    those days in the store. Run it when a day is over, and again if late rows have come in: the outcome
-    depends only on what has been accepted.
-    """
-    rows = tables.accepted(spark).where(F.col("event_date").between(F.lit(first), F.lit(last)))
-    store.replace_days(rows)
+
+def window_key(table: MetricTable) -> Column:
+    """One key per window and dimensions: a consumer that keeps the newest record of each key has the final rows."""
+    dims = [F.coalesce(F.col(d), F.lit("")) for d in table.dims]
+    return F.concat_ws("|", F.lit(table.name), F.date_format("window_start", "yyyy-MM-dd'T'HH:mm:ss"), *dims)
 
 
 @contextmanager
@@ -160,6 +255,7 @@ class Fanout:
 
     root: str
     every: str = MINUTE
+    roll_every: int = 100  # batches after which their state is merged into one
     topics: FolderTopics | KafkaTopics | None = None
     database: JdbcDatabase | None = None
 
@@ -173,6 +269,8 @@ class Fanout:
 
     def _write(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if batch_id and batch_id % self.roll_every == 0:
+            roll_up(spark, self.tables, batch_id - 1)
         self._land(batch, batch_id)
         counts = self._landed(spark, batch_id)
         log.info("batch %s: %s", batch_id, counts)
@@ -198,7 +296,7 @@ class Fanout:
 
     def _clickstream_state(self, events: DataFrame, batch_id: int) -> None:
         self._replace(metric_state(events, CLICKSTREAM, self.every, members=True), MEMBERS, batch_id)
-        members = events.sparkSession.read.parquet(self.tables.path(MEMBERS, batch_id))
+        members = self.tables.batch_state(events.sparkSession, MEMBERS, batch_id)
         self._replace(sketch_members(members, CLICKSTREAM), CLICKSTREAM.name, batch_id)
 
     def _land(self, batch: DataFrame, batch_id: int) -> None:
@@ -214,10 +312,7 @@ class Fanout:
         return dict(map(tuple, counts.collect()))
 
     def _replace(self, rows: DataFrame, name: str, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(self.tables.path(name, batch_id))
-
-    def _batch_state(self, spark: SparkSession, table: MetricTable, batch_id: int) -> DataFrame:
-        return finish(spark.read.parquet(self.tables.path(table.name, batch_id)), table)
+        write_state(rows, self.tables.path(name, batch_id))
 
     def _publish_dead(self, spark: SparkSession, batch_id: int) -> None:
         dead = self.tables.rejected(spark, batch_id)
@@ -227,12 +322,12 @@ class Fanout:
     def _publish_curated(self, spark: SparkSession, batch_id: int) -> None:
         curated = None
         for table in TABLES.values():
-            rows = self._batch_state(spark, table, batch_id).withColumn("metric_table", F.lit(table.name))
-            records = keyed_rows(rows, F.concat_ws("|", F.lit(table.name), *table.dims))
+            rows = self.tables.touched_metrics(spark, table, batch_id).withColumn("metric_table", F.lit(table.name))
+            records = keyed_rows(rows, window_key(table))
             curated = records if curated is None else curated.unionByName(records)
         self.topics.write(curated, TOPIC_CURATED, batch_id)
 
     def _serve_metrics(self, spark: SparkSession, batch_id: int) -> None:
         for table in TABLES.values():
-            rows = self._batch_state(spark, table, batch_id)
+            rows = self.tables.touched_metrics(spark, table, batch_id)
             self.database.append(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), table.name)

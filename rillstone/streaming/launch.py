@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from rillstone.operators.dedup import newest_per_key
+from rillstone.operators.metrics import WINDOW, MetricTable
+from rillstone.sources.store import PARTITIONS, with_partitions
 from rillstone.streaming.fanout import Fanout
 
 STORE_EVERY = "30 seconds"
@@ -22,17 +25,19 @@ def start_store(
     events: DataFrame,
     path: str,
     checkpoint: str,
-    partition_by: Sequence[str] = ("event_type",),
+    partition_by: Sequence[str] = PARTITIONS,
     fmt: str = "parquet",
     every: str | None = STORE_EVERY,
     name: str | None = None,
     writers: int | None = None,
 ) -> StreamingQuery:
-    """Append cleaned events to a partitioned table, exactly once through the file sink's own log.
+    """Append cleaned events to a table by kind and day, exactly once through the file sink's own log.
 
-    Each trigger leaves a file per writing task and directory. Without `writers` every state partition
-    writes; with it, that many tasks do, after a shuffle.
+    Kinds that are not known share one directory, as their names come from outside. Each trigger leaves a file per
+    writing task and directory. Without `writers` every state partition writes; with it, that many tasks do, after a
+    shuffle.
     """
+    events = with_partitions(events)
     events = events.repartition(writers) if writers else events
     writer = events.writeStream.format(fmt).outputMode("append").partitionBy(*partition_by)
     if name:
@@ -54,17 +59,34 @@ def start_fanout(
     return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
 
 
+def _replace_batch(path: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 def start_windows(
     metrics: DataFrame,
     path: str,
     checkpoint: str,
     every: str | None = SERVE_EVERY,
+    mode: str = "update",
     writers: int | None = None,
 ) -> StreamingQuery:
-    """Append closed windows to a table; see `start_store` about `writers`."""
+    """Write window metrics: in `update` mode the rows that changed with each micro-batch, windows that are still
+    open included (read them with `current_windows`); in `append` mode each window once, when it has closed."""
     metrics = metrics.repartition(writers) if writers else metrics
-    writer = metrics.writeStream.format("parquet").outputMode("append")
-    return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start(path)
+    writer = metrics.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**_trigger(every))
+    if mode == "update":
+        return writer.foreachBatch(_replace_batch(path)).start()
+    return writer.format("parquet").start(path)
+
+
+def current_windows(spark: SparkSession, path: str, table: MetricTable) -> DataFrame:
+    """The newest row of every window that `start_windows` has written as updates."""
+    rows = spark.read.parquet(path)
+    return newest_per_key(rows, [*WINDOW, *table.dims], ["batch_id"]).drop("batch_id")
 
 
 def await_any(spark: SparkSession) -> None:

@@ -1,11 +1,17 @@
-"""Progress of streaming queries as tables: a few rows per query, taken from Spark's own reports."""
+"""Progress of streaming queries as tables, taken from Spark's own reports.
+
+Spark remembers a query's last reports only. `ProgressLog` writes each one down as it comes, so that sums over a
+query's life, restarts included, leave nothing out.
+"""
 
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS = (
     "query_id string, batch_id bigint, started string, input_rows bigint, rows_per_second double, "
@@ -43,6 +49,43 @@ def progress_report(spark: SparkSession, reports: Iterable) -> DataFrame:
     return spark.createDataFrame(rows, PROGRESS)
 
 
+class ProgressLog(StreamingQueryListener):
+    """Writes every report to one folder per query and micro-batch; a repeated batch replaces its report.
+
+        log = ProgressLog(spark, folder)
+        spark.streams.addListener(log)
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.last = spark, root, {}
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        report = event.progress
+        if report.numInputRows or report.observedMetrics:
+            folder = f"{self.root}/query_id={report.id}/batch_id={report.batchId}"
+            rows = progress_report(self.spark, [report]).drop("query_id", "batch_id")
+            rows.coalesce(1).write.mode("overwrite").parquet(folder)
+        self.last[str(report.id)] = report.batchId
+
+    def settled(self, query: StreamingQuery, patience: float = 60.0) -> None:
+        """Wait until the last report of an ended query is written; reports arrive on another thread."""
+        newest, until = query.lastProgress, time.monotonic() + patience
+        while newest and self.last.get(str(query.id), -1) < newest["batchId"]:
+            if time.monotonic() > until:
+                raise TimeoutError(f"no report of batch {newest['batchId']}")
+            time.sleep(0.05)
+
+    def table(self) -> DataFrame:
+        """One row per query and micro-batch, from all runs that wrote to this folder."""
+        return self.spark.read.parquet(self.root)
+
+
 def _offsets(text) -> Mapping:
     value = json.loads(text) if isinstance(text, str) else text
     return value if isinstance(value, Mapping) else {}

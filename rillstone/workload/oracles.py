@@ -17,21 +17,24 @@ with base as (
          when event_type = 'signup' then 'sensor' else 'app_log' end as kind
   from events),
 typed as (
-  select event_id as n, ts as src_ts, event_id % 101 = 0 as not_json, event_id % 89 = 0 as no_time,
-    cast(event_id as varchar) as event_id,
+  select event_id as n, ts as src_ts, event_id % 101 = 0 as no_text, event_id % 101 = 0 or event_id % 103 = 0 as not_json,
+    kind = 'clickstream' and event_id % 73 = 0 as mistyped, event_id % 89 = 0 as no_time,
+    case when event_id % 79 <> 0 then cast(event_id as varchar) end as event_id, user_id as user_number, k,
     case when event_id % 97 = 0 then null when event_id % 83 = 0 then 'heartbeat' else kind end as event_type,
     case when event_id % 89 = 0 then 'no time'
          else concat(replace(cast(ts as varchar), ' ', 'T'), '+00:00') end as "timestamp",
-    case when kind = 'clickstream' then concat('user_', lpad(cast(user_id as varchar), 4, '0')) end as user_id,
-    case when kind = 'clickstream' then substr(md5(concat('s', user_id, '-', k % 5)), 1, 8) end as session_id,
+    case when kind = 'clickstream' and event_id % 71 = 0 then ''
+      when kind = 'clickstream' then concat('user_', lpad(cast(user_id as varchar), 4, '0')) end as user_id,
+    kind = 'clickstream' as is_click, kind = 'app_log' as is_log,
     case when kind = 'clickstream' then case event_type when 'view' then 'page_view' else event_type end end as action,
     case when kind = 'clickstream'
-      then ['/home', '/products', '/cart', '/checkout', '/profile', '/search'][event_id % 6 + 1] end as page,
-    case when kind = 'clickstream' then ['mobile', 'desktop', 'tablet'][k % 3 + 1] end as device,
-    case when kind = 'clickstream' then ['Chrome', 'Firefox', 'Safari', 'Edge'][k % 4 + 1] end as browser,
+      then ['/start', '/catalog', '/basket', '/pay', '/account', '/find'][event_id % 6 + 1] end as page,
+    case when kind = 'clickstream' then ['phone', 'laptop', 'tv'][k % 3 + 1] end as device,
+    case when kind = 'clickstream' then ['Heron', 'Lynx', 'Otter', 'Wren'][k % 4 + 1] end as browser,
     case when kind = 'clickstream'
-      then ['US', 'IN', 'DE', 'GB', 'BR', 'JP', 'CA', 'AU'][user_id % 8 + 1] end as country,
-    case when kind = 'clickstream' then cast(50 + (event_id * 37) % 1951 as int) end as response_time_ms,
+      then ['NO', 'PT', 'KE', 'PE', 'NZ', 'FI', 'VN', 'UY'][user_id % 8 + 1] end as country,
+    case when kind = 'clickstream' and event_id % 73 <> 0 then cast(50 + (event_id * 37) % 1951 as int) end
+      as response_time_ms,
     case when kind = 'clickstream' and event_type = 'purchase' then value end as revenue,
     case when kind = 'sensor' then concat('sensor_', lpad(cast(user_id % 30 + 1 as varchar), 3, '0')) end as sensor_id,
     case when kind = 'sensor' and k % 20 <> 0 then value - 60 end as temperature,
@@ -40,17 +43,25 @@ typed as (
     case when kind = 'sensor' then value / 50 end as vibration,
     case when kind = 'sensor' then value > 150 end as is_anomaly,
     case when kind = 'sensor' then concat('zone_', k % 5 + 1) end as location,
-    case when kind = 'app_log' then ['INFO', 'INFO', 'INFO', 'WARN', 'ERROR'][k % 5 + 1] end as level,
+    case when kind = 'app_log' then ['DEBUG', 'INFO', 'WARN', 'ERROR'][k % 4 + 1] end as level,
     case when kind = 'app_log'
-      then ['auth-service', 'payment-service', 'inventory-service', 'api-gateway'][event_id % 4 + 1] end as service,
-    case when kind = 'app_log' then concat('Request processed in ', 10 + k, 'ms') end as message,
-    case when kind = 'app_log' then substr(md5(cast(event_id as varchar)), 1, 12) end as trace_id,
-    case when kind = 'app_log' then [200, 200, 200, 200, 201, 400, 404, 500][k % 8 + 1] end as status_code
+      then ['ledger', 'mailer', 'planner', 'router'][event_id % 4 + 1] end as service,
+    case when kind = 'app_log' then concat('step ', 10 + k, ' done') end as message,
+    case when kind = 'app_log' then [200, 202, 204, 301, 403, 422, 503][k % 7 + 1] end as status_code
   from base),
+copies as (
+  select *, unnest(case when n % 50 = 0 then [0, 1] else [0] end) as copy from typed),
 mixed as (
   select *, cast(n % 3 as int) as "partition", n * 2 + copy as "offset",
-    coalesce(user_id, sensor_id, event_id) as kafka_key
-  from (select *, unnest(case when n % 50 = 0 then [0, 1] else [0] end) as copy from typed)),
+    coalesce(nullif(user_id, ''), sensor_id, event_id) as kafka_key,
+    case when is_click then substr(md5(concat(user_number, '-', k % 5, '-', copy)), 1, 8) end as session_id,
+    case when is_log then substr(md5(concat(n, '-', copy)), 1, 12) end as trace_id,
+    case when no_text then 'not json' when not_json then substr(concat(
+      '{"event_id":', coalesce('"' || event_id || '"', 'null'), ',"event_type":',
+      coalesce('"' || event_type || '"', 'null'), ',"timestamp":"', "timestamp", '"'), 1, 40) end as bad_text,
+    least(cast(floor(n * 4 / ((select max(event_id) from events) + 1)) as bigint)
+      + case when n % 37 = 0 or copy = 1 and n % 100 = 0 then 1 else 0 end, 3) as batch_id
+  from copies),
 kept as (
   select * replace (
       coalesce(revenue, 0.0::double) as revenue,
@@ -58,7 +69,7 @@ kept as (
            else temperature end as temperature),
     case when not no_time then src_ts end as event_ts,
     coalesce(event_type = 'clickstream' and response_time_ms > 1500, false) as is_slow_request
-  from mixed where not not_json and event_type is not null),
+  from mixed where not not_json and event_type is not null and event_id is not null),
 events_cleaned as (select * from kept where copy = 0)
 """
 
@@ -77,8 +88,11 @@ def _round(expr: str, places: int) -> str:
     return f"cast(round(cast({expr} as decimal(28,10)), {places}) as double)"
 
 
-def _window_sql(table: str, unit: str, source: str = "events_cleaned", extra: str = "") -> str:
-    """The metric query of one table with windows of one `unit`."""
+METRICS = ("clickstream_metrics", "sensor_metrics", "log_metrics")
+
+
+def _window_sql(table: str, unit: str, by: str = "") -> str:
+    """The metric query of one table with windows of one `unit`, and of each value of `by`."""
     measures = {
         "clickstream_metrics": (
             "clickstream",
@@ -101,9 +115,10 @@ def _window_sql(table: str, unit: str, source: str = "events_cleaned", extra: st
     }
     kind, dims, aggs = measures[table]
     start = f"date_trunc('{unit}', event_ts)"
-    return f"""select {dims}, {aggs}, {start} as window_start, {start} + interval 1 {unit} as window_end
-        from {source} where event_type = '{kind}' and event_ts is not null {extra}
-        group by {dims}, {start}"""
+    also = f", {by}" if by else ""
+    return f"""select {dims}, {aggs}, {start} as window_start, {start} + interval 1 {unit} as window_end{also}
+        from events_cleaned where event_type = '{kind}' and event_ts is not null
+        group by {dims}, {start}{also}"""
 
 
 def _recent(span: str, ts: str = "event_ts") -> str:
@@ -139,12 +154,6 @@ def _panels(span: str) -> dict[str, str]:
     }
 
 
-def _closed(table: str) -> str:
-    """Windows whose end the watermark (newest event less ten minutes, in milliseconds) has reached."""
-    newest = "(select date_trunc('milliseconds', max(event_ts)) from events_cleaned)"
-    return f"select * from ({_window_sql(table, 'minute')}) where window_end <= {newest} - interval 10 minute"
-
-
 def oracle_sql() -> dict[str, str]:
     view_rate = "select date_trunc('minute', event_ts) as \"minute\", event_type, count(*) as event_count " \
         "from events_cleaned group by 1, 2"
@@ -152,7 +161,12 @@ def oracle_sql() -> dict[str, str]:
         sum(revenue) as revenue from events_cleaned where event_type = 'clickstream' group by page"""
     view_anomalies = """select event_id, event_ts, sensor_id, location, temperature, humidity, vibration
         from events_cleaned where event_type = 'sensor' and is_anomaly"""
-    reason = "case when not_json then 'malformed_json' else 'missing_event_type' end"
+    reason = """case when not_json then 'malformed_json' when event_id is null then 'missing_event_id'
+        else 'missing_event_type' end"""
+    rejected = "(not_json or event_id is null or event_type is null)"
+    text = ", ".join(
+        ["bad_text", *[f'case when not not_json then "{c}" end as "{c}"' for c in ("timestamp", "page", "sensor_id", "service")]]
+    )
     id_of_reject = "case when not not_json then event_id end"
     fields = RECORD.replace('"timestamp"', "timestamp").split(", ")
     parsed = ", ".join(f'case when not not_json then "{f}" end as "{f}"' for f in fields)
@@ -163,7 +177,7 @@ def oracle_sql() -> dict[str, str]:
 
     rows = {
         "record_envelope": """select kafka_key, "partition", "offset", src_ts as kafka_timestamp,
-            not not_json as is_object from mixed""",
+            not no_text as is_object from mixed""",
         "raw_parse": f'select kafka_key, src_ts as kafka_timestamp, "offset", {parsed} from mixed',
         "parse_clickstream": kind_rows(
             "clickstream", "user_id, session_id, action, page, device, browser, country, response_time_ms, revenue"
@@ -173,18 +187,19 @@ def oracle_sql() -> dict[str, str]:
         ),
         "parse_app_log": kind_rows("app_log", "level, service, message, trace_id, status_code"),
         "dead_letters": f"""select kafka_key, "partition", "offset", {id_of_reject} as event_id,
-            {reason} as reject_reason from mixed where not_json or event_type is null""",
+            {reason} as reject_reason, {text} from mixed where {rejected}""",
         "record_quality": """
             select 'records' as check_name, count(*) as row_count from mixed
             union all select 'accepted', count(*) from kept
             union all select 'malformed_json', count(*) from mixed where not_json
-            union all select 'missing_event_id', 0
-            union all select 'missing_event_type', count(*) from mixed where not not_json and event_type is null
-            union all select 'field_fault', 0
+            union all select 'missing_event_id', count(*) from mixed where not not_json and event_id is null
+            union all select 'missing_event_type', count(*) from mixed
+              where not not_json and event_id is not null and event_type is null
+            union all select 'field_fault', count(*) from kept where mistyped
             union all select 'unreadable_timestamp', count(*) from kept where no_time
             union all select 'unknown_kind', count(*) from kept where event_type = 'heartbeat'
             union all select 'sensor_without_temperature', count(*) from mixed
-              where not not_json and event_type = 'sensor' and temperature is null""",
+              where not not_json and event_id is not null and event_type = 'sensor' and temperature is null""",
         "cleaned_records": f"""select kafka_key, src_ts as kafka_timestamp, "offset", {RECORD}, event_ts,
             '1.0.0' as pipeline_version, is_slow_request from kept""",
         "events_cleaned": f"select {SERVED} from events_cleaned",
@@ -197,7 +212,7 @@ def oracle_sql() -> dict[str, str]:
             from events_cleaned where event_type = 'sensor'""",
         "newest_reading": """select sensor_id, event_id, temperature, "offset" from events_cleaned
             where event_type = 'sensor'
-            qualify row_number() over (partition by sensor_id order by "offset" desc) = 1""",
+            qualify row_number() over (partition by sensor_id order by src_ts desc, "partition" desc, "offset" desc) = 1""",
         "kind_to_table": """select event_type, count(*) as row_count, case event_type
             when 'clickstream' then 'clickstream_metrics' when 'sensor' then 'sensor_metrics'
             when 'app_log' then 'log_metrics' end as metric_table from events_cleaned group by event_type""",
@@ -211,9 +226,8 @@ def oracle_sql() -> dict[str, str]:
         "partials_merge_clickstream": _window_sql("clickstream_metrics", "day"),
         "partials_merge_sensor": _window_sql("sensor_metrics", "day"),
         "partials_merge_log": _window_sql("log_metrics", "day"),
-        # Sketches are exact for groups as small as these.
         "active_users_sketch": """select date_trunc('day', event_ts) as window_start, page, device, country,
-            count(distinct user_id) as unique_users from events_cleaned
+            count(distinct user_id) as unique_users, true as estimate_is_close from events_cleaned
             where event_type = 'clickstream' and event_ts is not null group by 1, 2, 3, 4""",
         "store_scan": f"""select {RECORD.replace('"timestamp", ', '')}, event_ts, is_slow_request,
             case when event_type = 'heartbeat' then 'other' else event_type end as event_kind,
@@ -233,45 +247,55 @@ def oracle_sql() -> dict[str, str]:
               where event_type = 'sensor' and is_anomaly group by 1, 2
             union all select 'logs', service, count(*) from events_cleaned
               where event_type = 'app_log' and event_ts is not null group by 1, 2""",
-        "retained_events": f"select event_id, event_type, event_ts from events_cleaned where {_recent(DAY)}",
+        "retained_events": f"select event_id, event_type, event_ts from events_cleaned where {_recent(DAY, 'src_ts')}",
         "retained_metrics": f"""select * from ({_window_sql("sensor_metrics", "minute")})
             where {_recent("interval 48 hour", "window_start")}""",
         "stream_dedup": "select event_id, event_type, event_ts from events_cleaned",
+        "stream_dedup_combined": "select event_id, event_type, event_ts from events_cleaned",
+        "lines_parse": f'''select cast(null as varchar) as kafka_key, cast(null as int) as "partition",
+            cast(null as bigint) as "offset", {parsed} from mixed''',
         "stream_store_scan": f"""select location, count(*) as readings, {_round("avg(humidity)", 6)} as avg_humidity
-            from events_cleaned where event_type = 'sensor' group by 1""",
-        "stream_clickstream_windows": f"""select * exclude (unique_users)
-            from ({_closed("clickstream_metrics")})""",
-        "stream_sensor_windows": _closed("sensor_metrics"),
-        "stream_log_windows": _closed("log_metrics"),
+            from events_cleaned where event_type = 'sensor' and {_recent(DAY)} group by 1""",
+        "stream_clickstream_windows": f"""select * exclude (unique_users), unique_users as unique_users_estimate
+            from ({_window_sql("clickstream_metrics", "minute")})""",
+        "stream_sensor_windows": _window_sql("sensor_metrics", "minute"),
+        "stream_log_windows": _window_sql("log_metrics", "minute"),
         "fanout_events": f"select {SERVED} from events_cleaned",
-        "fanout_rejects": f"""select kafka_key, "partition", "offset", {reason} as reject_reason from mixed
-            where not_json or event_type is null""",
-        "fanout_clickstream_metrics": _window_sql("clickstream_metrics", "minute"),
-        "fanout_sensor_metrics": _window_sql("sensor_metrics", "minute"),
-        "fanout_log_metrics": _window_sql("log_metrics", "minute"),
-        "archived_days": """select case when event_type = 'heartbeat' then 'other' else event_type end as event_kind,
-            cast(event_ts as date) as event_date, count(*) as row_count from events_cleaned
-            where event_ts is not null group by 1, 2""",
+        "fanout_rejects": f"""select kafka_key, "partition", "offset", {id_of_reject} as event_id,
+            {reason} as reject_reason, {text} from mixed where {rejected}""",
+        "fanout_clickstream_metrics": _window_sql("clickstream_metrics", "day"),
+        "fanout_sensor_metrics": _window_sql("sensor_metrics", "day"),
+        "fanout_log_metrics": _window_sql("log_metrics", "day"),
+        "fanout_metrics_last_day": f"""select * from ({_window_sql("sensor_metrics", "day")})
+            where {_recent(DAY, "window_start")}""",
+        "batch_metrics": _window_sql("sensor_metrics", "day", by="batch_id"),
+        "row_counts": f"""select batch_id, 'records' as table_name, count(*) as row_count from (
+              select batch_id from events_cleaned union all select batch_id from mixed where {rejected}) group by 1
+            union all select batch_id, 'clickstream_members', count(*) from (
+              select distinct batch_id, cast(event_ts as date) as d, page, device, country, user_id from events_cleaned
+              where event_type = 'clickstream' and event_ts is not null) group by 1
+            union all select batch_id, 'clickstream_metrics', count(*) from (
+              {_window_sql("clickstream_metrics", "day", by="batch_id")}) group by 1
+            union all select batch_id, 'sensor_metrics', count(*) from (
+              {_window_sql("sensor_metrics", "day", by="batch_id")}) group by 1
+            union all select batch_id, 'log_metrics', count(*) from (
+              {_window_sql("log_metrics", "day", by="batch_id")}) group by 1""",
+        "archived_days": f"""select {SERVED}, case when event_type = 'heartbeat' then 'other' else event_type end
+            as event_kind, cast(event_ts as date) as event_date from events_cleaned""",
         "topic_cleaned": """select kafka_key as "key", event_id, event_type, case when event_type = 'clickstream'
             or event_type = 'heartbeat' then user_id end as user_id,
             case when event_type = 'sensor' or event_type = 'heartbeat' then sensor_id end as sensor_id
             from events_cleaned""",
-        "topic_curated": f"""
-            select concat_ws('|', 'clickstream_metrics', page, device, country) as "key",
-              'clickstream_metrics' as metric_table, window_start, event_count as row_count
-              from ({_window_sql("clickstream_metrics", "minute")})
-            union all select concat_ws('|', 'sensor_metrics', location), 'sensor_metrics', window_start,
-              reading_count from ({_window_sql("sensor_metrics", "minute")})
-            union all select concat_ws('|', 'log_metrics', service, level), 'log_metrics', window_start,
-              log_count from ({_window_sql("log_metrics", "minute")})""",
-        "topic_dead": f"""select kafka_key as "key", {reason} as reject_reason, "partition", "offset" from mixed
-            where not_json or event_type is null""",
+        **{f"topic_curated_{name}": _window_sql(name, "day") for name in METRICS},
+        "topic_dead": f"""select kafka_key as "key", {reason} as reject_reason, "partition", "offset", {text}
+            from mixed where {rejected}""",
+        "lag_of_replay": "select cast(null as varchar) as topic, cast(3 as bigint) as committed",
         "intake_progress": """
             select 'intake.records' as name, count(*) as value from mixed
-            union all select 'intake.rejected', count(*) from mixed where not_json or event_type is null
-            union all select 'intake.field_faults', 0
+            union all select 'intake.rejected', count(*) from mixed where (not_json or event_id is null or event_type is null)
+            union all select 'intake.field_faults', count(*) from kept where mistyped
             union all select 'kept.rows', (select count(*) from events_cleaned)
-              + (select count(*) from mixed where not_json or event_type is null)
+              + (select count(*) from mixed where (not_json or event_id is null or event_type is null))
             union all select 'kept.events', count(*) from events_cleaned""",
     }
     for suffix, span in (("", WHOLE), ("_last_day", DAY)):
@@ -280,7 +304,7 @@ def oracle_sql() -> dict[str, str]:
     made["order_lines"] = """
         with orders_on_wire as (
           select concat(l_orderkey, '-', l_linenumber) as order_id, concat('user_', l_suppkey) as "user",
-            ['Eggs', 'Milk', 'Bread', 'Apples', 'Cheese', 'Yogurt', 'Coffee'][l_partkey % 7 + 1] as item,
+            ['Lamp', 'Rope', 'Chair', 'Kettle', 'Spade', 'Drum', 'Globe'][l_partkey % 7 + 1] as item,
             cast(l_quantity as int) % 15 + 1 as quantity
           from lineitem)
         select *, concat('Received order: ', quantity, ' x ', item, ' from ', "user") as message

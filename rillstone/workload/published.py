@@ -15,19 +15,22 @@ from rillstone.session import fresh_folder
 _BUILT: dict[tuple, str] = {}
 
 
-def _state_of(spark: SparkSession, path: str) -> tuple[str, int, int]:
-    """Path, size and time of an input file or folder: one metadata call, nothing is listed."""
+def _files_of(spark: SparkSession, path: str) -> tuple:
+    """Path, size and time of each file of a table: folders themselves have neither on object stores."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    status = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(place)
-    return path, status.getLen(), status.getModificationTime()
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = fs.listStatus(place)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
 
 
-def folder_of(spark: SparkSession, sf_dir: str, label: str, build: Callable[[str], None]) -> str:
+def folder_of(
+    spark: SparkSession, sf_dir: str, label: str, build: Callable[[str], None], source: str = "events"
+) -> str:
     """The folder that holds table `label`, built by `build(folder)` if this session has none yet.
 
     It is remembered only after `build` has returned, so a failed build is not reused.
     """
-    key = (spark.sparkContext.applicationId, label, *_state_of(spark, f"{sf_dir}/events.parquet"))
+    key = (spark.sparkContext.applicationId, label, _files_of(spark, f"{sf_dir}/{source}.parquet"))
     if key not in _BUILT:
         folder = fresh_folder(spark, label)
         build(folder)

@@ -19,23 +19,23 @@ from rillstone.functions import decimal_round, hot_temperature
 from rillstone.operators import decode as dec
 from rillstone.operators import metrics as met
 from rillstone.operators.clean import SERVED_COLUMNS, clean, of_kind
-from rillstone.operators.dedup import distinct_events, latest_batch, repeated_ids
+from rillstone.operators.dedup import distinct_events, newest_per_key, repeated_ids
 from rillstone.operators.orders import decode_orders, describe_orders
-from rillstone.operators.quality import REPORT_FIELDS, kind_routing, quality_report
+from rillstone.operators.quality import kind_routing, quality_report
 from rillstone.operators.retention import retained
 from rillstone.operators.wire import envelope, keyed_records
 from rillstone.plans import serving
 from rillstone.plans.views import register_views
 from rillstone.schemas import RECORD_FIELDS, TOPIC_CLEANED, TOPIC_CURATED, TOPIC_DEAD
-from rillstone.session import fresh_folder, tune
+from rillstone.session import tune
 from rillstone.sinks.topics import FolderTopics
-from rillstone.sources.files import evened
+from rillstone.sources.files import line_table, wire_stream, wire_table
 from rillstone.sources.store import EventStore
 from rillstone.streaming import flow
-from rillstone.streaming.fanout import Fanout, Tables, archive_days
-from rillstone.streaming.launch import start_fanout, start_store, start_windows
-from rillstone.streaming.progress import progress_report
-from rillstone.workload.feed import event_feed, events_stream, events_table, order_feed
+from rillstone.streaming.fanout import WINDOW_DATE, Fanout, Tables, archive_days, write_state
+from rillstone.streaming.launch import current_windows, start_fanout, start_store, start_windows
+from rillstone.streaming.progress import ProgressLog, consumer_lag
+from rillstone.workload.feed import event_feed, events_table, order_feed, write_wire
 from rillstone.workload.published import folder_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,9 +43,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 POSITION = ("kafka_timestamp", "partition", "offset")
 # The tables end on 2024-01-30: this instant and span take in all of them, the last day just the end.
 AS_OF, WHOLE, DAY = "2024-01-31 00:00:00", "30 days", "24 hours"
-# Replays whose dedup clock is the processing time may take files in any order, so their micro-batches are
-# bounded. Closed windows depend on event order and files have none: they are replayed as one batch.
-PER_TRIGGER = 256 * 2**30
+# The replays take the wire files slice by slice. Late records come one slice after their time.
+FILES_PER_SLICE = 2
+LATENESS = "20 days"
 
 _QUERIES: dict[str, Query] = {}
 
@@ -77,8 +77,24 @@ def rounded(rows: DataFrame, places: int = 6) -> DataFrame:
 # --- inputs ------------------------------------------------------------------------------------------
 
 
+def _wire(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the raw topic's records."""
+
+    def build(folder: str) -> None:
+        write_wire(events_table(spark, sf_dir), folder, FILES_PER_SLICE)
+
+    return folder_of(spark, sf_dir, "wire", build)
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelope(event_feed(evened(events_table(spark, sf_dir))))
+    return envelope(wire_table(spark, _wire(spark, sf_dir)))
+
+
+def _text_columns(rejects: DataFrame) -> DataFrame:
+    """Rejects with their text: all of it if it is no JSON, else some of the fields it still holds."""
+    fields = [F.get_json_object("raw_json", f"$.{name}").alias(name) for name in ("timestamp", "page", "sensor_id", "service")]
+    text = F.when(F.col("reject_reason") == dec.MALFORMED, F.col("raw_json")).alias("bad_text")
+    return rejects.select(*[c for c in rejects.columns if c != "raw_json"], text, *fields)
 
 
 def _read_back(published: DataFrame, *fields: str) -> DataFrame:
@@ -105,22 +121,30 @@ def _metrics(spark: SparkSession, sf_dir: str, table: met.MetricTable) -> DataFr
     """A stored metric table."""
 
     def build(folder: str) -> None:
-        met.window_metrics(_events(spark, sf_dir), table).write.parquet(folder)
+        write_state(met.window_metrics(_events(spark, sf_dir), table), folder)
 
     return spark.read.parquet(folder_of(spark, sf_dir, table.name, build))
 
 
-def _stream_records(spark: SparkSession, sf_dir: str, bytes_per_trigger: int | None = None) -> DataFrame:
-    return envelope(event_feed(events_stream(spark, sf_dir, bytes_per_trigger)))
+def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return envelope(wire_stream(spark, _wire(spark, sf_dir), FILES_PER_SLICE))
 
 
 def _fanout(spark: SparkSession, sf_dir: str) -> str:
     """Folder of a fan-out job that has worked off the whole feed."""
 
     def build(folder: str) -> None:
-        feed = _stream_records(spark, sf_dir, PER_TRIGGER)
-        job = Fanout(f"{folder}/tables", topics=FolderTopics(f"{folder}/topics"))
-        start_fanout(flow.checked_stream(feed), job, f"{folder}/checkpoint", every=None).awaitTermination()
+        feed = _stream_records(spark, sf_dir)
+        job = Fanout(f"{folder}/tables", "1 day", topics=FolderTopics(f"{folder}/topics"))
+        log = ProgressLog(spark, f"{folder}/progress")
+        spark.streams.addListener(log)
+        try:
+            running = start_fanout(flow.checked_stream(feed), job, f"{folder}/checkpoint", every=None)
+            running.awaitTermination()
+            log.settled(running)
+        finally:
+            spark.streams.removeListener(log)
+        consumer_lag(spark, running.lastProgress).write.parquet(f"{folder}/lag")
 
     return folder_of(spark, sf_dir, "fanout", build)
 
@@ -140,6 +164,17 @@ def record_envelope(spark, sf_dir):
     )
 
 
+@query
+def lines_parse(spark, sf_dir):
+    """The records as text files, one to a line, with neither key nor position."""
+
+    def build(folder: str) -> None:
+        event_feed(events_table(spark, sf_dir)).select(F.col("value").cast("string")).write.text(folder)
+
+    records = envelope(line_table(spark, folder_of(spark, sf_dir, "lines", build)))
+    return dec.decode(records, keep=("kafka_key", "partition", "offset"))
+
+
 @query
 def raw_parse(spark, sf_dir):
     return dec.decode(_records(spark, sf_dir), keep=("kafka_key", "kafka_timestamp", "offset"))
@@ -162,13 +197,12 @@ def parse_app_log(spark, sf_dir):
 
 @query
 def dead_letters(spark, sf_dir):
-    rows = dec.dead_letters(_records(spark, sf_dir), keep=("kafka_key", "partition", "offset"))
-    return rows.drop("raw_json")
+    return _text_columns(dec.dead_letters(_records(spark, sf_dir), keep=("kafka_key", "partition", "offset")))
 
 
 @query
 def record_quality(spark, sf_dir):
-    return quality_report(dec.decode_checked(_records(spark, sf_dir), REPORT_FIELDS, keep=()))
+    return quality_report(dec.decode_checked(_records(spark, sf_dir), keep=()))
 
 
 # --- cleaning, dedup, routing ------------------------------------------------------------------------
@@ -216,7 +250,7 @@ def newest_reading(spark, sf_dir):
     """Keyed-upsert view: the newest record of every sensor."""
     fields = ("event_id", "event_type", "timestamp", "sensor_id", "temperature")
     rows = of_kind(_unique(spark, sf_dir, fields), "sensor")
-    return latest_batch(rows, ["sensor_id"], "offset").select("sensor_id", "event_id", "temperature", "offset")
+    return newest_per_key(rows, ["sensor_id"]).select("sensor_id", "event_id", "temperature", "offset")
 
 
 @query
@@ -269,10 +303,14 @@ def partials_merge_log(spark, sf_dir):
 
 @query
 def active_users_sketch(spark, sf_dir):
-    """Distinct users per day and group from merged sketches: approximate for large groups."""
+    """Distinct users per day and group, and whether the estimate of merged sketches is within five per cent."""
+    keys = ["window_start", "page", "device", "country"]
     states = _state_by_partition(spark, sf_dir, met.CLICKSTREAM)
-    rows = met.finish(met.merge_state(states, met.CLICKSTREAM, "1 day"), met.CLICKSTREAM)
-    return rows.select("window_start", "page", "device", "country", "unique_users")
+    estimates = met.finish(met.merge_state(states, met.CLICKSTREAM, "1 day"), met.CLICKSTREAM)
+    exact = met.finish_members(_state_by_partition(spark, sf_dir, met.CLICKSTREAM, True), met.CLICKSTREAM, "1 day")
+    joined = exact.join(estimates.select(*keys, F.col("unique_users").alias("estimate")), keys)
+    close = F.abs(F.col("estimate") - F.col("unique_users")) <= F.greatest(F.lit(1), F.col("unique_users") * 0.05)
+    return joined.select(*keys, "unique_users", close.alias("estimate_is_close"))
 
 
 # --- dashboard views and panels ----------------------------------------------------------------------
@@ -367,13 +405,15 @@ def sql_views(spark, sf_dir):
 
 @query
 def retained_events(spark, sf_dir):
+    """By arrival: rows with an old or unreadable time of their own are kept as long as others."""
     rows = retained(_events(spark, sf_dir), TOPIC_CLEANED, AS_OF)
     return rows.select("event_id", "event_type", "event_ts")
 
 
 @query
 def retained_metrics(spark, sf_dir):
-    return rounded(retained(_metrics(spark, sf_dir, met.SENSOR), TOPIC_CURATED, AS_OF, "window_start"))
+    rows = retained(_metrics(spark, sf_dir, met.SENSOR), TOPIC_CURATED, AS_OF, "window_start", WINDOW_DATE)
+    return rounded(rows.drop(WINDOW_DATE))
 
 
 # --- orders ------------------------------------------------------------------------------------------
@@ -381,53 +421,62 @@ def retained_metrics(spark, sf_dir):
 
 @query
 def order_lines(spark, sf_dir):
-    return describe_orders(decode_orders(envelope(order_feed(spark, sf_dir))))
+    def build(folder: str) -> None:
+        order_feed(spark, sf_dir).repartition(8).write.parquet(folder)
+
+    wire = folder_of(spark, sf_dir, "orders-wire", build, "lineitem")
+    return describe_orders(decode_orders(envelope(wire_table(spark, wire))))
 
 
 # --- streaming ---------------------------------------------------------------------------------------
 
 
-def _replayed_store(spark, sf_dir) -> str:
+def _replayed_store(spark, sf_dir, combine: bool = False) -> EventStore:
     def build(folder: str) -> None:
-        events = flow.cleaned_stream(_stream_records(spark, sf_dir, PER_TRIGGER))
+        events = flow.cleaned_stream(_stream_records(spark, sf_dir), combine=combine)
         start_store(events, f"{folder}/store", f"{folder}/checkpoint", every=None).awaitTermination()
 
-    return f"{folder_of(spark, sf_dir, 'stream-store', build)}/store"
+    return EventStore(f"{folder_of(spark, sf_dir, f'stream-store-{combine}', build)}/store")
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    rows = spark.read.parquet(_replayed_store(spark, sf_dir))
-    return rows.select("event_id", "event_type", "event_ts")
+    return _replayed_store(spark, sf_dir).scan(spark).select("event_id", "event_type", "event_ts")
+
+
+@query
+def stream_dedup_combined(spark, sf_dir):
+    """The same rule with hot ids thinned out before the state."""
+    return _replayed_store(spark, sf_dir, True).scan(spark).select("event_id", "event_type", "event_ts")
 
 
 @query
 def stream_store_scan(spark, sf_dir):
-    rows = spark.read.parquet(_replayed_store(spark, sf_dir)).where(F.col("event_type") == "sensor")
+    rows = _replayed_store(spark, sf_dir).scan(spark, ["sensor"], DAY, AS_OF)
     return rounded(rows.groupBy("location").agg(F.count(F.lit(1)).alias("readings"), F.avg("humidity").alias("avg_humidity")))
 
 
-def _closed_windows(spark, sf_dir, table: met.MetricTable) -> DataFrame:
+def _windows(spark, sf_dir, table: met.MetricTable) -> DataFrame:
     def build(folder: str) -> None:
-        metrics = flow.closed_window_metrics(_stream_records(spark, sf_dir), table)
+        metrics = flow.window_stream(_stream_records(spark, sf_dir), table, lateness=LATENESS)
         start_windows(metrics, f"{folder}/windows", f"{folder}/checkpoint", every=None).awaitTermination()
 
-    return spark.read.parquet(f"{folder_of(spark, sf_dir, 'windows-' + table.name, build)}/windows")
+    return current_windows(spark, f"{folder_of(spark, sf_dir, 'windows-' + table.name, build)}/windows", table)
 
 
 @query
 def stream_clickstream_windows(spark, sf_dir):
-    return rounded(_closed_windows(spark, sf_dir, met.CLICKSTREAM).drop("unique_users"))
+    return rounded(_windows(spark, sf_dir, met.CLICKSTREAM))
 
 
 @query
 def stream_sensor_windows(spark, sf_dir):
-    return rounded(_closed_windows(spark, sf_dir, met.SENSOR))
+    return rounded(_windows(spark, sf_dir, met.SENSOR))
 
 
 @query
 def stream_log_windows(spark, sf_dir):
-    return rounded(_closed_windows(spark, sf_dir, met.LOG))
+    return rounded(_windows(spark, sf_dir, met.LOG))
 
 
 @query
@@ -437,7 +486,8 @@ def fanout_events(spark, sf_dir):
 
 @query
 def fanout_rejects(spark, sf_dir):
-    return _tables(spark, sf_dir).rejected(spark).select("kafka_key", "partition", "offset", "reject_reason")
+    rows = _tables(spark, sf_dir).rejected(spark)
+    return _text_columns(rows.select("kafka_key", "partition", "offset", "event_id", "reject_reason", "raw_json"))
 
 
 @query
@@ -455,45 +505,77 @@ def fanout_log_metrics(spark, sf_dir):
     return rounded(_tables(spark, sf_dir).metrics(spark, met.LOG))
 
 
+@query
+def fanout_metrics_last_day(spark, sf_dir):
+    """Final rows of the windows of a time range: only their days are read."""
+    rows = _tables(spark, sf_dir).metrics(spark, met.SENSOR, span=DAY, as_of=AS_OF)
+    return rounded(rows)
+
+
+@query
+def batch_metrics(spark, sf_dir):
+    """What each micro-batch added to the sensor metrics."""
+    return rounded(_tables(spark, sf_dir).batch_metrics(spark, met.SENSOR))
+
+
+@query
+def row_counts(spark, sf_dir):
+    return _tables(spark, sf_dir).row_counts(spark)
+
+
 @query
 def archived_days(spark, sf_dir):
-    """The fan-out's micro-batch files rolled into the event store, day by day."""
+    """The fan-out's micro-batch files rolled into the event store, twice over, undated rows included."""
 
     def build(folder: str) -> None:
         days = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
-        archive_days(spark, _tables(spark, sf_dir), EventStore(folder), *days)
+        for _ in range(2):
+            archive_days(spark, _tables(spark, sf_dir), EventStore(folder), *days)
 
     rows = EventStore(folder_of(spark, sf_dir, "archive", build)).scan(spark)
-    return rows.groupBy("event_kind", "event_date").agg(F.count(F.lit(1)).alias("row_count"))
+    return rows.select(*[c for c in SERVED_COLUMNS if c != "processed_at"], "event_kind", "event_date")
+
+
+def _topic(spark, sf_dir, name: str) -> DataFrame:
+    return spark.read.parquet(f"{_fanout(spark, sf_dir)}/topics/{name}")
 
 
 @query
 def topic_cleaned(spark, sf_dir):
-    rows = spark.read.parquet(f"{_fanout(spark, sf_dir)}/topics/{TOPIC_CLEANED}")
-    return _read_back(rows, "event_id", "event_type", "user_id", "sensor_id")
+    return _read_back(_topic(spark, sf_dir, TOPIC_CLEANED), "event_id", "event_type", "user_id", "sensor_id")
 
 
-@query
-def topic_curated(spark, sf_dir):
-    rows = spark.read.parquet(f"{_fanout(spark, sf_dir)}/topics/{TOPIC_CURATED}")
-    fields = "metric_table string, window_start timestamp, event_count bigint, reading_count bigint, log_count bigint"
-    counts = rows.select("key", F.inline(F.array(F.from_json("value", fields))))
-    total = F.sum(F.coalesce("event_count", "reading_count", "log_count"))
-    return counts.groupBy("key", "metric_table", "window_start").agg(total.alias("row_count"))
+def _curated_query(table: met.MetricTable) -> None:
+    def run(spark, sf_dir):
+        newest = newest_per_key(_topic(spark, sf_dir, TOPIC_CURATED), ["key"], ["batch_id"])
+        kinds = _tables(spark, sf_dir).metrics(spark, table).schema
+        rows = newest.where(F.get_json_object("value", "$.metric_table") == table.name)
+        return rounded(rows.select(F.inline(F.array(F.from_json("value", kinds)))))
+
+    run.__name__ = f"topic_curated_{table.name}"
+    query(run)
+
+
+for _table in met.TABLES.values():
+    _curated_query(_table)
 
 
 @query
 def topic_dead(spark, sf_dir):
-    rows = spark.read.parquet(f"{_fanout(spark, sf_dir)}/topics/{TOPIC_DEAD}")
-    return rows.select("key", F.inline(F.array(F.from_json("value", "reject_reason string, partition int, offset bigint"))))
+    fields = "reject_reason string, partition int, offset bigint, raw_json string"
+    rows = _topic(spark, sf_dir, TOPIC_DEAD).select("key", F.inline(F.array(F.from_json("value", fields))))
+    return _text_columns(rows)
 
 
 @query
 def intake_progress(spark, sf_dir):
-    """Replay the feed into the store and report what the run observed, added up over its batches."""
-    folder = fresh_folder(spark, "progress")
-    checked = flow.checked_stream(_stream_records(spark, sf_dir, PER_TRIGGER))
-    running = start_fanout(checked, Fanout(f"{folder}/tables"), f"{folder}/checkpoint", every=None)
-    running.awaitTermination()
-    counts = progress_report(spark, running.recentProgress).select(F.explode("observed").alias("name", "value"))
+    """What the fan-out's run observed, added up over its micro-batches."""
+    log = spark.read.parquet(f"{_fanout(spark, sf_dir)}/progress")
+    counts = log.select(F.explode("observed").alias("name", "value"))
     return counts.groupBy("name").agg(F.sum("value").alias("value"))
+
+
+@query
+def lag_of_replay(spark, sf_dir):
+    """Where the fan-out's run stands in its source."""
+    return spark.read.parquet(f"{_fanout(spark, sf_dir)}/lag").select("topic", "committed")

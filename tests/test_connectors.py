@@ -34,8 +34,8 @@ def test_wrong_settings(wrong):
 
 
 def test_publish_options():
-    got = KafkaTopics("localhost:9092").options("events.dlq")
-    assert got["topic"] == "events.dlq" and got["kafka.compression.type"] == "lz4"
+    got = KafkaTopics("localhost:9092", (("compression.type", "zstd"),)).options("events.dlq")
+    assert got["topic"] == "events.dlq" and got["kafka.compression.type"] == "zstd"
 
 
 def test_jdbc():
@@ -68,8 +68,11 @@ class FakeSession:
 def test_shared_folder_comes_from_the_session():
     cluster = FakeSession("hdfs://shared/checkpoints/")
     assert session.shared_folder(cluster) == "hdfs://shared/checkpoints"
-    one, two = (session.fresh_folder(cluster, "x") for _ in range(2))
-    assert one != two and one.startswith("hdfs://shared/checkpoints/rillstone/x-")
+
+
+def test_fresh_folders(spark):
+    one, two = (session.fresh_folder(spark, "x") for _ in range(2))
+    assert one != two and one.startswith(f"{session.shared_folder(spark)}/rillstone/x-")
 
 
 def test_a_cluster_must_name_its_folder():

@@ -53,6 +53,22 @@ def test_reject_reasons(spark):
         assert row["raw_json"] == (text if EDGE[text] else None)
 
 
+def test_the_reason_does_not_depend_on_the_fields_decoded(spark):
+    """A wrong-typed field makes no record unreadable, whether it is decoded or not."""
+    texts = [
+        '{"response_time_ms":"abc"}', '{"status_code":"bad","page":"p"}', '{"event_id":"a","status_code":"bad"}',
+        '{"event_id":"a","event_type":"sensor","temper', "{", "[]", "", None, '{"event_type":"sensor"}', "{}",
+    ]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, raw_json string")
+    few, some, every = (
+        [r["reject_reason"] for r in dec.decode_checked(rows, fields, keep=["n"]).orderBy("n").collect()]
+        for fields in (["event_id", "event_type"], ["event_id", "event_type", "page"], None)
+    )
+    assert few == some == every == [
+        dec.NO_ID, dec.NO_ID, dec.NO_TYPE, *[dec.MALFORMED] * 5, dec.NO_ID, dec.NO_ID,
+    ]
+
+
 def test_missing_body_is_rejected(spark):
     row = dec.decode_checked(envelope(wire(spark, [None]))).first()
     assert row["reject_reason"] == dec.MALFORMED

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from rillstone.operators.dedup import distinct_events, first_per_key, latest_batch, repeated_ids
+from rillstone.operators.dedup import distinct_events, first_per_key, newest_per_key, repeated_ids
 from rillstone.operators.retention import drop_days_before, retained
 
 COLUMNS = "event_id string, kafka_timestamp timestamp, partition int, offset bigint, body string"
@@ -49,15 +49,34 @@ def test_repeated_ids(spark):
     assert [tuple(r) for r in repeated_ids(rows).collect()] == [("a", 2)]
 
 
-def test_latest_batch(spark):
+def test_newest_per_key(spark):
     rows = spark.createDataFrame([("w1", 1, 10), ("w1", 2, 11), ("w2", 1, 5)], "w string, batch_id int, n int")
-    assert {(r["w"], r["n"]) for r in latest_batch(rows, ["w"]).collect()} == {("w1", 11), ("w2", 5)}
+    assert {(r["w"], r["n"]) for r in newest_per_key(rows, ["w"], ["batch_id"]).collect()} == {("w1", 11), ("w2", 5)}
+
+
+def test_newest_record_of_several_partitions(spark):
+    """Offsets of different partitions say nothing about each other; arrival does."""
+    rows = spark.createDataFrame(
+        [("w", "2024-01-01 00:00:00", 0, 900), ("w", "2024-01-01 00:00:09", 1, 3), ("w", "2024-01-01 00:00:09", 1, 2)],
+        "w string, t string, partition int, offset long",
+    ).withColumn("kafka_timestamp", F.to_timestamp("t"))
+    assert newest_per_key(rows, ["w"]).first()["offset"] == 3
 
 
 @pytest.mark.parametrize("topic, kept", [("events.cleaned", 24), ("events.curated", 48), ("events.dlq", 72)])
 def test_retention_by_topic(spark, topic, kept):
     hours = spark.range(100).selectExpr("timestamp'2024-01-10 00:00:00' - make_dt_interval(0, int(id)) as event_ts")
-    assert retained(hours, topic, "2024-01-10 00:00:00").count() == kept
+    assert retained(hours, topic, "2024-01-10 00:00:00", "event_ts").count() == kept
+
+
+def test_retention_is_by_arrival(spark):
+    """A record that came an hour ago is kept, whether its own time is old or missing."""
+    rows = spark.sql(
+        """select timestamp'2024-01-10 11:00:00' as kafka_timestamp, ts as event_ts, to_date(ts) as event_date
+        from values (timestamp'2023-12-01 00:00:00'), (null) as t(ts)"""
+    )
+    assert retained(rows, "events.cleaned", "2024-01-10 12:00:00").count() == 2
+    assert retained(rows, "events.cleaned", "2024-01-12 12:00:00").count() == 0
 
 
 def test_drop_days(spark, tmp_path):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 import random
 from collections import Counter
@@ -15,9 +16,10 @@ from rillstone.operators.wire import envelope
 from rillstone.sinks.topics import FolderTopics
 from rillstone.sources.files import line_stream, line_table, wire_stream, wire_table
 from rillstone.streaming import flow
-from rillstone.streaming.fanout import MEMBERS, RECORDS, Fanout, Tables
-from rillstone.streaming.launch import await_any, start_fanout, start_store, start_windows
-from rillstone.streaming.progress import consumer_lag, progress_report
+from rillstone.sources.store import EventStore
+from rillstone.streaming.fanout import MEMBERS, RECORDS, Fanout, Tables, archive_days, drop_batches, roll_up
+from rillstone.streaming.launch import await_any, current_windows, start_fanout, start_store, start_windows
+from rillstone.streaming.progress import ProgressLog, consumer_lag, progress_report
 from rillstone.workload.feed import event_feed, events_table
 
 SF = "/root/testdata/sf0.001"
@@ -183,16 +185,18 @@ def test_database_gets_four_tables_tagged_with_the_batch(spark, feed, tmp_path):
     assert all([tuple(r) for r in ids] == [(7,)] for _, ids in seen.values())
 
 
-@pytest.mark.parametrize("spread", [1, 4])
-def test_store_sink(spark, feed, unique, tmp_path, spread):
+@pytest.mark.parametrize("combine", [False, True])
+def test_store_sink(spark, feed, unique, tmp_path, combine):
     source = staged(feed, f"{tmp_path}/in", 3)
-    events = flow.cleaned_stream(envelope(wire_stream(spark, source, 1)), spread=spread)
+    events = flow.cleaned_stream(envelope(wire_stream(spark, source, 1)), combine=combine)
     for _ in range(2):  # the second start finds nothing new
         start_store(events, f"{tmp_path}/store", f"{tmp_path}/checkpoint", every=None, writers=2).awaitTermination()
     stored = spark.read.parquet(f"{tmp_path}/store")
     assert bag(without_stamp(stored)) == bag(without_stamp(unique))
-    scan = stored.where("event_type = 'sensor'")
-    assert "PartitionFilters: [isnotnull(event_type" in scan._jdf.queryExecution().toString()
+    scan = EventStore(f"{tmp_path}/store").scan(spark, ["sensor"], "24 hours", "2024-01-31 00:00:00")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "event_kind" in filters and "event_date" in filters
 
 
 def test_independent_queries(spark, feed, unique, tmp_path):
@@ -236,8 +240,8 @@ def test_closed_windows_and_late_rows(spark, tmp_path):
     def run(*lines):
         (source / f"f{len(list(source.iterdir()))}.json").write_text("\n".join(lines))
         records = envelope(line_stream(spark, str(source)))
-        metrics = flow.closed_window_metrics(records, met.SENSOR, lateness="10 minutes")
-        query = start_windows(metrics, f"{tmp_path}/out", f"{tmp_path}/checkpoint", every=None)
+        metrics = flow.window_stream(records, met.SENSOR, lateness="10 minutes")
+        query = start_windows(metrics, f"{tmp_path}/out", f"{tmp_path}/checkpoint", every=None, mode="append")
         query.awaitTermination()
         return progress_report(spark, query.recentProgress).agg(F.sum("late_rows_dropped")).first()[0]
 
@@ -249,6 +253,115 @@ def test_closed_windows_and_late_rows(spark, tmp_path):
     assert [(str(r["window_start"]), r["reading_count"]) for r in got] == [("2024-01-01 00:00:00", 2)]
 
 
+def reading(event_id, second, value, zone="zone_1"):
+    return line(event_id, second, zone).replace('"temperature": 1.0', f'"temperature": {value}')
+
+
+def test_open_windows_are_current(spark, tmp_path):
+    """Updates show windows that are still open, with what later batches added."""
+    source = tmp_path / "in"
+    source.mkdir()
+    counts = []
+    for number, lines in enumerate([[line("a", 0)], [line("b", 30), line("a", 0)], [line("c", 65)]]):
+        (source / f"{number}.json").write_text("\n".join(lines))
+        metrics = flow.window_stream(envelope(line_stream(spark, str(source))), met.SENSOR)
+        start_windows(metrics, f"{tmp_path}/out", f"{tmp_path}/checkpoint", every=None).awaitTermination()
+        rows = current_windows(spark, f"{tmp_path}/out", met.SENSOR)
+        counts.append(sorted(r["reading_count"] for r in rows.collect()))
+    assert counts == [[1], [2], [1, 2]]
+
+
+@pytest.mark.parametrize("combine", [False, True])
+def test_an_id_counts_again_after_its_horizon(spark, tmp_path, combine):
+    """Copies within the horizon of the accepted one are dropped and do not prolong it."""
+    source = tmp_path / "in"
+    source.mkdir()
+    ids = [f"i{n}" for n in range(200)]
+
+    def run(minute, names):
+        (source / f"{minute:03}.json").write_text("\n".join(line(name, 60 * minute) for name in names))
+        rows = decode(envelope(line_stream(spark, str(source))), keep=())
+        timed = rows.withColumn("at", F.to_timestamp("timestamp"))
+        kept = flow.drop_repeats(timed, clock="at", horizon="10 minutes", combine=combine)
+        writer = kept.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c")
+        writer.trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
+        return spark.read.parquet(f"{tmp_path}/out").where(F.col("event_id").startswith("i")).count()
+
+    assert run(0, ids + ids) == 200
+    assert run(9, ids) == 200
+    assert run(21, ["tick"]) == 200
+    assert run(22, ids + ids) == 400
+
+
+def test_published_metrics_are_final(spark, tmp_path):
+    """A window that two batches share is published again as a whole; the newest record of its key is right."""
+    source = tmp_path / "in"
+    source.mkdir()
+    for number, lines in enumerate([[reading("a", 0, 10), reading("b", 1, 20)], [reading("c", 2, 90)]]):
+        (source / f"{number}.json").write_text("\n".join(lines))
+        records = envelope(line_stream(spark, str(source)))
+        job = Fanout(f"{tmp_path}/tables", topics=FolderTopics(f"{tmp_path}/topics"))
+        start_fanout(flow.checked_stream(records), job, f"{tmp_path}/c", every=None).awaitTermination()
+    topic = spark.read.parquet(f"{tmp_path}/topics/events.curated")
+    assert topic.select("key").distinct().count() == 1 and topic.count() == 2
+    last = json.loads(topic.orderBy(F.desc("batch_id")).first()["value"])
+    assert (last["avg_temperature"], last["max_temperature"], last["reading_count"]) == (40, 90, 3)
+
+
+def test_folders_stay_few(spark, feed, unique, tmp_path):
+    """State is merged every few batches and archived records go; nothing is counted twice or lost."""
+    replay(spark, staged(feed, f"{tmp_path}/in", 8), tmp_path, roll_every=2)
+    tables = Tables(f"{tmp_path}/tables")
+    for name in (MEMBERS, *met.TABLES):
+        assert len(list((tmp_path / "tables" / name).glob("batch_id=*"))) <= 3
+    for table in met.TABLES.values():
+        assert bag(tables.metrics(spark, table)) == bag(met.window_metrics(unique, table))
+    roll_up(spark, tables, 6)
+    roll_up(spark, tables, 6)
+    assert bag(tables.metrics(spark, met.SENSOR)) == bag(met.window_metrics(unique, met.SENSOR))
+
+    store, days = EventStore(f"{tmp_path}/store"), (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    archive_days(spark, tables, store, *days)
+    drop_batches(spark, tables, 6)
+    assert len(list((tmp_path / "tables" / RECORDS).glob("batch_id=*"))) <= 2
+    archive_days(spark, tables, store, *days)
+    assert bag(without_stamp(store.scan(spark))) == bag(without_stamp(unique))
+    assert store.scan(spark).where("event_ts is null").count() > 0
+
+
+def test_archive_keeps_each_id_once(spark, tmp_path):
+    """Rows accepted in two batches, and rows without a readable time."""
+    lines = [line("a", 0), json.dumps({"event_id": "b", "event_type": "sensor", "timestamp": "bad"})]
+    rows = spark.createDataFrame([(x,) for x in lines], "raw_json string").select(
+        F.lit("k").alias("kafka_key"), "raw_json", F.lit(0).alias("partition"), F.lit(1).cast("long").alias("offset"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("kafka_timestamp"),
+    )
+    job = Fanout(f"{tmp_path}/t")
+    for batch in (0, 1):
+        job(flow.enrich(flow.decode_checked(rows)), batch)
+    store = EventStore(f"{tmp_path}/store")
+    archive_days(spark, job.tables, store, dt.date(2024, 1, 1), dt.date(2024, 1, 2))
+    assert sorted(r["event_id"] for r in store.scan(spark).collect()) == ["a", "b"]
+
+
+def test_progress_outlives_the_report_limit(spark, feed, tmp_path):
+    """Totals come from the written reports: Spark itself remembers the last three here."""
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    log = ProgressLog(spark, f"{tmp_path}/progress")
+    spark.conf.set(key, "3")
+    spark.streams.addListener(log)
+    try:
+        query = replay(spark, staged(feed, f"{tmp_path}/in", 6), tmp_path)
+        log.settled(query)
+    finally:
+        spark.streams.removeListener(log)
+        spark.conf.set(key, before)
+    assert len(query.recentProgress) <= 3
+    assert log.table().agg(F.sum("input_rows")).first()[0] == feed.count()
+    assert log.table().where("input_rows > 0").count() == 6
+
+
 def test_unreadable_time_is_deduplicated_and_kept(spark, tmp_path):
     """The dedup clock is the processing time, so a row without event time is not late and not repeated."""
     bad = json.dumps({"event_id": "x", "event_type": "sensor", "timestamp": "bad"})
@@ -256,7 +369,7 @@ def test_unreadable_time_is_deduplicated_and_kept(spark, tmp_path):
     source.mkdir()
     for number, text in enumerate([bad, line("a", 9000), line("b", 0), bad]):
         (source / f"{number}.json").write_text(text)
-        events = flow.cleaned_stream(envelope(line_stream(spark, str(source))), spread=2)
+        events = flow.cleaned_stream(envelope(line_stream(spark, str(source))), combine=True)
         start_store(events, f"{tmp_path}/store", f"{tmp_path}/checkpoint", every=None).awaitTermination()
     stored = spark.read.parquet(f"{tmp_path}/store").select("event_id", F.isnull("event_ts").alias("no_time"))
     assert sorted(map(tuple, stored.collect())) == [("a", False), ("b", False), ("x", True)]
