@@ -84,35 +84,48 @@ class Model:
 
 
 class _Bags:
-    """The documents of a sample as bags of words, and the words as bags of buckets."""
+    """The documents of a sample as bags of words, and the words as bags of buckets, in a few flat arrays."""
 
     def __init__(self, texts: pa.Array):
-        known: dict[int, int] = {}
-        bags, self.buckets = [], []
+        known, hashes, sizes, buckets, docs, words_, counts = np.zeros(0, dtype=U), [], [], [], [], [], []
         for w in words(texts, _INSIDE):
-            hashes, first = np.unique(w.hashes, return_index=True)
-            new = np.array([h not in known for h in hashes.tolist()], dtype=bool)
-            fresh = first[new]
-            if len(fresh):
-                owner, bucket = subwords(w, fresh)
-                order = np.argsort(owner, kind="stable")
-                self.buckets += np.split(bucket[order], np.cumsum(np.bincount(owner, minlength=len(fresh)))[:-1])
-            for h in hashes[new].tolist():
-                known[h] = len(known)
+            own, first = np.unique(w.hashes, return_index=True)
+            fresh = ~np.isin(own, known)
+            known = np.union1d(known, own)
+            owner, bucket = subwords(w, first[fresh])
+            order = np.argsort(owner, kind="stable")
+            hashes.append(own[fresh])
+            sizes.append(np.bincount(owner, minlength=int(fresh.sum())).astype(np.int32))
+            buckets.append(bucket[order].astype(np.uint16 if BUCKETS <= 1 << 16 else np.int32))
             for i in range(w.docs):
-                own, n = np.unique(w.hashes[w.bounds[i] : w.bounds[i + 1]], return_counts=True)
-                part = 1 + np.log(n)
-                bags.append((np.array([known[h] for h in own.tolist()], dtype=np.int64), part / max(part.sum(), FILL)))
-        self.docs = bags
+                found, n = np.unique(w.hashes[w.bounds[i] : w.bounds[i + 1]], return_counts=True)
+                docs.append(len(found))
+                words_.append(found)
+                counts.append(n.astype(np.int32))
+        self.buckets, size = np.concatenate([np.zeros(0, dtype=np.uint16), *buckets]), np.concatenate(sizes)
+        self.ends = np.cumsum(size, dtype=np.int64)
+        self.starts = self.ends - size
+        hashes = np.concatenate(hashes)
+        order = np.argsort(hashes)
+        self.words = order[np.searchsorted(hashes[order], np.concatenate(words_))].astype(np.int32)
+        self.parts = (1 + np.log(np.concatenate(counts))).astype(np.float32)
+        self.bounds = np.concatenate([[0], np.cumsum(docs)])
 
     def batch(self, which: np.ndarray):
         """Words of some documents: (document, word, share), and the buckets of those words."""
-        doc = np.repeat(np.arange(len(which)), [len(self.docs[i][0]) for i in which])
-        used, word = np.unique(np.concatenate([self.docs[i][0] for i in which]), return_inverse=True)
-        share = np.concatenate([self.docs[i][1] for i in which])
-        lists = [self.buckets[i] for i in used.tolist()]
-        size = np.array([len(x) for x in lists], dtype=np.int64)
-        return doc, word, share, np.concatenate([np.zeros(0, dtype=np.int64), *lists]), size
+        at, doc = _ranges(self.bounds[which], self.bounds[which + 1])
+        used, word = np.unique(self.words[at], return_inverse=True)
+        part = self.parts[at].astype(np.float64)
+        part /= np.maximum(np.bincount(doc, part, len(which)), FILL)[doc]
+        at, owner = _ranges(self.starts[used], self.ends[used])
+        return doc, word, part, self.buckets[at].astype(np.int64), owner, len(used)
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of some ranges, one range after the other, and the range of each."""
+    size = ends - starts
+    of = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + starts[of], of
 
 
 def train(texts: pa.Array, labels: np.ndarray, seed: int = 1) -> Model:
@@ -129,18 +142,20 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 1) -> Model:
     order = np.concatenate([rng.permutation(len(labels)) for _ in range(-(-steps * BATCH // len(labels)))])
     for step in range(steps):
         which = order[step * BATCH : (step + 1) * BATCH]
-        doc, word, part, bucket, size = bags.batch(which)
-        owner = np.repeat(np.arange(len(size)), size)
-        total = lambda at, x, n: np.stack([np.bincount(at, x[:, d], n) for d in range(DIMS)], axis=1)
-        vectors = total(owner, p["e"][bucket], len(size)) / size[:, None]
-        inner = total(doc, vectors[word] * part[:, None], len(which))
+        doc, word, part, bucket, owner, count = bags.batch(which)
+        size = np.bincount(owner, minlength=count)
+        # One dimension after the other, so that no array has all of them for every n-gram.
+        summed = lambda at, n, of: np.stack([np.bincount(at, of(d), n) for d in range(DIMS)], axis=1)
+        vectors = summed(owner, count, lambda d: p["e"][:, d][bucket]) / size[:, None]
+        inner = summed(doc, len(which), lambda d: vectors[:, d][word] * part)
         odds = inner @ p["w"] + p["b"]
         odds = np.exp(odds - odds.max(axis=1, keepdims=True))
         error = odds / odds.sum(axis=1, keepdims=True)
         error[np.arange(len(which)), labels[which]] -= 1
         error *= weight[which, None] / len(which)
-        back = total(word, (error @ p["w"].T)[doc] * part[:, None], len(size)) / size[:, None]
-        g = {"w": inner.T @ error, "b": error.sum(axis=0), "e": total(bucket, back[owner], BUCKETS)}
+        of_doc = error @ p["w"].T
+        back = summed(word, count, lambda d: of_doc[:, d][doc] * part) / size[:, None]
+        g = {"w": inner.T @ error, "b": error.sum(axis=0), "e": summed(bucket, BUCKETS, lambda d: back[:, d][owner])}
         rate = RATE * (1 - step / steps)
         for k in p:
             m[k] = 0.9 * m[k] + 0.1 * g[k]
