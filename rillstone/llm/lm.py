@@ -34,7 +34,7 @@ from rillstone.llm.text import U, Words, mix, words
 
 DISCOUNT = 0.75
 HOT = 1000
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 END, START = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
 
 
@@ -120,7 +120,10 @@ class Request:
             key, n, (before, token), place = _distinct(pair(before, stream), used, before, stream)
             parts.append((key, n, before, token))
             self.pieces.append((bounds, key, place))
-        key, n, (before, token), _ = _distinct(*(np.concatenate(x) for x in zip(*parts)))
+        joined = [np.concatenate(x) for x in zip(*parts)]
+        del parts
+        key, n, (before, token), _ = _distinct(*joined)
+        del joined
         shard = np.where(among(before, hot), mix(token, 51), mix(before, 52)) % U(shards)
         # Sorted by shard and history together; a stable sort keeps the order of keys within a history.
         bits = U(64 - int(shards).bit_length())
@@ -171,7 +174,8 @@ class Request:
     def scores(self, model: Automaton) -> np.ndarray:
         """Tokens, known tokens, base score and score of each document."""
         steps = np.empty((len(self.sorted), 3))
-        steps[self.order] = np.stack(model.steps(), axis=1)
+        for i, step in enumerate(model.steps()):
+            steps[self.order, i] = step
         out = []
         for bounds, key, place in self.pieces:
             taken = steps[np.searchsorted(self.sorted, key)][place]
