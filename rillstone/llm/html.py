@@ -3,13 +3,13 @@
 A page is read into a tree of its block elements; inline markup is seen through. Per host, the smallest page of the most
 frequent outline is the reference, and every page of the host is aligned to it by simple tree matching: two nodes match
 if their labels do, and children are matched in order so that most nodes match (equal texts count twice). A reference
-node whose text is the same on nearly all pages that match it is template; nodes that vary are slots. The node that
-holds most varying text, followed down from the body through containers, is the content root. Pages that repeat most of
-the reference's text are copies of it and do not vote, or a copied article would look like template.
+node whose text is the same on nearly all pages that match it is template; nodes that vary are slots. Pages that repeat
+most of the reference's text are copies of it and do not vote, or a copied article would look like template.
 
-A page's text is what stands below the node matched to the host's content root, without template and without elements
-whose tag, role, class or id says that they are menus, headers, footers, sidebars, notices, adverts, forms, comments and
-the like. A page that does not match, or is alone on its host, has its root found in the same way from itself.
+A page's text is what stands below its content root, without template and without elements whose tag, role, class or id
+says that they are menus, headers, footers, sidebars, notices, adverts, forms, comments and the like. The root is the
+article or main element that the host's root matches, or else the one to which the containers with most of the page's
+varying text lead; without such an element, it is the innermost of these containers that holds all of that text.
 
 Alignment needs labels, parents and text hashes only, so whole pages move once, to meet their host's wrapper. Pages are
 streamed past it and never gathered; adaptive execution cuts a host with many pages over several tasks.
@@ -44,6 +44,7 @@ BLOCK = frozenset(
     "summary table tbody td tfoot th thead tr ul caption button".split()
 )
 CONTAINER = frozenset("html body div section article main center table tbody tr td blockquote".split())
+LINKED = frozenset("h1 h2 h3 h4 h5 h6 hgroup p".split())
 DROPPED = frozenset("nav footer aside form button select option fieldset legend dialog menu search head".split())
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner promo promotion sponsor sponsored sidebar comment comments "
@@ -211,13 +212,13 @@ class Tree:
 
 
 def tree_of(page: Page) -> Tree:
-    """Text sizes leave out links, as lists of links are no article."""
+    """Text sizes leave out links, as lists of links are no article, but not those in headings and paragraphs."""
     texts: list[list[str]] = [[] for _ in page.tags]
     sizes = [0] * len(page.tags)
     for node, text, link in page.items:
         if text:
             texts[node].append(text)
-            sizes[node] += 0 if link else len(text.strip())
+            sizes[node] += 0 if link and page.tags[node] not in LINKED else len(text.strip())
     hashes = [_hash(" ".join("".join(t).split())) for t in texts]
     labels = [_hash(f"{t} {m}") for t, m in zip(page.tags, page.marks)]
     flags = [o + 2 * (t in CONTAINER) + 4 * (t in ("article", "main")) for o, t in zip(page.out, page.tags)]
@@ -330,9 +331,10 @@ def _dropped(tree: Tree) -> list[bool]:
 
 
 def content_root(tree: Tree, template: set[int]) -> int:
-    """Down from the top, as long as one container holds most of the text that is no template."""
+    """Down from the top, as long as one container holds most of the text that is no template. Unless that ends at an
+    article, back up to where none of this text stands outside."""
     total = _totals(tree, lambda i: 0 if i in template else tree.sizes[i])
-    node = 0
+    node = whole = 0
     while not tree.flags[node] & 4:
         inside = [c for c in tree.children[node] if not tree.flags[c] & 1 and tree.flags[c] & 2]
         main = max(inside, key=lambda c: total[c], default=None)
@@ -340,8 +342,10 @@ def content_root(tree: Tree, template: set[int]) -> int:
             # An article in a body that has more text outside it is the article still.
             main = max((c for c in inside if tree.flags[c] & 4), key=lambda c: total[c], default=None)
             if main is None or not total[main]:
-                break
+                return whole
         node = main
+        if total[node] == total[0]:
+            whole = node
     return node
 
 
@@ -365,8 +369,9 @@ def main_text(html: str, wrapper: Wrapper | None) -> str:
     template = {
         y for x, y in matched.items() if x in wrapper.template and tree.texts[y] == wrapper.reference.texts[x]
     }
+    # The host's root holds only if it is an article: any other may have text beside it that its reference has not.
     root = matched.get(wrapper.root) if wrapper else None
-    if root is None or not tree.flags[root] & 4 and any(f & 4 for f in tree.flags):
+    if root is None or not tree.flags[root] & 4:
         root = content_root(tree, template)
     inside = [False] * len(tree.labels)
     for i, p in enumerate(tree.parents):

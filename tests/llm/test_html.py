@@ -89,3 +89,28 @@ def test_align_prefers_equal_texts():
     matched = html.align(a, b)
     last = {a.texts[x] == b.texts[y] for x, y in matched.items() if x == len(a.labels) - 1}
     assert last == {True}
+
+
+def test_text_beside_the_largest_container_stays():
+    long = prose(random.Random(4), 40)
+    post = '<div class="post"><h1>{}</h1><p>{}</p><div class="text"><p>{}</p></div><p>{}</p></div>'
+    assert text_of(f"<body>{post.format('Title', 'Lead', long, 'End')}</body>") == f"Title\nLead\n{long}\nEnd"
+    assert text_of(f'<div><h1><a href="/">T</a></h1><div><p>{long}</p></div></div>') == f"T\n{long}"
+    for tag in ("blockquote", "section", "table"):
+        inner = f"<tr><td>{long}</td></tr>" if tag == "table" else f"<p>{long}</p>"
+        assert text_of(f"<div><p>Before</p><{tag}>{inner}</{tag}><p>After</p></div>") == f"Before\n{long}\nAfter"
+
+
+def test_host_with_nested_divs(spark):
+    rng = random.Random(8)
+    rows, want = [], {}
+    for i in range(12):
+        # The smallest page has no title and no lead.
+        title, lead, text = prose(rng, 4), prose(rng, 6), prose(rng, 50)
+        head = f"<h1>{title}</h1><p>{lead}</p>" if i else ""
+        top, end = "<div><p>The Daily Thing</p></div>", "<div><p>All rights kept.</p></div>"
+        page = f'<body>{top}<div class="post">{head}<div class="text"><p>{text}</p></div></div>{end}</body>'
+        rows.append((i, f"http://nested.example/{i}", page))
+        want[i] = "\n".join([title, lead, text] if i else [text])
+    got = html.extract(frame(spark, rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
