@@ -15,14 +15,16 @@ Alignment needs labels, parents and text hashes only, so whole pages move once,
 streamed past it and never gathered; adaptive execution cuts a host with many pages over several tasks.
 
 Defined results: NULL, empty or textless html has an empty text; NULL and unreadable urls are one host; repeated rows
-are pages of their own; elements nested deeper than DEEPEST stand beside each other; cut tags at the end are dropped;
-other columns are not looked at.
+are pages of their own; elements nested deeper than DEEPEST stand beside each other below the one at that depth, and
+their end tags close nothing above it; lists of children with more than CELLS pairs are aligned in a band; cut tags at the
+end are dropped; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from rillstone.llm.common import settle
 
 DEEPEST = 120
+CELLS, BAND = 1 << 20, 64
 VOTES, CONSTANT, COPY, MAIN = 5, 0.8, 0.5, 0.5
 
 # Element names of HTML by their role, and words that mark parts of a page.
@@ -104,21 +107,50 @@ def _marks(attributes: str) -> tuple[str, bool]:
     return " ".join(values), out
 
 
+class _Surplus:
+    """Open elements below DEEPEST. In the tree they stand beside each other; only one that is no content holds others."""
+
+    def __init__(self):
+        self.open: list[tuple[str, int]] = []
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+        self.outs: list[int] = []
+
+    def push(self, tag: str, node: int, out: bool) -> None:
+        at = len(self.open)
+        self.open.append((tag, node))
+        self.places[tag].append(at)
+        if tag in BLOCK:
+            self.blocks.append(at)
+        if out:
+            self.outs.append(at)
+
+    def cut(self, size: int) -> None:
+        while len(self.open) > size:
+            tag, _ = self.open.pop()
+            self.places[tag].pop()
+        for places in (self.blocks, self.outs):
+            while places and places[-1] >= size:
+                places.pop()
+
+
 def parse(html: str) -> Page:
     """The tree of a page. Lenient: unclosed, unopened and badly nested elements are taken as browsers take them."""
     page = Page()
     root = page.open("html", "", -1, False)
     stack: list[tuple[str, int]] = [("html", root)]  # open elements; inline ones have the node around them
+    deep = _Surplus()
     links, at, size = 0, 0, len(html)
     while at < size:
         found = _TAG.search(html, at)
         text = html[at : found.start()] if found else html[at:]
+        inside = (deep.open or stack)[-1][1]
         if text:
-            page.items.append((stack[-1][1], text, links > 0))
+            page.items.append((inside, text, links > 0))
         if not found:
             # A tag that is cut off by the end of the page, or that has an open quote, is no text.
             if cut := re.search(r"<[a-zA-Z/!]", text):
-                page.items[-1] = (stack[-1][1], text[: cut.start()], links > 0)
+                page.items[-1] = (inside, text[: cut.start()], links > 0)
             break
         at = found.end()
         slash, tag, attributes, _ = found.groups()
@@ -128,16 +160,21 @@ def parse(html: str) -> Page:
         if slash:
             links -= links > 0 and tag == "a"
             names = [t for t, _ in stack]
-            if tag not in names[1:]:
+            last = deep.places[tag][-1] if deep.places.get(tag) else -1
+            if last < 0 and tag not in names[1:]:
                 if tag == "p" or tag in BLOCK:
-                    page.items.append((stack[-1][1], "", False))
+                    page.items.append((inside, "", False))
+                continue
+            # An inline end tag closes no block.
+            if tag not in BLOCK and deep.blocks and deep.blocks[-1] > last:
+                continue
+            if last < 0 and tag not in BLOCK and any(t in BLOCK for t in names[len(names) - names[::-1].index(tag) :]):
                 continue
-            if tag not in BLOCK and any(t in BLOCK for t in names[len(names) - names[::-1].index(tag) :]):
-                continue  # an inline end tag closes no block
-            while stack.pop()[0] != tag:
+            deep.cut(max(last, 0))
+            while last < 0 and stack.pop()[0] != tag:
                 pass
             if tag in BLOCK:
-                page.items.append((stack[-1][1], "", False))
+                page.items.append(((deep.open or stack)[-1][1], "", False))
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(html, at)
@@ -146,25 +183,28 @@ def parse(html: str) -> Page:
             continue
         if tag in VOID:
             if tag in ("br", "hr"):
-                page.items.append((stack[-1][1], " " if tag == "br" else "", False))
+                page.items.append((inside, " " if tag == "br" else "", False))
             continue
         if tag in BLOCK:
-            _close_implied(stack, tag)
-            page.items.append((stack[-1][1], "", False))
+            if not deep.open:
+                _close_implied(stack, tag)
+                inside = stack[-1][1]
+            page.items.append((inside, "", False))
             if tag == "body" and any(t == "body" for t, _ in stack):
                 continue
         links += tag == "a"
         marks, out = _marks(attributes)
-        out |= tag in DROPPED or tag == "header" and not any(t in ("article", "main") for t, _ in stack)
+        out |= tag in DROPPED or tag == "header" and not any(t in ("article", "main") for t, _ in [*stack, *deep.open])
         if tag == "html":
             continue
-        inside = stack[-1][1]
         if tag in BLOCK or tag == "head" or out:
+            if deep.open:
+                inside = deep.open[deep.outs[0]][1] if deep.outs else stack[-1][1]
             inside = page.open(tag, marks, inside, out)
         if len(stack) < DEEPEST:
             stack.append((tag, inside))
         else:
-            stack[-1] = (tag, inside)
+            deep.push(tag, inside, out)
     return page
 
 
@@ -254,56 +294,128 @@ def _totals(tree: Tree, of) -> list[int]:
     return out
 
 
+def _shapes(tree: Tree) -> tuple[list[int], list[int]]:
+    """For each node a hash of all that stands below it, and the number of nodes."""
+    shapes, sizes = [0] * len(tree.labels), [1] * len(tree.labels)
+    for i in range(len(shapes) - 1, -1, -1):
+        below = tree.children[i]
+        shapes[i] = hash((tree.labels[i], tree.texts[i], *[shapes[c] for c in below]))
+        sizes[i] += sum(sizes[c] for c in below)
+    return shapes, sizes
+
+
+class _Alignment:
+    """Simple tree matching of two pages, without recursion. Equal parts at both ends of two lists of children are
+    matched first, which is never worse. What is left is compared in full up to CELLS pairs; of longer lists each child
+    is compared with those around its place in the other list only, so that memory is linear in their length."""
+
+    def __init__(self, a: Tree, b: Tree):
+        self.a, self.b = a, b
+        (self.shapes, self.sizes), (self.others, _) = _shapes(a), _shapes(b)
+        self.known: dict[tuple[int, int], int] = {}  # the size of the best matching of two subtrees
+
+    def ends(self, x: int, y: int) -> tuple[int, int]:
+        """How many children of both are equal at the start, and how many at the end."""
+        xs, ys, p, q = self.a.children[x], self.b.children[y], self.shapes, self.others
+        most, first, last = min(len(xs), len(ys)), 0, 0
+        while first < most and p[xs[first]] == q[ys[first]]:
+            first += 1
+        while last < most - first and p[xs[-1 - last]] == q[ys[-1 - last]]:
+            last += 1
+        return first, last
+
+    def rows(self, x: int, y: int):
+        """(child of x, first place, end place) of the pairs to compare; places count the children of y left over."""
+        xs, ys = self.a.children[x], self.b.children[y]
+        first, last = self.ends(x, y)
+        xs, n = xs[first : len(xs) - last], len(ys) - first - last
+        band = n if len(xs) * n <= CELLS else max(CELLS // len(xs), BAND)
+        for i, c in enumerate(xs):
+            low = 0 if band >= n else min(max(i * n // len(xs) - band // 2, 0), n - band)
+            yield c, low, min(low + band, n)
+
+    def pair(self, c: int, d: int) -> int | None:
+        """The size of the best matching of two subtrees with equal labels at the top, None if not known yet."""
+        if self.shapes[c] == self.others[d]:
+            return 2 * self.sizes[c]
+        if not self.a.children[c] or not self.b.children[d]:
+            return 1 + (self.a.texts[c] == self.b.texts[d])
+        return self.known.get((c, d))
+
+    def table(self, x: int, y: int, missing: list) -> list[tuple[int, list[int]]]:
+        """(first place, sizes of the best matchings so far) after each child; pairs not known yet go to `missing`."""
+        la, lb, pair = self.a.labels, self.b.labels, self.pair
+        first, last = self.ends(x, y)
+        ys = self.b.children[y][first : len(self.b.children[y]) - last]
+        out = [(0, [0] * (len(ys) + 1 if len(self.a.children[x]) * len(ys) <= CELLS else 1))]
+        for c, low, high in self.rows(x, y):
+            before, row = out[-1]
+            # The best size with the places before each one; a row that ends stays as it is to its right.
+            whole = before == low and len(row) == high - low + 1
+            at = row if whole else [row[min(j - before, len(row) - 1)] for j in range(low, high + 1)]
+            made, left, label = [at[0]], at[0], la[c]
+            for j in range(low, high):
+                best = at[j - low + 1]
+                if best < left:
+                    best = left
+                if label == lb[ys[j]]:
+                    size = pair(c, ys[j])
+                    if size is None:
+                        missing.append((c, ys[j]))
+                    elif at[j - low] + size > best:
+                        best = at[j - low] + size
+                made.append(best)
+                left = best
+            out.append((low, made))
+        return out
+
+    def weigh(self) -> None:
+        todo = [(0, 0)] if self.pair(0, 0) is None else []
+        while todo:
+            x, y = todo[-1]
+            if (x, y) in self.known:
+                todo.pop()
+                continue
+            missing: list[tuple[int, int]] = []
+            table = self.table(x, y, missing)
+            if missing:
+                todo += missing
+                continue
+            first, last = self.ends(x, y)
+            xs = self.a.children[x]
+            equal = sum(2 * self.sizes[c] for c in [*xs[:first], *xs[len(xs) - last :]])
+            self.known[x, y] = 1 + (self.a.texts[x] == self.b.texts[y]) + equal + table[-1][1][-1]
+
+    def matched(self) -> dict[int, int]:
+        self.weigh()
+        out, todo = {}, [(0, 0)]
+        while todo:
+            x, y = todo.pop()
+            out[x] = y
+            xs, ys = self.a.children[x], self.b.children[y]
+            first, last = self.ends(x, y)
+            todo += [*zip(xs[:first], ys[:first]), *zip(xs[len(xs) - last :], ys[len(ys) - last :])]
+            if first + last in (len(xs), len(ys)):
+                continue
+            xs, ys = xs[first : len(xs) - last], ys[first : len(ys) - last]
+            table = self.table(x, y, [])
+            i, j = len(xs), table[-1][0] + len(table[-1][1]) - 1
+            while i:
+                (before, above), (low, row) = table[i - 1], table[i]
+                j = min(j, low + len(row) - 1)
+                if row[j - low] == above[min(j - before, len(above) - 1)]:
+                    i -= 1
+                elif row[j - low] == row[j - low - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    todo.append((xs[i], ys[j]))
+        return out
+
+
 def align(a: Tree, b: Tree) -> dict[int, int]:
     """Simple tree matching: nodes of b by the nodes of a they match."""
-    known: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def weigh(x: int, y: int) -> int:
-        """The size of the best matching of two subtrees with equal labels at the top."""
-        if (x, y) in known:
-            return known[x, y][0]
-        xs, ys = a.children[x], b.children[y]
-        own = 1 + (a.texts[x] == b.texts[y])
-        table: list = []
-        if xs and ys:
-            la, lb = a.labels, b.labels
-            table = [[0] * (len(ys) + 1)]
-            for c in xs:
-                last, row, left = table[-1], [0], 0
-                for j, d in enumerate(ys):
-                    best = last[j + 1] if last[j + 1] > left else left
-                    if la[c] == lb[d]:
-                        both = last[j] + weigh(c, d)
-                        if both > best:
-                            best = both
-                    row.append(best)
-                    left = best
-                table.append(row)
-            own += table[-1][-1]
-        known[x, y] = own, table
-        return own
-
-    if a.labels[0] != b.labels[0]:
-        return {}
-    weigh(0, 0)
-    out, todo = {}, [(0, 0)]
-    while todo:
-        x, y = todo.pop()
-        out[x] = y
-        table = known[x, y][1]
-        if not table:
-            continue
-        xs, ys = a.children[x], b.children[y]
-        i, j = len(xs), len(ys)
-        while i and j:
-            if table[i][j] == table[i - 1][j]:
-                i -= 1
-            elif table[i][j] == table[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                todo.append((xs[i], ys[j]))
-    return out
+    return _Alignment(a, b).matched() if a.labels[0] == b.labels[0] else {}
 
 
 def votes(reference: Tree, page: Tree) -> np.ndarray | None:

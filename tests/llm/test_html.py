@@ -114,3 +114,55 @@ def test_host_with_nested_divs(spark):
         want[i] = "\n".join([title, lead, text] if i else [text])
     got = html.extract(frame(spark, rows, "page_id long, url string, html string")).collect()
     assert {r["page_id"]: r["text"] for r in got} == want
+
+
+def test_surplus_end_tags():
+    deep = "<div>" * 200 + "x" + "</div>" * 200
+    assert text_of(f"<article>{deep}<p>after</p></article><p>outside</p>") == "x\nafter"
+    # What is no content holds what stands in it, however deep.
+    menu = '<nav><ul><li>menu</li></ul></nav>'
+    assert text_of("<main>" + "<div>" * 200 + menu + "y</b></i><b>z</b>" + "</div>" * 200 + "<p>end</p></main>") == "yz\nend"
+    parents = html.parse("<div>" * 5000 + "x").parents
+    depth = [0]
+    for p in parents[1:]:
+        depth.append(depth[p] + 1)
+    assert max(depth) <= html.DEEPEST
+
+
+def matching(a: html.Tree, b: html.Tree, x: int = 0, y: int = 0) -> int:
+    """The size of the best matching of two small trees, as defined."""
+    best = [[0] * (len(b.children[y]) + 1) for _ in range(len(a.children[x]) + 1)]
+    for i, c in enumerate(a.children[x]):
+        for j, d in enumerate(b.children[y]):
+            both = best[i][j] + matching(a, b, c, d) if a.labels[c] == b.labels[d] else 0
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], both)
+    return 1 + (a.texts[x] == b.texts[y]) + best[-1][-1]
+
+
+@pytest.mark.parametrize("cells", [1 << 20, 4])
+def test_align_is_the_best_matching(monkeypatch, cells):
+    monkeypatch.setattr(html, "CELLS", cells)
+    monkeypatch.setattr(html, "BAND", 2)
+    rng = random.Random(11)
+
+    def tree() -> html.Tree:
+        n = rng.randint(1, 12)
+        parents = [-1, *[rng.randint(max(0, i - 3), i) for i in range(n)]]
+        return html.Tree([0, *[rng.randint(0, 1) for _ in range(n)]], parents, [rng.randint(0, 2) for _ in range(n + 1)], [1] * (n + 1), [0] * (n + 1))
+
+    for _ in range(500):
+        a, b = tree(), tree()
+        got = html.align(a, b)
+        assert len(set(got.values())) == len(got)
+        assert all(a.labels[x] == b.labels[y] and (x == 0 or got[a.parents[x]] == b.parents[y]) for x, y in got.items())
+        size = sum(1 + (a.texts[x] == b.texts[y]) for x, y in got.items())
+        assert size == matching(a, b) if cells > 4 else size <= matching(a, b)
+
+
+def test_deep_and_long_pages_through_hosts(spark):
+    deep = "<div>" * 5000 + "x" + "</div>" * 5000
+    long = ["".join(f"<p>{k} {i}</p>" for i in range(20000)) for k in ("a", "b")]
+    pages = [("deep", deep), ("long", long[0]), ("both", long[0]), ("both", long[1] + "<p>c</p>")]
+    rows = [(i, f"http://{name}.example/", f"<body>{page}</body>") for i, (name, page) in enumerate(pages)]
+    got = {r["page_id"]: r["text"] for r in html.extract(frame(spark, rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == "x" and [got[i].count("\n") for i in (1, 2, 3)] == [19999, 19999, 20000]
