@@ -1,10 +1,11 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
-A page is read into a tree of its block elements; inline markup is seen through. Per host, the smallest page of the most
-frequent outline is the reference, and every page of the host is aligned to it by simple tree matching: two nodes match
+A page is read into a tree of its block elements; inline markup is seen through. Per host, a page of median size of the
+most frequent outline is the reference, and every page of the host is aligned to it by simple tree matching: two nodes match
 if their labels do, and children are matched in order so that most nodes match (equal texts count twice). A reference
 node whose text is the same on nearly all pages that match it is template; nodes that vary are slots. Pages that repeat
-most of the reference's text are copies of it and do not vote, or a copied article would look like template.
+most of the reference's text are copies of it and do not vote, or a copied article would look like template; only text
+that is not on nearly all pages counts for that, and of a page with an article its text alone.
 
 A page's text is what stands below its content root, without template and without elements whose tag, role, class or id
 says that they are menus, headers, footers, sidebars, notices, adverts, forms, comments and the like. The root is the
@@ -36,7 +37,7 @@ from rillstone.llm.common import settle
 
 DEEPEST = 120
 CELLS, BAND = 1 << 20, 64
-VOTES, CONSTANT, COPY, MAIN = 5, 0.8, 0.5, 0.5
+VOTES, CONSTANT, COPY, MAIN, LEAST = 5, 0.8, 0.5, 0.5, 24
 
 # Element names of HTML by their role, and words that mark parts of a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -418,20 +419,31 @@ def align(a: Tree, b: Tree) -> dict[int, int]:
     return _Alignment(a, b).matched() if a.labels[0] == b.labels[0] else {}
 
 
-def votes(reference: Tree, page: Tree) -> np.ndarray | None:
+def telling(reference: Tree, seen: np.ndarray, own: np.ndarray) -> list[int]:
+    """The nodes of the reference that tell whether a page is a copy of it: those of its articles, if it has any, whose
+    text is not on nearly all pages of the host or of the same outline. None if hardly any text is left. The counts are
+    of pages that hold each node's text, and of all pages at the end."""
+    outside = _dropped(reference)
+    within = [False] * len(reference.labels)
+    for i, p in enumerate(reference.parents):
+        within[i] = not outside[i] and (bool(reference.flags[i] & 4) or p >= 0 and within[p])
+    scope = [i for i, w in enumerate(within) if (w if any(within) else not outside[i]) and reference.sizes[i]]
+    common = seen[:-1] >= CONSTANT * seen[-1]
+    if own[-1] >= VOTES:
+        common |= own[:-1] >= CONSTANT * own[-1]
+    rare = [i for i in scope if not common[i]]
+    return rare if sum(reference.sizes[i] for i in rare) >= LEAST else []
+
+
+def votes(reference: Tree, page: Tree, tell: list[int]) -> np.ndarray | None:
     """For each node of the reference whether the page matches it, and with the same text; None for copies."""
+    if not tell:
+        return None
     matched = align(reference, page)
     out = np.zeros((2, len(reference.labels)), dtype=np.int64)
-    same = total = 0
-    outside = _dropped(reference)
-    for x in range(len(reference.labels)):
-        size = 0 if outside[x] else reference.sizes[x]
-        total += size
-        if x in matched:
-            out[0, x] = 1
-            if reference.texts[x] == page.texts[matched[x]]:
-                out[1, x] = 1
-                same += size
+    for x, y in matched.items():
+        out[:, x] = 1, reference.texts[x] == page.texts[y]
+    same, total = (sum(reference.sizes[x] for x in of) for of in ([x for x in tell if out[1, x]], tell))
     return None if same > COPY * total else out
 
 
@@ -532,23 +544,49 @@ def _profiles(batches):
             yield pa.RecordBatch.from_arrays(columns, names=["host", "outline", "nodes", "tree"])
 
 
-def _voted(batches):
-    """(host, matched, same) sums of each batch."""
+def _counts(reference: Tree, page: Tree, alike: bool) -> np.ndarray:
+    """For each node of the reference whether its text is on the page, and if the page has its outline; 1 at the end."""
+    held = set(page.texts)
+    seen = np.array([*(t in held for t in reference.texts), True], dtype=np.int64)
+    return np.array([seen, seen * alike])
+
+
+def _summed(rows: DataFrame, count, names: tuple[str, str]) -> DataFrame:
+    """(host, v) from (host, tree, reference, more): the sums of the two numbers which `count` gives for each node."""
+
+    def run(batches):
+        for batch in batches:
+            sums: dict[str, np.ndarray] = {}
+            references: dict[str, Tree] = {}
+            for name, tree, reference, more in zip(*(batch.column(i) for i in range(4))):
+                name = name.as_py()
+                if name not in references:
+                    references[name] = Tree.from_bytes(reference.as_py())
+                got = count(references[name], Tree.from_bytes(tree.as_py()), more.as_py())
+                if got is not None:
+                    sums[name] = sums[name] + got if name in sums else got
+            if sums:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(sums))] + [pa.array([s[i].tolist() for s in sums.values()]) for i in (0, 1)],
+                    names=["host", *names],
+                )
+
+    one, two = names
+    summed = rows.mapInArrow(run, f"host string, {one} array<bigint>, {two} array<bigint>")
+    nodes = summed.select("host", F.posexplode(F.arrays_zip(one, two)).alias("node", "v"))
+    sums = nodes.groupBy("host", "node").agg(F.sum(f"v.{one}").alias(one), F.sum(f"v.{two}").alias(two))
+    return sums.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", one, two))).alias("v"))
+
+
+def _told(batches):
+    """Each host's reference with its telling nodes."""
     for batch in batches:
-        sums: dict[str, np.ndarray] = {}
-        references: dict[str, Tree] = {}
-        for name, tree, reference in zip(*(batch.column(i) for i in range(3))):
-            name = name.as_py()
-            if name not in references:
-                references[name] = Tree.from_bytes(reference.as_py())
-            got = votes(references[name], Tree.from_bytes(tree.as_py()))
-            if got is not None:
-                sums[name] = sums[name] + got if name in sums else got
-        if sums:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums))] + [pa.array([s[i].tolist() for s in sums.values()]) for i in (0, 1)],
-                names=["host", "matched", "same"],
-            )
+        lists = []
+        for reference, v in zip(batch.column(1), batch.column(2)):
+            counts = np.array([(x["seen"], x["own"]) for x in v.as_py()]).T
+            lists.append(telling(Tree.from_bytes(reference.as_py()), *counts))
+        columns = [batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["host", "reference", "tell"])
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
@@ -556,17 +594,18 @@ def wrappers(pages: DataFrame) -> DataFrame:
     many with the same text."""
     read = pages.select("host", "html").mapInArrow(_profiles, "host string, outline long, nodes long, tree binary")
     profiles = settle(read, "page-trees")
-    outlines = profiles.groupBy("host", "outline").agg(
-        F.count("*").alias("n"), F.min(F.struct("nodes", F.xxhash64("tree").alias("tie"), "tree")).alias("least")
-    )
-    best = F.max(F.struct("n", "outline", "least.tree")).alias("best")
-    hosts = settle(outlines.groupBy("host").agg(best).select("host", F.col("best.tree").alias("reference")), "hosts")
-    asked = profiles.select("host", "tree").join(hosts, "host").select("host", "tree", "reference")
-    summed = asked.mapInArrow(_voted, "host string, matched array<bigint>, same array<bigint>")
-    nodes = summed.select("host", F.posexplode(F.arrays_zip("matched", "same")).alias("node", "v"))
-    sums = nodes.groupBy("host", "node").agg(F.sum("v.matched").alias("matched"), F.sum("v.same").alias("same"))
-    lists = sums.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "matched", "same"))).alias("v"))
-    return settle(hosts.join(lists, "host", "left"), "wrappers")
+    outlines = profiles.groupBy("host", "outline").agg(F.count("*").alias("n"), F.median("nodes").alias("middle"))
+    best = outlines.groupBy("host").agg(F.max(F.struct("n", "outline", "middle")).alias("best"))
+    alike = profiles.join(best.select("host", "best.outline", "best.middle"), ["host", "outline"])
+    order = F.struct(F.abs(F.col("nodes") - F.col("middle")).alias("off"), F.xxhash64("tree").alias("tie"), "tree")
+    hosts = alike.groupBy("host").agg(F.min(F.struct(order.alias("o"), "outline")).alias("least"))
+    hosts = settle(hosts.select("host", F.col("least.outline").alias("best"), F.col("least.o.tree").alias("reference")), "hosts")
+    asked = profiles.join(hosts, "host").select("host", "tree", "reference", F.expr("outline = best").alias("more"))
+    told = hosts.drop("best").join(_summed(asked, _counts, ("seen", "own")), "host")
+    told = settle(told.mapInArrow(_told, "host string, reference binary, tell array<int>"), "telling")
+    asked = profiles.select("host", "tree").join(told, "host").select("host", "tree", "reference", "tell")
+    lists = _summed(asked, votes, ("matched", "same"))
+    return settle(hosts.drop("best").join(lists, "host", "left"), "wrappers")
 
 
 def extract(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

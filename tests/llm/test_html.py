@@ -166,3 +166,18 @@ def test_deep_and_long_pages_through_hosts(spark):
     rows = [(i, f"http://{name}.example/", f"<body>{page}</body>") for i, (name, page) in enumerate(pages)]
     got = {r["page_id"]: r["text"] for r in html.extract(frame(spark, rows, "page_id long, url string, html string")).collect()}
     assert got[0] == "x" and [got[i].count("\n") for i in (1, 2, 3)] == [19999, 19999, 20000]
+
+
+def test_boilerplate_longer_than_the_story(spark):
+    rng = random.Random(12)
+    rows, want = [], {}
+    notice = prose(rng, 150)
+    for i in range(20):
+        story = f"{prose(rng, 12)} {i}"
+        rows.append((i, f"http://short.example/{i}", f"<body><div><p>{notice}</p></div><div><p>{story}</p></div></body>"))
+        want[i] = story
+    # A copied story is none: it is on few pages of the host.
+    rows += [(100 + i, *rows[3][1:]) for i in range(8)]
+    want |= {100 + i: want[3] for i in range(8)}
+    got = html.extract(frame(spark, rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
