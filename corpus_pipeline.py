@@ -36,7 +36,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack_documents(docs, path, public_tokenizers.PATTERN)
+    return packing.pack_documents(docs, path, public_tokenizers.PATTERN, added=True)
 
 
 STAGES = [

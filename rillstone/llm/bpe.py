@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 LONG = 1 << 16
 _SAFE = re.compile(r"(?<=\w) (?=\w)")
-_CODECS: dict[tuple[str, str], object] = {}
+_CODECS: dict[tuple[str, str, bool], object] = {}
 
 
 def parts(text: str, most: int = LONG) -> Iterator[str]:
@@ -54,24 +54,42 @@ def ranks_of(path: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in t): model["vocab"][t] for t in [*byte_of, *merged]}
 
 
+def added_of(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizers file and their ids. That library finds them in texts unless told not to."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, encoding="utf-8") as text:
+        tokens = [t for t in json.load(text).get("added_tokens") or [] if t["content"]]
+    if any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{path} has added tokens that take in or look at what is around them")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 class Codec:
-    """A tiktoken encoding made from a local file; one per process, file and pattern."""
+    """A tiktoken encoding made from a local file; one per process, file, pattern and treatment of added tokens."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, added: bool = False):
         import tiktoken
 
         ranks = ranks_of(path)
-        self.encoding = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.added = added_of(path) if added else {}
+        self.encoding = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self.added)
+        # Leftmost matches, of several at one place the longest.
+        longest = sorted(self.added, key=len, reverse=True)
+        self.splits = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
 
     @classmethod
-    def of(cls, path: str, pattern: str) -> Codec:
-        if (path, pattern) not in _CODECS:
-            _CODECS[path, pattern] = cls(path, pattern)
-        return _CODECS[path, pattern]
+    def of(cls, path: str, pattern: str, added: bool = False) -> Codec:
+        if (path, pattern, added) not in _CODECS:
+            _CODECS[path, pattern, added] = cls(path, pattern, added)
+        return _CODECS[path, pattern, added]
 
     def encode(self, text: str) -> np.ndarray:
         """The ids as little-endian unsigned 32-bit integers."""
-        ids = [np.array(self.encoding.encode_ordinary(p), dtype="<u4") for p in parts(text)]
+        ids = []
+        for i, between in enumerate(self.splits.split(text) if self.splits else [text]):
+            own = [[self.added[between]]] if i % 2 else map(self.encoding.encode_ordinary, parts(between))
+            ids += [np.array(o, dtype="<u4") for o in own]
         return ids[0] if len(ids) == 1 else np.concatenate(ids)
 
     def decode(self, ids: np.ndarray) -> bytes:

@@ -40,14 +40,14 @@ def cut(tokens: int, room: int = ROOM) -> list[tuple[int, int]]:
 
 
 def token_pieces(
-    df: DataFrame, path: str, pattern: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text"
+    df: DataFrame, path: str, pattern: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text", added: bool = False
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) for each piece of each document's ids and the end id."""
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        codec = Codec.of(path, pattern)
+        codec = Codec.of(path, pattern, added)
         end = np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
@@ -164,10 +164,12 @@ def pack(pieces: DataFrame, room: int = ROOM) -> DataFrame:
 
 
 def pack_documents(
-    df: DataFrame, path: str, pattern: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text"
+    df: DataFrame, path: str, pattern: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text", added: bool = False
 ) -> DataFrame:
     """Every piece of every document with its sequence and its place there.
 
-    `path` may be a tokenizers file; the ids are those that library gives, here made by the faster one.
+    `path` may be a tokenizers file; the ids are those that library gives, here made by the faster one: with `added`
+    those of its default settings, by which the file's added tokens are found in texts, else those that it gives with
+    encode_special_tokens, by which their names are text like any other.
     """
-    return pack(token_pieces(df, path, pattern, room, doc_id, text), room)
+    return pack(token_pieces(df, path, pattern, room, doc_id, text, added), room)

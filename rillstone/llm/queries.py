@@ -53,7 +53,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, added=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -338,6 +338,28 @@ def test_packing(spark):
     assert packing.pack_documents(frame(spark, []), JSON, PATTERN).count() == 0
 
 
+def test_added_tokens_as_the_library_finds_them(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from rillstone.llm.queries import op10_best_fit_packing
+
+    reference = Tokenizer.from_file(JSON)
+    codec = bpe.Codec.of(JSON, PATTERN, added=True)
+    assert codec.encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    rng = random.Random(13)
+    bits = [*WORDS, " ", "  ", "\n", "<|endoftext|>", "<|endoftext|", "<|", "'s", "\x1c"]
+    texts = ["", "<|endoftext|>", "<|endoftext|>" * 2, "x" * 70000 + " <|endoftext|> y", *ODD]
+    texts += ["".join(rng.choice(bits) for _ in range(30)) for _ in range(300)]
+    for t in texts:
+        assert codec.encode(t).tolist() == reference.encode(t, add_special_tokens=False).ids
+    frame(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in op10_best_fit_packing(spark, str(tmp_path)).where("start = 0").collect()}
+    for i, t in enumerate(texts):
+        ids = np.array([*reference.encode(t, add_special_tokens=False).ids, 0], dtype="<u4")
+        if len(ids) <= 2048:
+            assert got[i] == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_words_of_slices():
     from rillstone.llm.text import words
 
