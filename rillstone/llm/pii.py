@@ -1,16 +1,20 @@
 """Personal data: fixed patterns, and terms that disclose what the patterns found.
 
-Entities are the values of the four patterns (e-mail, IP address, card and phone number). A term is a run of letters,
-without case. The corpus tells how strongly a term t in an entity e's context (WINDOW words to each side, on the same
-line) reveals it: by pointwise mutual information against the entity's information content,
+Entities are the classes of the values that the four patterns find: an e-mail's domain, an IP address's first three
+numbers, a card's issuer (six digits), a phone number without its last four digits. What a term tells about a value it
+tells about the value's class at least, so both are protected; the kind is not, as the placeholder says it. A term is a
+run of letters, without case. The corpus tells how strongly a term t in an entity e's context (WINDOW words to each
+side, on the same line) reveals it: by pointwise mutual information against the entity's information content,
 
     PMI(t; e) - IC(e) = log2 p(e | t) = log2( lines with e near t / lines with t ),
 
 which is 0 if t stands nowhere else, and minus the bits that still hide e otherwise. Terms that leave at most one bit
 (p >= 1/2) exceed the threshold: with p >= 0.9 they are removed, else generalised to a placeholder, wherever they stand.
-As p rests on few lines where an entity is rare, the pair must occur in CONTEXTS different lines (copies of a line are
-one context). Counts are over all lines of all documents; only terms that some entity has in its context are counted,
-found again by a bitmap of fixed size and an exact join.
+Where fewer than CONTEXTS different lines have the pair (copies of a line are one), p is not that share but its lower
+confidence bound (Wilson's, one-sided, SIGMAS standard deviations) on as many lines as differ: a term that is found
+beside one entity only has p = 0.38 on one line, where any rare word would do, and 0.55 on two. Counts are over all lines
+of all documents; only terms that some entity has in its context are counted, found again by a bitmap of fixed size and
+an exact join.
 
 Spans are in code points, end exclusive. Defined results: NULL and empty texts have no spans; repeated rows are counted
 each and get the same spans; NULL ids are kept; the other columns are passed on by sanitise() and not looked at.
@@ -32,6 +36,7 @@ from rillstone.llm.text import Words, words
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 WINDOW, CONTEXTS, EXCEEDS, REMOVES = 10, 3, 0.5, 0.9
+SIGMAS = 1.2816  # 90 % confidence
 _LOCAL = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(rb"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A run of digits is always taken from its first digit, so that a long one is read once.
@@ -101,6 +106,15 @@ def told(spans: dict[str, list[tuple[int, int]]], points: _Points) -> list[str]:
     return [f"{k}:{points[a]}:{points[b]}" for k in KINDS for a, b in spans[k]]
 
 
+def class_of(kind: str, value: bytes) -> bytes:
+    """What values of one kind have in common that may tell whose they are."""
+    if kind == "email":
+        return value.rpartition(b"@")[2].lower()
+    if kind == "ip":
+        return b".".join(p.lstrip(b"0") for p in value.split(b".")[:3])
+    return _digits(value)[:6] if kind == "card" else _digits(value)[:-4]
+
+
 def _signed_hash(value: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(value, digest_size=8).digest(), "little", signed=True)
 
@@ -125,7 +139,7 @@ def _contexts(w: Words, i: int, data: bytes, spans: dict[str, list[tuple[int, in
             line = data.rfind(b"\n", 0, x) + 1
             stop = data.find(b"\n", y)
             stop = len(data) if stop < 0 else stop
-            entity = _signed_hash(kind.encode() + data[x:y].lower())
+            entity = _signed_hash(kind.encode() + class_of(kind, data[x:y]))
             text = _signed_hash(data[line:stop])
             low, high = np.searchsorted(start, line), np.searchsorted(start, stop)
             left, right = np.searchsorted(end, x, side="right"), np.searchsorted(start, y)
@@ -169,12 +183,20 @@ def find(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
     return settle(rows.mapInArrow(_found, schema), "pii")
 
 
+def known_share(share: Column, contexts: Column) -> Column:
+    """The share that `contexts` different lines have made up; its lower confidence bound if they are few."""
+    n, z = contexts / share, F.lit(SIGMAS)
+    spread = z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+    bound = (share + z * z / (2 * n) - spread) / (1 + z * z / n)
+    return F.when(contexts >= CONTEXTS, share).otherwise(bound)
+
+
 def disclosing_terms(df: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
     """(term, p) of the terms that exceed the threshold for some entity."""
     near = found.select(F.explode("near").alias("x")).select("x.*")
     by_line = near.groupBy("entity", "term", "line").agg(F.count("*").alias("n"))
     pairs = by_line.groupBy("entity", "term").agg(F.sum("n").alias("near"), F.count("*").alias("contexts"))
-    pairs = settle(pairs.where(F.col("contexts") >= CONTEXTS), "pii-pairs")
+    pairs = settle(pairs, "pii-pairs")
     bits = bitmap(pairs, "term")
     if not bits.any():
         return pairs.select("term", F.lit(1.0).alias("p"))  # no rows
@@ -193,7 +215,7 @@ def disclosing_terms(df: DataFrame, found: DataFrame, text: str = "text") -> Dat
                 yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(n)], names=["term", "n"])
 
     counted = df.select(text).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("lines"))
-    share = pairs.join(counted, "term").select("term", (F.col("near") / F.col("lines")).alias("p"))
+    share = pairs.join(counted, "term").select("term", known_share(F.col("near") / F.col("lines"), F.col("contexts")).alias("p"))
     return settle(share.groupBy("term").agg(F.max("p").alias("p")).where(F.col("p") >= EXCEEDS), "pii-terms")
 
 

@@ -268,6 +268,28 @@ def test_pii(spark):
     assert pii.spans(frame(spark, [])).count() == 0
 
 
+def test_pii_terms_on_few_lines(spark):
+    rows = [(i, f"{prose(random.Random(i), 40)}\nsome words") for i in range(30)]
+    rows += [(100, "write to Quixley at a.b@one.example"), (101, "Quixley again: a.b@one.example, some words")]
+    # Two addresses of one domain, two numbers but for the last digits.
+    rows += [(102, "Vornheim x@two.example"), (103, "y@two.example some Vornheim"), (104, "+1 (243) 555-5526 Ostrava"), (105, "Ostrava +1 (243) 555-9999")]
+    # Copies of a line are one line; two domains have nothing in common; half of the lines have no address.
+    rows += [(106, "Copied z@three.example"), (107, "Copied z@three.example"), (108, "Twofold u@four.example"), (109, "some Twofold v@five.example")]
+    rows += [(110, "Halfway w@six.example"), (111, "some Halfway w@six.example"), (112, "Halfway"), (113, "some Halfway")]
+    texts = dict(rows)
+    shown = {
+        texts[r["doc_id"]][int(s.split(":")[1]) : int(s.split(":")[2])].lower()
+        for r in pii.spans(frame(spark, rows)).collect() for s in r["spans"].split(",") if s.startswith("term")
+    }
+    assert {"quixley", "vornheim", "ostrava"} <= shown
+    assert shown.isdisjoint({"copied", "twofold", "halfway", "some", "words"})
+
+
+def test_pii_classes():
+    got = [pii.class_of(k, v) for k, v in (("email", b"a@B.example"), ("ip", b"10.00.7.9"), ("card", b"4111 1111-1111 1111"), ("phone", b"+1 (243) 555-5526"))]
+    assert got == [b"b.example", b"10..7", b"411111", b"1243555"]
+
+
 def naive_best_fit(lengths: list[int], room: int) -> list[int]:
     """What is left in each bin, one piece at a time."""
     left: list[int] = []
