@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillstone.llm import bpe, embeddings, html, jaccard, lines, lm, merkle, packing, pii, toxicity
+from rillstone.llm import bpe, divergence, embeddings, html, jaccard, lines, lm, merkle, packing, pii, toxicity
 from rillstone.llm.common import table
 
 
@@ -56,10 +56,15 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, added=True)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"), least=30, top=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_embedding_near_dedup, op2_byte_bpe, op3_line_dedup, op4_html_main_text, op5_ngram_jaccard,
         op6_document_fingerprints, op7_backoff_lm, op8_toxicity, op9_personal_data, op10_best_fit_packing,
+        op11_source_divergence,
     ]
     return {f.__name__: f for f in named}
 
@@ -110,6 +115,41 @@ FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN k ON k.a = vec_id
 """
 
 
+#: Every kept term of a language for every source of it, counted or not.
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+c AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS of_lang,
+  sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT f.lang, source, term, f.n,
+  1 + (1000000000::HUGEINT * (f.n + 5)) // (total + 5 * v.v) AS p,
+  1 + (1000000000::HUGEINT * (of_lang + 5)) // (v.n + 5 * v.v) AS q FROM f JOIN v ON v.lang = f.lang),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+x AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM x QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries it can express; the others have brute-force versions in the tests."""
-    return {"op1_embedding_near_dedup": VECTORS_SQL, "op3_line_dedup": LINES_SQL, "op5_ngram_jaccard": JOIN_SQL}
+    return {
+        "op1_embedding_near_dedup": VECTORS_SQL,
+        "op3_line_dedup": LINES_SQL,
+        "op5_ngram_jaccard": JOIN_SQL,
+        "op11_source_divergence": DIVERGENCE_SQL,
+    }
