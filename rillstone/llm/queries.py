@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillstone.llm import bpe, divergence, embeddings, html, jaccard, lines, lm, merkle, packing, pii, toxicity
+from rillstone.llm import bpe, divergence, embeddings, html, jaccard, lines, lm, merkle, packing, pii, toxicity, trie
 from rillstone.llm.common import table
 
 
@@ -60,11 +60,15 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"), least=30, top=50)
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_embedding_near_dedup, op2_byte_bpe, op3_line_dedup, op4_html_main_text, op5_ngram_jaccard,
         op6_document_fingerprints, op7_backoff_lm, op8_toxicity, op9_personal_data, op10_best_fit_packing,
-        op11_source_divergence,
+        op11_source_divergence, op12_conversation_trie,
     ]
     return {f.__name__: f for f in named}
 
@@ -145,6 +149,42 @@ FROM x QUALIFY part = 'pair' OR rank <= 50
 """
 
 
+#: A prefix is known by the hash of its turns' hashes; `above` leads from each node to itself and all nodes above it.
+TRIE_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT i, i AS c, 0 AS n FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n + 1 FROM bits WHERE n < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE n = 8),
+turns AS (
+  SELECT conv_id AS c, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+    strlen(coalesce(text, '')) AS z FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS i FROM turns),
+h AS (
+  SELECT c, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''),
+    lambda x: ascii(x)::BIGINT)), lambda s, b: xor(s >> 8, crc.t[1 + (xor(s, b) & 255)])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT c FROM t), crc),
+r AS (
+  SELECT h.c, 0 AS part, i, k, z FROM h JOIN t ON t.c = h.c - h.c % 5 AND i <= h
+  UNION ALL SELECT h.c, 1, i, k, z FROM h JOIN t ON t.c = h.c AND i > h),
+s AS (
+  SELECT h.c, coalesce(list(k ORDER BY part, i) FILTER (k IS NOT NULL), []) AS ks,
+    coalesce(list(z ORDER BY part, i) FILTER (k IS NOT NULL), []) AS zs FROM h LEFT JOIN r ON r.c = h.c GROUP BY h.c),
+p AS (
+  SELECT c, d, md5(array_to_string(ks[1:d], '')) AS p, md5(array_to_string(ks[1:d - 1], '')) AS up, zs[d] AS z, d = len(ks) AS ends
+  FROM (SELECT *, unnest(range(len(ks) + 1)) AS d FROM s)),
+n AS (
+  SELECT p, d, min(c) AS c, count(*) AS n, any_value(up) AS up, any_value(z) AS z,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends FROM p GROUP BY p, d),
+k AS (SELECT up, count(*) AS n FROM n WHERE d > 0 GROUP BY up),
+above AS (
+  SELECT a.p, count(*) FILTER (k.n IS NULL) AS leaves, sum((n.n - 1) * coalesce(n.z, 0)) AS saved
+  FROM n JOIN p a ON a.c = n.c AND a.d <= n.d LEFT JOIN k ON k.up = n.p GROUP BY a.p)
+SELECT n.c AS conv_id, n.d AS depth, CASE WHEN n.d > 0 THEN u.c END AS parent_conv_id, n.n AS n_convs,
+  coalesce(k.n, 0) AS n_children, above.leaves AS n_leaves, CAST(above.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM n JOIN above USING (p) LEFT JOIN n u ON n.d > 0 AND u.p = n.up LEFT JOIN k ON k.up = n.p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries it can express; the others have brute-force versions in the tests."""
     return {
@@ -152,4 +192,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_line_dedup": LINES_SQL,
         "op5_ngram_jaccard": JOIN_SQL,
         "op11_source_divergence": DIVERGENCE_SQL,
+        "op12_conversation_trie": TRIE_SQL,
     }
