@@ -1,0 +1,128 @@
+"""The conversation trie against brute force over dictionaries of prefixes, cut into shards of every size."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from rillstone.llm import trie
+
+SCHEMA = "conv_id long, turn int, role string, text string"
+COLUMNS = [
+    "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256",
+]
+
+
+def table(spark, rows):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    for name in ("key", "size", "base", "seq", "sizes", "end", "n", "least", "sha", "turns", "head", "h", "depth"):
+        df = df.withColumn(name, F.lit(3))
+    return df
+
+
+def brute(rows) -> list[tuple]:
+    turns = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            key = hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            turns[c].append(((turn is not None, turn or 0), key, (role, text)))
+    said = {c: [t for *_, t in sorted(ts)] for c, ts in turns.items()}
+    members, ends, built = defaultdict(list), defaultdict(list), {}
+    for c, own in said.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        built[c] = tuple(said.get(c - int(np.fmod(c, 5)), [])[:h] + own[h:])
+        ends[built[c]].append(c)
+        for d in range(len(built[c]) + 1):
+            members[built[c][:d]].append(c)
+    below = defaultdict(list)
+    for node in members:
+        if node:
+            below[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] = sum(leaves[b] for b in below[node]) or 1
+        last = len(node[-1][1].encode()) if node else 0
+        saved[node] = (len(members[node]) - 1) * last + sum(saved[b] for b in below[node])
+    return sorted(
+        (
+            min(members[n]), len(n), min(members[n[:-1]]) if n else -1, len(members[n]), len(below[n]), leaves[n], saved[n],
+            hashlib.sha256(",".join(map(str, sorted(ends[n]))).encode()).hexdigest(),
+        )
+        for n in members
+    )
+
+
+def awkward(seed: int = 4) -> list[tuple]:
+    rng = random.Random(seed)
+    rows = [(None, 0, "user", "no id"), (-7, 0, "a", "b"), (-5, 1, "x", "y"), (2_000_000_001, 3, None, None)]
+    say = ["hi", "", None, "héllo", "日本", "ok " * 50]
+    for c in range(260):
+        if c % 11 == 3:
+            continue
+        n = rng.choice([0, 1, 2, 3, 4, 9, 10])
+        for t in range(n):
+            common = rng.random() < 0.75
+            turn = None if rng.random() < 0.03 else t
+            rows.append((c, turn, rng.choice(["user", "bot"]) if not common else "user", rng.choice(say) if not common else say[t % 3]))
+    rows += [(1000 + i, t, "user", "same") for i in range(90) for t in range(3)]
+    rows += [(3000, t, "user", str(t)) for t in range(700)]
+    rows += rows[40:60] + [(5000, 1, "b", "tie"), (5000, 1, "a", "tie"), (5000, 1, "a", "")]
+    return rows
+
+
+def result(df) -> list[tuple]:
+    assert df.columns == COLUMNS
+    rows = df.collect()
+    return sorted(tuple(-1 if v is None else v for v in r) for r in rows)
+
+
+@pytest.mark.parametrize("nodes", [1, 7, 150, 1 << 18])
+def test_against_brute_force(spark, monkeypatch, nodes):
+    monkeypatch.setattr(trie, "NODES", nodes)
+    monkeypatch.setattr(trie, "IDS", 1 + nodes % 8)
+    rows = awkward()
+    assert result(trie.conversation_trie(table(spark, rows))) == brute(rows)
+
+
+def test_one_conversation_without_turns(spark):
+    """Conversation 1 takes over more turns than it has, from a conversation that is not there."""
+    assert zlib.crc32(b"1") % 9 > 1
+    rows = [(1, 0, "user", "gone")]
+    assert result(trie.conversation_trie(table(spark, rows))) == brute(rows)
+    assert len(brute(rows)) == 1
+
+
+def test_empty(spark):
+    assert trie.conversation_trie(table(spark, [])).count() == 0
+
+
+def test_findclose_and_minima():
+    rng = random.Random(9)
+    for size in (1, 2, 31, 32, 33, 64, 500, 5000):
+        opens, depth = [], 0
+        steep = rng.choice([0.5, 0.9])
+        for left in range(2 * size, 0, -1):
+            up = depth == 0 or (depth < left and rng.random() < steep)
+            opens.append(up)
+            depth += 1 if up else -1
+        stack, close = [], {}
+        for i, up in enumerate(opens):
+            if up:
+                stack.append(i)
+            else:
+                close[stack.pop()] = i
+        shape = trie.Parentheses(np.array(opens))
+        at = np.flatnonzero(shape.opens)
+        assert shape.close(at).tolist() == [close[i] for i in at.tolist()]
+        values = np.array([rng.randint(0, 10**6) for _ in range(size)])
+        pairs = [sorted(rng.sample(range(size + 1), 2)) for _ in range(300)]
+        a, b = np.array(pairs).T
+        assert trie.RangeMin(values).over(a, b).tolist() == [int(values[x:y].min()) for x, y in pairs]
