@@ -3,8 +3,8 @@
 Each task folds whole documents into one hash stripe per term: for every source its number of occurrences and of
 documents, which add up to the term's document frequency. A task that holds SPILL entries spills its stripes and starts
 anew, so its memory is bounded and a word that is everywhere still leaves a task as one row per spill. Spilled stripes
-meet by term and are added up. The merged stripes of a language, cut into blocks of about BLOCK entries, then directly
-emit what they add to each pair's divergence and their best terms; only those sums and bests are shuffled again.
+meet by term and are added up. The merged stripes of a language, cut into blocks of a bounded number of entries, then
+directly emit what they add to each pair's divergence and their best terms; only those sums and bests move again.
 
 Shares are whole numbers of billionths, p = 1 + floor(10^9 (count + 5) / (N + 5 V)), computed exactly.
 
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from rillstone.llm.common import settle
 
 SPILL = 1 << 18  # (term, source) entries that a task holds
-BLOCK = 1 << 19  # entries of merged stripes that one call works on
+BLOCK, BLOCKS = 1 << 16, 1 << 19  # entries of merged stripes that one call works on: as many as the language has pairs,
+# so that fewer sums than entries come out, within these bounds
 TILE = 256  # sources whose pairs are summed at once
 PIECE = 1 << 20  # bytes of a text that are cut into terms at once
 LANGUAGES = 10_000  # a table of one row per language is broadcast up to this many
@@ -188,11 +189,12 @@ def source_divergence(
     entries = stripes.select("lang", "term", F.inline("sources"))
     found = (F.col("term") != "").cast("long")
     groups = entries.groupBy("lang", "source").agg(F.sum(found * F.col("n")).alias("total"))
-    langs = stripes.groupBy("lang").agg(
-        F.sum(found).alias("kept"), F.sum(found * F.size("sources")).alias("entries")
-    )
-    langs = langs.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("entries") / BLOCK)).cast("int"))
-    langs = settle(langs.drop("entries"), "languages")
+    entries_of = F.sum(found * F.size("sources")).alias("entries")
+    pairs = F.max(F.when(found == 0, F.size("sources").cast("long"))).alias("sources")  # of the stripe of all documents
+    langs = stripes.groupBy("lang").agg(F.sum(found).alias("kept"), entries_of, pairs)
+    of = F.greatest(F.lit(BLOCK), F.least(F.lit(BLOCKS), F.col("sources") * F.col("sources")))
+    langs = langs.select("lang", "kept", F.greatest(F.lit(1), F.ceil(F.col("entries") / of)).cast("int").alias("blocks"))
+    langs = settle(langs, "languages")
     langs = F.broadcast(langs) if langs.count() <= LANGUAGES else langs
     spread = groups.join(langs, "lang").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocks = entries.where("term != ''").join(langs.select("lang", "blocks"), "lang")

@@ -71,6 +71,7 @@ def awkward(seed: int = 5) -> list[tuple]:
 @pytest.mark.parametrize("least", [1, 12, 10_000])
 def test_against_brute_force(spark, monkeypatch, least):
     monkeypatch.setattr(divergence, "BLOCK", 40)
+    monkeypatch.setattr(divergence, "BLOCKS", 40)
     rows = awkward()
     got = divergence.source_divergence(table(spark, rows), least, 7)
     assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
