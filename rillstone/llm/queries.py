@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillstone.llm import bpe, divergence, embeddings, html, jaccard, lines, lm, merkle, packing, pii, toxicity, trie
+from rillstone.llm import bpe, divergence, embeddings, html, jaccard, lines, lm, merkle, packing, pii, quality, toxicity, trie
 from rillstone.llm.common import table
 
 
@@ -64,11 +64,15 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_embedding_near_dedup, op2_byte_bpe, op3_line_dedup, op4_html_main_text, op5_ngram_jaccard,
         op6_document_fingerprints, op7_backoff_lm, op8_toxicity, op9_personal_data, op10_best_fit_packing,
-        op11_source_divergence, op12_conversation_trie,
+        op11_source_divergence, op12_conversation_trie, op13_quality_neighbours,
     ]
     return {f.__name__: f for f in named}
 
