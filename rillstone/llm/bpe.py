@@ -1,8 +1,11 @@
 """Byte-level BPE with the tiktoken library and a local rank file: encoding whole texts, decoding raw bytes.
 
 Long texts are split before encoding at blanks where the pre-splitting pattern must start a new match: a single blank
-between two word characters ends every match before it, and no branch looks back. Encoding the parts and joining their
-ids equals encoding the whole.
+between two word characters ends every match before it, and no branch looks back. A long run of white space is cut out
+whole: a match starts with it and holds all of it, or all but its last character if something follows, so its bytes are
+one piece for the merges and the pattern, whose look-ahead would walk back over them all, is not run on it. Encoding the
+parts and joining their ids equals encoding the whole. Both rules are those of patterns with `\\s+(?!\\S)` and
+optional blanks before words, as the public byte-level ones have it.
 
 Defined results: NULL and empty text have no ids and decode to no bytes; NULL ids decode to no bytes; repeated rows
 and NULL document ids are kept as they are; other columns are not looked at.
@@ -23,6 +26,9 @@ from pyspark.sql import functions as F
 
 LONG = 1 << 16
 _SAFE = re.compile(r"(?<=\w) (?=\w)")
+#: The characters of Unicode's White_Space property.
+_WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_WHITE_RUN = re.compile(f"[{_WHITE}]{{2,}}")
 _CODECS: dict[tuple[str, str, bool], object] = {}
 
 
@@ -35,6 +41,21 @@ def parts(text: str, most: int = LONG) -> Iterator[str]:
     yield text[a:]
 
 
+def stretches(text: str, most: int = LONG) -> Iterator[tuple[str, bool]]:
+    """The text in order, with True for what of a long run of white space is one match."""
+    a = 0
+    for found in _WHITE_RUN.finditer(text) if len(text) > most else ():
+        if found.end() - found.start() <= most:
+            continue
+        end = found.end() - (found.end() < len(text))
+        if a < found.start():
+            yield text[a : found.start()], False
+        yield text[found.start() : end], True
+        a = end
+    if a < len(text):
+        yield text[a:], False
+
+
 def ranks_of(path: str) -> dict[bytes, int]:
     """Tokens and ranks of a rank file, or of a tokenizers file of a byte-level BPE whose ids follow its merges."""
     if not path.endswith(".json"):
@@ -74,6 +95,7 @@ class Codec:
         ranks = ranks_of(path)
         self.added = added_of(path) if added else {}
         self.encoding = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self.added)
+        self.ranks, self.whole = ranks, None
         # Leftmost matches, of several at one place the longest.
         longest = sorted(self.added, key=len, reverse=True)
         self.splits = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
@@ -88,9 +110,25 @@ class Codec:
         """The ids as little-endian unsigned 32-bit integers."""
         ids = []
         for i, between in enumerate(self.splits.split(text) if self.splits else [text]):
-            own = [[self.added[between]]] if i % 2 else map(self.encoding.encode_ordinary, parts(between))
+            own = [[self.added[between]]] if i % 2 else self._between(between)
             ids += [np.array(o, dtype="<u4") for o in own]
-        return ids[0] if len(ids) == 1 else np.concatenate(ids)
+        return ids[0] if len(ids) == 1 else np.concatenate([np.zeros(0, dtype="<u4"), *ids])
+
+    def whole_encoding(self):
+        """The encoding by whose pattern any text is one match."""
+        import tiktoken
+
+        if self.whole is None:
+            made = {"mergeable_ranks": self.ranks, "special_tokens": self.added}
+            self.whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", **made)
+        return self.whole
+
+    def _between(self, text: str) -> Iterator[list[int]]:
+        for stretch, one in stretches(text):
+            if one:
+                yield self.whole_encoding().encode_ordinary(stretch)
+            else:
+                yield from map(self.encoding.encode_ordinary, parts(stretch))
 
     def decode(self, ids: np.ndarray) -> bytes:
         return self.encoding.decode_bytes(ids.tolist())

@@ -40,7 +40,7 @@ def cut(tokens: int, room: int = ROOM) -> list[tuple[int, int]]:
 
 
 def token_pieces(
-    df: DataFrame, path: str, pattern: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text", added: bool = False
+    df: DataFrame, path: str, pattern: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text", added: bool = True
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) for each piece of each document's ids and the end id."""
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -164,7 +164,7 @@ def pack(pieces: DataFrame, room: int = ROOM) -> DataFrame:
 
 
 def pack_documents(
-    df: DataFrame, path: str, pattern: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text", added: bool = False
+    df: DataFrame, path: str, pattern: str, room: int = ROOM, doc_id: str = "doc_id", text: str = "text", added: bool = True
 ) -> DataFrame:
     """Every piece of every document with its sequence and its place there.
 

@@ -56,6 +56,37 @@ def test_parts_are_safe():
         assert sum((codec.encoding.encode_ordinary(p) for p in cut), []) == codec.encoding.encode_ordinary(text)
 
 
+def test_long_white_space_is_one_piece():
+    """Cut at every run of three or more, the ids are those of the pattern on the whole text."""
+    rng = random.Random(6)
+    codec = bpe.Codec.of(RANKS, PATTERN)
+    for _ in range(400):
+        text = "".join(rng.choice([*WORDS, " ", "    ", "\n\n", " \n  ", "\x85\xa0 ", "\u3000\u2003", "\x1c", "'s"]) for _ in range(40))
+        cut = list(bpe.stretches(text, 2))
+        assert "".join(t for t, _ in cut) == text
+        ids = [(codec.whole_encoding() if one else codec.encoding).encode_ordinary(t) for t, one in cut]
+        assert sum(ids, []) == codec.encoding.encode_ordinary(text)
+
+
+def test_a_million_blanks(spark, tmp_path):
+    """Texts on which the library's pattern gives up: the ids are those of the other library."""
+    from tokenizers import Tokenizer
+
+    from rillstone.llm.queries import op2_byte_bpe, op10_best_fit_packing
+
+    n = 1_000_000
+    texts = [" " * n, "\n" * n, " \n" * n, "\t \r\n\u3000" * (n // 4), "a" + " " * n + "b", "\n" * n + " é", "x <|endoftext|>" + " " * n]
+    reference, codec = Tokenizer.from_file(JSON), bpe.Codec.of(JSON, PATTERN, added=True)
+    for t in texts:
+        assert codec.encode(t).tolist() == reference.encode(t, add_special_tokens=False).ids
+    frame(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    done = {r["doc_id"]: r for r in op2_byte_bpe(spark, str(tmp_path)).collect()}
+    assert {i: r["decoded_sha256"] for i, r in done.items()} == {i: sha(t.encode()) for i, t in enumerate(texts)}
+    sizes = op10_best_fit_packing(spark, str(tmp_path)).groupBy("doc_id").sum("length").collect()
+    want = {i: len(reference.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    assert {r[0]: r[1] for r in sizes} == want
+
+
 def line_key(line: str) -> str:
     return re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\x0b\x0c\r"))
 
@@ -338,7 +369,7 @@ def test_packing(spark):
     reference = Tokenizer.from_file(JSON)
     reference.encode_special_tokens = True
     rows = awkward() + [(500 + i, t) for i, t in enumerate(ODD)]
-    got = packing.pack_documents(frame(spark, rows), JSON, PATTERN).collect()
+    got = packing.pack_documents(frame(spark, rows), JSON, PATTERN, added=False).collect()
     want = []
     for i, t in rows:
         ids = np.array([*reference.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4")
