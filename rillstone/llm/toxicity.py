@@ -1,19 +1,23 @@
 """Toxicity scores from subword-bag embeddings averaged into a linear softmax.
 
 A word's vector is the mean of the embeddings of its character n-grams (bytes, with marks at both ends) and of itself,
-hashed into a fixed number of buckets; a document's vector is the mean over its words, where a word found n times has
-the weight 1 + ln(n) and short texts are filled up with zero vectors to a weight of FILL (else a few odd words, or one
-that is repeated, would decide); two softmax weights follow.
-Embeddings and weights are trained jointly with Adam in numpy on a bounded sample of labelled documents, so misspelt
-words that training never saw still share most of their n-grams with words it did see. As everything below the softmax
-is linear, a trained bucket has one number for scoring, and the model that tasks get has a fixed size.
+hashed into a fixed number of buckets. A document's vector is the weighted mean of its words' vectors, and two softmax
+weights follow. How much a word weighs is learnt as well: every bucket has one more number, a word the mean of its
+buckets', and its weight is the exponential of that, times 1 + ln(n) for a word found n times. So a few telling words are
+not lost among thousands of others. One word more, without meaning and of a weight that is learnt too, stands in every
+document and damps what a single odd word can do. Buckets found in fewer than SEEN documents of the sample stay silent.
 
-The sample: at most ROWS documents of each label in the order of a hash of their ids, and at most BYTES of text
-together. Scoring reads every whole text.
+Embeddings, word weights and softmax weights are trained jointly with Adam in numpy on a bounded sample of labelled
+documents, so misspelt words that training never saw still share most of their n-grams with words it did see. As all is
+linear but for the weights, a trained bucket has two numbers for scoring, and the model that tasks get has a fixed size.
+
+The sample: at most ROWS documents of each label in the order of a hash, and at most BYTES of text together. Scoring reads
+every whole text.
 
 Defined results: NULL, empty and wordless texts have the score of the bias alone; labels that are NULL or neither 0 nor
 1 are left out, and of several labels of one document the largest counts; without labelled rows of both classes every
-score is the share of label 1 (0 if there are none); repeated rows are scored each; other columns are not looked at.
+score is the share of label 1 (0 if there are none); repeated rows are scored each, and learnt from once; other columns
+are not looked at.
 """
 
 from __future__ import annotations
@@ -26,12 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.llm.common import row_of
+from rillstone.llm.sample import labelled
 from rillstone.llm.text import U, Words, mix, words
 
 ROWS, BYTES = 3000, 48 << 20
 BUCKETS, DIMS, SIZES = 1 << 16, 8, (3, 4, 5)
-EPOCHS, BATCH, RATE = 8, 128, 0.8
-FILL = 200
+EPOCHS, BATCH, RATE, STEPS = 8, 64, 0.2, 600  # at least so many steps, however few documents there are
+SEEN = 3
+STEEP = 20.0  # bound of the exponent of a word's weight
 THRESHOLD = 0.7
 _INSIDE = np.zeros(256, dtype=bool)
 _INSIDE[list(b"abcdefghijklmnopqrstuvwxyz0123456789@$*") + list(range(128, 256))] = True
@@ -62,10 +68,13 @@ def subwords(w: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """For each bucket, what it adds to the log-odds of label 1; the bias."""
+    """For each bucket, what it adds to the log-odds of label 1 and to the exponent of a word's weight; the bias, and the
+    weight of the word that stands in every document."""
 
     values: np.ndarray
+    tells: np.ndarray
     bias: float
+    rest: float
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         out = np.empty(len(texts))
@@ -74,11 +83,13 @@ class Model:
             odds = np.zeros(w.docs)
             if len(first):
                 owner, bucket = subwords(w, first)
-                of_word = np.bincount(owner, self.values[bucket], len(first)) / np.bincount(owner, minlength=len(first))
+                size = np.bincount(owner, minlength=len(first))
+                of_word = np.bincount(owner, self.values[bucket], len(first)) / size
+                weight = np.exp(np.clip(np.bincount(owner, self.tells[bucket], len(first)) / size, -STEEP, STEEP))
                 pairs, n = np.unique(w.doc * len(first) + back, return_counts=True)
-                doc, part = pairs // len(first), 1 + np.log(n)
-                total = np.bincount(doc, part, w.docs)
-                odds = np.bincount(doc, part * of_word[pairs % len(first)], w.docs) / np.maximum(total, FILL)
+                doc, word = pairs // len(first), pairs % len(first)
+                part = (1 + np.log(n)) * weight[word]
+                odds = np.bincount(doc, part * of_word[word], w.docs) / (np.bincount(doc, part, w.docs) + self.rest)
             out[w.first : w.first + w.docs] = 1 / (1 + np.exp(-np.clip(odds + self.bias, -30, 30)))
         return out
 
@@ -111,12 +122,19 @@ class _Bags:
         self.parts = (1 + np.log(np.concatenate(counts))).astype(np.float32)
         self.bounds = np.concatenate([[0], np.cumsum(docs)])
 
+    def frequent(self, least: int) -> np.ndarray:
+        """Whether each bucket is found in at least so many documents."""
+        n = np.zeros(BUCKETS, dtype=np.int64)
+        for a, b in zip(self.bounds[:-1], self.bounds[1:]):
+            found = self.words[a:b]
+            n[np.unique(self.buckets[_ranges(self.starts[found], self.ends[found])[0]])] += 1
+        return n >= least
+
     def batch(self, which: np.ndarray):
-        """Words of some documents: (document, word, share), and the buckets of those words."""
+        """Words of some documents: (document, word, 1 + ln of its count), and the buckets of those words."""
         at, doc = _ranges(self.bounds[which], self.bounds[which + 1])
         used, word = np.unique(self.words[at], return_inverse=True)
         part = self.parts[at].astype(np.float64)
-        part /= np.maximum(np.bincount(doc, part, len(which)), FILL)[doc]
         at, owner = _ranges(self.starts[used], self.ends[used])
         return doc, word, part, self.buckets[at].astype(np.int64), owner, len(used)
 
@@ -129,63 +147,56 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def train(texts: pa.Array, labels: np.ndarray, seed: int = 1) -> Model:
-    """Embeddings and softmax weights by minibatches; both labels weigh the same."""
+    """Embeddings, word weights and softmax weights by minibatches; both labels weigh the same."""
     share = float(np.mean(labels)) if len(labels) else 0.0
     if not 0 < share < 1:
-        return Model(np.zeros(BUCKETS), 30.0 if share else -30.0)
+        return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), 30.0 if share else -30.0, 1.0)
     bags, rng = _Bags(texts), np.random.default_rng(seed)
-    weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
+    known = bags.frequent(SEEN)
+    balance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     p = {"e": rng.uniform(-0.1, 0.1, (BUCKETS, DIMS)), "w": rng.uniform(-0.1, 0.1, (DIMS, 2)), "b": np.zeros(2)}
+    p |= {"t": np.zeros(BUCKETS), "rest": np.zeros(1)}
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    per_epoch = -(-len(labels) // BATCH)
-    steps = max(EPOCHS * per_epoch, 200)
+    steps = max(EPOCHS * -(-len(labels) // BATCH), STEPS)
     order = np.concatenate([rng.permutation(len(labels)) for _ in range(-(-steps * BATCH // len(labels)))])
+    # One dimension after the other, so that no array has all of them for every n-gram.
+    summed = lambda at, n, of: np.stack([np.bincount(at, of(d), n) for d in range(DIMS)], axis=1)
     for step in range(steps):
         which = order[step * BATCH : (step + 1) * BATCH]
         doc, word, part, bucket, owner, count = bags.batch(which)
-        size = np.bincount(owner, minlength=count)
-        # One dimension after the other, so that no array has all of them for every n-gram.
-        summed = lambda at, n, of: np.stack([np.bincount(at, of(d), n) for d in range(DIMS)], axis=1)
+        size = np.maximum(np.bincount(owner, minlength=count), 1)
+        heard = known[bucket]
+        bucket, owner = bucket[heard], owner[heard]
         vectors = summed(owner, count, lambda d: p["e"][:, d][bucket]) / size[:, None]
-        inner = summed(doc, len(which), lambda d: vectors[:, d][word] * part)
+        tell = np.bincount(owner, p["t"][bucket], count) / size
+        weight, rest = part * np.exp(np.clip(tell[word], -STEEP, STEEP)), np.exp(p["rest"][0])
+        total = np.bincount(doc, weight, len(which)) + rest
+        weight /= total[doc]
+        inner = summed(doc, len(which), lambda d: vectors[:, d][word] * weight)
         odds = inner @ p["w"] + p["b"]
         odds = np.exp(odds - odds.max(axis=1, keepdims=True))
         error = odds / odds.sum(axis=1, keepdims=True)
         error[np.arange(len(which)), labels[which]] -= 1
-        error *= weight[which, None] / len(which)
+        error *= balance[which, None] / len(which)
         of_doc = error @ p["w"].T
-        back = summed(word, count, lambda d: of_doc[:, d][doc] * part) / size[:, None]
+        mean = (of_doc * inner).sum(axis=1)
+        back = summed(word, count, lambda d: of_doc[:, d][doc] * weight) / size[:, None]
+        apart = (of_doc[doc] * vectors[word]).sum(axis=1) - mean[doc]
+        told = np.bincount(word, weight * apart, count) / size
         g = {"w": inner.T @ error, "b": error.sum(axis=0), "e": summed(bucket, BUCKETS, lambda d: back[:, d][owner])}
+        g |= {"t": np.bincount(bucket, told[owner], BUCKETS), "rest": -(mean * rest / total).sum(keepdims=True)}
         rate = RATE * (1 - step / steps)
         for k in p:
             m[k] = 0.9 * m[k] + 0.1 * g[k]
             v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2
             p[k] -= rate * (m[k] / (1 - 0.9 ** (step + 1))) / (np.sqrt(v[k] / (1 - 0.99 ** (step + 1))) + 1e-8)
-    return Model(p["e"] @ (p["w"][:, 1] - p["w"][:, 0]), float(p["b"][1] - p["b"][0]))
+    values = np.where(known, p["e"] @ (p["w"][:, 1] - p["w"][:, 0]), 0)
+    return Model(values, np.where(known, p["t"], 0), float(p["b"][1] - p["b"][0]), float(np.exp(p["rest"][0])))
 
 
 def fit(df: DataFrame, labels: DataFrame, learn: Column | None = None, doc_id: str = "doc_id", text: str = "text") -> Model:
     """A model from a bounded sample of the labelled rows; `learn` says by id which of them may be used."""
-    marked = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id"), F.col("toxic").cast("int").alias("label"))
-    marked = marked.groupBy("doc_id").agg(F.max("label").alias("label"))
-    if learn is not None:
-        marked = marked.where(learn)
-    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).join(marked, "doc_id")
-    ids, room = {}, BYTES
-    for label in (1, 0):
-        taken = sizes.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(ROWS).collect()
-        left = room // (1 + label)
-        for r in taken:
-            if r["size"] <= left:
-                left -= r["size"]
-                ids[r["doc_id"]] = label
-        room -= room // (1 + label) - left
-    spark = df.sparkSession
-    chosen = spark.createDataFrame([(i,) for i in ids] or [(None,)], sizes.select("doc_id").schema)
-    rows = docs.join(F.broadcast(chosen), "doc_id").toPandas()  # at most 2 * ROWS ids, and BYTES of distinct ones' text
-    rows = rows.drop_duplicates(["doc_id", "text"]).sort_values(["doc_id", "text"], na_position="first")
-    return train(pa.array(rows["text"], pa.string()), np.array([ids[i] for i in rows["doc_id"]], dtype=np.int64))
+    return train(*labelled(df, labels, "toxic", ROWS, BYTES, learn, doc_id, text))
 
 
 def score(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -30,8 +30,8 @@ def test_query(spark, con, name):
     assert name in queries()
     got = queries()[name](spark, SF)
     assert difference(name, got, oracle_sql().get(name), con) is None
-    source = {"op1": "embeddings", "op4": "pages"}.get(name[:3], "documents")
-    if not name.startswith("op10"):
+    source = {"op1": "embeddings", "op4": "pages"}.get(name.split("_")[0], "documents")
+    if not name.startswith(("op10", "op11", "op12")):
         assert got.count() == spark.read.parquet(f"{SF}/{source}.parquet").count()
 
 

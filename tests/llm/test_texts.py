@@ -13,9 +13,10 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from helpers import WORDS, awkward, frame, prose, tokens
+from helpers import WORDS, awkward, frame, lower, prose, tokens
 
 from rillstone.llm import bpe, lines, lm, merkle, packing, pii, toxicity
+from rillstone.llm.text import words as text_words
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -228,12 +229,55 @@ def test_toxicity(spark):
     right = sum(r["predicted"] == (r["doc_id"] % 3 == 0) for r in held)
     assert right / len(held) > 0.95
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got)
-    clean = toxicity.keep_clean(frame(spark, rows), toxicity.Model(np.zeros(toxicity.BUCKETS), 0.0))
+    clean = toxicity.keep_clean(frame(spark, rows), toxicity.Model(np.zeros(toxicity.BUCKETS), np.zeros(toxicity.BUCKETS), 0.0, 1.0))
     assert clean.count() == len(rows) and clean.columns == frame(spark, rows).columns
     none = toxicity.held_out_scores(frame(spark, odd), label_rows.limit(0))
     assert {r["predicted"] for r in none.collect()} == {0}
 
 
+def slow_toxicity(text: str | None, model) -> float:
+    """The weighted mean written out: word by word, n-gram by n-gram."""
+    counts, data = Counter(), lower(text).encode()
+    for w in re.findall(rb"[a-z0-9@$*\x80-\xff]+", data):
+        counts[w] += 1
+    above, below = 0.0, model.rest
+    for w, n in counts.items():
+        of = next(iter(text_words(pa.array([w.decode()]), toxicity._INSIDE)))
+        _, bucket = toxicity.subwords(of, np.array([0]))
+        assert len(bucket) == 1 + sum(max(len(w) + 3 - k, 0) for k in toxicity.SIZES)
+        weight = (1 + math.log(n)) * math.exp(np.clip(model.tells[bucket].mean(), -toxicity.STEEP, toxicity.STEEP))
+        above, below = above + weight * model.values[bucket].mean(), below + weight
+    return 1 / (1 + math.exp(-np.clip(above / below + model.bias, -30, 30)))
+
+
+def test_toxicity_scores_against_brute_force():
+    rng = np.random.default_rng(4)
+    model = toxicity.Model(rng.normal(0, 9, toxicity.BUCKETS), rng.normal(0, 9, toxicity.BUCKETS), -0.4, 2.5)
+    texts = [t for _, t in awkward()[:-1]] + ["a", "$@*", "été ÉTÉ idiot Idiot", "x" * 500]
+    assert np.allclose(model.scores(pa.array(texts, pa.string())), [slow_toxicity(t, model) for t in texts])
+
+
+def test_few_telling_words_in_long_texts():
+    """Two misspelt words among a thousand decide, and a model of the plain mean would not see them."""
+    rng = random.Random(3)
+    bad = ["rotten", "vermin", "filthy", "wretch"]
+
+    def text(n, mean):
+        words = prose(rng, n).split()
+        for _ in range(2 if mean else 0):
+            words[rng.randrange(n)] = rng.choice(bad)
+        return " ".join(words)
+
+    marks = np.array([int(i % 4 == 0) for i in range(500)])
+    model = toxicity.train(pa.array([text(rng.choice([20, 100, 400]), m) for m in marks]), marks)
+    clean = model.scores(pa.array([text(1000, 0) for _ in range(60)]))
+    mean = [text(1000, 1) for _ in range(60)]
+    misspelt = [t.replace("rotten", "rottenn").replace("vermin", "veermin").replace("filthy", "filthyy").replace("wretch", "wretchh") for t in mean]
+    assert (clean >= toxicity.THRESHOLD).sum() <= 1
+    assert (model.scores(pa.array(mean)) >= toxicity.THRESHOLD).sum() >= 57
+    assert np.median(model.scores(pa.array(misspelt))) > np.quantile(clean, 0.95)
+
+
 REFERENCE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
