@@ -3,7 +3,8 @@
     python -m rillstone --servers host:9092 --root hdfs:///events
     python -m rillstone --files /data/topic --root /data/out --once
 
-One query serves all tables, so that store and metrics can never disagree about which events were seen.
+One query serves all tables, so that store and metrics can never disagree about which events were seen. Once a day, or
+every `--archive-every` batches, the records of older batches move into the event store below `archive`.
 `--store-query` starts a second query that appends to a table partitioned by kind, with its own offsets
 and dedup state.
 """
@@ -24,6 +25,7 @@ from rillstone.sinks.topics import FolderTopics, KafkaTopics
 from rillstone.sources.files import wire_stream
 from rillstone.sources.jdbc import JdbcDatabase
 from rillstone.sources.kafka import KafkaTopic
+from rillstone.sources.store import EventStore
 from rillstone.streaming import flow
 from rillstone.streaming.fanout import Fanout
 from rillstone.streaming.launch import SERVE_EVERY, STORE_EVERY, await_any, start_fanout, start_store
@@ -39,11 +41,13 @@ def settings(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--starting", default="latest", help="latest, earliest or a JSON offset map")
     parser.add_argument("--max-per-trigger", type=int, help="records (Kafka) or files per micro-batch")
     parser.add_argument("--min-partitions", type=int, help="read tasks per Kafka micro-batch, at least")
-    parser.add_argument("--dedup-horizon", default=flow.DAY)
-    parser.add_argument("--combine", action="store_true", help="thin out hot event ids before the dedup")
+    parser.add_argument("--archive-every", type=int, default=8640, help="batches after which older ones are archived")
+    parser.add_argument("--no-archive", action="store_true", help="keep all records in the folders of their batches")
     parser.add_argument("--jdbc-connections", type=int, default=16, help="writing connections")
     parser.add_argument("--publish", action="store_true", help="also publish cleaned, curated and dead-letter topics")
     parser.add_argument("--store-query", action="store_true", help="also run the independent store query")
+    parser.add_argument("--dedup-horizon", default=flow.DAY, help="how long the store query remembers an id")
+    parser.add_argument("--combine", action="store_true", help="store query: thin out hot event ids before the dedup")
     parser.add_argument("--store-format", default="parquet", choices=["parquet", "delta"])
     parser.add_argument("--store-writers", type=int, help="files per directory and trigger of the store query")
     parser.add_argument("--jdbc-url")
@@ -74,8 +78,9 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
             args.jdbc_driver,
             connections=args.jdbc_connections,
         )
-    fanout = Fanout(f"{root}/tables", topics=topics, database=database)
-    checked = flow.checked_stream(feed, horizon=args.dedup_horizon, combine=args.combine)
+    archive = None if args.no_archive else EventStore(f"{root}/archive")
+    fanout = Fanout(f"{root}/tables", topics=topics, database=database, archive=archive, archive_every=args.archive_every)
+    checked = flow.checked_stream(feed)
     every = None if args.once else SERVE_EVERY
     started = [start_fanout(checked, fanout, f"{root}/checkpoints/serving", every, "serving")]
     if args.store_query:

@@ -20,16 +20,36 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
-def move_folder(spark: SparkSession, path: str, to: str) -> None:
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
     place, fs = _place(spark, path)
-    target, _ = _place(spark, to)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(place, target):
-        raise OSError(f"{path} could not be moved to {to}")
+    return sorted(status.getPath().getName() for status in fs.listStatus(place)) if fs.exists(place) else []
 
 
-def batch_folders(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """(number, path) of the `batch_id=N` folders of a table."""
+def folder_bytes(spark: SparkSession, path: str) -> int:
     place, fs = _place(spark, path)
-    names = [status.getPath() for status in fs.listStatus(place)] if fs.exists(place) else []
-    return sorted((int(p.getName()[9:]), p.toString()) for p in names if p.getName().startswith("batch_id="))
+    return fs.getContentSummary(place).getLength() if fs.exists(place) else 0
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    place, fs = _place(spark, path)
+    stream = fs.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text_once(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that appears whole or not at all, and never replaces one."""
+    place, fs = _place(spark, path)
+    if fs.exists(place):
+        raise FileExistsError(path)
+    draft, _ = _place(spark, f"{place.getParent().toString()}/.{place.getName()}.draft")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(draft, place):
+        raise OSError(f"{draft.toString()} could not be moved to {path}")

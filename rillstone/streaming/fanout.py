@@ -1,12 +1,16 @@
-"""One micro-batch to many tables, safe to repeat.
+"""One micro-batch to many tables, safe to repeat and to read at any time.
 
-Every table of a micro-batch is a folder `batch_id=N` that is overwritten as a whole. A batch that fails
-half-way is run again by Spark with the same rows and the same id, and replaces what it had written.
-Nothing is caught: an error must stop the batch, or its rows would be committed without being stored.
+Each batch writes a part of every table it has rows for, a folder of its own, and then one snapshot that names them all
+(see `snapshots`). Until then nobody sees any of it; a batch that fails half-way is run again by Spark with the same rows
+and the same id, and overwrites its folders. Nothing is caught: an error must stop the batch, or its rows would be
+committed without being stored.
 
-The batch itself is evaluated once, by the write of the records table; everything after reads that table
-back. So losing an executor later costs no repeated stateful work, no wide rows have to stay cached, and
-each metric reads the directories and columns of its own kind only.
+A batch is deduplicated against the ledger of all ids accepted before (see `ids`), not by a stream's state: there is no
+horizon, and rejects pass by. It is kept while it is looked through and evaluated once, by the write of the records
+table; everything after reads that table back, the directories and columns of its own kind only.
+
+Now and then parts are merged in levels, so that a job that never ends keeps few folders and writes each row a few times.
+What each batch added is kept apart from the merged state.
 """
 
 from __future__ import annotations
@@ -17,10 +21,11 @@ from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
+from urllib.parse import unquote
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -46,19 +51,23 @@ from rillstone.operators.wire import keyed_records, keyed_rows
 from rillstone.schemas import CLEANED_COLUMNS, TOPIC_CLEANED, TOPIC_CURATED, TOPIC_DEAD
 from rillstone.session import fresh_folder
 from rillstone.sinks.topics import FolderTopics, KafkaTopics
-from rillstone.sources.folders import batch_folders, delete_folder, folder_exists, move_folder
+from rillstone.sources.folders import folder_exists, names_in
 from rillstone.sources.jdbc import JdbcDatabase
 from rillstone.sources.store import EventStore, cleaned_schema, partition_fields, placed, with_partitions
+from rillstone.streaming.ids import IDS, IdLedger
+from rillstone.streaming.snapshots import FAN, Part, Snapshot, Snapshots, due
 
 log = logging.getLogger("rillstone.fanout")
 
 RECORDS = "records"
 MEMBERS = "clickstream_members"
 WINDOW_DATE = "window_date"
-ROLLING = "_rolling"
-_STATE_SCHEMAS: dict[str, StructType] = {}
+COUNTS = "batch_counts"
 ACCEPTED, REJECTED = "accepted", "rejected"
 LAYOUT = ("outcome", "event_kind", "event_date")
+ARRIVAL_ORDER = ("kafka_timestamp", "partition", "offset")
+SPAN = [StructField("first_batch", LongType(), True), StructField("last_batch", LongType(), True)]
+COUNTS_SCHEMA = "batch_id bigint, table_name string, row_count bigint"
 EXTRA_FIELDS = [
     StructField("partition", IntegerType(), True),
     StructField("offset", LongType(), True),
@@ -66,35 +75,58 @@ EXTRA_FIELDS = [
     StructField("field_fault", BooleanType(), True),
     StructField("raw_json", StringType(), True),
 ]
+_STATE_SCHEMAS: dict[str, StructType] = {}
 
 
 def records_schema() -> StructType:
-    places = [StructField("batch_id", LongType(), True), StructField("outcome", StringType(), True)]
-    return StructType([*cleaned_schema().fields, *EXTRA_FIELDS, *places, *partition_fields()])
+    outcome = StructField("outcome", StringType(), True)
+    return StructType([*cleaned_schema().fields, *EXTRA_FIELDS, *SPAN, outcome, *partition_fields()])
+
+
+def by_batch(name: str) -> str:
+    """The table of what each batch has added to a metric table, once its parts are merged."""
+    return f"{name}_by_batch"
 
 
 def state_schema(spark: SparkSession, name: str) -> StructType:
     """The columns of a state table, with its directories."""
     if name not in _STATE_SCHEMAS:
         none = spark.createDataFrame([], StructType([*cleaned_schema().fields, *partition_fields()]))
-        state = metric_state(none, TABLES.get(name, CLICKSTREAM), members=name == MEMBERS)
-        places = [StructField("batch_id", LongType(), True), StructField(WINDOW_DATE, DateType(), True)]
-        _STATE_SCHEMAS[name] = StructType([*state.schema.fields, *places])
-    return _STATE_SCHEMAS[name]
+        _STATE_SCHEMAS[name] = metric_state(none, TABLES.get(name, CLICKSTREAM), members=name == MEMBERS).schema
+    return StructType([*_STATE_SCHEMAS[name].fields, *SPAN, StructField(WINDOW_DATE, DateType(), True)])
 
 
 @dataclass(frozen=True)
 class Tables:
-    """Reads what a fan-out job has written below `root`."""
+    """Reads what a fan-out job has written below `root`, as of its newest snapshot or a given one."""
 
     root: str
+    pinned: Snapshot | None = None
 
-    def path(self, name: str, batch_id: int | None = None) -> str:
-        return f"{self.root}/{name}" if batch_id is None else f"{self.root}/{name}/batch_id={batch_id}"
+    @property
+    def snapshots(self) -> Snapshots:
+        return Snapshots(self.root)
+
+    def snapshot(self, spark: SparkSession) -> Snapshot:
+        return self.pinned or self.snapshots.newest(spark)
+
+    def at(self, snapshot: Snapshot) -> Tables:
+        """The same tables as of one snapshot, for several reads that must agree."""
+        return Tables(self.root, snapshot)
+
+    def path(self, name: str, part: Part) -> str:
+        return f"{self.root}/{part.folder(name)}"
+
+    def read(self, spark: SparkSession, name: str, parts: Sequence[Part], schema: StructType) -> DataFrame:
+        """The rows of some parts. A part without rows is a folder without files."""
+        if not parts:
+            return spark.createDataFrame([], schema)
+        reader = spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
+        return reader.parquet(*[self.path(name, p) for p in parts])
 
     def records(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
-        reader = spark.read.schema(records_schema()).option("basePath", self.path(RECORDS))
-        return reader.parquet(self.path(RECORDS, batch_id))
+        parts = self.snapshot(spark).parts(RECORDS) if batch_id is None else [Part(batch_id, batch_id)]
+        return self.read(spark, RECORDS, parts, records_schema()).withColumnRenamed("first_batch", "batch_id").drop("last_batch")
 
     def accepted(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
         rows = self.records(spark, batch_id).where(F.col("outcome") == ACCEPTED)
@@ -106,34 +138,40 @@ class Tables:
             "kafka_key", "kafka_timestamp", "partition", "offset", "event_id", "reject_reason", "raw_json", "batch_id"
         )
 
+    def ids(self, spark: SparkSession) -> DataFrame:
+        """Every id ever accepted, with its batch."""
+        return IdLedger(self.root).table(spark, self.snapshot(spark).parts(IDS)).select("event_id", "batch_id")
+
     def state(self, spark: SparkSession, name: str, span: str | None = None, as_of: AsOf = None) -> DataFrame:
         """State rows of all batches, optionally of the windows of a time range; that reads its days only."""
-        rows = self.batch_state(spark, name)
+        rows = self.part_state(spark, name, self.snapshot(spark).parts(name))
         if span is None:
             return rows
         return rows.where(within("window_start", span, as_of) & at_or_after_day(WINDOW_DATE, span, as_of))
 
-    def batch_state(self, spark: SparkSession, name: str, batch_id: int | None = None) -> DataFrame:
-        """State rows of one batch, or of all. A batch without rows of a kind has a folder without files."""
-        reader = spark.read.schema(state_schema(spark, name)).option("basePath", self.path(name))
-        return reader.parquet(self.path(name, batch_id))
+    def part_state(self, spark: SparkSession, name: str, parts: Sequence[Part]) -> DataFrame:
+        return self.read(spark, name, parts, state_schema(spark, name))
+
+    def state_by_batch(self, spark: SparkSession, name: str) -> DataFrame:
+        """State rows as the batches wrote them, with `batch_id`: of merged parts as kept apart, of others themselves."""
+        snapshot = self.snapshot(spark)
+        schema = state_schema(spark, name)
+        schema = StructType([StructField("batch_id", LongType(), True), *schema.fields])
+        merged = self.read(spark, by_batch(name), snapshot.parts(by_batch(name)), schema)
+        recent = self.part_state(spark, name, [p for p in snapshot.parts(name) if not p.level])
+        return merged.unionByName(recent.withColumn("batch_id", F.col("first_batch")))
 
     def row_counts(self, spark: SparkSession) -> DataFrame:
-        """`batch_id`, `table_name`, `row_count`: what each micro-batch wrote, from file footers."""
-        counts = None
-        for name in (RECORDS, MEMBERS, *TABLES):
-            rows = self.records(spark) if name == RECORDS else self.state(spark, name)
-            part = (
-                rows.groupBy(F.col("batch_id").cast("bigint").alias("batch_id"))
-                .agg(F.count(F.lit(1)).alias("row_count"))
-                .select("batch_id", F.lit(name).alias("table_name"), "row_count")
-            )
-            counts = part if counts is None else counts.unionByName(part)
-        return counts
+        """`batch_id`, `table_name`, `row_count`: what each micro-batch wrote, as counted while it was written."""
+        snapshot = self.snapshot(spark)
+        recent = spark.createDataFrame(count_rows(snapshot), COUNTS_SCHEMA)
+        if not snapshot.parts(COUNTS):
+            return recent
+        return spark.read.schema(COUNTS_SCHEMA).parquet(*[self.path(COUNTS, p) for p in snapshot.parts(COUNTS)]).unionByName(recent)
 
     def batch_metrics(self, spark: SparkSession, table: MetricTable) -> DataFrame:
         """The rows each batch contributed: a window that spans batches has several, told by batch_id."""
-        return finish(self.state(spark, table.name), table, "batch_id")
+        return finish(self.state_by_batch(spark, table.name), table, "batch_id")
 
     def metrics(
         self,
@@ -149,18 +187,31 @@ class Tables:
             return finish_members(self.state(spark, MEMBERS, span, as_of), table, every)
         return finish(merge_state(self.state(spark, table.name, span, as_of), table, every), table)
 
-    def touched_metrics(self, spark: SparkSession, table: MetricTable, batch_id: int) -> DataFrame:
-        """The final rows, over all batches so far, of the windows that one batch has changed."""
-        name = MEMBERS if table.distinct else table.name
+    def touched_metrics(self, spark: SparkSession, table: MetricTable, batch_id: int, span: tuple | None = None) -> DataFrame:
+        """The final rows, over all batches so far, of the windows that one batch has changed. Read are the days the
+        batch has written to, and of these the files' row groups between its first and its last window."""
+        name, own = MEMBERS if table.distinct else table.name, Part(batch_id, batch_id)
         keys = [WINDOW_DATE, *WINDOW, *table.dims]
-        changed = self.batch_state(spark, name, batch_id).select(*keys).distinct()
-        days = [r[0] for r in changed.select(WINDOW_DATE).distinct().collect()]  # directories of one batch
-        states = self.state(spark, name).where(F.col(WINDOW_DATE).isin(days)).alias("s")
+        mine = self.part_state(spark, name, [own])
+        changed = mine.select(*keys).distinct()
+        labels = [n.partition("=")[2] for n in names_in(spark, self.path(name, own)) if n.startswith(WINDOW_DATE)]
+        days = [dt.date.fromisoformat(unquote(day)) for day in labels]
+        low, high = (F.timestamp_micros(F.lit(x)) for x in span or mine.agg(*ends_of_windows()).first())
+        states = self.state(spark, name).where(F.col(WINDOW_DATE).isin(days) & F.col("window_start").between(low, high))
         same = [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
-        rows = states.join(changed.alias("c"), same, "left_semi")
+        rows = states.alias("s").join(changed.alias("c"), same, "left_semi")
         return finish_members(rows, table) if table.distinct else finish(merge_state(rows, table), table)
 
 
+def ends_of_windows() -> list[Column]:
+    """Starts of the first and the last window, in microseconds."""
+    return [F.unix_micros(f("window_start")).alias(name) for f, name in ((F.min, "low"), (F.max, "high"))]
+
+
+def count_rows(snapshot: Snapshot) -> list[tuple[int, str, int]]:
+    return [(number, name, n) for number, row in snapshot.counts.items() for name, n in row.items()]
+
+
 def archive_days(
     spark: SparkSession, tables: Tables, store: EventStore, first: dt.date, last: dt.date, undated: bool = True
 ) -> None:
@@ -168,10 +219,13 @@ def archive_days(
 
     Micro-batches leave many small files; this adds all batches' rows of the given days, and those without a readable
     time, to what the store has of them. Run it when a day is over, and again if late rows have come in: repeating it
-    changes nothing. An id that was accepted twice, such as beyond the dedup's horizon, keeps its earliest arrival.
+    changes nothing. An id that was accepted twice, as by two jobs, keeps its earliest arrival.
     """
     wanted = F.col("event_date").between(F.lit(first), F.lit(last))
-    wanted = wanted | F.col("event_date").isNull() if undated else wanted
+    _archive(spark, tables, store, wanted | F.col("event_date").isNull() if undated else wanted)
+
+
+def _archive(spark: SparkSession, tables: Tables, store: EventStore, wanted: Column) -> None:
     rows = tables.accepted(spark).where(wanted).select(*CLEANED_COLUMNS, "partition", "offset")
     if folder_exists(spark, store.path):
         # What is stored has its place in the topic no more; among equal arrivals it comes first.
@@ -183,35 +237,101 @@ def archive_days(
     store.replace_days(spark.read.schema(cleaned_schema()).parquet(staged))
 
 
+def archive_batches(spark: SparkSession, tables: Tables, store: EventStore, upto: int) -> None:
+    """Move the events of all batches up to `upto` into the event store, with whole days, and let go of their records.
+
+    The days are those the batches have written to, however far apart. Rejects go as well: they have been published.
+    """
+    snapshot = tables.snapshots.newest(spark)
+    old = [p for p in snapshot.parts(RECORDS) if p.last <= upto]
+    if not old:
+        return
+    rows = tables.read(spark, RECORDS, old, records_schema()).where(F.col("outcome") == ACCEPTED)
+    days = [r[0] for r in rows.select("event_date").distinct().collect()]  # one row a day, from directories
+    wanted = F.col("event_date").isin([d for d in days if d]) | (F.col("event_date").isNull() if None in days else F.lit(False))
+    _archive(spark, tables.at(snapshot), store, wanted)
+    drop_batches(spark, tables, upto)
+
+
 def drop_batches(spark: SparkSession, tables: Tables, upto: int) -> None:
-    """Delete the records of batches up to `upto`. Their days must have been archived, undated rows as well."""
-    for number, folder in batch_folders(spark, tables.path(RECORDS)):
-        if number <= upto:
-            delete_folder(spark, folder)
+    """Let go of the records of batches up to `upto`. Their days must have been archived, undated rows as well. The
+    folders are deleted when no snapshot that is still kept names them."""
+    snapshot = tables.snapshots.newest(spark)
+    gone = [p for p in snapshot.parts(RECORDS) if p.last <= upto]
+    if gone:
+        tables.snapshots.commit(spark, snapshot.replacing(RECORDS, gone))
 
 
-def roll_up(spark: SparkSession, tables: Tables, upto: int) -> None:
-    """Merge the state of all batches up to `upto` into one folder per table, so that folders do not pile up.
+def merge_parts(spark: SparkSession, tables: Tables, fan: int = FAN) -> list[tuple[str, Part]]:
+    """Merge what is due in every table, in one new snapshot; returns the new parts.
 
-    The merged rows are staged first. If a run ends between deleting the old folders and moving the new one, the next
-    run finds the staged folder complete and goes on from there. `upto` must lie before the batch in progress.
+    State is added up, and what the batches it came from had written is kept apart once. If a run ends half-way, its
+    folders are named nowhere and the next run overwrites them.
     """
+    old = now = tables.snapshots.newest(spark)
+    at, steps, made = tables.at(old), [], []
+
+    def add(name: str, part: Part, write: Callable[[str], None]) -> None:
+        made.append((name, part))
+        steps.append(lambda: write(tables.path(name, part)))
+
     for name in (MEMBERS, *TABLES):
-        table = TABLES.get(name, CLICKSTREAM)
-        staged = f"{tables.root}/{ROLLING}/{name}/batch_id={upto}"
-        if not folder_exists(spark, f"{staged}/_SUCCESS"):
-            states = tables.state(spark, name).where(F.col("batch_id") <= upto)
-            write_state(merge_state(states, table), staged)
-        for number, folder in batch_folders(spark, tables.path(name)):
-            if number <= upto:
-                delete_folder(spark, folder)
-        move_folder(spark, staged, tables.path(name, upto))
-
-
-def write_state(rows: DataFrame, folder: str) -> None:
-    """State rows by day of their window, sorted by time, replacing the folder."""
+        if found := due(now.parts(name), fan):
+            group, part = found
+            table = TABLES.get(name, CLICKSTREAM)
+            add(name, part, lambda folder, n=name, g=group, t=table: write_state(merge_state(at.part_state(spark, n, g), t), folder))
+            now = now.replacing(name, group, part)
+            fresh = [p for p in group if not p.level]
+            if name in TABLES:
+                chunk = Part(fresh[0].first, fresh[-1].last, 1)
+                rows = at.part_state(spark, name, fresh).withColumn("batch_id", F.col("first_batch"))
+                add(by_batch(name), chunk, lambda folder, r=rows: write_state(r.drop(*[f.name for f in SPAN], WINDOW_DATE), folder))
+                now = now.replacing(by_batch(name), [], chunk)
+    if len(old.counts) >= fan:
+        chunk = Part(min(old.counts), max(old.counts), 1)
+        rows = spark.createDataFrame(count_rows(old), COUNTS_SCHEMA).coalesce(1)
+        add(COUNTS, chunk, lambda folder: rows.write.mode("overwrite").parquet(folder))
+        now = now.replacing(COUNTS, [], chunk).forgetting_counts()
+    if found := due(now.parts(IDS), fan):
+        group, part = found
+        ledger = IdLedger(tables.root)
+        add(IDS, part, lambda folder, g=group, p=part: ledger.write(ledger.table(spark, g), p, ledger.table(spark, g).count()))
+        now = now.replacing(IDS, group, part)
+    if not steps:
+        return []
+    together(spark, steps)
+    tables.snapshots.commit(spark, now)
+    merge_kept_apart(spark, tables, fan)
+    return made
+
+
+def merge_kept_apart(spark: SparkSession, tables: Tables, fan: int = FAN) -> None:
+    """Merge what is due of the tables whose rows are only put together."""
+    old = now = tables.snapshots.newest(spark)
+    at, steps = tables.at(old), []
+    for name in TABLES:
+        if found := due(now.parts(by_batch(name)), fan, 1):
+            group, part = found
+            schema = StructType([StructField("batch_id", LongType(), True), *state_schema(spark, name).fields])
+            rows = at.read(spark, by_batch(name), group, schema).drop(*[f.name for f in SPAN], WINDOW_DATE)
+            steps.append(partial(write_state, rows, tables.path(by_batch(name), part)))
+            now = now.replacing(by_batch(name), group, part)
+    if found := due(now.parts(COUNTS), fan, 1):
+        group, part = found
+        rows = spark.read.schema(COUNTS_SCHEMA).parquet(*[tables.path(COUNTS, p) for p in group]).coalesce(1)
+        steps.append(partial(rows.write.mode("overwrite").parquet, tables.path(COUNTS, part)))
+        now = now.replacing(COUNTS, group, part)
+    if steps:
+        together(spark, steps)
+        tables.snapshots.commit(spark, now)
+
+
+def write_state(rows: DataFrame, folder: str, seen: Observation | None = None, parts: Sequence[Column] = ()) -> None:
+    """State rows by day of their window, sorted by time, replacing the folder; optionally observed on the way."""
     dated = rows.withColumn(WINDOW_DATE, F.to_date("window_start")).hint("rebalance", WINDOW_DATE)
-    dated.sortWithinPartitions(WINDOW_DATE, "window_start").write.mode("overwrite").partitionBy(WINDOW_DATE).parquet(folder)
+    dated = dated.sortWithinPartitions(WINDOW_DATE, "window_start")
+    dated = dated.observe(seen, *parts) if seen else dated
+    dated.write.mode("overwrite").partitionBy(WINDOW_DATE).parquet(folder)
 
 
 def window_key(table: MetricTable) -> Column:
@@ -243,6 +363,8 @@ def together(spark: SparkSession, steps: Sequence[Callable[[], None]]) -> None:
     The threads inherit the query's job group, so stopping the query stops them. All have ended when this
     returns; the first error is raised.
     """
+    if not steps:
+        return
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
     for step in running:
@@ -251,83 +373,147 @@ def together(spark: SparkSession, steps: Sequence[Callable[[], None]]) -> None:
 
 @dataclass(frozen=True)
 class Fanout:
-    """The foreachBatch callback. Publishing to topics and a database is optional."""
+    """The foreachBatch callback for `checked_stream`. Publishing to topics and a database is optional."""
 
     root: str
     every: str = MINUTE
-    roll_every: int = 100  # batches after which their state is merged into one
+    fan: int = FAN  # parts of a level that are merged into one
     topics: FolderTopics | KafkaTopics | None = None
     database: JdbcDatabase | None = None
+    archive: EventStore | None = None  # where the records of old batches go
+    archive_every: int = 8640  # batches after which those before the last as many are archived; a day of ten seconds each
 
     @property
     def tables(self) -> Tables:
         return Tables(self.root)
 
+    @property
+    def ledger(self) -> IdLedger:
+        return IdLedger(self.root)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with adaptive(batch.sparkSession):
             self._write(batch, batch_id)
 
     def _write(self, batch: DataFrame, batch_id: int) -> None:
+        """A batch that a snapshot has already lacks at most what is published: that is done again."""
         spark = batch.sparkSession
-        if batch_id and batch_id % self.roll_every == 0:
-            roll_up(spark, self.tables, batch_id - 1)
-        self._land(batch, batch_id)
-        counts = self._landed(spark, batch_id)
-        log.info("batch %s: %s", batch_id, counts)
-        if not counts:
-            return
-        events = self.tables.accepted(spark, batch_id)
-        steps = [partial(self._state, events, table, batch_id) for table in (SENSOR, LOG)]
-        steps.append(partial(self._clickstream_state, events, batch_id))
+        before = self.tables.snapshot(spark)
+        if before.has(batch_id):
+            if Part(batch_id, batch_id) in before.parts(RECORDS):
+                self._publish_again(spark, batch_id, before)
+        else:
+            counts = self._land(batch, batch_id, before)
+            log.info("batch %s: %s", batch_id, counts)
+            written = self._tables_of(spark, batch_id, counts, before) if counts[RECORDS] else {}
+            self.tables.snapshots.commit(spark, before.after_batch(batch_id, [n for n in written if n != ACCEPTED], written))
+        self._upkeep(spark, batch_id)
+
+    def _tables_of(self, spark: SparkSession, batch_id: int, counts: dict[str, int], before: Snapshot) -> dict[str, int]:
+        """Write everything that follows from the landed records; returns the rows of each table that has any."""
+        events, kept, spans = self.tables.accepted(spark, batch_id), {}, {}
+
+        def metrics() -> None:
+            steps = [partial(self._state, events, t, batch_id, kept, spans) for t in (SENSOR, LOG) if counts[t.kind]]
+            steps += [partial(self._members, events, batch_id, kept, spans)] if counts[CLICKSTREAM.kind] else []
+            together(spark, steps)
+            now = before.after_batch(batch_id, [n for n, rows in kept.items() if rows], {})
+            steps = [partial(self._sketches, spark, batch_id, kept)] if kept.get(MEMBERS) else []
+            together(spark, [*steps, partial(self._publish_curated, spark, batch_id, now, spans)])
+
+        steps = [metrics, *self._publish_steps(events, batch_id)]
+        if counts[ACCEPTED]:
+            steps.append(partial(self._ids, events, batch_id, counts[ACCEPTED]))
+        together(spark, steps)
+        written = {RECORDS: counts[RECORDS], ACCEPTED: counts[ACCEPTED], IDS: counts[ACCEPTED], **kept}
+        return {name: rows for name, rows in written.items() if rows}
+
+    def _publish_again(self, spark: SparkSession, batch_id: int, snapshot: Snapshot) -> None:
+        steps = self._publish_steps(self.tables.accepted(spark, batch_id), batch_id)
+        together(spark, [*steps, partial(self._publish_curated, spark, batch_id, snapshot, {})])
+
+    def _land(self, batch: DataFrame, batch_id: int, before: Snapshot) -> dict[str, int]:
+        """Write the batch's rejects and new events, evaluating it once; returns rows by outcome and kind."""
+        spark, known = batch.sparkSession, before.parts(IDS)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rejected = F.col("reject_reason").isNotNull()
+            with self.ledger.naming(spark):
+                rows = self.ledger.unseen(batch.where(~rejected), known, ARRIVAL_ORDER).unionByName(batch.where(rejected))
+                outcome = F.when(rejected, REJECTED).otherwise(ACCEPTED)
+                columns = [*CLEANED_COLUMNS, *[f.name for f in EXTRA_FIELDS], *LAYOUT]
+                rows = placed(with_partitions(rows.withColumn("outcome", outcome)).select(*columns), *LAYOUT)
+                is_new = F.col("outcome") == ACCEPTED
+                counts = {RECORDS: F.count(F.lit(1)), ACCEPTED: F.count_if(is_new)}
+                counts |= {t.kind: F.count_if(is_new & (F.col("event_type") == t.kind)) for t in TABLES.values()}
+                seen = Observation()
+                rows = rows.observe(seen, *[expr.alias(name) for name, expr in counts.items()])
+                rows.write.mode("overwrite").partitionBy(*LAYOUT).parquet(self.tables.path(RECORDS, Part(batch_id, batch_id)))
+                return seen.get
+        finally:
+            batch.unpersist()
+
+    def _state(self, events: DataFrame, table: MetricTable, batch_id: int, kept: dict, spans: dict) -> None:
+        self._replace(metric_state(events, table, self.every), table.name, batch_id, kept, spans)
+
+    def _members(self, events: DataFrame, batch_id: int, kept: dict, spans: dict) -> None:
+        self._replace(metric_state(events, CLICKSTREAM, self.every, members=True), MEMBERS, batch_id, kept, spans)
+
+    def _sketches(self, spark: SparkSession, batch_id: int, kept: dict) -> None:
+        members = self.tables.part_state(spark, MEMBERS, [Part(batch_id, batch_id)])
+        self._replace(sketch_members(members, CLICKSTREAM), CLICKSTREAM.name, batch_id, kept, {})
+
+    def _replace(self, rows: DataFrame, name: str, batch_id: int, kept: dict, spans: dict) -> None:
+        """Write a batch's state, counting its rows and noting its first and last window."""
+        seen = Observation()
+        parts = [F.count(F.lit(1)).alias("n"), *ends_of_windows()]
+        write_state(rows, self.tables.path(name, Part(batch_id, batch_id)), seen, parts)
+        kept[name], spans[name] = seen.get["n"], (seen.get["low"], seen.get["high"])
+
+    def _ids(self, events: DataFrame, batch_id: int, count: int) -> None:
+        ids = events.select("event_id", F.lit(batch_id).cast("bigint").alias("batch_id"))
+        self.ledger.write(ids, Part(batch_id, batch_id), count)
+
+    def _publish_steps(self, events: DataFrame, batch_id: int) -> list[Callable[[], None]]:
+        steps = []
         if self.topics:
             steps.append(partial(self.topics.write, keyed_records(events), TOPIC_CLEANED, batch_id))
-            steps.append(partial(self._publish_dead, spark, batch_id))
+            steps.append(partial(self._publish_dead, events.sparkSession, batch_id))
         if self.database:
             tagged = served(events).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             steps.append(partial(self.database.append, tagged, "events_cleaned"))
-        together(spark, steps)
-        if self.topics:
-            self._publish_curated(spark, batch_id)
-        if self.database:
-            self._serve_metrics(spark, batch_id)
-
-    def _state(self, events: DataFrame, table: MetricTable, batch_id: int) -> None:
-        self._replace(metric_state(events, table, self.every), table.name, batch_id)
-
-    def _clickstream_state(self, events: DataFrame, batch_id: int) -> None:
-        self._replace(metric_state(events, CLICKSTREAM, self.every, members=True), MEMBERS, batch_id)
-        members = self.tables.batch_state(events.sparkSession, MEMBERS, batch_id)
-        self._replace(sketch_members(members, CLICKSTREAM), CLICKSTREAM.name, batch_id)
-
-    def _land(self, batch: DataFrame, batch_id: int) -> None:
-        outcome = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
-        columns = [*CLEANED_COLUMNS, *[f.name for f in EXTRA_FIELDS], *LAYOUT]
-        rows = with_partitions(batch.withColumn("outcome", outcome)).select(*columns)
-        writer = placed(rows, *LAYOUT).write.mode("overwrite").partitionBy(*LAYOUT)
-        writer.parquet(self.tables.path(RECORDS, batch_id))
-
-    def _landed(self, spark: SparkSession, batch_id: int) -> dict[str, int]:
-        """Rows by outcome. Only a directory column is asked for, so file footers answer it."""
-        counts = self.tables.records(spark, batch_id).groupBy("outcome").count()
-        return dict(map(tuple, counts.collect()))
-
-    def _replace(self, rows: DataFrame, name: str, batch_id: int) -> None:
-        write_state(rows, self.tables.path(name, batch_id))
+        return steps
 
     def _publish_dead(self, spark: SparkSession, batch_id: int) -> None:
         dead = self.tables.rejected(spark, batch_id)
         letters = keyed_rows(dead, F.col("kafka_key"), "reject_reason", "partition", "offset", "raw_json")
         self.topics.write(letters, TOPIC_DEAD, batch_id)
 
-    def _publish_curated(self, spark: SparkSession, batch_id: int) -> None:
-        curated = None
-        for table in TABLES.values():
-            rows = self.tables.touched_metrics(spark, table, batch_id).withColumn("metric_table", F.lit(table.name))
-            records = keyed_rows(rows, window_key(table))
-            curated = records if curated is None else curated.unionByName(records)
-        self.topics.write(curated, TOPIC_CURATED, batch_id)
-
-    def _serve_metrics(self, spark: SparkSession, batch_id: int) -> None:
-        for table in TABLES.values():
-            rows = self.tables.touched_metrics(spark, table, batch_id)
-            self.database.append(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), table.name)
+    def _publish_curated(self, spark: SparkSession, batch_id: int, snapshot: Snapshot, spans: dict) -> None:
+        """The final rows of the windows the batch has changed, of the tables it has rows for."""
+        if not (self.topics or self.database):
+            return
+        tables, own = self.tables.at(snapshot), Part(batch_id, batch_id)
+        names = {t.name: MEMBERS if t.distinct else t.name for t in TABLES.values()}
+        changed = [t for t in TABLES.values() if own in snapshot.parts(names[t.name])]
+        touched = {t.name: tables.touched_metrics(spark, t, batch_id, spans.get(names[t.name])) for t in changed}
+        steps = []
+        if self.topics and touched:
+            records = [
+                keyed_rows(rows.withColumn("metric_table", F.lit(name)), window_key(TABLES[name]))
+                for name, rows in touched.items()
+            ]
+            steps.append(partial(self.topics.write, reduce(DataFrame.unionByName, records), TOPIC_CURATED, batch_id))
+        if self.database:
+            for name, rows in touched.items():
+                tagged = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                steps.append(partial(self.database.append, tagged, name))
+        together(spark, steps)
+
+    def _upkeep(self, spark: SparkSession, batch_id: int) -> None:
+        merged = merge_parts(spark, self.tables, self.fan)
+        if self.archive and batch_id and batch_id % self.archive_every == 0:
+            archive_batches(spark, self.tables, self.archive, batch_id - self.archive_every)
+            merged = [*merged, (RECORDS, None)]
+        if merged:
+            self.tables.snapshots.clean_up(spark)

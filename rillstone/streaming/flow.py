@@ -11,7 +11,6 @@ from rillstone.operators.clean import DEFAULT_RULES, CleaningRules, clean, enric
 from rillstone.operators.decode import decode, decode_checked
 from rillstone.operators.metrics import MINUTE, MetricTable, window_metrics
 
-DEDUP_KEY = "_dedup_key"
 DAY = "24 hours"
 
 
@@ -57,25 +56,19 @@ def cleaned_stream(
     return drop_repeats(clean(decode(records), rules), horizon=horizon, combine=combine)
 
 
-def checked_stream(
-    records: DataFrame, rules: CleaningRules = DEFAULT_RULES, horizon: str = DAY, combine: bool = False
-) -> DataFrame:
-    """Accepted events without repeats together with every rejected record, told apart by reject_reason.
+def checked_stream(records: DataFrame, rules: CleaningRules = DEFAULT_RULES) -> DataFrame:
+    """Events, repeats included, together with every rejected record, told apart by reject_reason.
 
-    One plan for both means the feed is read and parsed once. A reject has no id to compare, so it gets a
-    key of its own and passes the dedup untouched.
+    One plan for both means the feed is read and parsed once. It has no state: the fan-out drops repeats by its ledger
+    of accepted ids, and rejects, which have no id to compare, cost neither state nor a shuffle.
     """
     checked = enrich(decode_checked(records), rules)
-    rejected = F.col("reject_reason").isNotNull()
-    counted = checked.observe(
+    return checked.observe(
         "intake",
         F.count(F.lit(1)).alias("records"),
-        F.count_if(rejected).alias("rejected"),
+        F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"),
         F.count_if(F.col("field_fault")).alias("field_faults"),
     )
-    keyed = counted.withColumn(DEDUP_KEY, F.when(rejected, F.expr("uuid()")).otherwise(F.col("event_id")))
-    kept = drop_repeats(keyed, DEDUP_KEY, horizon=horizon, combine=combine).drop(DEDUP_KEY)
-    return kept.observe("kept", F.count(F.lit(1)).alias("rows"), F.count_if(~rejected).alias("events"))
 
 
 def window_stream(

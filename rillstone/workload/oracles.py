@@ -261,6 +261,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_sensor_windows": _window_sql("sensor_metrics", "minute"),
         "stream_log_windows": _window_sql("log_metrics", "minute"),
         "fanout_events": f"select {SERVED} from events_cleaned",
+        "stream_dedup_ledger": "select event_id, batch_id from events_cleaned",
         "fanout_rejects": f"""select kafka_key, "partition", "offset", {id_of_reject} as event_id,
             {reason} as reject_reason, {text} from mixed where {rejected}""",
         "fanout_clickstream_metrics": _window_sql("clickstream_metrics", "day"),

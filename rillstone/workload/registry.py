@@ -32,7 +32,8 @@ from rillstone.sinks.topics import FolderTopics
 from rillstone.sources.files import line_table, wire_stream, wire_table
 from rillstone.sources.store import EventStore
 from rillstone.streaming import flow
-from rillstone.streaming.fanout import WINDOW_DATE, Fanout, Tables, archive_days, write_state
+from rillstone.streaming.fanout import ACCEPTED, RECORDS, WINDOW_DATE, Fanout, Tables, archive_days, write_state
+from rillstone.streaming.ids import IDS
 from rillstone.streaming.launch import current_windows, start_fanout, start_store, start_windows
 from rillstone.streaming.progress import ProgressLog, consumer_lag
 from rillstone.workload.feed import event_feed, events_table, order_feed, write_wire
@@ -135,7 +136,7 @@ def _fanout(spark: SparkSession, sf_dir: str) -> str:
 
     def build(folder: str) -> None:
         feed = _stream_records(spark, sf_dir)
-        job = Fanout(f"{folder}/tables", "1 day", topics=FolderTopics(f"{folder}/topics"))
+        job = Fanout(f"{folder}/tables", "1 day", fan=3, topics=FolderTopics(f"{folder}/topics"))
         log = ProgressLog(spark, f"{folder}/progress")
         spark.streams.addListener(log)
         try:
@@ -484,6 +485,12 @@ def fanout_events(spark, sf_dir):
     return _tables(spark, sf_dir).accepted(spark).select(*[c for c in SERVED_COLUMNS if c != "processed_at"])
 
 
+@query
+def stream_dedup_ledger(spark, sf_dir):
+    """Every id the fan-out has accepted and the batch it came with, from the merged parts of the ledger."""
+    return _tables(spark, sf_dir).ids(spark)
+
+
 @query
 def fanout_rejects(spark, sf_dir):
     rows = _tables(spark, sf_dir).rejected(spark)
@@ -520,7 +527,7 @@ def batch_metrics(spark, sf_dir):
 
 @query
 def row_counts(spark, sf_dir):
-    return _tables(spark, sf_dir).row_counts(spark)
+    return _tables(spark, sf_dir).row_counts(spark).where(~F.col("table_name").isin(ACCEPTED, IDS))
 
 
 @query
@@ -569,9 +576,12 @@ def topic_dead(spark, sf_dir):
 
 @query
 def intake_progress(spark, sf_dir):
-    """What the fan-out's run observed, added up over its micro-batches."""
+    """What the fan-out's run observed and kept, added up over its micro-batches."""
     log = spark.read.parquet(f"{_fanout(spark, sf_dir)}/progress")
     counts = log.select(F.explode("observed").alias("name", "value"))
+    kept = _tables(spark, sf_dir).row_counts(spark).select("table_name", F.col("row_count").alias("value"))
+    names = F.when(F.col("table_name") == RECORDS, "kept.rows").when(F.col("table_name") == ACCEPTED, "kept.events")
+    counts = counts.unionByName(kept.select(names.alias("name"), "value").where("name is not null"))
     return counts.groupBy("name").agg(F.sum("value").alias("value"))
 
 

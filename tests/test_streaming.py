@@ -3,7 +3,9 @@ from __future__ import annotations
 import datetime as dt
 import json
 import random
+import threading
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,10 +16,24 @@ from rillstone.operators.decode import dead_letters, decode
 from rillstone.operators.dedup import distinct_events
 from rillstone.operators.wire import envelope
 from rillstone.sinks.topics import FolderTopics
+from rillstone.sources.folders import folder_bytes
 from rillstone.sources.files import line_stream, line_table, wire_stream, wire_table
 from rillstone.streaming import flow
 from rillstone.sources.store import EventStore
-from rillstone.streaming.fanout import MEMBERS, RECORDS, Fanout, Tables, archive_days, drop_batches, roll_up
+from rillstone.streaming.fanout import (
+    COUNTS,
+    MEMBERS,
+    RECORDS,
+    Fanout,
+    Tables,
+    archive_days,
+    by_batch,
+    drop_batches,
+    merge_parts,
+    write_state,
+)
+from rillstone.streaming.ids import IDS, IdLedger
+from rillstone.streaming.snapshots import Part, Snapshot, Snapshots, due
 from rillstone.streaming.launch import await_any, current_windows, start_fanout, start_store, start_windows
 from rillstone.streaming.progress import ProgressLog, consumer_lag, progress_report
 from rillstone.workload.feed import event_feed, events_table
@@ -92,7 +108,8 @@ def test_stream_equals_batch(spark, feed, unique, tmp_path, files):
     observed = {r["name"]: r["value"] for r in counts.select(F.explode("observed").alias("name", "value"))
                 .groupBy("name").agg(F.sum("value").alias("value")).collect()}
     assert counts.agg(F.sum("input_rows")).first()[0] == feed.count() == observed["intake.records"]
-    assert observed["kept.events"] == unique.count()
+    kept = tables.row_counts(spark).where("table_name = 'accepted'").agg(F.sum("row_count")).first()[0]
+    assert kept == unique.count()
     assert counts.agg(F.max("late_rows_dropped")).first()[0] == 0
 
 
@@ -115,7 +132,7 @@ def test_batch_rows_add_up(spark, feed, unique, tmp_path):
 
 def test_files_do_not_multiply_with_the_width_of_the_state(spark, feed, tmp_path):
     replay(spark, staged(feed, f"{tmp_path}/in", 1), tmp_path)
-    folders = Counter(path.parent for path in (tmp_path / "tables").rglob("*.parquet"))
+    folders = Counter(path.parent for path in (tmp_path / "tables").rglob("*.parquet") if "accepted_ids" not in str(path))
     assert len(folders) > 50 and set(folders.values()) == {1}
 
 
@@ -124,11 +141,11 @@ class FailsOnce(Fanout):
 
     armed = True
 
-    def _replace(self, rows, name, batch_id):
+    def _replace(self, rows, name, batch_id, *more):
         if FailsOnce.armed and batch_id == 1 and name == "log_metrics":
             FailsOnce.armed = False
             raise RuntimeError("broken")
-        super()._replace(rows, name, batch_id)
+        super()._replace(rows, name, batch_id, *more)
 
 
 def test_a_failed_batch_is_repeated_without_loss_or_copies(spark, feed, unique, tmp_path):
@@ -138,7 +155,8 @@ def test_a_failed_batch_is_repeated_without_loss_or_copies(spark, feed, unique,
         replay(spark, source, tmp_path, job=FailsOnce)
     tables = Tables(f"{tmp_path}/tables")
     assert not FailsOnce.armed
-    assert tables.accepted(spark).select("batch_id").distinct().count() == 2
+    assert tables.accepted(spark).select("batch_id").distinct().count() == 1  # of batch 1 nothing is to be seen
+    assert Tables(f"{tmp_path}/tables").records(spark, 1).count() > 0
 
     replay(spark, source, tmp_path, job=FailsOnce)
     assert bag(without_stamp(tables.accepted(spark))) == bag(without_stamp(unique))
@@ -152,8 +170,9 @@ def test_repeating_a_batch_replaces_it(spark, feed, tmp_path):
     counts = []
     for _ in range(2):
         job(rows, 0)
-        counts.append({n: spark.read.parquet(job.tables.path(n)).count() for n in (RECORDS, MEMBERS, *met.TABLES)})
+        counts.append({n: spark.read.parquet(f"{job.root}/{n}").count() for n in (RECORDS, MEMBERS, *met.TABLES)})
     assert counts[0] == counts[1] and all(counts[0].values())
+    assert job.tables.snapshot(spark).version == 1
 
 
 def test_an_empty_batch_writes_no_metrics(spark, feed, tmp_path):
@@ -308,27 +327,54 @@ def test_published_metrics_are_final(spark, tmp_path):
     assert (last["avg_temperature"], last["max_temperature"], last["reading_count"]) == (40, 90, 3)
 
 
-def test_folders_stay_few(spark, feed, unique, tmp_path):
-    """State is merged every few batches and archived records go; nothing is counted twice or lost."""
-    replay(spark, staged(feed, f"{tmp_path}/in", 8), tmp_path, roll_every=2)
+def folders_of(tables, name):
+    return len(list(Path(tables.root, name).glob("first_batch=*/last_batch=*")))
+
+
+def test_folders_stay_few(spark, feed, unique, tmp_path, monkeypatch):
+    """Parts are merged in levels and archived records go; nothing is counted twice or lost, per batch neither."""
+    monkeypatch.setattr(Tables, "snapshots", property(lambda self: Snapshots(self.root, keep=1)))
+    replay(spark, staged(feed, f"{tmp_path}/in", 8), tmp_path, fan=2)
     tables = Tables(f"{tmp_path}/tables")
-    for name in (MEMBERS, *met.TABLES):
-        assert len(list((tmp_path / "tables" / name).glob("batch_id=*"))) <= 3
+    tables.snapshots.clean_up(spark)
+    for name in (MEMBERS, *met.TABLES, *map(by_batch, met.TABLES), COUNTS, IDS):
+        assert 1 <= folders_of(tables, name) == len(tables.snapshot(spark).parts(name)) <= 3
     for table in met.TABLES.values():
         assert bag(tables.metrics(spark, table)) == bag(met.window_metrics(unique, table))
-    roll_up(spark, tables, 6)
-    roll_up(spark, tables, 6)
-    assert bag(tables.metrics(spark, met.SENSOR)) == bag(met.window_metrics(unique, met.SENSOR))
+    assert tables.ids(spark).select("event_id").exceptAll(unique.select("event_id")).isEmpty()
+    assert tables.ids(spark).count() == unique.count()
+    rows = tables.batch_metrics(spark, met.SENSOR)
+    assert sorted(r[0] for r in rows.select("batch_id").distinct().collect()) == list(range(8))
+    total = unique.where("event_type = 'sensor' and event_ts is not null").count()
+    assert rows.agg(F.sum("reading_count")).first()[0] == total
+    counts = tables.row_counts(spark).where("table_name = 'sensor_metrics'").agg(F.sum("row_count"), F.count("*")).first()
+    assert tuple(counts) == (rows.count(), 8)
 
     store, days = EventStore(f"{tmp_path}/store"), (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
     archive_days(spark, tables, store, *days)
     drop_batches(spark, tables, 6)
-    assert len(list((tmp_path / "tables" / RECORDS).glob("batch_id=*"))) <= 2
+    tables.snapshots.clean_up(spark)
+    assert folders_of(tables, RECORDS) <= 2
     archive_days(spark, tables, store, *days)
     assert bag(without_stamp(store.scan(spark))) == bag(without_stamp(unique))
     assert store.scan(spark).where("event_ts is null").count() > 0
 
 
+def test_a_running_job_archives_its_batches(spark, feed, unique, tmp_path):
+    """Records of old batches move to the store while the job runs: no more than two spans of them stay."""
+    store = EventStore(f"{tmp_path}/archive")
+    replay(spark, staged(feed, f"{tmp_path}/in", 7), tmp_path, archive=store, archive_every=2)
+    tables = Tables(f"{tmp_path}/tables")
+    assert [p.first for p in tables.snapshot(spark).parts(RECORDS)] == [5, 6]
+    stored, recent = store.scan(spark), tables.accepted(spark)
+    # Whole days are archived, so some events of recent batches are in both.
+    both = stored.select("event_id").unionByName(recent.select("event_id")).distinct()
+    assert both.count() == unique.count()
+    assert stored.count() == stored.select("event_id").distinct().count()
+    old = tables.ids(spark).where("batch_id <= 4").select("event_id")
+    assert old.exceptAll(stored.select("event_id")).isEmpty()
+
+
 def test_archive_keeps_each_id_once(spark, tmp_path):
     """Rows accepted in two batches, and rows without a readable time."""
     lines = [line("a", 0), json.dumps({"event_id": "b", "event_type": "sensor", "timestamp": "bad"})]
@@ -401,3 +447,193 @@ def test_consumer_lag(spark):
     assert set(map(tuple, rows)) == {
         ("events.raw", 0, 10, 15, 5), ("events.raw", 1, 7, 7, 0), (None, None, 3, None, None),
     }
+
+
+# --- parts, snapshots, the ledger --------------------------------------------------------------------
+
+
+def test_levels_rewrite_each_row_a_few_times():
+    """Ten thousand batches: every row is written again about log times, and folders stay few."""
+    parts, written, most = [], 0, 0
+    for batch in range(10_000):
+        parts.append(Part(batch, batch))
+        if found := due(parts, 8):
+            group, part = found
+            assert part.first == group[0].first and part.last == batch == group[-1].last
+            assert sorted(n for p in group for n in range(p.first, p.last + 1)) == list(range(part.first, part.last + 1))
+            parts = [p for p in parts if p not in group] + [part]
+            written += part.last - part.first + 1
+        most = max(most, len(parts))
+    assert [n for p in sorted(parts) for n in (p.first, p.last)][0] == 0
+    assert sum(p.last - p.first + 1 for p in parts) == 10_000
+    assert written / 10_000 <= 5 and most <= 7 * 5
+
+
+@pytest.fixture
+def narrow(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_a_thousand_small_batches(spark, tmp_path, narrow):
+    """State of 1,000 batches merged as they come: bytes written again per batch grow with the logarithm of their number,
+    totals and what each batch added stay."""
+    tables, now, merged, bytes_of = Tables(str(tmp_path)), Snapshot(), 0, {}
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    schema = "service string, level string, log_count bigint, status_code_sum double, status_code_rows bigint, window_start timestamp, window_end timestamp"
+
+    def row(n):
+        at = start + dt.timedelta(minutes=n % 50)
+        return (f"s{n % 3}", "INFO", n + 1, float(n), 1, at, at + dt.timedelta(minutes=1))
+
+    few = spark.createDataFrame([row(n) for n in range(1000)], schema).withColumn("n", F.col("log_count") - 1)
+    few.withColumn("window_date", F.to_date("window_start")).repartition(1).write.partitionBy("n", "window_date").parquet(f"{tmp_path}/raw")
+    for n in range(1000):
+        part = Part(n, n)
+        target = Path(tables.path("log_metrics", part))
+        target.parent.mkdir(parents=True)
+        Path(tmp_path, "raw", f"n={n}").rename(target)
+        now = tables.snapshots.commit(spark, now.after_batch(n, ["log_metrics"], {"log_metrics": 1}))
+        for name, made in merge_parts(spark, tables, 16) if n % 16 == 15 else ():
+            if name == "log_metrics":
+                size = folder_bytes(spark, tables.path(name, made))
+                bytes_of[made] = size
+                merged += made.last - made.first + 1
+        if n % 16 == 15:
+            tables.snapshots.clean_up(spark)
+            now = tables.snapshot(spark)
+    assert merged == 3 * (15 * 16 + 256) + 14 * 16  # sixteens, every sixteenth with those before at once
+    assert len(now.parts("log_metrics")) == 3 + 14 + 8 and max(bytes_of.values()) < 100_000
+    final = tables.metrics(spark, met.LOG).agg(F.sum("log_count"), F.count("*")).first()
+    assert tuple(final) == (1000 * 1001 // 2, 150)
+    rows = tables.batch_metrics(spark, met.LOG).orderBy("batch_id").collect()
+    assert [(r["batch_id"], r["log_count"]) for r in rows] == [(n, n + 1) for n in range(1000)]
+    assert tuple(tables.row_counts(spark).agg(F.sum("row_count"), F.count("*")).first()) == (1000, 1000)
+    assert sum(1 for _ in Path(tmp_path).glob("log_metrics/*/*")) <= 25 + 2 * 16
+
+
+def test_readers_see_whole_batches_only(spark, feed, unique, tmp_path):
+    """While batches are written, fail, are repeated and merged, a reader sees the totals of some whole batches."""
+    rows = flow.enrich(flow.decode_checked(envelope(feed))).where("event_type = 'sensor' or reject_reason is not null").cache()
+    job, seen, stop, errors = FailsOnce(f"{tmp_path}/t", fan=2), set(), threading.Event(), []
+    FailsOnce.armed = False
+
+    def read():
+        reader = spark.newSession()
+        while not stop.is_set():
+            try:
+                tables = job.tables.at(job.tables.snapshot(reader))
+                counted = tables.metrics(reader, met.SENSOR).agg(F.sum("reading_count")).first()[0] or 0
+                stored = tables.accepted(reader).where("event_ts is not null").count()
+                seen.add((counted, stored))
+            except Exception as e:  # told to the test below
+                errors.append(e)
+                return
+
+    thread = threading.Thread(target=read)
+    thread.start()
+    sizes = [0]
+    try:
+        for batch in range(6):
+            part = rows.where(F.pmod(F.xxhash64("event_id"), F.lit(6)) == batch)
+            if batch == 3:
+                broken = Broken(f"{tmp_path}/t", fan=2)
+                with pytest.raises(RuntimeError, match="half-way"):
+                    broken(part, batch)
+            job(part, batch)
+            sizes.append(sizes[-1] + part.where("reject_reason is null and event_ts is not null").select("event_id").distinct().count())
+            job(part, batch)  # a batch that is done already changes nothing
+    finally:
+        stop.set()
+        thread.join()
+    assert not errors
+    assert seen <= {(n, n) for n in sizes} and len(seen) > 2
+    assert sizes[-1] == unique.where("event_type = 'sensor' and event_ts is not null").count()
+
+
+class Broken(Fanout):
+    """Ends after all tables of a batch have been written, before its snapshot."""
+
+    def _ids(self, events, batch_id, count):
+        super()._ids(events, batch_id, count)
+        raise RuntimeError("half-way")
+
+
+def test_copies_are_known_however_late(spark, tmp_path):
+    """Ids return after the horizon of a state: the state takes them again, the ledger does not."""
+    source = tmp_path / "in"
+    source.mkdir()
+    ids = [f"i{n}" for n in range(60)]
+    for number, (minute, names) in enumerate([(0, ids + ids), (21, ["tick"]), (22, ["tock"]), (23, ids + ["new"])]):
+        (source / f"{number}.json").write_text("\n".join(line(name, 60 * minute) for name in names))
+        lines = line_stream(spark, str(source))
+        timed = decode(envelope(lines), keep=()).withColumn("at", F.to_timestamp("timestamp"))
+        writer = flow.drop_repeats(timed, clock="at", horizon="10 minutes").writeStream.format("parquet")
+        writer = writer.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True)
+        writer.start(f"{tmp_path}/out").awaitTermination()
+        feed = flow.checked_stream(envelope(lines))
+        start_fanout(feed, Fanout(f"{tmp_path}/t", fan=2), f"{tmp_path}/f", every=None).awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").where("event_id like 'i%'").count() == 120
+
+    tables = Tables(f"{tmp_path}/t")
+    assert sorted(r["event_id"] for r in tables.accepted(spark).collect()) == sorted([*ids, "tick", "tock", "new"])
+    assert [r["event_id"] for r in tables.ids(spark).orderBy(F.desc("batch_id")).limit(1).collect()] == ["new"]
+
+
+def test_rejects_cost_no_state(spark, feed):
+    """The feed that goes to the fan-out has neither a stateful step nor a shuffle."""
+    plan = flow.checked_stream(envelope(feed))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Deduplicate" not in plan
+
+
+@pytest.mark.parametrize("named, sent", [(1000, 10**6), (0, 10**6), (0, 0)])
+def test_ledger_finds_the_same_ids_whichever_way(spark, tmp_path, named, sent):
+    ledger = IdLedger(str(tmp_path), buckets=4, named=named, sent=sent)
+    parts = [Part(0, 3, 1), Part(4, 4)]
+    for part, ids in zip(parts, (range(0, 300), range(300, 320))):
+        rows = spark.createDataFrame([(f"e{n}", part.last) for n in ids], "event_id string, batch_id long")
+        ledger.write(rows, part, 300)
+    batch = spark.createDataFrame([(f"e{n}", i) for i in range(2) for n in range(290, 340)], "event_id string, place int")
+    with ledger.naming(spark):
+        got = sorted(map(tuple, ledger.unseen(batch, parts, ["place"]).collect()))
+    assert got == [(f"e{n}", 0) for n in range(320, 340)]
+    assert ledger.unseen(batch, [], ["place"]).count() == 50
+    assert ledger.unseen(batch.limit(0), parts, ["place"]).count() == 0
+
+
+def test_bloom_filters_spare_the_ledger(spark, tmp_path):
+    """Ids named in the scan: only the directories they fall into are opened, and row groups without them are skipped."""
+    ledger, part = IdLedger(str(tmp_path), buckets=8), Part(0, 0)
+    rows = spark.range(200_000).select(F.concat(F.lit("id"), F.xxhash64("id").cast("string")).alias("event_id"), F.lit(0).cast("long").alias("batch_id"))
+    ledger.write(rows, part, 200_000)
+    strangers = spark.createDataFrame([(f"stranger{n}",) for n in range(5)], "event_id string")
+    with ledger.naming(spark):
+        known, n = ledger.candidates(strangers, [part])
+        assert known.count() == 0 and n == 5
+        plan = known._jdf.queryExecution().executedPlan()
+        text = plan.toString()
+    assert "id_bucket" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "In(event_id" in text.split("PushedFilters: [")[1]
+    friend = rows.limit(1)
+    with ledger.naming(spark):
+        scan = ledger.candidates(friend, [part])[0]
+        assert scan.count() == 1
+        read = scan_rows(scan)
+        assert read < 60_000  # one directory, of 25,000 rows
+        assert scan_rows(ledger.candidates(strangers, [part])[0]) == 0
+    assert not ledger.unseen(friend, [part], ["event_id"]).count()
+
+
+def scan_rows(df) -> int:
+    """Rows that the file scan of a query hands on."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    node = leaves.apply(0)
+    node = node.plan() if node.nodeName().endswith("QueryStage") else node
+    while node.nodeName() == "AdaptiveSparkPlan":
+        node = node.executedPlan().collectLeaves().apply(0)
+    return node.metrics().apply("numOutputRows").value()
