@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from rillstone.schemas import kind_schema, record_schema
+from rillstone.schemas import RECORD_FIELDS, kind_schema, record_schema
 
 POSITION = ("partition", "offset")
 ARRIVAL = ("kafka_key", "kafka_timestamp")
@@ -91,3 +91,16 @@ def dead_letters(records: DataFrame, keep: Iterable[str] = (*ARRIVAL, *POSITION)
     return checked.where(F.col("reject_reason").isNotNull()).select(
         *keep, "event_id", "reject_reason", "raw_json"
     )
+
+
+def undeclared_fields(records: DataFrame, text: str = "raw_json") -> DataFrame:
+    """(field, type, records) of the fields that the declared layouts do not have, whatever they hold.
+
+    Each text is parsed once, into a VARIANT; text that is no object has no fields. A field that comes in several types
+    has a row for each.
+    """
+    parsed = records.select(F.inline(F.array(F.struct(F.try_parse_json(F.col(text)).alias("v")))))
+    objects = parsed.where(F.schema_of_variant("v").startswith("OBJECT"))
+    each = objects.lateralJoin(records.sparkSession.tvf.variant_explode(F.col("v").outer()))
+    strange = each.where(~F.col("key").isin(*RECORD_FIELDS)).select("key", F.schema_of_variant("value").alias("kind"))
+    return strange.groupBy(F.col("key").alias("field"), F.col("kind").alias("type")).agg(F.count(F.lit(1)).alias("records"))

@@ -6,10 +6,12 @@ import datetime as dt
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rillstone.functions import at_or_after_day, within
-from rillstone.functions.timing import AsOf
+from rillstone.functions.timing import AsOf, as_instant
 from rillstone.schemas import RETENTION
+from rillstone.sources.store import EventStore
 
 
 def retained(
@@ -25,6 +27,12 @@ def retained(
     return recent.where(at_or_after_day(day, keep, as_of)) if day else recent
 
 
+def retained_of_store(spark: SparkSession, store: EventStore, topic: str, as_of: AsOf = None) -> DataFrame:
+    """The same of the event store, opening only files whose noted arrivals reach into the time that is kept."""
+    since = as_instant(as_of) - F.expr(f"INTERVAL {RETENTION[topic]}")
+    return retained(store.arrived_since(spark, since), topic, as_of)
+
+
 def drop_days_before(spark: SparkSession, root: str, day: dt.date, column: str = "event_date") -> list[str]:
     """Delete the day partitions of a Parquet store that lie wholly before `day`; returns their paths.
 

@@ -63,10 +63,12 @@ RECORDS = "records"
 MEMBERS = "clickstream_members"
 WINDOW_DATE = "window_date"
 COUNTS = "batch_counts"
-ACCEPTED, REJECTED = "accepted", "rejected"
+LATE, TOO_LATE = "late_events", "window_closed"
+ACCEPTED, REJECTED, NEWEST = "accepted", "rejected", "newest_event"
 LAYOUT = ("outcome", "event_kind", "event_date")
 ARRIVAL_ORDER = ("kafka_timestamp", "partition", "offset")
 SPAN = [StructField("first_batch", LongType(), True), StructField("last_batch", LongType(), True)]
+LATE_SCHEMA = "event_id string, event_type string, event_ts timestamp, closed_at timestamp, reason string, batch_id bigint"
 COUNTS_SCHEMA = "batch_id bigint, table_name string, row_count bigint"
 EXTRA_FIELDS = [
     StructField("partition", IntegerType(), True),
@@ -169,6 +171,24 @@ class Tables:
             return recent
         return spark.read.schema(COUNTS_SCHEMA).parquet(*[self.path(COUNTS, p) for p in snapshot.parts(COUNTS)]).unionByName(recent)
 
+    def lag(self, spark: SparkSession, wire: DataFrame) -> DataFrame:
+        """How far the job is behind each partition of a topic: newest offset there is, newest one processed, and the
+        difference. `wire` has the columns of a broker's records."""
+        done = self.snapshot(spark).offsets
+        rows = [(int(number), offset) for number, offset in done.items()]
+        processed = spark.createDataFrame(rows, "partition int, processed bigint")
+        newest = wire.groupBy("partition").agg(F.max("offset").alias("newest"))
+        joined = newest.join(F.broadcast(processed), "partition", "left")  # one row a partition
+        return joined.select("partition", "newest", "processed", (F.col("newest") - F.col("processed")).alias("lag"))
+
+    def late(self, spark: SparkSession) -> DataFrame:
+        """Events that came after their window had closed, with the time it was closed by."""
+        return self.late_parts(spark, self.snapshot(spark).parts(LATE))
+
+    def late_parts(self, spark: SparkSession, parts: Sequence[Part]) -> DataFrame:
+        schema = StructType([*StructType.fromDDL(LATE_SCHEMA).fields, *SPAN])
+        return self.read(spark, LATE, parts, schema).drop(*[f.name for f in SPAN])
+
     def batch_metrics(self, spark: SparkSession, table: MetricTable) -> DataFrame:
         """The rows each batch contributed: a window that spans batches has several, told by batch_id."""
         return finish(self.state_by_batch(spark, table.name), table, "batch_id")
@@ -292,6 +312,11 @@ def merge_parts(spark: SparkSession, tables: Tables, fan: int = FAN) -> list[tup
         rows = spark.createDataFrame(count_rows(old), COUNTS_SCHEMA).coalesce(1)
         add(COUNTS, chunk, lambda folder: rows.write.mode("overwrite").parquet(folder))
         now = now.replacing(COUNTS, [], chunk).forgetting_counts()
+    if found := due(now.parts(LATE), fan):
+        group, part = found
+        late = at.late_parts(spark, group).hint("rebalance")
+        add(LATE, part, lambda folder: late.write.mode("overwrite").parquet(folder))
+        now = now.replacing(LATE, group, part)
     if found := due(now.parts(IDS), fan):
         group, part = found
         ledger = IdLedger(tables.root)
@@ -378,6 +403,7 @@ class Fanout:
     root: str
     every: str = MINUTE
     fan: int = FAN  # parts of a level that are merged into one
+    lateness: str | None = None  # a window that ends so long before the newest event is closed; None: it never is
     topics: FolderTopics | KafkaTopics | None = None
     database: JdbcDatabase | None = None
     archive: EventStore | None = None  # where the records of old batches go
@@ -403,19 +429,24 @@ class Fanout:
             if Part(batch_id, batch_id) in before.parts(RECORDS):
                 self._publish_again(spark, batch_id, before)
         else:
-            counts = self._land(batch, batch_id, before)
+            counts, offsets = self._land(batch, batch_id, before)
             log.info("batch %s: %s", batch_id, counts)
             written = self._tables_of(spark, batch_id, counts, before) if counts[RECORDS] else {}
-            self.tables.snapshots.commit(spark, before.after_batch(batch_id, [n for n in written if n != ACCEPTED], written))
+            names = [n for n in written if n != ACCEPTED]
+            now = before.after_batch(batch_id, names, written, offsets, counts[NEWEST])
+            self.tables.snapshots.commit(spark, now)
         self._upkeep(spark, batch_id)
 
     def _tables_of(self, spark: SparkSession, batch_id: int, counts: dict[str, int], before: Snapshot) -> dict[str, int]:
         """Write everything that follows from the landed records; returns the rows of each table that has any."""
         events, kept, spans = self.tables.accepted(spark, batch_id), {}, {}
+        closed = self._closed(before)
+        on_time = events if closed is None else events.where(F.col("event_ts").isNull() | ~closed)
 
         def metrics() -> None:
-            steps = [partial(self._state, events, t, batch_id, kept, spans) for t in (SENSOR, LOG) if counts[t.kind]]
-            steps += [partial(self._members, events, batch_id, kept, spans)] if counts[CLICKSTREAM.kind] else []
+            steps = [partial(self._state, on_time, t, batch_id, kept, spans) for t in (SENSOR, LOG) if counts[t.kind]]
+            steps += [partial(self._members, on_time, batch_id, kept, spans)] if counts[CLICKSTREAM.kind] else []
+            steps += [partial(self._late, events.where(closed), batch_id, before, kept)] if closed is not None else []
             together(spark, steps)
             now = before.after_batch(batch_id, [n for n, rows in kept.items() if rows], {})
             steps = [partial(self._sketches, spark, batch_id, kept)] if kept.get(MEMBERS) else []
@@ -432,8 +463,9 @@ class Fanout:
         steps = self._publish_steps(self.tables.accepted(spark, batch_id), batch_id)
         together(spark, [*steps, partial(self._publish_curated, spark, batch_id, snapshot, {})])
 
-    def _land(self, batch: DataFrame, batch_id: int, before: Snapshot) -> dict[str, int]:
-        """Write the batch's rejects and new events, evaluating it once; returns rows by outcome and kind."""
+    def _land(self, batch: DataFrame, batch_id: int, before: Snapshot) -> tuple[dict[str, int], dict[str, int]]:
+        """Write the batch's rejects and new events, evaluating it once; returns rows by outcome and kind, and the newest
+        offset of each partition, repeats included."""
         spark, known = batch.sparkSession, before.parts(IDS)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -446,16 +478,44 @@ class Fanout:
                 is_new = F.col("outcome") == ACCEPTED
                 counts = {RECORDS: F.count(F.lit(1)), ACCEPTED: F.count_if(is_new)}
                 counts |= {t.kind: F.count_if(is_new & (F.col("event_type") == t.kind)) for t in TABLES.values()}
-                seen = Observation()
+                counts[NEWEST] = F.unix_micros(F.max(F.when(is_new, F.col("event_ts"))))
+                seen, offsets = Observation(), {}
                 rows = rows.observe(seen, *[expr.alias(name) for name, expr in counts.items()])
-                rows.write.mode("overwrite").partitionBy(*LAYOUT).parquet(self.tables.path(RECORDS, Part(batch_id, batch_id)))
-                return seen.get
+                writer = rows.write.mode("overwrite").partitionBy(*LAYOUT)
+                newest = batch.groupBy("partition").agg(F.max("offset")).where("partition is not null")
+                together(
+                    spark,
+                    [
+                        partial(writer.parquet, self.tables.path(RECORDS, Part(batch_id, batch_id))),
+                        lambda: offsets.update({str(number): offset for number, offset in newest.collect()}),
+                    ],
+                )
+                return seen.get, offsets
         finally:
             batch.unpersist()
 
     def _state(self, events: DataFrame, table: MetricTable, batch_id: int, kept: dict, spans: dict) -> None:
         self._replace(metric_state(events, table, self.every), table.name, batch_id, kept, spans)
 
+    def _closed(self, before: Snapshot) -> Column | None:
+        """Whether an event's window was closed by what earlier batches had seen; None if no window closes."""
+        if self.lateness is None or before.newest_event is None:
+            return None
+        end = F.window("event_ts", self.every).getField("end")
+        return end <= self._watermark(before)
+
+    def _watermark(self, before: Snapshot) -> Column:
+        return F.timestamp_micros(F.lit(before.newest_event)) - F.expr(f"INTERVAL {self.lateness}")
+
+    def _late(self, late: DataFrame, batch_id: int, before: Snapshot, kept: dict) -> None:
+        """Keep what the windows leave out. The split is made before any state, by the same rule for every row."""
+        closed_at, reason = self._watermark(before).alias("closed_at"), F.lit(TOO_LATE).alias("reason")
+        number, seen = F.lit(batch_id).cast("bigint").alias("batch_id"), Observation()
+        rows = late.select("event_id", "event_type", "event_ts", closed_at, reason, number)
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+        rows.write.mode("overwrite").parquet(self.tables.path(LATE, Part(batch_id, batch_id)))
+        kept[LATE] = seen.get["n"]
+
     def _members(self, events: DataFrame, batch_id: int, kept: dict, spans: dict) -> None:
         self._replace(metric_state(events, CLICKSTREAM, self.every, members=True), MEMBERS, batch_id, kept, spans)
 

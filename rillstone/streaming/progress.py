@@ -11,6 +11,7 @@ import time
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS = (
@@ -105,3 +106,16 @@ def consumer_lag(spark: SparkSession, report) -> DataFrame:
                 lag = None if latest is None else latest - offset
                 rows.append((source["description"], topic, int(number), offset, latest, lag))
     return spark.createDataFrame(rows, LAG)
+
+
+def state_rows(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """What a streaming dedup holds after a batch, or now: (event_id, expires_at), read by Spark's state data source."""
+    reader = spark.read.format("statestore")
+    reader = reader if batch_id is None else reader.option("batchId", batch_id)
+    expires = F.timestamp_micros(F.col("value.expiresAtMicros")).alias("expires_at")
+    return reader.load(checkpoint).select("key.*", expires)
+
+
+def state_operators(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The stateful steps of a query: operator, its partitions, and the batches whose state can be read."""
+    return spark.read.format("state-metadata").load(checkpoint)

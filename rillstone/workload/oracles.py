@@ -121,6 +121,15 @@ def _window_sql(table: str, unit: str, by: str = "") -> str:
         group by {dims}, {start}{also}"""
 
 
+#: Every event with the time up to which windows had been closed before its batch.
+LATE_SQL = """, newest as (select batch_id, max(event_ts) as newest from events_cleaned group by 1),
+    marks as (select b.batch_id, max(a.newest) - interval 2 day as closed_at
+      from newest b left join newest a on a.batch_id < b.batch_id group by 1),
+    timed as (select events_cleaned.*, closed_at,
+      coalesce(date_trunc('day', event_ts) + interval 1 day <= closed_at, false) as late
+      from events_cleaned join marks using (batch_id))"""
+
+
 def _recent(span: str, ts: str = "event_ts") -> str:
     return f"{ts} > {AS_OF} - {span} and {ts} <= {AS_OF}"
 
@@ -291,6 +300,19 @@ def oracle_sql() -> dict[str, str]:
         "topic_dead": f"""select kafka_key as "key", {reason} as reject_reason, "partition", "offset", {text}
             from mixed where {rejected}""",
         "lag_of_replay": "select cast(null as varchar) as topic, cast(3 as bigint) as committed",
+        "lag_by_partition": """select "partition", max("offset") as newest,
+            max("offset") filter (batch_id <= 1) as processed,
+            max("offset") - max("offset") filter (batch_id <= 1) as lag from mixed group by 1""",
+        "late_rows": f"""{LATE_SQL} select event_id, event_type, event_ts, closed_at, 'window_closed' as reason, batch_id
+            from timed where late""",
+        "closed_sensor_windows": f"""{LATE_SQL}, on_time as (select * from timed where not late) """
+        + _window_sql("sensor_metrics", "day").replace("from events_cleaned", "from on_time"),
+        "dedup_state": "select event_id, true as lives_a_day from events_cleaned",
+        "unknown_fields": """
+            select 'build' as field, 'BIGINT' as type, count(*) as records from mixed where n % 61 = 0 and not not_json
+            union all select 'tags', 'ARRAY<STRING>', count(*) from mixed where n % 61 = 0 and not not_json
+            union all select 'note', 'STRING', count(*) from mixed where n % 122 = 0 and not not_json
+            union all select 'note', 'BOOLEAN', count(*) from mixed where n % 122 = 61 and not not_json""",
         "intake_progress": """
             select 'intake.records' as name, count(*) as value from mixed
             union all select 'intake.rejected', count(*) from mixed where (not_json or event_id is null or event_type is null)

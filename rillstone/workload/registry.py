@@ -22,21 +22,31 @@ from rillstone.operators.clean import SERVED_COLUMNS, clean, of_kind
 from rillstone.operators.dedup import distinct_events, newest_per_key, repeated_ids
 from rillstone.operators.orders import decode_orders, describe_orders
 from rillstone.operators.quality import kind_routing, quality_report
-from rillstone.operators.retention import retained
+from rillstone.operators.retention import retained, retained_of_store
 from rillstone.operators.wire import envelope, keyed_records
 from rillstone.plans import serving
 from rillstone.plans.views import register_views
 from rillstone.schemas import RECORD_FIELDS, TOPIC_CLEANED, TOPIC_CURATED, TOPIC_DEAD
 from rillstone.session import tune
 from rillstone.sinks.topics import FolderTopics
+from rillstone.sources.folders import folder_bytes
 from rillstone.sources.files import line_table, wire_stream, wire_table
 from rillstone.sources.store import EventStore
 from rillstone.streaming import flow
 from rillstone.streaming.fanout import ACCEPTED, RECORDS, WINDOW_DATE, Fanout, Tables, archive_days, write_state
 from rillstone.streaming.ids import IDS
 from rillstone.streaming.launch import current_windows, start_fanout, start_store, start_windows
-from rillstone.streaming.progress import ProgressLog, consumer_lag
-from rillstone.workload.feed import event_feed, events_table, order_feed, write_wire
+from rillstone.streaming.progress import ProgressLog, consumer_lag, state_rows
+from rillstone.workload.feed import (
+    JSON_GROWTH,
+    ORDERS_GROWTH,
+    SLICES,
+    event_feed,
+    events_table,
+    files_for,
+    order_feed,
+    write_wire,
+)
 from rillstone.workload.published import folder_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +55,6 @@ POSITION = ("kafka_timestamp", "partition", "offset")
 # The tables end on 2024-01-30: this instant and span take in all of them, the last day just the end.
 AS_OF, WHOLE, DAY = "2024-01-31 00:00:00", "30 days", "24 hours"
 # The replays take the wire files slice by slice. Late records come one slice after their time.
-FILES_PER_SLICE = 2
 LATENESS = "20 days"
 
 _QUERIES: dict[str, Query] = {}
@@ -78,11 +87,15 @@ def rounded(rows: DataFrame, places: int = 6) -> DataFrame:
 # --- inputs ------------------------------------------------------------------------------------------
 
 
+def _files_per_slice(spark: SparkSession, sf_dir: str) -> int:
+    return files_for(folder_bytes(spark, f"{sf_dir}/events.parquet"), JSON_GROWTH, SLICES)
+
+
 def _wire(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the raw topic's records."""
 
     def build(folder: str) -> None:
-        write_wire(events_table(spark, sf_dir), folder, FILES_PER_SLICE)
+        write_wire(events_table(spark, sf_dir), folder, _files_per_slice(spark, sf_dir))
 
     return folder_of(spark, sf_dir, "wire", build)
 
@@ -109,13 +122,18 @@ def _unique(spark: SparkSession, sf_dir: str, fields=None) -> DataFrame:
     return distinct_events(clean(dec.decode(_records(spark, sf_dir), fields, keep)), order_by=POSITION)
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event store."""
-
+def _store(spark: SparkSession, sf_dir: str) -> EventStore:
     def build(folder: str) -> None:
-        EventStore(folder).append(_unique(spark, sf_dir))
+        store = EventStore(folder)
+        store.append(_unique(spark, sf_dir))
+        store.note_arrivals(spark)
+
+    return EventStore(folder_of(spark, sf_dir, "event-store", build))
 
-    return EventStore(folder_of(spark, sf_dir, "event-store", build)).scan(spark)
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event store."""
+    return _store(spark, sf_dir).scan(spark)
 
 
 def _metrics(spark: SparkSession, sf_dir: str, table: met.MetricTable) -> DataFrame:
@@ -128,7 +146,7 @@ def _metrics(spark: SparkSession, sf_dir: str, table: met.MetricTable) -> DataFr
 
 
 def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelope(wire_stream(spark, _wire(spark, sf_dir), FILES_PER_SLICE))
+    return envelope(wire_stream(spark, _wire(spark, sf_dir), _files_per_slice(spark, sf_dir)))
 
 
 def _fanout(spark: SparkSession, sf_dir: str) -> str:
@@ -150,6 +168,17 @@ def _fanout(spark: SparkSession, sf_dir: str) -> str:
     return folder_of(spark, sf_dir, "fanout", build)
 
 
+def _closing(spark: SparkSession, sf_dir: str) -> Tables:
+    """Tables of a job whose windows close two days after their end."""
+
+    def build(folder: str) -> None:
+        job = Fanout(folder, "1 day", lateness="2 days")
+        feed = flow.checked_stream(_stream_records(spark, sf_dir))
+        start_fanout(feed, job, f"{folder}/checkpoint", every=None).awaitTermination()
+
+    return Tables(folder_of(spark, sf_dir, "closing", build))
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(f"{_fanout(spark, sf_dir)}/tables")
 
@@ -407,7 +436,7 @@ def sql_views(spark, sf_dir):
 @query
 def retained_events(spark, sf_dir):
     """By arrival: rows with an old or unreadable time of their own are kept as long as others."""
-    rows = retained(_events(spark, sf_dir), TOPIC_CLEANED, AS_OF)
+    rows = retained_of_store(spark, _store(spark, sf_dir), TOPIC_CLEANED, AS_OF)
     return rows.select("event_id", "event_type", "event_ts")
 
 
@@ -423,7 +452,8 @@ def retained_metrics(spark, sf_dir):
 @query
 def order_lines(spark, sf_dir):
     def build(folder: str) -> None:
-        order_feed(spark, sf_dir).repartition(8).write.parquet(folder)
+        files = files_for(folder_bytes(spark, f"{sf_dir}/lineitem.parquet"), ORDERS_GROWTH)
+        order_feed(spark, sf_dir).repartition(files).write.parquet(folder)
 
     wire = folder_of(spark, sf_dir, "orders-wire", build, "lineitem")
     return describe_orders(decode_orders(envelope(wire_table(spark, wire))))
@@ -589,3 +619,38 @@ def intake_progress(spark, sf_dir):
 def lag_of_replay(spark, sf_dir):
     """Where the fan-out's run stands in its source."""
     return spark.read.parquet(f"{_fanout(spark, sf_dir)}/lag").select("topic", "committed")
+
+
+@query
+def lag_by_partition(spark, sf_dir):
+    """How far the fan-out was behind each partition of the topic when it had done half of its batches."""
+    tables = _tables(spark, sf_dir)
+    halfway = tables.snapshots.at(spark, 2)
+    return tables.at(halfway).lag(spark, wire_table(spark, _wire(spark, sf_dir)))
+
+
+@query
+def late_rows(spark, sf_dir):
+    """Events that came after their window had closed, and when it was closed."""
+    return _closing(spark, sf_dir).late(spark)
+
+
+@query
+def closed_sensor_windows(spark, sf_dir):
+    """The windows of that job: without the late events."""
+    return rounded(_closing(spark, sf_dir).metrics(spark, met.SENSOR))
+
+
+@query
+def dedup_state(spark, sf_dir):
+    """Ids that the streaming dedup still holds, and whether each is to go a day after it was accepted."""
+    held = state_rows(spark, f"{_replayed_store(spark, sf_dir).path}/../checkpoint")
+    ids = _replayed_store(spark, sf_dir).scan(spark).select("event_id", "processed_at")
+    a_day = F.col("expires_at") == F.col("processed_at") + F.expr("INTERVAL 24 HOURS")
+    return held.join(ids, "event_id", "left").select("event_id", a_day.alias("lives_a_day"))
+
+
+@query
+def unknown_fields(spark, sf_dir):
+    """Fields of the feed that nobody has declared, with the types they come in."""
+    return dec.undeclared_fields(_records(spark, sf_dir))

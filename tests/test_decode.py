@@ -189,3 +189,16 @@ def test_quality_report(spark):
     assert counts["unknown_kind"] == 1
     assert counts["unreadable_timestamp"] == 4
     assert counts["sensor_without_temperature"] == 2
+
+
+def test_undeclared_fields(spark):
+    texts = [
+        '{"event_id":"a","page":"/x","extra":1}', '{"event_id":"b","extra":"one","deep":{"page":1}}', '{"extra":2,"deep":{"page":3}}',
+        "[1]", "not json", "", None, '{"none":null}', '"text"', '{"event_id":"c"}',
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "raw_json string")
+    found = dec.undeclared_fields(rows)
+    want = {("extra", "BIGINT", 2), ("extra", "STRING", 1), ("deep", "OBJECT<page: BIGINT>", 2), ("none", "VOID", 1)}
+    assert set(map(tuple, found.collect())) == want
+    plan = dec.undeclared_fields(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1 and "NestedLoop" not in plan

@@ -92,3 +92,41 @@ def test_drop_days(spark, tmp_path):
     assert left.count() == 5
     assert left.where("event_date is null").count() == 1
     assert drop_days_before(spark, root, dt.date(2024, 1, 4)) == []
+
+
+def test_retention_opens_only_files_that_reach_into_it(spark, tmp_path):
+    """Files of one event day with arrivals of several days: the notes tell them apart, the day cannot."""
+    import datetime as dt
+
+    from rillstone.operators.retention import retained_of_store
+    from rillstone.schemas import TOPIC_CLEANED
+    from rillstone.sources.store import EventStore, cleaned_schema
+
+    store, day = EventStore(f"{tmp_path}/store"), dt.datetime(2024, 1, 1)
+    names = cleaned_schema().names
+
+    def put(number, arrivals):
+        rows = []
+        for i, at in enumerate(arrivals):
+            values = {"event_id": f"{number}-{i}", "event_type": "sensor", "event_ts": day, "kafka_timestamp": at}
+            rows.append(tuple(values.get(n) for n in names))
+        store.append(spark.createDataFrame(rows, cleaned_schema()).coalesce(1))
+
+    put(0, [day, day + dt.timedelta(hours=1)])
+    put(1, [day + dt.timedelta(days=2), day + dt.timedelta(hours=1)])
+    store.note_arrivals(spark)
+    put(2, [day + dt.timedelta(hours=2), None])
+    store.note_arrivals(spark)
+    store.note_arrivals(spark)
+    assert spark.read.parquet(store.zones_path).count() == 3
+    put(3, [day])  # not noted: read, and found to hold nothing
+
+    def opened(as_of):
+        rows = retained_of_store(spark, store, TOPIC_CLEANED, as_of)
+        return len(rows.inputFiles()), sorted(r["event_id"] for r in rows.collect())
+
+    assert opened("2024-01-03 12:00:00") == (3, ["1-0"])  # the one that holds it, that with a NULL, and the new one
+    assert opened("2024-01-01 03:00:00") == (4, ["0-0", "0-1", "1-1", "2-0", "3-0"])
+    store.note_arrivals(spark)
+    assert opened("2024-01-03 12:00:00")[0] == 2
+    assert store.scan(spark).count() == 7

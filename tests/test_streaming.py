@@ -35,7 +35,7 @@ from rillstone.streaming.fanout import (
 from rillstone.streaming.ids import IDS, IdLedger
 from rillstone.streaming.snapshots import Part, Snapshot, Snapshots, due
 from rillstone.streaming.launch import await_any, current_windows, start_fanout, start_store, start_windows
-from rillstone.streaming.progress import ProgressLog, consumer_lag, progress_report
+from rillstone.streaming.progress import ProgressLog, consumer_lag, progress_report, state_operators, state_rows
 from rillstone.workload.feed import event_feed, events_table
 
 SF = "/root/testdata/sf0.001"
@@ -637,3 +637,56 @@ def scan_rows(df) -> int:
     while node.nodeName() == "AdaptiveSparkPlan":
         node = node.executedPlan().collectLeaves().apply(0)
     return node.metrics().apply("numOutputRows").value()
+
+
+# --- late events, lag, state as a table ---------------------------------------------------------------
+
+
+def test_late_events_are_kept_with_a_reason(spark, tmp_path):
+    """Windows close two minutes behind the newest event of earlier batches; windows and late events are all events."""
+    source = tmp_path / "in"
+    source.mkdir()
+    batches = [[line("a", 0), line("b", 600)], [line("late", 30), line("edge", 420), line("c", 900), line("d", 485)], [line("e", 700), line("f", 840)]]
+    for number, lines in enumerate(batches):
+        (source / f"{number}.json").write_text("\n".join(lines))
+        feed = flow.checked_stream(envelope(line_stream(spark, str(source))))
+        job = Fanout(f"{tmp_path}/t", lateness="2 minutes", fan=2)
+        start_fanout(feed, job, f"{tmp_path}/c", every=None).awaitTermination()
+    late = {r["event_id"]: (str(r["closed_at"]), r["reason"], r["batch_id"]) for r in job.tables.late(spark).collect()}
+    # 600 s less two minutes is 480: the window of 420 ends there and is closed, that of 485 is not.
+    assert late.keys() == {"late", "edge", "e"}
+    assert late["edge"][:2] == ("2024-01-01 00:08:00", "window_closed") and late["e"][0] == "2024-01-01 00:13:00"
+    counted = job.tables.metrics(spark, met.SENSOR).agg(F.sum("reading_count")).first()[0]
+    assert counted + len(late) == job.tables.accepted(spark).count() == 8
+
+
+def test_lag_of_a_job_stopped_half_way(spark, feed, tmp_path):
+    replay(spark, staged(feed.where("offset < 600"), f"{tmp_path}/in", 2), tmp_path)
+    tables = Tables(f"{tmp_path}/tables")
+    rows = {r["partition"]: (r["newest"], r["processed"], r["lag"]) for r in tables.lag(spark, feed).collect()}
+    for number in range(3):
+        own = feed.where(F.col("partition") == number)
+        newest, done = own.agg(F.max("offset")).first()[0], own.where("offset < 600").agg(F.max("offset")).first()[0]
+        assert rows[number] == (newest, done, newest - done) and newest > done
+    none = Tables(f"{tmp_path}/nothing").lag(spark, feed).collect()
+    assert all(r["processed"] is None and r["lag"] is None for r in none) and len(none) == 3
+
+
+def test_state_is_readable_and_bounded(spark, tmp_path):
+    """Over many batches the dedup holds no more ids than came within its horizon."""
+    source = tmp_path / "in"
+    source.mkdir()
+    held = []
+    for number in range(7):
+        (source / f"{number}.json").write_text("\n".join(line(f"{number}-{n}", 600 * number + n) for n in range(20)))
+        rows = decode(envelope(line_stream(spark, str(source))), keep=()).withColumn("at", F.to_timestamp("timestamp"))
+        kept = flow.drop_repeats(rows, clock="at", horizon="15 minutes")
+        writer = kept.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c")
+        writer.trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
+        state = state_rows(spark, f"{tmp_path}/c")
+        held.append(state.count())
+    assert max(held) <= 20 * 4 and held[-1] < 7 * 20
+    expiry = {r["event_id"]: r["expires_at"] for r in state.collect()}
+    assert expiry["6-3"] == dt.datetime(2024, 1, 1, 1, 0, 3) + dt.timedelta(minutes=15)
+    names = state_operators(spark, f"{tmp_path}/c").select("operatorName").distinct().collect()
+    assert [r[0] for r in names] == ["dedupeWithinWatermark"]
