@@ -151,6 +151,7 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+_ORDER = np.dtype([("none", "?"), ("down", "i8"), ("tie", "i8")])  # of the documents, as the ranges are cut
 _RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
@@ -166,27 +167,23 @@ def with_next(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     kind = docs.schema["doc_id"].dataType.simpleString()
     order = [F.desc_nulls_last("doc_id"), F.asc("tie")]
     keys = docs.select("doc_id", "tie").repartitionByRange(width(df.sparkSession), *order)
-    key = F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("down"), "tie")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("down"), "tie")
     firsts = keys.groupBy(F.spark_partition_id().alias("range")).agg(F.min(key).alias("first")).collect()
-    # One for each range. NULL ids sort last, the others by their negative.
-    firsts = sorted((r["first"]["none"], r["first"]["down"] or 0, r["first"]["tie"]) for r in firsts)
+    # One for each range. NULL ids sort last, the others by their complement, which falls as they rise.
+    firsts = np.array(sorted((r["first"]["none"], r["first"]["down"] or 0, r["first"]["tie"]) for r in firsts), dtype=_ORDER)
     last = len(firsts) - 1
 
     def ranges(batches):
-        heads = {f: i for i, f in enumerate(firsts)}
-        nones, downs, ties = (np.array([f[i] for f in firsts], dtype=t) for i, t in enumerate((bool, np.int64, np.int64)))
         for batch in batches:
-            ids, tie = batch.column(0), batch.column(2).to_numpy()
-            none = ids.is_null().to_numpy(zero_copy_only=False)
-            down = -ids.fill_null(0).to_numpy()
-            at = np.zeros(batch.num_rows, dtype=np.int64)
-            for n, d, t in zip(nones, downs, ties):
-                at += (none > n) | ((none == n) & ((down > d) | ((down == d) & (tie >= t))))
-            at -= 1
-            copy = [(heads[k] - 1) % (last + 1) for k in zip(none.tolist(), down.tolist(), tie.tolist()) if k in heads]
-            rows = [i for i, k in enumerate(zip(none.tolist(), down.tolist(), tie.tolist())) if k in heads]
-            both = batch.take(pa.array([*range(batch.num_rows), *rows]))
-            where = pa.array(np.concatenate([at, np.array(copy, dtype=np.int64)]))
+            ids, keys = batch.column(0), np.zeros(batch.num_rows, dtype=_ORDER)
+            keys["none"] = ids.is_null().to_numpy(zero_copy_only=False)
+            keys["down"] = np.where(keys["none"], 0, ~ids.fill_null(0).to_numpy().astype(np.int64))
+            keys["tie"] = batch.column(2).to_numpy()
+            at = np.searchsorted(firsts, keys, side="right") - 1
+            rows = np.flatnonzero(firsts[np.maximum(at, 0)] == keys)
+            copy = (at[rows] - 1) % (last + 1)
+            both = batch.take(pa.array(np.concatenate([np.arange(batch.num_rows), rows])))
+            where = pa.array(np.concatenate([at, copy]))
             extra = pa.array([False] * batch.num_rows + [True] * len(rows))
             yield pa.RecordBatch.from_arrays([where, extra, *both.columns], names=["range", "extra", "doc_id", "text", "tie"])
 
