@@ -133,14 +133,16 @@ def _contexts(w: Words, i: int, data: bytes, spans: dict[str, list[tuple[int, in
     inside = np.zeros(len(start), dtype=bool)
     for x, y in covered:
         inside[np.searchsorted(end, x, side="right") : np.searchsorted(start, y)] = True
-    out = set()
+    out, texts = set(), {}
+    breaks = np.concatenate([[-1], np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 10), [len(data)]])
     for kind in KINDS:
         for x, y in spans[kind]:
-            line = data.rfind(b"\n", 0, x) + 1
-            stop = data.find(b"\n", y)
-            stop = len(data) if stop < 0 else stop
+            at = int(np.searchsorted(breaks, x)) - 1
+            line, stop = int(breaks[at]) + 1, int(breaks[np.searchsorted(breaks, y)])
             entity = _signed_hash(kind.encode() + class_of(kind, data[x:y]))
-            text = _signed_hash(data[line:stop])
+            if (line, stop) not in texts:  # a line is hashed once, however many spans it has
+                texts[line, stop] = _signed_hash(data[line:stop])
+            text = texts[line, stop]
             low, high = np.searchsorted(start, line), np.searchsorted(start, stop)
             left, right = np.searchsorted(end, x, side="right"), np.searchsorted(start, y)
             for near in (slice(max(low, left - WINDOW), left), slice(right, min(high, right + WINDOW))):
