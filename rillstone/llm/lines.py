@@ -23,7 +23,7 @@ from rillstone.llm.text import BLANKS, U, mix
 
 SHARD_KEYS = 1 << 18
 PROBES = 1 << 20
-SHARD_SCHEMA = "shard long, copies int, sizes binary, bits binary, fingerprints binary, counts binary, of int"
+SHARD_SCHEMA = "shard long, copies int, sizes binary, bits binary, fingerprints binary, counts binary, of int, shards long"
 
 
 def line_hash(line: bytes) -> int:
@@ -127,21 +127,21 @@ def build_index(lines: DataFrame) -> DataFrame:
         keys, n = group["line"].to_numpy().view(np.uint64), group["n"].to_numpy()
         copies = max(1, -(-int(n.sum()) // PROBES))
         made = build_shard(keys, n.astype(np.uint64))
-        return pd.DataFrame([(int(group["shard"].iat[0]), copies, *made)], columns=_COLUMNS)
+        return pd.DataFrame([(int(group["shard"].iat[0]), copies, *made, shards)], columns=_COLUMNS)
 
     by_shard = counts.withColumn("shard", F.pmod("line", F.lit(shards))).groupBy("shard")
     return settle(by_shard.applyInPandas(build, SHARD_SCHEMA), "line-index")
 
 
-_COLUMNS = ["shard", "copies", "sizes", "bits", "fingerprints", "counts", "of"]
+_COLUMNS = ["shard", "copies", "sizes", "bits", "fingerprints", "counts", "of", "shards"]
 
 
 def common_lines(lines: DataFrame, index: DataFrame, least: int) -> DataFrame:
     """Those (key, line) rows whose line the index has seen in at least `least` documents."""
     sizes = index.select("shard", "copies")
-    shards = index.count()
+    shards = index.agg(F.max("shards")).first()[0] or 1  # as it was dealt, whether or not every shard got a line
     probes = (
-        lines.withColumn("shard", F.pmod("line", F.lit(max(1, shards))))
+        lines.withColumn("shard", F.pmod("line", F.lit(shards)))
         .join(sizes, "shard")
         .withColumn("salt", F.pmod(F.xxhash64("key"), F.col("copies")).cast("int"))
         .select("key", "line", "shard", "salt")
