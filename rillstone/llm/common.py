@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,20 +44,20 @@ def with_text(changed: DataFrame, df: DataFrame, text: str) -> DataFrame:
     return changed.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in df.columns])
 
 
-def bitmap(hashes: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
-    """A bitmap of fixed size of a column of 64-bit hashes, as bytes. However many hashes there are, the driver
-    gets `bits` / 64 words at most. A set bit means perhaps, a clear one means no."""
+def bitmap(hashes: DataFrame, column: str, least: int = 1 << 23, most: int = 1 << 27) -> np.ndarray:
+    """A bitmap of a column of 64-bit hashes, as bytes: eight bits for each hash, within bounds. However many hashes
+    there are, the driver gets `most` / 64 words at most. A set bit means perhaps, a clear one means no."""
+    bits = min(most, max(least, 1 << (8 * hashes.count()).bit_length()))
     place = F.pmod(F.col(column), F.lit(bits))
     words = (
         hashes.select(place.alias("at"))
         .select(F.shiftright("at", 6).cast("int").alias("word"), F.expr("shiftleft(1L, int(at & 63))").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
-        .collect()
+        .toArrow()
     )
     out = np.zeros(bits // 64, dtype=np.int64)
-    for r in words:
-        out[r["word"]] = r["bits"]
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out.view(np.uint64)
 
 
@@ -70,14 +72,15 @@ def components(edges: DataFrame, label: str, left: str = "a", right: str = "b")
 
     Alternates two steps until only stars are left: each node's children are hung under its smallest parent, then each
     node's parents are linked to the smallest of them. Both need one partial minimum and one join, which Spark can
-    split where a node has very many children. Every round is written to the shared folder.
+    split where a node has very many children. Every round is written to the shared folder. Roots only ever get smaller,
+    so the rounds end.
     """
     spark = edges.sparkSession
     a, b = F.col(left), F.col(right)
     now = settle(
         edges.where(a != b).select(F.greatest(a, b).alias("node"), F.least(a, b).alias("up")).distinct(), f"{label}-0"
     )
-    for i in range(1, 100):
+    for i in count(1):
         state = now.groupBy("node").agg(F.count("*").alias("n"), F.min("up").alias("top"))
         chained = now.join(state.select(F.col("node").alias("up")), "up", "left_semi").limit(1).count()
         if not chained and not state.where("n > 1").limit(1).count():
@@ -91,4 +94,3 @@ def components(edges: DataFrame, label: str, left: str = "a", right: str = "b")
             joined.where("up != top").select(F.col("up").alias("node"), F.col("top").alias("up")).union(tops).distinct(),
             f"{label}-{i}",
         )
-    raise RuntimeError("components did not settle")

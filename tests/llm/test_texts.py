@@ -119,6 +119,14 @@ def test_hot_shards_are_copied(spark, monkeypatch):
     assert len(hit) == 12
 
 
+def test_shards_without_lines(spark, monkeypatch):
+    """Few lines in many shards: the number of shards is the one they were dealt by."""
+    monkeypatch.setattr(lines, "SHARD_KEYS", 1)
+    rows = [(i, f"same\nown {i % 3}\nother") for i in range(12)]
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.digests(frame(spark, rows), least=10).collect()}
+    assert got == {i: 2 for i in range(12)}
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 30000])
 def test_perfect_hash(n):
     keys = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64))
@@ -149,6 +157,16 @@ def test_fingerprints(spark):
     assert merkle.with_next(frame(spark, [])).count() == 0
 
 
+def test_fingerprints_of_extreme_ids(spark):
+    low, high = -(1 << 63), (1 << 63) - 1
+    rows = [(low, "the least"), (high, "the largest"), (0, "zero"), (-1, "below zero"), (low + 1, "next to least")]
+    rows += [(i * 7919 - 5000, f"text {i} " * (i % 9)) for i in range(90)]
+    got = {r["doc_id"]: r["edited_sha256"] for r in merkle.with_next(frame(spark, rows)).collect()}
+    down = sorted(rows, reverse=True)
+    want = {i: sha(merkle.edited(t, down[(k + 1) % len(down)][1]).encode()) for k, (i, t) in enumerate(down)}
+    assert got == want
+
+
 def test_merkle_tree():
     rng = random.Random(2)
     paragraphs = [prose(rng, 60) for _ in range(12)]
@@ -300,6 +318,23 @@ def brute_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return {k: [m.span() for m in re.finditer(p, text) if _holds(k, m[0])] for k, p in REFERENCE.items()}
 
 
+def test_one_line_of_very_many_addresses():
+    """A line is looked at once, not once for every address in it."""
+    import time
+
+    def seconds(n):
+        column = pa.array([" ".join(f"name{i % 50} user{i}@mail{i % 9}.org" for i in range(n))])
+        batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([1]), column], names=["key", "doc_id", "text"])
+        begun = time.process_time()
+        found = next(pii._found([batch]))
+        assert found.column("n_email").to_pylist() == [n] and len(found.column("near").to_pylist()[0]) > 400
+        return time.process_time() - begun
+
+    seconds(1000)
+    few, many = seconds(10_000), seconds(80_000)
+    assert many < 20 * max(few, 0.05)
+
+
 def test_pii_patterns():
     rng = random.Random(5)
     bits = ["a", "b@", "@", ".", "x.y", "1", "22", "255", "256", " ", "-", "+", "(", ")", "é", "1.2.3.4", "4111111111111111"]
