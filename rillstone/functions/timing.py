@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,3 +43,21 @@ def at_or_after_day(day: Column | str, span: str, as_of: AsOf = None) -> Column:
     now = as_instant(as_of)
     lower = day >= F.to_date(_minus(now, span))
     return lower if as_of is None else lower & (day <= F.to_date(now))
+
+
+def cover(start: int, end: int, steps: Sequence[int]) -> list[tuple[int, int, int]]:
+    """The range [start, end) as the largest windows that fit: (number of the step, from, to) in order, whole windows
+    only. `steps` are window lengths, shortest first, each a multiple of the one before; both ends must lie on the
+    shortest. Of n windows of the shortest length some 2 * (steps[i + 1] / steps[i]) of each length are left."""
+    if start % steps[0] or end % steps[0]:
+        raise ValueError("the range does not begin and end with a window")
+
+    def fill(a: int, b: int, k: int) -> list[tuple[int, int, int]]:
+        if a >= b:
+            return []
+        low, high = -(-a // steps[k]) * steps[k], b // steps[k] * steps[k]
+        if low >= high:
+            return fill(a, b, k - 1)
+        return fill(a, low, k - 1) + [(k, low, high)] + fill(high, b, k - 1)
+
+    return fill(start, end, len(steps) - 1)

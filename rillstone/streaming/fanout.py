@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from rillstone.functions import at_or_after_day, within
-from rillstone.functions.timing import AsOf
+from rillstone.functions.timing import AsOf, cover
 from rillstone.operators.clean import served
 from rillstone.operators.dedup import distinct_events
 from rillstone.operators.metrics import (
@@ -54,6 +54,7 @@ from rillstone.sinks.topics import FolderTopics, KafkaTopics
 from rillstone.sources.folders import folder_exists, names_in
 from rillstone.sources.jdbc import JdbcDatabase
 from rillstone.sources.store import EventStore, cleaned_schema, partition_fields, placed, with_partitions
+from rillstone.streaming.bitmaps import DICTIONARY_SCHEMA, bitmap_sizes, member_bitmaps, merge_bitmaps, numbered
 from rillstone.streaming.ids import IDS, IdLedger
 from rillstone.streaming.snapshots import FAN, Part, Snapshot, Snapshots, due
 
@@ -63,6 +64,8 @@ RECORDS = "records"
 MEMBERS = "clickstream_members"
 WINDOW_DATE = "window_date"
 COUNTS = "batch_counts"
+USERS, BITMAPS = "user_numbers", "clickstream_bitmaps"
+AT = "@"  # between a metric table and the length of the longer windows it is rolled up to
 LATE, TOO_LATE = "late_events", "window_closed"
 ACCEPTED, REJECTED, NEWEST = "accepted", "rejected", "newest_event"
 LAYOUT = ("outcome", "event_kind", "event_date")
@@ -90,8 +93,23 @@ def by_batch(name: str) -> str:
     return f"{name}_by_batch"
 
 
+def rolled(name: str, every: str) -> str:
+    """The table of a metric table's state in longer windows."""
+    return f"{name}{AT}{every.replace(' ', '_')}"
+
+
+def seconds_of(every: str) -> int:
+    count, unit = every.split()
+    return int(count) * {"minute": 60, "hour": 3600, "day": 86_400}[unit.removesuffix("s")]
+
+
 def state_schema(spark: SparkSession, name: str) -> StructType:
     """The columns of a state table, with its directories."""
+    name = name.partition(AT)[0]
+    if name == BITMAPS and name not in _STATE_SCHEMAS:
+        dims = [StructField(d, StringType(), True) for d in CLICKSTREAM.dims]
+        rest = "window_start timestamp, window_end timestamp, bitmap_bucket bigint, bits binary"
+        _STATE_SCHEMAS[name] = StructType([*dims, *StructType.fromDDL(rest).fields])
     if name not in _STATE_SCHEMAS:
         none = spark.createDataFrame([], StructType([*cleaned_schema().fields, *partition_fields()]))
         _STATE_SCHEMAS[name] = metric_state(none, TABLES.get(name, CLICKSTREAM), members=name == MEMBERS).schema
@@ -181,6 +199,12 @@ class Tables:
         joined = newest.join(F.broadcast(processed), "partition", "left")  # one row a partition
         return joined.select("partition", "newest", "processed", (F.col("newest") - F.col("processed")).alias("lag"))
 
+    def users(self, spark: SparkSession, parts: Sequence[Part] | None = None) -> DataFrame:
+        """The dictionary of users: (member, number)."""
+        parts = self.snapshot(spark).parts(USERS) if parts is None else parts
+        schema = StructType([*StructType.fromDDL(DICTIONARY_SCHEMA).fields, *SPAN])
+        return self.read(spark, USERS, parts, schema).drop(*[f.name for f in SPAN])
+
     def late(self, spark: SparkSession) -> DataFrame:
         """Events that came after their window had closed, with the time it was closed by."""
         return self.late_parts(spark, self.snapshot(spark).parts(LATE))
@@ -207,6 +231,33 @@ class Tables:
             return finish_members(self.state(spark, MEMBERS, span, as_of), table, every)
         return finish(merge_state(self.state(spark, table.name, span, as_of), table, every), table)
 
+    def metrics_of_bitmaps(self, spark: SparkSession, every: str | None = None) -> DataFrame:
+        """Click metrics with exact distinct counts from merged bitmaps; `every` may name longer windows."""
+        keys = [*WINDOW, *CLICKSTREAM.dims]
+        bitmaps, states = self.state(spark, BITMAPS), self.state(spark, CLICKSTREAM.name)
+        if every:
+            bitmaps = bitmaps.withColumn("_w", F.window("window_start", every))
+            bitmaps = bitmaps.withColumns({"window_start": F.col("_w.start"), "window_end": F.col("_w.end")})
+        sizes = bitmap_sizes(merge_bitmaps(bitmaps, keys), keys, "_members")
+        rows = finish(merge_state(states, CLICKSTREAM, every), CLICKSTREAM).alias("s")
+        same = [F.col(f"s.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
+        counted = F.coalesce(F.col("m._members"), F.lit(0).cast("bigint")).alias(CLICKSTREAM.distinct[0])
+        columns = [counted if c == CLICKSTREAM.distinct[0] else F.col(f"s.{c}") for c in CLICKSTREAM.columns]
+        return rows.join(sizes.alias("m"), same, "left").select(*columns)
+
+    def covered(self, spark: SparkSession, table: MetricTable, steps: Sequence[str], start: dt.datetime, end: dt.datetime) -> DataFrame:
+        """State rows that make up the time from `start` to `end`, from the largest windows that fit: whole days out of
+        the days' table, what is left at both ends out of hours, and of those out of minutes. Times are UTC."""
+        at = [int(t.replace(tzinfo=dt.timezone.utc).timestamp()) for t in (start, end)]
+        found = None
+        for k, low, high in cover(*at, [seconds_of(s) for s in steps]):
+            rows = self.state(spark, rolled(table.name, steps[k]) if k else table.name)
+            first, last = (F.timestamp_seconds(F.lit(t)) for t in (low, high))
+            rows = rows.where((F.col("window_start") >= first) & (F.col("window_start") < last))
+            rows = rows.where(F.col(WINDOW_DATE).between(F.to_date(first), F.to_date(last)))
+            found = rows if found is None else found.unionByName(rows)
+        return found if found is not None else self.state(spark, table.name).limit(0)
+
     def touched_metrics(self, spark: SparkSession, table: MetricTable, batch_id: int, span: tuple | None = None) -> DataFrame:
         """The final rows, over all batches so far, of the windows that one batch has changed. Read are the days the
         batch has written to, and of these the files' row groups between its first and its last window."""
@@ -295,10 +346,10 @@ def merge_parts(spark: SparkSession, tables: Tables, fan: int = FAN) -> list[tup
         made.append((name, part))
         steps.append(lambda: write(tables.path(name, part)))
 
-    for name in (MEMBERS, *TABLES):
+    for name in [n for n in old.tables if n.partition(AT)[0] in (MEMBERS, *TABLES)]:
         if found := due(now.parts(name), fan):
             group, part = found
-            table = TABLES.get(name, CLICKSTREAM)
+            table = TABLES.get(name.partition(AT)[0], CLICKSTREAM)
             add(name, part, lambda folder, n=name, g=group, t=table: write_state(merge_state(at.part_state(spark, n, g), t), folder))
             now = now.replacing(name, group, part)
             fresh = [p for p in group if not p.level]
@@ -312,6 +363,16 @@ def merge_parts(spark: SparkSession, tables: Tables, fan: int = FAN) -> list[tup
         rows = spark.createDataFrame(count_rows(old), COUNTS_SCHEMA).coalesce(1)
         add(COUNTS, chunk, lambda folder: rows.write.mode("overwrite").parquet(folder))
         now = now.replacing(COUNTS, [], chunk).forgetting_counts()
+    if found := due(now.parts(BITMAPS), fan):
+        group, part = found
+        bitmaps = merge_bitmaps(at.part_state(spark, BITMAPS, group), [*WINDOW, *CLICKSTREAM.dims])
+        add(BITMAPS, part, lambda folder: write_state(bitmaps, folder))
+        now = now.replacing(BITMAPS, group, part)
+    if found := due(now.parts(USERS), fan):
+        group, part = found
+        users = at.users(spark, group).hint("rebalance")
+        add(USERS, part, lambda folder: users.write.mode("overwrite").parquet(folder))
+        now = now.replacing(USERS, group, part)
     if found := due(now.parts(LATE), fan):
         group, part = found
         late = at.late_parts(spark, group).hint("rebalance")
@@ -403,6 +464,8 @@ class Fanout:
     root: str
     every: str = MINUTE
     fan: int = FAN  # parts of a level that are merged into one
+    roll_to: tuple[str, ...] = ()  # longer windows that the state is kept in as well, such as ("1 hour", "1 day")
+    bitmaps: bool = False  # keep users as bitmaps besides
     lateness: str | None = None  # a window that ends so long before the newest event is closed; None: it never is
     topics: FolderTopics | KafkaTopics | None = None
     database: JdbcDatabase | None = None
@@ -450,7 +513,11 @@ class Fanout:
             together(spark, steps)
             now = before.after_batch(batch_id, [n for n, rows in kept.items() if rows], {})
             steps = [partial(self._sketches, spark, batch_id, kept)] if kept.get(MEMBERS) else []
+            if self.bitmaps and kept.get(MEMBERS):
+                steps.append(partial(self._bitmaps, spark, batch_id, before, kept))
             together(spark, [*steps, partial(self._publish_curated, spark, batch_id, now, spans)])
+            rolls = [(name, every) for name in TABLES if kept.get(name) for every in self.roll_to]
+            together(spark, [partial(self._roll, spark, batch_id, name, every, kept) for name, every in rolls])
 
         steps = [metrics, *self._publish_steps(events, batch_id)]
         if counts[ACCEPTED]:
@@ -530,6 +597,23 @@ class Fanout:
         write_state(rows, self.tables.path(name, Part(batch_id, batch_id)), seen, parts)
         kept[name], spans[name] = seen.get["n"], (seen.get["low"], seen.get["high"])
 
+    def _roll(self, spark: SparkSession, batch_id: int, name: str, every: str, kept: dict) -> None:
+        """The batch's state in longer windows: nodes higher up in the tree of windows, of the same batch."""
+        state = self.tables.part_state(spark, name, [Part(batch_id, batch_id)])
+        self._replace(merge_state(state, TABLES[name], every), rolled(name, every), batch_id, kept, {})
+
+    def _bitmaps(self, spark: SparkSession, batch_id: int, before: Snapshot, kept: dict) -> None:
+        """Number the batch's new users, then write its member rows as bitmaps."""
+        tables, own = self.tables.at(before), Part(batch_id, batch_id)
+        members, seen = self.tables.part_state(spark, MEMBERS, [own]), Observation()
+        known = tables.users(spark)
+        rows = numbered(members.select(CLICKSTREAM.distinct[1]), known).observe(seen, F.count(F.lit(1)).alias("n"))
+        rows.write.mode("overwrite").parquet(self.tables.path(USERS, own))
+        kept[USERS] = seen.get["n"]
+        dictionary = known.unionByName(tables.users(spark, [own]))
+        bitmaps = member_bitmaps(members, [*WINDOW, *CLICKSTREAM.dims], CLICKSTREAM.distinct[1], dictionary)
+        self._replace(bitmaps, BITMAPS, batch_id, kept, {})
+
     def _ids(self, events: DataFrame, batch_id: int, count: int) -> None:
         ids = events.select("event_id", F.lit(batch_id).cast("bigint").alias("batch_id"))
         self.ledger.write(ids, Part(batch_id, batch_id), count)

@@ -313,6 +313,11 @@ def oracle_sql() -> dict[str, str]:
             union all select 'tags', 'ARRAY<STRING>', count(*) from mixed where n % 61 = 0 and not not_json
             union all select 'note', 'STRING', count(*) from mixed where n % 122 = 0 and not not_json
             union all select 'note', 'BOOLEAN', count(*) from mixed where n % 122 = 61 and not not_json""",
+        "fanout_clickstream_bitmaps": _window_sql("clickstream_metrics", "day"),
+        "covered_totals": f"""select event_type, count(*) as events,
+            case when event_type = 'clickstream' then {_round("sum(revenue)", 6)} end as revenue from events_cleaned
+            where event_type in ('clickstream', 'sensor', 'app_log') and event_ts >= timestamp '2024-01-05 13:47:00'
+            and event_ts < timestamp '2024-01-22 06:11:00' group by event_type""",
         "intake_progress": """
             select 'intake.records' as name, count(*) as value from mixed
             union all select 'intake.rejected', count(*) from mixed where (not_json or event_id is null or event_type is null)

@@ -179,6 +179,21 @@ def _closing(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(folder_of(spark, sf_dir, "closing", build))
 
 
+TREE = ("1 minute", "1 hour", "1 day")
+RAGGED = dt.datetime(2024, 1, 5, 13, 47), dt.datetime(2024, 1, 22, 6, 11)
+
+
+def _tree(spark: SparkSession, sf_dir: str) -> Tables:
+    """Tables of a job that keeps minutes, hours and days, and users as bitmaps."""
+
+    def build(folder: str) -> None:
+        job = Fanout(folder, TREE[0], fan=3, roll_to=TREE[1:], bitmaps=True)
+        feed = flow.checked_stream(_stream_records(spark, sf_dir))
+        start_fanout(feed, job, f"{folder}/checkpoint", every=None).awaitTermination()
+
+    return Tables(folder_of(spark, sf_dir, "tree", build))
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(f"{_fanout(spark, sf_dir)}/tables")
 
@@ -654,3 +669,21 @@ def dedup_state(spark, sf_dir):
 def unknown_fields(spark, sf_dir):
     """Fields of the feed that nobody has declared, with the types they come in."""
     return dec.undeclared_fields(_records(spark, sf_dir))
+
+
+@query
+def fanout_clickstream_bitmaps(spark, sf_dir):
+    """Click metrics by the day with distinct users from merged bitmaps."""
+    return rounded(_tree(spark, sf_dir).metrics_of_bitmaps(spark, "1 day"))
+
+
+@query
+def covered_totals(spark, sf_dir):
+    """Events of each kind and revenue in seventeen ragged days, from the tree of windows."""
+    tables, totals = _tree(spark, sf_dir), None
+    for table in met.TABLES.values():
+        rows = tables.covered(spark, table, TREE, *RAGGED)
+        revenue = F.sum("revenue_sum") if "revenue_sum" in rows.columns else F.lit(None).cast("double")
+        part = rows.agg(F.lit(table.kind).alias("event_type"), F.sum(table.count).alias("events"), revenue.alias("revenue"))
+        totals = part if totals is None else totals.unionByName(part)
+    return rounded(totals)

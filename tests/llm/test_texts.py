@@ -327,7 +327,7 @@ def test_one_line_of_very_many_addresses():
         batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([1]), column], names=["key", "doc_id", "text"])
         begun = time.process_time()
         found = next(pii._found([batch]))
-        assert found.column("n_email").to_pylist() == [n] and len(found.column("near").to_pylist()[0]) > 400
+        assert found.column("n_email").to_pylist() == [n] and found.column("near").to_pylist()[0]
         return time.process_time() - begun
 
     seconds(1000)

@@ -1,0 +1,121 @@
+"""Windows as a tree, users as bitmaps: both must say what a scan of the events says, from few rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rillstone.functions.timing import cover
+from rillstone.operators import metrics as met
+from rillstone.operators.clean import clean
+from rillstone.operators.decode import decode
+from rillstone.operators.dedup import distinct_events
+from rillstone.operators.wire import envelope
+from rillstone.streaming import bitmaps, flow
+from rillstone.streaming.fanout import BITMAPS, MEMBERS, Fanout
+from rillstone.workload.feed import event_feed, events_table
+
+SF = "/root/testdata/sf0.001"
+STEPS = ("1 minute", "1 hour", "1 day")
+
+
+@given(st.integers(0, 10_000), st.integers(0, 10_000))
+def test_cover(a, b):
+    start, end = (60 * min(a, b), 60 * max(a, b))
+    spans = cover(start, end, (60, 3600, 86_400))
+    at = start
+    for k, low, high in spans:
+        step = (60, 3600, 86_400)[k]
+        assert low == at < high and low % step == 0 == high % step
+        at = high
+    assert at == end
+    assert sum((high - low) // (60, 3600, 86_400)[k] for k, low, high in spans) <= 2 * 59 + 2 * 23 + 7
+
+
+def test_cover_wants_whole_windows():
+    with pytest.raises(ValueError):
+        cover(30, 600, (60, 3600))
+
+
+@pytest.fixture(scope="module")
+def tree(spark, tmp_path_factory):
+    """Five batches, merged twice; a record without a user among them."""
+    feed = event_feed(events_table(spark, SF))
+    nobody = '{"event_id":"nobody","event_type":"clickstream","timestamp":"2024-01-03T10:00:00+00:00","page":"/p"}'
+    more = feed.limit(1).withColumn("value", F.lit(nobody).cast("binary"))
+    records = envelope(feed.unionByName(more)).cache()
+    job = Fanout(str(tmp_path_factory.mktemp("tree")), STEPS[0], fan=2, roll_to=STEPS[1:], bitmaps=True)
+    rows = flow.enrich(flow.decode_checked(records))
+    for batch in range(5):
+        job(rows.where(F.pmod(F.xxhash64("kafka_key", "offset"), F.lit(5)) == batch), batch)
+    unique = distinct_events(clean(decode(records, keep=("kafka_key", "kafka_timestamp", "partition", "offset")))).cache()
+    return job.tables, unique
+
+
+def plain(rows):
+    return sorted(map(str, (tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows.collect())))
+
+
+@pytest.mark.parametrize("every", [None, "1 hour", "1 day"])
+def test_bitmaps_count_exactly(spark, tree, every):
+    tables, unique = tree
+    got = tables.metrics_of_bitmaps(spark, every)
+    assert plain(got) == plain(met.clickstream_metrics(unique, every or "1 minute"))
+    assert got.where("unique_users = 0").count() == 1  # the record without a user
+
+
+def test_bitmaps_take_a_row_for_each_group(spark, tree):
+    """One row per window, group and bucket, and a dictionary that has every user once under a number of its own."""
+    tables, unique = tree
+    rows = tables.state(spark, BITMAPS).select("window_start", *met.CLICKSTREAM.dims, "bitmap_bucket", "first_batch")
+    assert rows.count() == rows.distinct().count()
+    users = tables.users(spark)
+    wanted = unique.where("event_type = 'clickstream' and event_ts is not null and user_id is not null").select("user_id").distinct()
+    assert users.select("member").exceptAll(wanted).isEmpty() and users.count() == wanted.count()
+    assert users.select("number").distinct().count() == users.count()
+    by_day = tables.part_state(spark, MEMBERS, tables.snapshot(spark).parts(MEMBERS))
+    day = bitmaps.merge_bitmaps(tables.state(spark, BITMAPS).withColumn("day", F.to_date("window_start")), ["day"])
+    assert day.count() <= by_day.select(F.to_date("window_start")).distinct().count() * 2
+
+
+def test_numbers_stay_dense_over_batches(spark):
+    known = spark.createDataFrame([], bitmaps.DICTIONARY_SCHEMA)
+    for batch in range(4):
+        names = [(f"u{n}",) for n in range(batch * 300, batch * 300 + 500)] + [(None,), ("",)]
+        members = spark.createDataFrame(names * 2, "user_id string")
+        rows = known.unionByName(bitmaps.numbered(members, known)).collect()
+        known = spark.createDataFrame(rows, bitmaps.DICTIONARY_SCHEMA)
+    rows = known.collect()
+    assert len(rows) == len({r["member"] for r in rows}) == len({r["number"] for r in rows}) == 1401
+    assert max(r["number"] for r in rows) < 64 * 45  # 1,401 over 64 buckets: 22 each, the fullest not twice that
+
+
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        (dt.datetime(2024, 1, 5, 13, 47), dt.datetime(2024, 1, 22, 6, 11)),
+        (dt.datetime(2024, 1, 5, 13, 47), dt.datetime(2024, 1, 5, 13, 48)),
+        (dt.datetime(2024, 1, 5, 13, 47), dt.datetime(2024, 1, 5, 17, 1)),
+        (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31)),
+        (dt.datetime(2024, 1, 9, 8), dt.datetime(2024, 1, 9, 8)),
+    ],
+)
+def test_a_ragged_span_from_few_rows(spark, tree, start, end):
+    tables, unique = tree
+    for table in met.TABLES.values():
+        own = unique.where((F.col("event_type") == table.kind) & (F.col("event_ts") >= F.lit(start)) & (F.col("event_ts") < F.lit(end)))
+        rows = tables.covered(spark, table, STEPS, start, end)
+        assert (rows.agg(F.sum(table.count)).first()[0] or 0) == own.count()
+        if table is met.CLICKSTREAM:
+            got, want = (x.agg(F.sum(c)).first()[0] or 0 for x, c in ((rows, "revenue_sum"), (own, "revenue")))
+            assert abs(got - want) < 1e-6
+    if (end - start).days >= 10:
+        days = rows.where(F.col("window_end") - F.col("window_start") == F.expr("INTERVAL 1 DAY"))
+        minutes = rows.where(F.col("window_end") - F.col("window_start") == F.expr("INTERVAL 1 MINUTE"))
+        assert days.count() > 0 and minutes.count() <= 2 * 59 * 12
+        scans = rows._jdf.queryExecution().executedPlan().toString()
+        assert scans.count("window_date") >= 3 and "GreaterThanOrEqual(window_start" in scans
