@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from rillstone.streaming.snapshots import Part, Snapshots, due
+
 PROGRESS = (
     "query_id string, batch_id bigint, started string, input_rows bigint, rows_per_second double, "
     "state_rows bigint, late_rows_dropped bigint, observed map<string, bigint>"
@@ -51,14 +53,16 @@ def progress_report(spark: SparkSession, reports: Iterable) -> DataFrame:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Writes every report to one folder per query and micro-batch; a repeated batch replaces its report.
+    """Writes every report down as a part of its query's table (see `snapshots`), merged in levels, so that a job that
+    never ends leaves few files; the report of a repeated batch replaces the one before.
 
         log = ProgressLog(spark, folder)
         spark.streams.addListener(log)
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root, self.last = spark, root, {}
+    def __init__(self, spark: SparkSession, root: str, fan: int = 32):
+        self.spark, self.root, self.fan, self.last = spark, root, fan, {}
+        self.snapshots = Snapshots(root)
 
     def onQueryStarted(self, event) -> None: ...
 
@@ -69,11 +73,33 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         report = event.progress
         if report.numInputRows or report.observedMetrics:
-            folder = f"{self.root}/query_id={report.id}/batch_id={report.batchId}"
-            rows = progress_report(self.spark, [report]).drop("query_id", "batch_id")
-            rows.coalesce(1).write.mode("overwrite").parquet(folder)
+            rows = progress_report(self.spark, [report]).drop("query_id")
+            self._add(f"query_id={report.id}", Part(report.batchId, report.batchId), rows)
         self.last[str(report.id)] = report.batchId
 
+    def _add(self, name: str, part: Part, rows: DataFrame) -> None:
+        """Reports come one after the other, on one thread."""
+        now = self.snapshots.newest(self.spark)
+        if any(part.first in p for p in now.parts(name) if p.level):
+            return
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{part.folder(name)}")
+        if part in now.parts(name):
+            return
+        now = now.replacing(name, [], part)
+        if found := due(now.parts(name), self.fan):
+            group, merged = found
+            held = self._read(name, group).drop("query_id", "first_batch", "last_batch")
+            held.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{merged.folder(name)}")
+            now = now.replacing(name, group, merged)
+        self.snapshots.commit(self.spark, now)
+        if found:
+            self.snapshots.clean_up(self.spark)
+
+    def _read(self, name: str, parts: Iterable[Part]) -> DataFrame:
+        schema = f"{PROGRESS}, first_batch bigint, last_batch bigint"
+        reader = self.spark.read.schema(schema).option("basePath", self.root)
+        return reader.parquet(*[f"{self.root}/{p.folder(name)}" for p in parts])
+
     def settled(self, query: StreamingQuery, patience: float = 60.0) -> None:
         """Wait until the last report of an ended query is written; reports arrive on another thread."""
         newest, until = query.lastProgress, time.monotonic() + patience
@@ -84,7 +110,11 @@ class ProgressLog(StreamingQueryListener):
 
     def table(self) -> DataFrame:
         """One row per query and micro-batch, from all runs that wrote to this folder."""
-        return self.spark.read.parquet(self.root)
+        tables = self.snapshots.newest(self.spark).tables
+        rows = self.spark.createDataFrame([], PROGRESS)
+        for name, parts in tables.items():
+            rows = rows.unionByName(self._read(name, parts).drop("first_batch", "last_batch"))
+        return rows
 
 
 def _offsets(text) -> Mapping:

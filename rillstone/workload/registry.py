@@ -512,7 +512,15 @@ def _windows(spark, sf_dir, table: met.MetricTable) -> DataFrame:
 
 @query
 def stream_clickstream_windows(spark, sf_dir):
-    return rounded(_windows(spark, sf_dir, met.CLICKSTREAM))
+    """The stream's click windows, with the exact distinct users and whether its estimate is within three deviations."""
+    exact = met.window_metrics(_unique(spark, sf_dir, met.CLICKSTREAM.record_fields), met.CLICKSTREAM)
+    keys = ["window_start", *met.CLICKSTREAM.dims]
+    rows = _windows(spark, sf_dir, met.CLICKSTREAM).alias("s")
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keys]
+    joined = rows.join(exact.select(*keys, "unique_users").alias("e"), same)
+    close = F.abs(F.col("unique_users_estimate") - F.col("unique_users")) <= F.greatest(F.lit(1), F.col("unique_users") * 0.15)
+    columns = [f"s.{c}" for c in met.CLICKSTREAM.columns if c != "unique_users"]
+    return rounded(joined.select(*columns, "unique_users", close.alias("estimate_is_close")))
 
 
 @query
@@ -622,7 +630,7 @@ def topic_dead(spark, sf_dir):
 @query
 def intake_progress(spark, sf_dir):
     """What the fan-out's run observed and kept, added up over its micro-batches."""
-    log = spark.read.parquet(f"{_fanout(spark, sf_dir)}/progress")
+    log = ProgressLog(spark, f"{_fanout(spark, sf_dir)}/progress").table()
     counts = log.select(F.explode("observed").alias("name", "value"))
     kept = _tables(spark, sf_dir).row_counts(spark).select("table_name", F.col("row_count").alias("value"))
     names = F.when(F.col("table_name") == RECORDS, "kept.rows").when(F.col("table_name") == ACCEPTED, "kept.events")

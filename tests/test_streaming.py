@@ -394,7 +394,7 @@ def test_progress_outlives_the_report_limit(spark, feed, tmp_path):
     """Totals come from the written reports: Spark itself remembers the last three here."""
     key = "spark.sql.streaming.numRecentProgressUpdates"
     before = spark.conf.get(key)
-    log = ProgressLog(spark, f"{tmp_path}/progress")
+    log = ProgressLog(spark, f"{tmp_path}/progress", fan=2)
     spark.conf.set(key, "3")
     spark.streams.addListener(log)
     try:
@@ -406,6 +406,10 @@ def test_progress_outlives_the_report_limit(spark, feed, tmp_path):
     assert len(query.recentProgress) <= 3
     assert log.table().agg(F.sum("input_rows")).first()[0] == feed.count()
     assert log.table().where("input_rows > 0").count() == 6
+    assert sum(len(parts) for parts in log.snapshots.newest(spark).tables.values()) <= 3
+    again = log.snapshots.newest(spark)
+    log._add(f"query_id={query.id}", Part(0, 0), log.table().limit(1).drop("query_id"))  # a report that has been merged
+    assert log.snapshots.newest(spark) == again
 
 
 def test_unreadable_time_is_deduplicated_and_kept(spark, tmp_path):
