@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import argparse
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -28,7 +28,7 @@ from rillstone.sources.kafka import KafkaTopic
 from rillstone.sources.store import EventStore
 from rillstone.streaming import flow
 from rillstone.streaming.fanout import Fanout
-from rillstone.streaming.launch import SERVE_EVERY, STORE_EVERY, await_any, start_fanout, start_store
+from rillstone.streaming.launch import SERVE_EVERY, STORE_EVERY, start_fanout, start_store, supervise
 
 
 def settings(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -53,6 +53,7 @@ def settings(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-user", default=os.environ.get("JDBC_USER", ""))
     parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
+    parser.add_argument("--attempts", type=int, default=3, help="starts of a query that fails, before the job does")
     parser.add_argument("--once", action="store_true", help="work off what is there, then stop")
     return parser.parse_args(argv)
 
@@ -64,7 +65,8 @@ def records(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return envelope(topic.stream(spark))
 
 
-def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+def starts(spark: SparkSession, args: argparse.Namespace) -> dict[str, Callable[[], StreamingQuery]]:
+    """How to start each query of the job, by name."""
     feed, root = records(spark, args), args.root.rstrip("/")
     topics = database = None
     if args.publish:
@@ -80,27 +82,28 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         )
     archive = None if args.no_archive else EventStore(f"{root}/archive")
     fanout = Fanout(f"{root}/tables", topics=topics, database=database, archive=archive, archive_every=args.archive_every)
-    checked = flow.checked_stream(feed)
-    every = None if args.once else SERVE_EVERY
-    started = [start_fanout(checked, fanout, f"{root}/checkpoints/serving", every, "serving")]
+    serve_every, store_every = (None, None) if args.once else (SERVE_EVERY, STORE_EVERY)
+    found = {
+        "serving": lambda: start_fanout(flow.checked_stream(feed), fanout, f"{root}/checkpoints/serving", serve_every, "serving")
+    }
     if args.store_query:
-        events = flow.cleaned_stream(feed, horizon=args.dedup_horizon, combine=args.combine)
-        every = None if args.once else STORE_EVERY
-        place, checkpoint = f"{root}/store", f"{root}/checkpoints/store"
-        started.append(
-            start_store(
-                events, place, checkpoint, fmt=args.store_format, every=every, name="store", writers=args.store_writers
+
+        def store() -> StreamingQuery:
+            events = flow.cleaned_stream(feed, horizon=args.dedup_horizon, combine=args.combine)
+            place, checkpoint = f"{root}/store", f"{root}/checkpoints/store"
+            return start_store(
+                events, place, checkpoint, fmt=args.store_format, every=store_every, name="store", writers=args.store_writers
             )
-        )
-    return started
+
+        found["store"] = store
+    return found
+
+
+def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    return [begin() for begin in starts(spark, args).values()]
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = settings(argv)
     spark = tune(build_session())
-    started = start(spark, args)
-    if args.once:
-        for query in started:
-            query.awaitTermination()
-    else:
-        await_any(spark)
+    supervise(starts(spark, args), args.attempts)

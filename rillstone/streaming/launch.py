@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -92,3 +94,40 @@ def current_windows(spark: SparkSession, path: str, table: MetricTable) -> DataF
 def await_any(spark: SparkSession) -> None:
     """Block until one query ends; its error, if any, is raised here."""
     spark.streams.awaitAnyTermination()
+
+
+@dataclass(frozen=True)
+class Attempt:
+    """One run of a supervised query: its place among the query's runs, and the error that ended it, if one did."""
+
+    name: str
+    number: int
+    run_id: str
+    error: str | None
+
+
+def supervise(starts: Mapping[str, Callable[[], StreamingQuery]], most: int = 3, every: float = 0.2) -> list[Attempt]:
+    """Run queries side by side until all have ended; returns their runs in the order in which they ended.
+
+    A query that fails is started again, from its own checkpoint, while the others go on. One that has failed `most`
+    times is given up: the others are stopped and its error is raised.
+    """
+    running = {name: (1, start()) for name, start in starts.items()}
+    ended: list[Attempt] = []
+    try:
+        while running:
+            for name, (number, query) in list(running.items()):
+                if query.isActive:
+                    continue
+                error = query.exception()
+                ended.append(Attempt(name, number, str(query.runId), str(error) if error else None))
+                del running[name]
+                if error and number >= most:
+                    raise error
+                if error:
+                    running[name] = (number + 1, starts[name]())
+            time.sleep(every if running else 0)
+    finally:
+        for _, query in running.values():
+            query.stop()
+    return ended

@@ -318,6 +318,14 @@ def oracle_sql() -> dict[str, str]:
             case when event_type = 'clickstream' then {_round("sum(revenue)", 6)} end as revenue from events_cleaned
             where event_type in ('clickstream', 'sensor', 'app_log') and event_ts >= timestamp '2024-01-05 13:47:00'
             and event_ts < timestamp '2024-01-22 06:11:00' group by event_type""",
+        "recovered_events": "select event_id, event_type, batch_id from events_cleaned",
+        "independent_queries": """select "query", attempts,
+            case when event_type = 'heartbeat' then 'other' else event_type end as event_kind, count(*) as events
+            from events_cleaned, (values ('store', 1), ('serving', 2)) as q("query", attempts) group by all""",
+        "triggered_store": """select event_id, case when event_type = 'heartbeat' then 'other' else event_type end
+            as event_kind, cast(event_ts as date) as event_date from events_cleaned""",
+        "processing_stamps": """select batch_id, cast(1 as bigint) as stamps, count(*) as events, true as is_later
+            from events_cleaned group by batch_id""",
         "intake_progress": """
             select 'intake.records' as name, count(*) as value from mixed
             union all select 'intake.rejected', count(*) from mixed where (not_json or event_id is null or event_type is null)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -29,13 +29,13 @@ from rillstone.plans.views import register_views
 from rillstone.schemas import RECORD_FIELDS, TOPIC_CLEANED, TOPIC_CURATED, TOPIC_DEAD
 from rillstone.session import tune
 from rillstone.sinks.topics import FolderTopics
-from rillstone.sources.folders import folder_bytes
+from rillstone.sources.folders import folder_bytes, folder_exists
 from rillstone.sources.files import line_table, wire_stream, wire_table
 from rillstone.sources.store import EventStore
 from rillstone.streaming import flow
 from rillstone.streaming.fanout import ACCEPTED, RECORDS, WINDOW_DATE, Fanout, Tables, archive_days, write_state
 from rillstone.streaming.ids import IDS
-from rillstone.streaming.launch import current_windows, start_fanout, start_store, start_windows
+from rillstone.streaming.launch import current_windows, start_fanout, start_store, start_windows, supervise
 from rillstone.streaming.progress import ProgressLog, consumer_lag, state_rows
 from rillstone.workload.feed import (
     JSON_GROWTH,
@@ -179,6 +179,36 @@ def _closing(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(folder_of(spark, sf_dir, "closing", build))
 
 
+class _Stumbles(Fanout):
+    """A fan-out that breaks once, when all tables of a batch are written and its snapshot is not."""
+
+    def _ids(self, events: DataFrame, batch_id: int, count: int) -> None:
+        super()._ids(events, batch_id, count)
+        marker = f"{self.root}/stumbled"
+        if batch_id == 2 and not folder_exists(events.sparkSession, marker):
+            events.sparkSession.range(1).write.parquet(marker)
+            raise RuntimeError("stumbled")
+
+
+def _supervised(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a store query and a serving query over one feed, side by side, of which one fails and goes on."""
+
+    def build(folder: str) -> None:
+        feed = _stream_records(spark, sf_dir)
+        job = _Stumbles(f"{folder}/tables", "1 day")
+        checkpoint = f"{folder}/checkpoints"
+        runs = supervise(
+            {
+                "serving": lambda: start_fanout(flow.checked_stream(feed), job, f"{checkpoint}/serving", every=None),
+                "store": lambda: start_store(flow.cleaned_stream(feed), f"{folder}/store", f"{checkpoint}/store", every=None),
+            }
+        )
+        rows = [(r.name, r.number, r.error is not None) for r in runs]
+        spark.createDataFrame(rows, "query string, attempt int, failed boolean").write.parquet(f"{folder}/runs")
+
+    return folder_of(spark, sf_dir, "supervised", build)
+
+
 TREE = ("1 minute", "1 hour", "1 day")
 RAGGED = dt.datetime(2024, 1, 5, 13, 47), dt.datetime(2024, 1, 22, 6, 11)
 
@@ -695,3 +725,46 @@ def covered_totals(spark, sf_dir):
         part = rows.agg(F.lit(table.kind).alias("event_type"), F.sum(table.count).alias("events"), revenue.alias("revenue"))
         totals = part if totals is None else totals.unionByName(part)
     return rounded(totals)
+
+
+@query
+def recovered_events(spark, sf_dir):
+    """Events of a job that broke in its third batch and was started again from its checkpoint, by batch."""
+    return Tables(f"{_supervised(spark, sf_dir)}/tables").accepted(spark).select("event_id", "event_type", "batch_id")
+
+
+@query
+def independent_queries(spark, sf_dir):
+    """Two queries over one feed, each with its own offsets and dedup: what they stored, and how often they were run."""
+    folder = _supervised(spark, sf_dir)
+    stored = EventStore(f"{folder}/store").scan(spark).select(F.lit("store").alias("query"), "event_kind")
+    served = Tables(f"{folder}/tables").accepted(spark).select(F.lit("serving").alias("query"), "event_kind")
+    runs = spark.read.parquet(f"{folder}/runs").groupBy("query").agg(F.max("attempt").alias("attempts"))
+    return stored.unionByName(served).join(F.broadcast(runs), "query").groupBy("query", "attempts", "event_kind").agg(
+        F.count(F.lit(1)).alias("events")
+    )
+
+
+@query
+def triggered_store(spark, sf_dir):
+    """The store query on a processing-time trigger, stopped when it had worked off the feed."""
+
+    def build(folder: str) -> None:
+        events = flow.cleaned_stream(_stream_records(spark, sf_dir))
+        running = start_store(events, f"{folder}/store", f"{folder}/checkpoint", every="1 second")
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+
+    rows = EventStore(f"{folder_of(spark, sf_dir, 'triggered', build)}/store").scan(spark)
+    return rows.select("event_id", "event_kind", "event_date")
+
+
+@query
+def processing_stamps(spark, sf_dir):
+    """The processing times each micro-batch stamped on its events: one for a batch, and later for later ones."""
+    rows = _tables(spark, sf_dir).accepted(spark).groupBy("batch_id")
+    found = rows.agg(F.count_distinct("processed_at").alias("stamps"), F.min("processed_at").alias("at"), F.count(F.lit(1)).alias("events"))
+    before = F.lag("at").over(Window.orderBy("batch_id"))  # one row a batch
+    return found.select("batch_id", "stamps", "events", F.coalesce(F.col("at") > before, F.lit(True)).alias("is_later"))

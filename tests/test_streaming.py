@@ -34,7 +34,7 @@ from rillstone.streaming.fanout import (
 )
 from rillstone.streaming.ids import IDS, IdLedger
 from rillstone.streaming.snapshots import Part, Snapshot, Snapshots, due
-from rillstone.streaming.launch import await_any, current_windows, start_fanout, start_store, start_windows
+from rillstone.streaming.launch import await_any, current_windows, start_fanout, start_store, start_windows, supervise
 from rillstone.streaming.progress import ProgressLog, consumer_lag, progress_report, state_operators, state_rows
 from rillstone.workload.feed import event_feed, events_table
 
@@ -241,6 +241,36 @@ def test_supervision_raises_the_error_of_a_failed_query(spark, feed, tmp_path):
         await_any(spark)
 
 
+def test_supervision_restarts_and_gives_up(spark, feed, tmp_path):
+    """A query that fails is run again while the other goes on; one that never succeeds ends them all."""
+    records = envelope(wire_stream(spark, staged(feed, f"{tmp_path}/in", 2), 1))
+
+    class Flaky(Fanout):
+        left = 2
+
+        def __call__(self, batch, batch_id):
+            if type(self).left:
+                type(self).left -= 1
+                raise RuntimeError("flaky sink")
+            super().__call__(batch, batch_id)
+
+    def serve(job, name):
+        return lambda: start_fanout(flow.checked_stream(records), job(f"{tmp_path}/{name}"), f"{tmp_path}/c-{name}", every=None)
+
+    runs = supervise({"flaky": serve(Flaky, "a"), "sound": serve(Fanout, "b")})
+    assert [(r.number, r.error is None) for r in runs if r.name == "flaky"] == [(1, False), (2, False), (3, True)]
+    assert [(r.number, r.error) for r in runs if r.name == "sound"] == [(1, None)]
+    found = [Tables(f"{tmp_path}/{name}").accepted(spark) for name in "ab"]
+    assert found[0].select("event_id").exceptAll(found[1].select("event_id")).isEmpty()
+    assert found[0].count() == found[1].count() > 0
+
+    Flaky.left = 100
+    endless = lambda: start_fanout(flow.checked_stream(records), Fanout(f"{tmp_path}/e"), f"{tmp_path}/c-e", every="1 second")
+    with pytest.raises(Exception, match="flaky sink"):
+        supervise({"endless": endless, "flaky": serve(Flaky, "d")}, most=2)
+    assert not spark.streams.active and Flaky.left == 98
+
+
 def line(event_id, second, zone="zone_1"):
     stamp = f"2024-01-01T{second // 3600:02}:{second // 60 % 60:02}:{second % 60:02}+00:00"
     return json.dumps({"event_id": event_id, "event_type": "sensor", "timestamp": stamp, "location": zone,
