@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from rillstone.llm.common import components, settle, width
 
@@ -44,12 +45,13 @@ class Scheme:
     cosine: float
     sides: int  # lines that tell a vector's cell in a round
     rounds: int
+    item: str = "<f8"  # how components travel: in the type they have
 
     @classmethod
-    def of(cls, cosine: float, recall: float, vectors: int) -> Scheme:
+    def of(cls, cosine: float, recall: float, vectors: int, item: str = "<f8") -> Scheme:
         sides = max(0, math.ceil(math.log2(max(vectors, 1) / CELL)))
         meets = (1 - math.acos(cosine) / math.pi) ** sides
-        return cls(cosine, sides, 1 if meets >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - meets)))
+        return cls(cosine, sides, 1 if meets >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - meets)), item)
 
     @property
     def reach(self) -> float:
@@ -75,9 +77,9 @@ class Scheme:
         return at[:, :LINES].astype(np.float32), bits @ (1 << np.arange(self.sides, dtype=np.int64))
 
 
-def units(vectors: list[bytes]) -> np.ndarray:
-    """Vectors of equal length, given as the bytes of doubles, scaled to unit length without overflow."""
-    x = np.frombuffer(b"".join(vectors), dtype=np.float64).reshape(len(vectors), -1)
+def units(vectors: list[bytes], item: str = "<f8") -> np.ndarray:
+    """Vectors of equal length, given as the bytes of their components, as doubles of unit length, without overflow."""
+    x = np.frombuffer(b"".join(vectors), dtype=item).astype(np.float64).reshape(len(vectors), -1)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
@@ -133,7 +135,7 @@ def _tiles(classes: DataFrame, scheme: Scheme) -> DataFrame:
     def cells(batches):
         for batch in batches:
             if batch.num_rows:
-                _, found = scheme.project(units(batch.column(1).to_pylist()))
+                _, found = scheme.project(units(batch.column(1).to_pylist(), scheme.item))
                 flat = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(found) + 1) * scheme.rounds, pa.int32()), pa.array(found.ravel())
                 )
@@ -167,7 +169,7 @@ def _tiles(classes: DataFrame, scheme: Scheme) -> DataFrame:
             if len(held) < 2:
                 return None
             side, key, weight, vector = zip(*held)
-            unit, key = units(list(vector)), np.array(key, dtype=np.int64)
+            unit, key = units(list(vector), scheme.item), np.array(key, dtype=np.int64)
             links, label = tile_links(unit, np.array(side), np.array(weight, dtype=np.float64), scheme, now[1])
             hit = np.flatnonzero(links)
             if not len(hit):
@@ -202,13 +204,17 @@ def _by_length(run):
     return lambda batches: run(split(batches))
 
 
-def _packed(batches):
-    """Vectors as the bytes of doubles."""
-    for batch in batches:
-        values, offsets = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64), None
-        offsets = np.concatenate([[0], np.cumsum(batch.column(1).value_lengths().to_numpy())])
-        made = [values[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "vector"])
+def _packed(item: str):
+    """Vectors as the bytes of their components."""
+
+    def run(batches):
+        for batch in batches:
+            values = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(item)
+            offsets = np.concatenate([[0], np.cumsum(batch.column(1).value_lengths().to_numpy())])
+            made = [values[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "vector"])
+
+    return run
 
 
 def near_duplicates(
@@ -219,12 +225,15 @@ def near_duplicates(
     kind = rows.schema["id"].dataType.simpleString()
     sound = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     sound = F.coalesce(sound & F.exists("e", lambda x: x != 0), F.lit(False))
-    good = rows.where(sound).select("id", F.transform("e", lambda x: x.cast("double") + 0.0).alias("e"))
-    packed = good.mapInArrow(_packed, f"id {kind}, vector binary").withColumn("key", F.xxhash64("vector"))
+    single = rows.schema["e"].dataType.elementType == FloatType()
+    of, item = ("float", "<f4") if single else ("double", "<f8")
+    zero = F.lit(0).cast(of)  # added, it makes equal vectors of those that differ in the sign of a zero
+    good = rows.where(sound).select("id", F.transform("e", lambda x: x.cast(of) + zero).alias("e"))
+    packed = good.mapInArrow(_packed(item), f"id {kind}, vector binary").withColumn("key", F.xxhash64("vector"))
     ids = settle(packed, "embeddings")
     classes = ids.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("weight"), F.first("vector").alias("vector"))
     classes = settle(classes, "vector-classes")
-    scheme = Scheme.of(cosine, recall, classes.count())
+    scheme = Scheme.of(cosine, recall, classes.count(), item)
     found = _tiles(classes, scheme)
     roots = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")), "vectors")
     links = found.groupBy("key").agg(F.sum("links").alias("links"))

@@ -181,3 +181,34 @@ def test_boilerplate_longer_than_the_story(spark):
     want |= {100 + i: want[3] for i in range(8)}
     got = html.extract(frame(spark, rows, "page_id long, url string, html string")).collect()
     assert {r["page_id"]: r["text"] for r in got} == want
+
+
+def neutral_site(n: int, seed: int, article: bool) -> list[tuple[str, str]]:
+    """Pages whose class names tell nothing: one block before the story, one inside it and one behind are the same on
+    every page. (page, main text) of each."""
+    rng = random.Random(seed)
+    before, within, behind = (prose(rng, k) for k in (30, 12, 60))
+    tag = "article" if article else "div"
+    out = []
+    for _ in range(n):
+        title, paragraphs = prose(rng, 5), [prose(rng, rng.randint(15, 60)) for _ in range(rng.randint(2, 6))]
+        middle = "".join(f"<p>{p}</p>" for p in paragraphs)
+        page = (
+            f'<body><div class="k1"><p>{before}</p></div><{tag} class="k2"><h1>{title}</h1><div class="k3"><p>{within}</p></div>'
+            f'{middle}</{tag}><div class="k4"><p>{behind}</p></div></body>'
+        )
+        out.append((page, "\n".join([title, *paragraphs])))
+    return out
+
+
+@pytest.mark.parametrize("article", [True, False])
+def test_the_wrapper_decides_where_names_tell_nothing(spark, article):
+    """What is the same on all pages of a host goes, inside an article as well, though no name marks it; a page by itself
+    cannot know."""
+    found = neutral_site(25, 3, article)
+    rows = [(i, f"http://plain.example/{i}", page) for i, (page, _) in enumerate(found)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in html.extract(df).collect()}
+    assert got == {i: text for i, (_, text) in enumerate(found)}
+    alone = [html.main_text(page, None) for page, _ in found]
+    assert all(a != text for a, (_, text) in zip(alone, found))
