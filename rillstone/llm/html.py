@@ -16,14 +16,14 @@ Alignment needs labels, parents and text hashes only, so whole pages move once,
 streamed past it and never gathered; adaptive execution cuts a host with many pages over several tasks.
 
 Defined results: NULL, empty or textless html has an empty text; NULL and unreadable urls are one host; repeated rows
-are pages of their own; elements nested deeper than DEEPEST stand beside each other below the one at that depth, and
-their end tags close nothing above it; lists of children with more than CELLS pairs are aligned in a band; cut tags at the
-end are dropped; other columns are not looked at.
+are pages of their own; elements nested deeper than DEEPEST stand beside each other below the one at that depth, as in
+browsers, and their end tags close nothing above it; cut tags at the end are dropped; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 from collections import defaultdict
 from dataclasses import dataclass, field
@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 from rillstone.llm.common import settle
 
-DEEPEST = 120
-CELLS, BAND = 1 << 20, 64
+DEEPEST = 512  # as browsers have it
+CELLS, LONG = 1 << 20, 48  # how alignment computes, not what: cells kept for going back, children from which on numpy pays
 VOTES, CONSTANT, COPY, MAIN, LEAST = 5, 0.8, 0.5, 0.5, 24
 
 # Element names of HTML by their role, and words that mark parts of a page.
@@ -307,13 +307,14 @@ def _shapes(tree: Tree) -> tuple[list[int], list[int]]:
 
 class _Alignment:
     """Simple tree matching of two pages, without recursion. Equal parts at both ends of two lists of children are
-    matched first, which is never worse. What is left is compared in full up to CELLS pairs; of longer lists each child
-    is compared with those around its place in the other list only, so that memory is linear in their length."""
+    matched first, which is never worse; what is left is compared in full. Of long lists only some rows of the table are
+    kept, and the others computed again on the way back, so memory stays near linear in their length."""
 
     def __init__(self, a: Tree, b: Tree):
         self.a, self.b = a, b
         (self.shapes, self.sizes), (self.others, _) = _shapes(a), _shapes(b)
         self.known: dict[tuple[int, int], int] = {}  # the size of the best matching of two subtrees
+        self.columns: dict[int, tuple[np.ndarray, ...]] = {}
 
     def ends(self, x: int, y: int) -> tuple[int, int]:
         """How many children of both are equal at the start, and how many at the end."""
@@ -325,15 +326,10 @@ class _Alignment:
             last += 1
         return first, last
 
-    def rows(self, x: int, y: int):
-        """(child of x, first place, end place) of the pairs to compare; places count the children of y left over."""
-        xs, ys = self.a.children[x], self.b.children[y]
+    def left_over(self, x: int, y: int) -> tuple[list[int], list[int]]:
         first, last = self.ends(x, y)
-        xs, n = xs[first : len(xs) - last], len(ys) - first - last
-        band = n if len(xs) * n <= CELLS else max(CELLS // len(xs), BAND)
-        for i, c in enumerate(xs):
-            low = 0 if band >= n else min(max(i * n // len(xs) - band // 2, 0), n - band)
-            yield c, low, min(low + band, n)
+        xs, ys = self.a.children[x], self.b.children[y]
+        return xs[first : len(xs) - last], ys[first : len(ys) - last]
 
     def pair(self, c: int, d: int) -> int | None:
         """The size of the best matching of two subtrees with equal labels at the top, None if not known yet."""
@@ -343,32 +339,50 @@ class _Alignment:
             return 1 + (self.a.texts[c] == self.b.texts[d])
         return self.known.get((c, d))
 
-    def table(self, x: int, y: int, missing: list) -> list[tuple[int, list[int]]]:
-        """(first place, sizes of the best matchings so far) after each child; pairs not known yet go to `missing`."""
-        la, lb, pair = self.a.labels, self.b.labels, self.pair
-        first, last = self.ends(x, y)
-        ys = self.b.children[y][first : len(self.b.children[y]) - last]
-        out = [(0, [0] * (len(ys) + 1 if len(self.a.children[x]) * len(ys) <= CELLS else 1))]
-        for c, low, high in self.rows(x, y):
-            before, row = out[-1]
-            # The best size with the places before each one; a row that ends stays as it is to its right.
-            whole = before == low and len(row) == high - low + 1
-            at = row if whole else [row[min(j - before, len(row) - 1)] for j in range(low, high + 1)]
-            made, left, label = [at[0]], at[0], la[c]
-            for j in range(low, high):
-                best = at[j - low + 1]
-                if best < left:
-                    best = left
-                if label == lb[ys[j]]:
-                    size = pair(c, ys[j])
-                    if size is None:
-                        missing.append((c, ys[j]))
-                    elif at[j - low] + size > best:
-                        best = at[j - low] + size
-                made.append(best)
-                left = best
-            out.append((low, made))
-        return out
+    def _short(self, row: list[int], c: int, ys: list[int], missing: list) -> list[int]:
+        """The best sizes with the first 0, 1, 2 ... of ys, after one more child of the other list."""
+        made, left, label, labels = [0], 0, self.a.labels[c], self.b.labels
+        for j, y in enumerate(ys):
+            best = row[j + 1]
+            if best < left:
+                best = left
+            if label == labels[y]:
+                size = self.pair(c, y)
+                if size is None:
+                    missing.append((c, y))
+                elif row[j] + size > best:
+                    best = row[j] + size
+            made.append(best)
+            left = best
+        return made
+
+    def _long(self, row: np.ndarray, c: int, y: int, ys: list[int], missing: list) -> np.ndarray:
+        """The same for many ys: what a child adds is one array, and the best to the left a running maximum."""
+        if y not in self.columns:
+            columns = [[of[d] for d in ys] for of in (self.b.labels, self.b.texts)]
+            self.columns[y] = *(np.array(x, dtype=np.int64) for x in columns), np.array([bool(self.b.children[d]) for d in ys], dtype=bool)
+        labels, texts, inner = self.columns[y]
+        alike = labels == self.a.labels[c]
+        size = np.where(alike, 1 + (texts == self.a.texts[c]), 0)
+        if self.a.children[c]:
+            for j in np.flatnonzero(alike & inner).tolist():
+                found = self.pair(c, ys[j])
+                size[j] = found or 0
+                if found is None:
+                    missing.append((c, ys[j]))
+        out = row.copy()
+        np.maximum(out[1:], np.where(alike, row[:-1] + size, 0), out=out[1:])
+        return np.maximum.accumulate(out)
+
+    def rows(self, y: int, xs: list[int], ys: list[int], start, missing: list):
+        """The row after each child of xs, from the one before the first."""
+        row = start
+        for c in xs:
+            row = self._long(row, c, y, ys, missing) if len(ys) >= LONG else self._short(row, c, ys, missing)
+            yield row
+
+    def _zeros(self, ys: list[int]):
+        return np.zeros(len(ys) + 1, dtype=np.int64) if len(ys) >= LONG else [0] * (len(ys) + 1)
 
     def weigh(self) -> None:
         todo = [(0, 0)] if self.pair(0, 0) is None else []
@@ -377,15 +391,43 @@ class _Alignment:
             if (x, y) in self.known:
                 todo.pop()
                 continue
+            xs, ys = self.left_over(x, y)
             missing: list[tuple[int, int]] = []
-            table = self.table(x, y, missing)
+            row = self._zeros(ys)
+            for row in self.rows(y, xs, ys, row, missing):
+                pass
+            self.columns.pop(y, None)
             if missing:
                 todo += missing
                 continue
             first, last = self.ends(x, y)
-            xs = self.a.children[x]
-            equal = sum(2 * self.sizes[c] for c in [*xs[:first], *xs[len(xs) - last :]])
-            self.known[x, y] = 1 + (self.a.texts[x] == self.b.texts[y]) + equal + table[-1][1][-1]
+            below = self.a.children[x]
+            equal = sum(2 * self.sizes[c] for c in [*below[:first], *below[len(below) - last :]])
+            self.known[x, y] = 1 + (self.a.texts[x] == self.b.texts[y]) + equal + int(row[-1])
+
+    def _back(self, y: int, xs: list[int], ys: list[int]) -> list[tuple[int, int]]:
+        """The pairs of a best matching of two lists of children."""
+        every = len(xs) if len(xs) * len(ys) <= CELLS else math.isqrt(len(xs)) + 1
+        kept = {0: self._zeros(ys)}
+        if every < len(xs):
+            for i, row in enumerate(self.rows(y, xs, ys, kept[0], []), 1):
+                if i % every == 0:
+                    kept[i] = row
+        out, i, j, part, low = [], len(xs), len(ys), [], 0
+        while i and j:
+            if not part or i <= low:
+                low = (i - 1) // every * every
+                part = [kept[low], *self.rows(y, xs[low:i], ys, kept[low], [])]
+            above, row = part[i - 1 - low], part[i - low]
+            if row[j] == above[j]:
+                i -= 1
+            elif row[j] == row[j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                out.append((xs[i], ys[j]))
+        self.columns.pop(y, None)
+        return out
 
     def matched(self) -> dict[int, int]:
         self.weigh()
@@ -393,24 +435,11 @@ class _Alignment:
         while todo:
             x, y = todo.pop()
             out[x] = y
-            xs, ys = self.a.children[x], self.b.children[y]
             first, last = self.ends(x, y)
+            xs, ys = self.a.children[x], self.b.children[y]
             todo += [*zip(xs[:first], ys[:first]), *zip(xs[len(xs) - last :], ys[len(ys) - last :])]
-            if first + last in (len(xs), len(ys)):
-                continue
-            xs, ys = xs[first : len(xs) - last], ys[first : len(ys) - last]
-            table = self.table(x, y, [])
-            i, j = len(xs), table[-1][0] + len(table[-1][1]) - 1
-            while i:
-                (before, above), (low, row) = table[i - 1], table[i]
-                j = min(j, low + len(row) - 1)
-                if row[j - low] == above[min(j - before, len(above) - 1)]:
-                    i -= 1
-                elif row[j - low] == row[j - low - 1]:
-                    j -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    todo.append((xs[i], ys[j]))
+            if first + last not in (len(xs), len(ys)):
+                todo += self._back(y, *self.left_over(x, y))
         return out
 
 
