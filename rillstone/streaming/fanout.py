@@ -68,7 +68,7 @@ USERS, BITMAPS = "user_numbers", "clickstream_bitmaps"
 AT = "@"  # between a metric table and the length of the longer windows it is rolled up to
 LATE, TOO_LATE = "late_events", "window_closed"
 ACCEPTED, REJECTED, NEWEST = "accepted", "rejected", "newest_event"
-LAYOUT = ("outcome", "event_kind", "event_date")
+LAYOUT = ("outcome", "event_kind")  # a batch is small: days are a column here, and directories in the event store
 ARRIVAL_ORDER = ("kafka_timestamp", "partition", "offset")
 SPAN = [StructField("first_batch", LongType(), True), StructField("last_batch", LongType(), True)]
 LATE_SCHEMA = "event_id string, event_type string, event_ts timestamp, closed_at timestamp, reason string, batch_id bigint"
@@ -85,7 +85,8 @@ _STATE_SCHEMAS: dict[str, StructType] = {}
 
 def records_schema() -> StructType:
     outcome = StructField("outcome", StringType(), True)
-    return StructType([*cleaned_schema().fields, *EXTRA_FIELDS, *SPAN, outcome, *partition_fields()])
+    kind, date = partition_fields()
+    return StructType([*cleaned_schema().fields, *EXTRA_FIELDS, date, *SPAN, outcome, kind])
 
 
 def by_batch(name: str) -> str:
@@ -318,7 +319,7 @@ def archive_batches(spark: SparkSession, tables: Tables, store: EventStore, upto
     if not old:
         return
     rows = tables.read(spark, RECORDS, old, records_schema()).where(F.col("outcome") == ACCEPTED)
-    days = [r[0] for r in rows.select("event_date").distinct().collect()]  # one row a day, from directories
+    days = [r[0] for r in rows.select("event_date").distinct().collect()]  # one row a day
     wanted = F.col("event_date").isin([d for d in days if d]) | (F.col("event_date").isNull() if None in days else F.lit(False))
     _archive(spark, tables.at(snapshot), store, wanted)
     drop_batches(spark, tables, upto)
@@ -540,7 +541,7 @@ class Fanout:
             with self.ledger.naming(spark):
                 rows = self.ledger.unseen(batch.where(~rejected), known, ARRIVAL_ORDER).unionByName(batch.where(rejected))
                 outcome = F.when(rejected, REJECTED).otherwise(ACCEPTED)
-                columns = [*CLEANED_COLUMNS, *[f.name for f in EXTRA_FIELDS], *LAYOUT]
+                columns = [*CLEANED_COLUMNS, *[f.name for f in EXTRA_FIELDS], "event_date", *LAYOUT]
                 rows = placed(with_partitions(rows.withColumn("outcome", outcome)).select(*columns), *LAYOUT)
                 is_new = F.col("outcome") == ACCEPTED
                 counts = {RECORDS: F.count(F.lit(1)), ACCEPTED: F.count_if(is_new)}
