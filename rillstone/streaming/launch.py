@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.operators.dedup import newest_per_key
@@ -16,6 +17,7 @@ from rillstone.streaming.fanout import Fanout
 
 STORE_EVERY = "30 seconds"
 SERVE_EVERY = "10 seconds"
+SPREAD = 4  # tasks that share a directory of the store in one trigger
 
 
 def _trigger(every: str | None) -> dict:
@@ -32,15 +34,17 @@ def start_store(
     every: str | None = STORE_EVERY,
     name: str | None = None,
     writers: int | None = None,
+    spread: int = SPREAD,
 ) -> StreamingQuery:
     """Append cleaned events to a table by kind and day, exactly once through the file sink's own log.
 
     Kinds that are not known share one directory, as their names come from outside. Each trigger leaves a file per
-    writing task and directory. Without `writers` every state partition writes; with it, that many tasks do, after a
-    shuffle.
+    writing task and directory. If every state partition wrote, that would be hundreds a directory: rows are therefore
+    shuffled by directory first, and at most `spread` tasks write to each. With `writers`, that many tasks write to all.
     """
     events = with_partitions(events)
-    events = events.repartition(writers) if writers else events
+    slot = F.pmod(F.xxhash64("event_id"), F.lit(spread))
+    events = events.repartition(writers) if writers else events.repartition(*partition_by, slot)
     writer = events.writeStream.format(fmt).outputMode("append").partitionBy(*partition_by)
     if name:
         writer = writer.queryName(name)

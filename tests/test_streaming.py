@@ -724,3 +724,24 @@ def test_state_is_readable_and_bounded(spark, tmp_path):
     assert expiry["6-3"] == dt.datetime(2024, 1, 1, 1, 0, 3) + dt.timedelta(minutes=15)
     names = state_operators(spark, f"{tmp_path}/c").select("operatorName").distinct().collect()
     assert [r[0] for r in names] == ["dedupeWithinWatermark"]
+
+
+def test_store_directories_get_few_files_however_wide_the_state(spark, tmp_path):
+    days = F.date_format(F.date_add(F.lit("2024-01-01"), (F.col("id") % 3).cast("int")), "yyyy-MM-dd'T'12:00:00'+00:00'")
+    event = F.struct(F.col("id").cast("string").alias("event_id"), F.lit("sensor").alias("event_type"), days.alias("timestamp"))
+    rows = spark.range(600).select(
+        F.lit(None).cast("binary").alias("key"), F.to_json(event).cast("binary").alias("value"), F.lit("t").alias("topic"),
+        F.lit(0).alias("partition"), F.col("id").alias("offset"), F.current_timestamp().alias("timestamp"),
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        events = flow.cleaned_stream(envelope(wire_stream(spark, f"{tmp_path}/in")))
+        start_store(events, f"{tmp_path}/store", f"{tmp_path}/checkpoint", every=None, spread=2).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stored = EventStore(f"{tmp_path}/store").scan(spark)
+    assert stored.select("event_id").distinct().count() == stored.count() == 600
+    files = Counter(f.parent.name for f in Path(f"{tmp_path}/store").rglob("*.parquet"))
+    assert len(files) == 3 and max(files.values()) <= 2
