@@ -22,7 +22,6 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial, reduce
-from urllib.parse import unquote
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -51,7 +50,7 @@ from rillstone.operators.wire import keyed_records, keyed_rows
 from rillstone.schemas import CLEANED_COLUMNS, TOPIC_CLEANED, TOPIC_CURATED, TOPIC_DEAD
 from rillstone.session import fresh_folder
 from rillstone.sinks.topics import FolderTopics, KafkaTopics
-from rillstone.sources.folders import folder_exists, names_in
+from rillstone.sources.folders import folder_exists
 from rillstone.sources.jdbc import JdbcDatabase
 from rillstone.sources.store import EventStore, cleaned_schema, partition_fields, placed, with_partitions
 from rillstone.streaming.bitmaps import DICTIONARY_SCHEMA, bitmap_sizes, member_bitmaps, merge_bitmaps, numbered
@@ -63,6 +62,7 @@ log = logging.getLogger("rillstone.fanout")
 RECORDS = "records"
 MEMBERS = "clickstream_members"
 WINDOW_DATE = "window_date"
+DAY_SLOT, DAY_SLOTS = "day_slot", 32
 COUNTS = "batch_counts"
 USERS, BITMAPS = "user_numbers", "clickstream_bitmaps"
 AT = "@"  # between a metric table and the length of the longer windows it is rolled up to
@@ -105,7 +105,7 @@ def seconds_of(every: str) -> int:
 
 
 def state_schema(spark: SparkSession, name: str) -> StructType:
-    """The columns of a state table, with its directories."""
+    """The columns of a state table, with its directories and the day."""
     name = name.partition(AT)[0]
     if name == BITMAPS and name not in _STATE_SCHEMAS:
         dims = [StructField(d, StringType(), True) for d in CLICKSTREAM.dims]
@@ -143,7 +143,7 @@ class Tables:
         if not parts:
             return spark.createDataFrame([], schema)
         reader = spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
-        return reader.parquet(*[self.path(name, p) for p in parts])
+        return reader.parquet(*[self.path(name, p) for p in parts]).drop(DAY_SLOT)
 
     def records(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
         parts = self.snapshot(spark).parts(RECORDS) if batch_id is None else [Part(batch_id, batch_id)]
@@ -266,8 +266,7 @@ class Tables:
         keys = [WINDOW_DATE, *WINDOW, *table.dims]
         mine = self.part_state(spark, name, [own])
         changed = mine.select(*keys).distinct()
-        labels = [n.partition("=")[2] for n in names_in(spark, self.path(name, own)) if n.startswith(WINDOW_DATE)]
-        days = [dt.date.fromisoformat(unquote(day)) for day in labels]
+        days = [r[0] for r in mine.select(WINDOW_DATE).distinct().collect()]  # one row a day
         low, high = (F.timestamp_micros(F.lit(x)) for x in span or mine.agg(*ends_of_windows()).first())
         states = self.state(spark, name).where(F.col(WINDOW_DATE).isin(days) & F.col("window_start").between(low, high))
         same = [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
@@ -414,11 +413,16 @@ def merge_kept_apart(spark: SparkSession, tables: Tables, fan: int = FAN) -> Non
 
 
 def write_state(rows: DataFrame, folder: str, seen: Observation | None = None, parts: Sequence[Column] = ()) -> None:
-    """State rows by day of their window, sorted by time, replacing the folder; optionally observed on the way."""
-    dated = rows.withColumn(WINDOW_DATE, F.to_date("window_start")).hint("rebalance", WINDOW_DATE)
-    dated = dated.sortWithinPartitions(WINDOW_DATE, "window_start")
+    """State rows by day of their window, sorted by time, replacing the folder; optionally observed on the way.
+
+    Days are dealt over DAY_SLOTS directories, in which they follow each other: a part that reaches over years is no more
+    files than one of a month, and a scan of some days skips the row groups of others.
+    """
+    dated = rows.withColumn(WINDOW_DATE, F.to_date("window_start"))
+    dated = dated.withColumn(DAY_SLOT, F.pmod(F.unix_date(WINDOW_DATE), F.lit(DAY_SLOTS))).hint("rebalance", DAY_SLOT)
+    dated = dated.sortWithinPartitions(DAY_SLOT, WINDOW_DATE, "window_start")
     dated = dated.observe(seen, *parts) if seen else dated
-    dated.write.mode("overwrite").partitionBy(WINDOW_DATE).parquet(folder)
+    dated.write.mode("overwrite").partitionBy(DAY_SLOT).parquet(folder)
 
 
 def window_key(table: MetricTable) -> Column:

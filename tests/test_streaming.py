@@ -750,3 +750,14 @@ def test_store_directories_get_few_files_however_wide_the_state(spark, tmp_path)
 def test_a_slice_of_a_middling_feed_keeps_a_dozen_cores_busy():
     assert files_for(100 << 20, JSON_GROWTH, SLICES) >= 12
     assert files_for(1 << 20, JSON_GROWTH, SLICES) == 2
+
+
+def test_state_of_many_days_is_few_files_and_a_day_is_still_found(spark, tmp_path):
+    start = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 86_400)
+    rows = spark.range(300).select(F.lit("z").alias("location"), start.alias("window_start"), F.col("id").alias("reading_count"))
+    write_state(rows, f"{tmp_path}/state")
+    assert len(list(Path(f"{tmp_path}/state").rglob("*.parquet"))) <= 32
+    stored = spark.read.parquet(f"{tmp_path}/state").drop("day_slot")
+    assert stored.columns == [*rows.columns, "window_date"]
+    found = stored.where(F.col("window_date") == F.date_add(F.lit("2024-01-01"), 70)).collect()
+    assert [r["reading_count"] for r in found] == [70]
