@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from rillstone.session import fresh_folder
 
+BATCH_BOUND, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,6 +25,16 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """The rows through `run` in Arrow batches of a few megabytes. A batch stands in the JVM twice, as it goes and as it
+    comes back, and in Python, for each task at once; by Spark's own bound it has 64 MB. A bound that the session was
+    given stays."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BOUND, None) is None:
+        conf.set(BATCH_BOUND, f"{BATCH_BYTES}b")
+    return df.mapInArrow(run, schema)
+
+
 def width(spark: SparkSession) -> int:
     """The number of shuffle partitions the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import bitmap, components, maybe_in, row_key, row_of, settle, width
+from rillstone.llm.common import bitmap, components, map_batches, maybe_in, row_key, row_of, settle, width
 from rillstone.llm.text import U, mix, shingles, words
 
 BLOCK_ROWS, BLOCK_BYTES = 8192, 24 << 20
@@ -192,7 +192,7 @@ def _chains(frame: pd.DataFrame) -> pd.DataFrame:
 def _clusters(df: DataFrame, classes: DataFrame, total: int, size: int, percent: int, text: str) -> DataFrame:
     """(sig, cluster) of the classes that share parts with others. `total`: the sizes of all sets together."""
     shards = max(1, 4 * total * (100 - percent) // (100 + percent) // SHARD_PARTS)
-    parts = df.select(text).mapInArrow(_parts(size, percent, shards), "shard long, parts binary, members binary")
+    parts = map_batches(df.select(text), _parts(size, percent, shards), "shard long, parts binary, members binary")
     chains = settle(parts.groupBy("shard").applyInPandas(_chains, "a long, b long").distinct(), "chains")
     roots = components(chains, "clusters")
     heads = roots.select(F.col("root").alias("node"), "root").distinct()
@@ -214,7 +214,7 @@ def _members(df: DataFrame, members: DataFrame, size: int, doc_id: str, text: st
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     hashed = docs.withColumn("h", F.xxhash64("doc_id"))
-    some = hashed.mapInArrow(near, f"doc_id {kind}, text string")
+    some = map_batches(hashed, near, f"doc_id {kind}, text string")
     found = some.join(members, some["doc_id"].eqNullSafe(members["doc_id"])).select("text", "sig", "cluster")
 
     def sets(batches):
@@ -235,7 +235,7 @@ def _members(df: DataFrame, members: DataFrame, size: int, doc_id: str, text: st
                 )
 
     schema = "sig long, cluster long, n long, set binary"
-    return settle(found.mapInArrow(sets, schema).dropDuplicates(["sig"]), "members")
+    return settle(map_batches(found, sets, schema).dropDuplicates(["sig"]), "members")
 
 
 def _bitmaps(members: DataFrame) -> DataFrame:
@@ -247,7 +247,7 @@ def _bitmaps(members: DataFrame) -> DataFrame:
             columns = [batch.column(c) for c in ("sig", "cluster", "n")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(maps, pa.binary())], names=["sig", "cluster", "n", "set"])
 
-    return members.mapInArrow(run, "sig long, cluster long, n long, set binary")
+    return map_batches(members, run, "sig long, cluster long, n long, set binary")
 
 
 def _regrouped(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -376,7 +376,7 @@ def _tiles(members: DataFrame, percent: int, exact: bool) -> DataFrame:
         if (found := flush()) is not None:
             yield found
 
-    return rows.mapInArrow(compare, "a long, b long")
+    return map_batches(rows, compare, "a long, b long")
 
 
 def _joined(df: DataFrame, size: int, percent: int, doc_id: str, text: str) -> DataFrame:
@@ -384,7 +384,7 @@ def _joined(df: DataFrame, size: int, percent: int, doc_id: str, text: str) -> D
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), row_key(doc_id, text).alias("key"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, key long, n_shingles long, sig long"
-    profiles = settle(docs.mapInArrow(_profiles(size), schema), "profiles")
+    profiles = settle(map_batches(docs, _profiles(size), schema), "profiles")
     by_set = profiles.where("n_shingles > 0").groupBy("sig")
     classes = settle(by_set.agg(F.min("doc_id").alias("doc_id")), "classes")
     total = profiles.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0
@@ -434,7 +434,7 @@ def keep_one(
         return run
 
     schema = f"row {source.schema['row'].dataType.simpleString()}, key long"
-    met = source.mapInArrow(known(True), schema).join(marks, "key", "left")
-    kept = source.mapInArrow(known(False), schema).select("row")
+    met = map_batches(source, known(True), schema).join(marks, "key", "left")
+    kept = map_batches(source, known(False), schema).select("row")
     kept = kept.union(met.where("once is null").select("row"))
     return kept.union(met.where("once").dropDuplicates(["key"]).select("row")).select("row.*")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import row_key, row_of, settle, with_text
+from rillstone.llm.common import map_batches, row_key, row_of, settle, with_text
 from rillstone.llm.text import BLANKS, U, mix
 
 SHARD_KEYS = 1 << 18
@@ -165,7 +165,7 @@ def drop_common_lines(df: DataFrame, least: int = 10, doc_id: str = "doc_id", te
     """All rows with (row struct, kept text, n_lines, n_dropped): lines found in `least` documents are dropped
     wherever they stand, and what stays is joined by line ends."""
     docs = df.select(row_of(df, text), F.col(text).alias("text"), row_key(doc_id, text).alias("key"))
-    lines = settle(docs.select("key", "text").mapInArrow(_hashes, "key long, line long"), "lines")
+    lines = settle(map_batches(docs.select("key", "text"), _hashes, "key long, line long"), "lines")
     common = common_lines(lines, build_index(lines), least)
     dropped = common.groupBy("key").agg(F.collect_set("line").alias("common"))
     joined = docs.join(dropped, "key", "left").select("row", "text", "common")
@@ -188,7 +188,7 @@ def drop_common_lines(df: DataFrame, least: int = 10, doc_id: str = "doc_id", te
                 )
 
     kind = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(rebuild, f"row {kind}, text string, n_lines long, n_dropped long")
+    return map_batches(joined, rebuild, f"row {kind}, text string, n_lines long, n_dropped long")
 
 
 def without_common_lines(df: DataFrame, least: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

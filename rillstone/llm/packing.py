@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillstone.llm.bpe import Codec
-from rillstone.llm.common import settle, width
+from rillstone.llm.common import map_batches, settle, width
 
 ROOM = 2048
 END = 0
@@ -65,7 +65,7 @@ def token_pieces(
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
-    return source.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return map_batches(source, run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 class Tightest:
@@ -160,7 +160,7 @@ def pack(pieces: DataFrame, room: int = ROOM) -> DataFrame:
     ranked = salted.withColumn("rank", rank).join(base, ["length", "salt"])
     ranked = ranked.select(*own, (F.col("rank") + F.col("base")).alias("rank"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(place, f"{kinds}, sequence_id long, offset long")
+    return map_batches(ranked, place, f"{kinds}, sequence_id long, offset long")
 
 
 def pack_documents(

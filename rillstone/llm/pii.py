@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import bitmap, maybe_in, row_key, row_of, settle, with_text
+from rillstone.llm.common import bitmap, map_batches, maybe_in, row_key, row_of, settle, with_text
 from rillstone.llm.text import Words, words
 
 KINDS = ("email", "ip", "card", "phone")
@@ -182,7 +182,7 @@ def find(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
     rows = df.select(row_key(doc_id, text).alias("key"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     schema = f"key long, doc_id {kind}, {counts}, base_sha256 string, base string, near array<struct<entity:long,term:long,line:long>>"
-    return settle(rows.mapInArrow(_found, schema), "pii")
+    return settle(map_batches(rows, _found, schema), "pii")
 
 
 def known_share(share: Column, contexts: Column) -> Column:
@@ -216,7 +216,7 @@ def disclosing_terms(df: DataFrame, found: DataFrame, text: str = "text") -> Dat
                 of, n = np.unique(term[once].view(np.int64), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(n)], names=["term", "n"])
 
-    counted = df.select(text).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("lines"))
+    counted = map_batches(df.select(text), count, "term long, n long").groupBy("term").agg(F.sum("n").alias("lines"))
     share = pairs.join(counted, "term").select("term", known_share(F.col("near") / F.col("lines"), F.col("contexts")).alias("p"))
     return settle(share.groupBy("term").agg(F.max("p").alias("p")).where(F.col("p") >= EXCEEDS), "pii-terms")
 
@@ -241,7 +241,7 @@ def term_spans(df: DataFrame, terms: DataFrame, doc_id: str = "doc_id", text: st
                 )
 
     rows = df.select(row_key(doc_id, text).alias("key"), F.col(text).alias("text"))
-    places = rows.mapInArrow(look, "key long, term long, start long, end long").join(terms, "term")
+    places = map_batches(rows, look, "key long, term long, start long, end long").join(terms, "term")
     return places.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "end", "p"))).alias("terms"))
 
 
@@ -289,5 +289,5 @@ def sanitise(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                     made.append(None if t is None else redact(t, [(x["start"], x["end"], x["p"]) for x in found]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.string())], names=["row", "text"])
 
-    changed = rows.mapInArrow(replace, f"row {rows.schema['row'].dataType.simpleString()}, text string")
+    changed = map_batches(rows, replace, f"row {rows.schema['row'].dataType.simpleString()}, text string")
     return with_text(changed, df, text)

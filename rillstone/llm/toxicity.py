@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import row_of
+from rillstone.llm.common import map_batches, row_of
 from rillstone.llm.sample import labelled
 from rillstone.llm.text import U, Words, mix, words
 
@@ -210,7 +210,7 @@ def score(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text
                 [batch.column(0), pa.array(model.scores(batch.column(1)))], names=["doc_id", "score"]
             )
 
-    return docs.mapInArrow(run, f"doc_id {kind}, score double")
+    return map_batches(docs, run, f"doc_id {kind}, score double")
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -233,4 +233,4 @@ def keep_clean(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
             kept = pa.array(model.scores(batch.column(1)) < THRESHOLD)
             yield batch.select([0]).filter(kept)
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}").select("row.*")
+    return map_batches(rows, run, f"row {rows.schema['row'].dataType.simpleString()}").select("row.*")

@@ -8,6 +8,7 @@ import sys
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pytest
 from helpers import frame, labels, prose, shingle_set
@@ -23,7 +24,7 @@ import corpus_pipeline  # noqa: E402
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from rillstone.llm import pii, toxicity  # noqa: E402
 from rillstone.llm import queries as llm  # noqa: E402
-from rillstone.llm.common import settle  # noqa: E402
+from rillstone.llm.common import BATCH_BOUND, BATCH_BYTES, settle  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,6 +62,25 @@ def test_stages(spark):
     assert not os.path.exists(f"{SF}/_temporary")
 
 
+def test_stages_take_small_batches(spark):
+    """However wide the rows are, an operator gets a few megabytes of them at once, and loses none."""
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("concat(repeat('wide ', 1500), id)").alias("text"))
+
+    class Small:
+        def scores(self, texts):
+            return np.full(len(texts), float(texts.nbytes > 2 * BATCH_BYTES))
+
+    given = spark.conf.get(BATCH_BOUND, None)
+    try:
+        spark.conf.unset(BATCH_BOUND)
+        assert toxicity.keep_clean(docs, Small()).count() == 3000
+        assert toxicity.score(docs, Small()).where("score > 0").isEmpty()
+        spark.conf.set(BATCH_BOUND, "32m")  # what the session was given stays
+        assert toxicity.score(docs, Small()).where("score > 0").count() > 0
+    finally:
+        spark.conf.set(BATCH_BOUND, given) if given else spark.conf.unset(BATCH_BOUND)
+
+
 def small_corpus(rng):
     """Documents that every stage has something to do with, and labels for most of them."""
     rows, marks = [], []
